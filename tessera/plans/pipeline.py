@@ -181,22 +181,24 @@ def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_scan_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customer written as ';' text with defects derived from the data
-    (a ';' inside some names: too many fields; a line break inside some
-    segments: two short lines), read back with the reject column."""
-    from tessera.plans.derive import write_extract
+    """Customer written as plain ';' text lines with defects derived from the
+    data (a ';' inside some names: too many fields; a line break inside some
+    segments: two short lines; a long name), read back with the reject column."""
     c = spark.read.parquet(f"{sf_dir}/customer.parquet")
     k = F.col("c_custkey")
-    name = F.when(k % 97 == 0, F.concat(F.col("c_name"), F.lit(";x"))).otherwise(F.col("c_name"))
+    name = (F.when(k % 97 == 0, F.concat(F.col("c_name"), F.lit(";x")))
+             .when(k % 83 == 0, F.concat(F.col("c_name"), F.lit(" of the long name")))
+             .otherwise(F.col("c_name")))
     seg = F.when(k % 89 == 0, F.concat(F.lit("MULTI\nLINE "), F.col("c_mktsegment"))) \
            .otherwise(F.col("c_mktsegment"))
+    fields = [k.cast("string"), name, F.col("c_nationkey").cast("string"), seg]
+    line = F.concat_ws(";", *[F.coalesce(f, F.lit("")) for f in fields])
     path = scratch_path(spark, "customer-extract")
-    write_extract(c.select(k.cast("string").alias("c_custkey"), name.alias("c_name"),
-                           F.col("c_nationkey").cast("string").alias("c_nationkey"),
-                           seg.alias("c_mktsegment")), path)
+    c.select(line.alias("value")).write.text(path)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in
                            ("c_custkey", "c_name", "c_nationkey", "c_mktsegment")])
-    return read_delimited(spark, path, schema, length_limits={"c_name": 25}).drop("_raw_line")
+    return read_delimited(spark, path, schema, header=False,
+                          length_limits={"c_name": 25}).drop("_raw_line")
 
 
 def full_reload(spark: SparkSession, sf_dir: str) -> DataFrame:

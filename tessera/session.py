@@ -16,6 +16,7 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    "spark.sql.csv.parser.columnPruning.enabled": "false",
 }
 
 

@@ -26,6 +26,11 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType, *, sep:
     separator, the way a plain field-terminator load does; pass ``'"'`` to
     treat double quotes as text qualifiers instead.
     """
+    # With CSV column pruning the parser only tokenises the columns a query
+    # reads, and a line's field count is then checked against that subset:
+    # the same line can be good for one query and malformed for another.
+    # Reject detection needs the full positional layout, so pruning is off.
+    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
     full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COL, T.StringType())])
     reader = (spark.read.schema(full)
               .option("sep", sep)
