@@ -25,7 +25,7 @@ from tessera.operators import quality as Q
 from tessera.operators.keys import dense_key
 from tessera.operators.marts import flat_star, year_over_year, yearly_totals
 from tessera.operators.reshape import schema_columns, union_all, union_tagged, unpivot_years, widen
-from tessera.operators.star import DimLink, build_fact
+from tessera.operators.star import DimLink, build_fact, unpivot_fact
 
 DEC = "decimal(18,2)"
 SUM_DEC = "decimal(38,2)"
@@ -324,20 +324,22 @@ def _lineitem_star(spark, sf_dir, *, members: DataFrame | None = None):
     dim_y = D.year_dim([li.select(F.year("l_shipdate").alias("Year"))])
     dim_u = D.unit_dim([li.select(F.col("l_returnflag").alias("Units"))])
     unit = F.when(F.col("l_linenumber") % 2 == 1, F.lower("l_returnflag")).otherwise(F.col("l_returnflag"))
-    long = (wide.unpivot(["l_suppkey", "l_shipdate", "l_returnflag", "l_linenumber"], list(MEASURES),
-                         "measure", "Value")
-                .select("l_suppkey", F.upper("measure").alias("measure"),
-                        F.year("l_shipdate").alias("Year"), unit.alias("Units"), "Value"))
-    links = [DimLink(dim_c, {"Country_id": "l_suppkey"}),
-             DimLink(dim_i, {"Indicator_id": "measure"}),
-             DimLink(dim_y, {"Year": "Year"}),
-             DimLink(dim_u, {"Measure_Units": "Units"}, collated=("Measure_Units",))]
-    return long, links, (dim_c, dim_i, dim_y, dim_u)
+    wide = wide.select("l_suppkey", F.year("l_shipdate").alias("Year"), unit.alias("Units"), *MEASURES)
+    row_links = [DimLink(dim_c, {"Country_id": "l_suppkey"}),
+                 DimLink(dim_y, {"Year": "Year"}),
+                 DimLink(dim_u, {"Measure_Units": "Units"}, collated=("Measure_Units",))]
+    cell_links = [DimLink(dim_i, {"Indicator_id": "measure"})]
+    return wide, row_links, cell_links, (dim_c, dim_i, dim_y, dim_u)
+
+
+def _lineitem_fact(wide, row_links, cell_links) -> DataFrame:
+    return unpivot_fact(wide, row_links, list(MEASURES), F.upper, "measure", cell_links,
+                        ["Country_key", "Indicator_key", "Year_key", "Units_key"])
 
 
 def fact_star_4dim(spark, sf_dir):
-    long, links, _ = _lineitem_star(spark, sf_dir)
-    return build_fact(long, links)
+    wide, row_links, cell_links, _ = _lineitem_star(spark, sf_dir)
+    return _lineitem_fact(wide, row_links, cell_links)
 
 
 def _events_base(spark, sf_dir):
@@ -453,9 +455,9 @@ def dq_fk_4dim(spark, sf_dir):
     """Registered members are suppliers in good standing (balance >= 0);
     facts of the others carry a NULL member key and are reported."""
     supp = load(spark, sf_dir, "supplier")
-    long, links, dims = _lineitem_star(spark, sf_dir, members=supp.filter(F.col("s_acctbal") >= 0))
-    fact = build_fact(long, links)
-    return Q.fk_violations(fact, list(dims))
+    wide, row_links, cell_links, dims = _lineitem_star(spark, sf_dir,
+                                                       members=supp.filter(F.col("s_acctbal") >= 0))
+    return Q.fk_violations(_lineitem_fact(wide, row_links, cell_links), list(dims))
 
 
 def dq_fk_3dim(spark, sf_dir):
@@ -480,8 +482,8 @@ def dq_dim_unique(spark, sf_dir):
 # ---------------------------------------------------------------------------
 
 def _mart_totals(spark, sf_dir):
-    long, links, dims = _lineitem_star(spark, sf_dir)
-    fact = build_fact(long, links)
+    wide, row_links, cell_links, dims = _lineitem_star(spark, sf_dir)
+    fact = _lineitem_fact(wide, row_links, cell_links)
     totals = (yearly_totals(fact, ["Country_key", "Indicator_key"])
               .select("Country_key", "Indicator_key", "Year_key",
                       F.col("total").cast("decimal(38,2)").alias("total"), "n"))
@@ -501,8 +503,8 @@ def mart_yoy(spark, sf_dir):
 
 
 def mart_flat(spark, sf_dir):
-    long, links, (dim_c, dim_i, dim_y, dim_u) = _lineitem_star(spark, sf_dir)
-    fact = build_fact(long, links)
+    wide, row_links, cell_links, (dim_c, dim_i, dim_y, dim_u) = _lineitem_star(spark, sf_dir)
+    fact = _lineitem_fact(wide, row_links, cell_links)
     flat = flat_star(fact, [(dim_c, ["Country_name"]), (dim_i, ["Indicator_name"]),
                             (dim_y, ["Year"]), (dim_u, ["Measure_Units"])])
     return flat.select("Country_name", "Indicator_name", "Year", "Measure_Units", "Value")

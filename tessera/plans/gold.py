@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from tessera.functions.conform import conform_units, series_code
 from tessera.functions.names import apply_rules
 from tessera.operators import dims as D
-from tessera.operators.reshape import union_all, unpivot_years
-from tessera.operators.star import DimLink, build_fact
+from tessera.operators.reshape import union_all
+from tessera.operators.star import DimLink, build_fact, unpivot_fact
 from tessera.specs import CLEAN_YEARS, TABLES, TableSpec, year_col
 
 FACT_NAMES = {
@@ -78,21 +78,24 @@ def _fact_units(units, spec: TableSpec, opts: GoldOptions):
 
 def wide_fact(silver: dict[str, DataFrame], fact: str, dims: dict, opts: GoldOptions = GoldOptions(),
               tables=TABLES) -> DataFrame:
+    """Union the fact's wide sources, resolve member / indicator / unit keys per
+    row, unpivot the year cells once, drop empty cells, resolve the year key."""
     years = [year_col(y) for y in CLEAN_YEARS]
     parts = [silver[t.stem].select("Country_code", "Indicator_code",
                                    _fact_units(F.col("Units"), t, opts).alias("Units"),
                                    F.lit(t.tag).alias("Source_Table"), *years)
              for t in _wide_specs(tables) if t.fact == fact and t.stem in silver]
-    long = unpivot_years(union_all(parts), ["Country_code", "Indicator_code", "Units", "Source_Table"],
-                         years, drop_nulls=True)
     ind_on = {"Indicator_id": "Indicator_code"}
     if opts.indicator_on_source:
         ind_on["Source_Table"] = "Source_Table"
-    links = [DimLink(dims["dim_country"], {"Country_id": "Country_code"}),
-             DimLink(dims["dim_indicator"], ind_on),
-             DimLink(dims["dim_year"], {"Year": "Year"}),
-             DimLink(dims["dim_unit_of_measure"], {"Measure_Units": "Units"}, collated=("Measure_Units",))]
-    return build_fact(long, links)
+    row_links = [DimLink(dims["dim_country"], {"Country_id": "Country_code"}),
+                 DimLink(dims["dim_indicator"], ind_on),
+                 DimLink(dims["dim_unit_of_measure"], {"Measure_Units": "Units"},
+                         collated=("Measure_Units",))]
+    cell_links = [DimLink(dims["dim_year"], {"Year": "Year"})]
+    year_of_col = lambda c: F.substring_index(c, "_", -1).cast("int")
+    return unpivot_fact(union_all(parts), row_links, years, year_of_col, "Year", cell_links,
+                        ["Country_key", "Indicator_key", "Year_key", "Units_key"])
 
 
 def sdg_fact(silver: dict[str, DataFrame], dims: dict, opts: GoldOptions = GoldOptions(),

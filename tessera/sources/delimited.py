@@ -17,22 +17,10 @@ CORRUPT_COL = "_corrupt_record"
 REJECT_COL = "_reject_reason"
 
 
-def read_delimited(spark: SparkSession, path: str, schema: T.StructType, *, sep: str = ";",
-                   header: bool = True, quote: str | None = "", encoding: str = "UTF-8",
-                   length_limits: dict | None = None) -> DataFrame:
-    """Scan ``path`` into ``schema`` plus ``_reject_reason`` (NULL = good row).
-
-    ``quote=""`` keeps quote characters as data and splits at every
-    separator, the way a plain field-terminator load does; pass ``'"'`` to
-    treat double quotes as text qualifiers instead.
-    """
-    # With CSV column pruning the parser only tokenises the columns a query
-    # reads, and a line's field count is then checked against that subset:
-    # the same line can be good for one query and malformed for another.
-    # Reject detection needs the full positional layout, so pruning is off.
-    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
+def _configure(reader, schema: T.StructType, sep: str, header: bool, quote: str | None,
+               encoding: str):
     full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COL, T.StringType())])
-    reader = (spark.read.schema(full)
+    reader = (reader.schema(full)
               .option("sep", sep)
               .option("header", header)
               .option("encoding", encoding)
@@ -42,7 +30,11 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType, *, sep:
               .option("ignoreTrailingWhiteSpace", False))
     if quote is not None:
         reader = reader.option("quote", quote)
-    df = reader.csv(path)
+    return reader
+
+
+def with_reject_reason(df: DataFrame, schema: T.StructType, length_limits: dict | None = None) -> DataFrame:
+    """Declared columns, the raw line of malformed rows, and the reject reason."""
     reason = F.when(F.col(CORRUPT_COL).isNotNull(), F.lit("field_count"))
     for name, limit in (length_limits or {}).items():
         if name in schema.fieldNames():
@@ -51,6 +43,30 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType, *, sep:
                      reason.alias(REJECT_COL))
 
 
+def read_delimited(spark: SparkSession, path: str, schema: T.StructType, *, sep: str = ";",
+                   header: bool = True, quote: str | None = "", encoding: str = "UTF-8",
+                   length_limits: dict | None = None, stream: bool = False,
+                   options: dict | None = None) -> DataFrame:
+    """Scan ``path`` into ``schema`` plus ``_reject_reason`` (NULL = good row).
+
+    ``quote=""`` keeps quote characters as data and splits at every
+    separator, the way a plain field-terminator load does; pass ``'"'`` to
+    treat double quotes as text qualifiers instead. ``stream=True`` returns
+    the same columns from a file-source stream over the directory.
+    """
+    # With CSV column pruning the parser only tokenises the columns a query
+    # reads, and a line's field count is then checked against that subset:
+    # the same line can be good for one query and malformed for another.
+    # Reject detection needs the full positional layout, so pruning is off.
+    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
+    base = spark.readStream if stream else spark.read
+    reader = _configure(base, schema, sep, header, quote, encoding)
+    for k, v in (options or {}).items():
+        reader = reader.option(k, v)
+    df = reader.csv(path)
+    return with_reject_reason(df, schema, length_limits)
+
+
 def good_rows(df: DataFrame) -> DataFrame:
     return df.filter(F.col(REJECT_COL).isNull()).drop(REJECT_COL, "_raw_line")
 
