@@ -8,7 +8,7 @@ key assignment), which is what the star join uses to decide on broadcasting.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,7 +26,6 @@ class Dimension:
     key: str
     natural_key: list[str]
     rows: int
-    join_canon: dict = field(default_factory=dict)   # natural-key col -> canonicaliser
 
     def keys_only(self) -> DataFrame:
         return self.df.select(self.key, *self.natural_key)
@@ -34,8 +33,7 @@ class Dimension:
 
 def build_dimension(name: str, df: DataFrame, key: str, natural_key: list[str],
                     order_by: list | None = None, *, dedupe: bool = True,
-                    required: list[str] | None = None, method: str = "range",
-                    join_canon: dict | None = None) -> Dimension:
+                    required: list[str] | None = None, method: str = "range") -> Dimension:
     """Generic dimension: drop rows missing ``required`` columns, distinct, key."""
     required = natural_key if required is None else required
     for c in required:
@@ -44,7 +42,7 @@ def build_dimension(name: str, df: DataFrame, key: str, natural_key: list[str],
         df = df.distinct()
     order_by = order_by or list(df.columns)
     keyed = dense_key(df, order_by, key, method=method, split_ties=not dedupe)
-    return Dimension(name, keyed.df, key, natural_key, keyed.rows, join_canon or {})
+    return Dimension(name, keyed.df, key, natural_key, keyed.rows)
 
 
 def member_dim(sources: list[DataFrame], *, prefix: str = "Country", dedupe: bool = True,
@@ -106,3 +104,17 @@ def unit_dim(frames: list[DataFrame], unit_col: str = "Units") -> Dimension:
     df = union_all([f.select(conform_units(unit_col).alias("Measure_Units")) for f in frames])
     return build_dimension("dim_unit_of_measure", df, "Units_key", ["Measure_Units"],
                            ["Measure_Units"])
+
+
+def build_concurrently(builders: dict, max_workers: int = 4) -> dict:
+    """Run independent dimension builds as concurrent Spark jobs.
+
+    Each build is a few short jobs (range sampling, checkpoint, partition
+    counts); submitted together they share the executors instead of
+    queueing one after another.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max(1, min(max_workers, len(builders)))) as pool:
+        futures = {name: pool.submit(fn) for name, fn in builders.items()}
+        return {name: f.result() for name, f in futures.items()}

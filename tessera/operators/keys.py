@@ -26,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.session import ensure_checkpoint_dir, shuffle_partitions
+from tessera.session import ensure_checkpoint_dir
 
 _POS_BITS = 33  # monotonically_increasing_id = partition_id << 33 | position
 
@@ -64,13 +64,16 @@ def dense_key(df: DataFrame, order_by: list, key: str, *, method: str = "range",
         raise ValueError(f"unknown key method {method!r}")
 
     ensure_checkpoint_dir(spark)
-    n = partitions or shuffle_partitions(spark)
     sort_cols = list(order)
     if split_ties:
         df = df.withColumn("_tie", F.monotonically_increasing_id())
         sort_cols.append(F.col("_tie"))
-    staged = (df.repartitionByRange(n, *sort_cols)
-                .sortWithinPartitions(*sort_cols)
+    # Without an explicit count AQE sizes the ranges from the shuffle
+    # statistics: a small dimension ends up in one range, a large one in
+    # as many as its size needs (coalesced ranges stay contiguous and ordered).
+    ranged = (df.repartitionByRange(partitions, *sort_cols) if partitions
+              else df.repartitionByRange(*sort_cols))
+    staged = (ranged.sortWithinPartitions(*sort_cols)
                 .checkpoint(eager=True))
     rid = F.monotonically_increasing_id()
     indexed = staged.select(

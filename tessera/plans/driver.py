@@ -315,14 +315,18 @@ def _lineitem_star(spark, sf_dir, *, members: DataFrame | None = None):
     li = load(spark, sf_dir, "lineitem")
     supp = load(spark, sf_dir, "supplier")
     members = members if members is not None else supp
-    dim_c = D.member_dim([members.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))])
     wide = _lineitem_measures(li, ["l_suppkey", "l_shipdate", "l_returnflag", "l_linenumber"])
     measure_names = schema_columns(wide).filter(F.col("column_name").isin(*MEASURES))
-    dim_i = D.indicator_dim([measure_names.select(
-        F.upper("column_name").alias("Indicator_code"), F.upper("column_name").alias("Indicator"),
-        F.lit("LINEITEM").alias("Source_Table"))], join_on_source=False)
-    dim_y = D.year_dim([li.select(F.year("l_shipdate").alias("Year"))])
-    dim_u = D.unit_dim([li.select(F.col("l_returnflag").alias("Units"))])
+    built = D.build_concurrently({
+        "c": lambda: D.member_dim([members.select(F.col("s_suppkey").alias("id"),
+                                                  F.col("s_name").alias("name"))]),
+        "i": lambda: D.indicator_dim([measure_names.select(
+            F.upper("column_name").alias("Indicator_code"), F.upper("column_name").alias("Indicator"),
+            F.lit("LINEITEM").alias("Source_Table"))], join_on_source=False),
+        "y": lambda: D.year_dim([li.select(F.year("l_shipdate").alias("Year"))]),
+        "u": lambda: D.unit_dim([li.select(F.col("l_returnflag").alias("Units"))]),
+    })
+    dim_c, dim_i, dim_y, dim_u = built["c"], built["i"], built["y"], built["u"]
     unit = F.when(F.col("l_linenumber") % 2 == 1, F.lower("l_returnflag")).otherwise(F.col("l_returnflag"))
     wide = wide.select("l_suppkey", F.year("l_shipdate").alias("Year"), unit.alias("Units"), *MEASURES)
     row_links = [DimLink(dim_c, {"Country_id": "l_suppkey"}),
@@ -351,12 +355,16 @@ def _events_base(spark, sf_dir):
 
 def fact_star_conformed(spark, sf_dir):
     ev, members = _events_base(spark, sf_dir)
-    dim_c = D.member_dim([members])
-    dim_i = D.indicator_dim([ev.select(F.col("event_type").alias("Indicator_code"),
-                                       F.upper("event_type").alias("Indicator"),
-                                       F.lit("EVENTS").alias("Source_Table"))], join_on_source=False)
-    dim_y = D.year_dim([ev.select(F.year("ts").alias("Year"))])
-    dim_u = D.unit_dim([ev.select(_event_units(ev).alias("Units"))])
+    built = D.build_concurrently({
+        "c": lambda: D.member_dim([members]),
+        "i": lambda: D.indicator_dim([ev.select(F.col("event_type").alias("Indicator_code"),
+                                                F.upper("event_type").alias("Indicator"),
+                                                F.lit("EVENTS").alias("Source_Table"))],
+                                     join_on_source=False),
+        "y": lambda: D.year_dim([ev.select(F.year("ts").alias("Year"))]),
+        "u": lambda: D.unit_dim([ev.select(_event_units(ev).alias("Units"))]),
+    })
+    dim_c, dim_i, dim_y, dim_u = built["c"], built["i"], built["y"], built["u"]
     long = ev.select("user_id", "event_type", F.year("ts").alias("Year"),
                      conform_units(_event_units(ev)).alias("Units"),
                      F.col("value").cast(DEC).alias("Value"))
@@ -375,9 +383,12 @@ def _series_description() -> Column:
 
 def _labelled_parts(spark, sf_dir, members: DataFrame | None = None):
     ev, all_members = _events_base(spark, sf_dir)
-    dim_c = D.member_dim([members if members is not None else all_members])
-    dim_y = D.year_dim([ev.select(F.year("ts").alias("Year"))])
-    dim_u = D.unit_dim([ev.select(_event_units(ev).alias("Units"))])
+    built = D.build_concurrently({
+        "c": lambda: D.member_dim([members if members is not None else all_members]),
+        "y": lambda: D.year_dim([ev.select(F.year("ts").alias("Year"))]),
+        "u": lambda: D.unit_dim([ev.select(_event_units(ev).alias("Units"))]),
+    })
+    dim_c, dim_y, dim_u = built["c"], built["y"], built["u"]
     value = F.when(F.col("event_type") == "error", F.lit(None).cast(DEC)).otherwise(F.col("value").cast(DEC))
     long = ev.select("user_id", series_code(_series_description()).alias("Indicator"),
                      F.year("ts").alias("Year"), conform_units(_event_units(ev)).alias("Units"),

@@ -54,18 +54,19 @@ def _wide_specs(tables=TABLES):
 def build_dims(silver: dict[str, DataFrame], opts: GoldOptions = GoldOptions(),
                tables=TABLES) -> dict[str, D.Dimension]:
     present = [t for t in tables if t.stem in silver]
-    country = D.member_dim([silver[t.stem].select(F.col("Country_code").alias("id"),
-                                                  F.col("Country").alias("name")) for t in present],
-                           dedupe=opts.dedupe_country)
-    indicator = D.indicator_dim([D.indicator_frame(silver[t.stem], t.tag) for t in _wide_specs(present)],
-                                join_on_source=opts.indicator_on_source)
     sdg = [silver[t.stem] for t in present if t.shape == "long"]
     wide = [silver[t.stem] for t in _wide_specs(present)][:1]
-    year = D.year_dim([s.select(F.year("Time_Period").alias("Year")) for s in sdg], wide,
-                      dedupe=opts.dedupe_year)
-    unit = D.unit_dim([silver[t.stem].select("Units") for t in present])
-    return {"dim_country": country, "dim_indicator": indicator, "dim_year": year,
-            "dim_unit_of_measure": unit}
+    return D.build_concurrently({
+        "dim_country": lambda: D.member_dim(
+            [silver[t.stem].select(F.col("Country_code").alias("id"), F.col("Country").alias("name"))
+             for t in present], dedupe=opts.dedupe_country),
+        "dim_indicator": lambda: D.indicator_dim(
+            [D.indicator_frame(silver[t.stem], t.tag) for t in _wide_specs(present)],
+            join_on_source=opts.indicator_on_source),
+        "dim_year": lambda: D.year_dim([s.select(F.year("Time_Period").alias("Year")) for s in sdg],
+                                       wide, dedupe=opts.dedupe_year),
+        "dim_unit_of_measure": lambda: D.unit_dim([silver[t.stem].select("Units") for t in present]),
+    })
 
 
 def _fact_units(units, spec: TableSpec, opts: GoldOptions):
