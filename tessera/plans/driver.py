@@ -17,7 +17,7 @@ from tessera import specs
 from tessera.functions.codes import normalize_code, remap_area_code
 from tessera.functions.conform import conform_units, series_code
 from tessera.functions.dates import period_to_date
-from tessera.functions.names import standardize_long_name, standardize_wide_name
+from tessera.functions.names import long_name_input, wide_name_input, with_standard_names
 from tessera.functions.numeric import parse_numeric_text
 from tessera.functions.text import clean_text, matches_any, untrimmed
 from tessera.operators import dims as D
@@ -150,12 +150,11 @@ def name_standardize(spark, sf_dir):
     cust = load(spark, sf_dir, "customer")
     df = cust.select("c_custkey", _vocab_name(F.col("c_custkey")).alias("raw_name"))
     wide_rules = specs.WIDE_NAME_RULES + specs.WIDE_NAME_RULES_INTACT
-    return df.select(
-        "c_custkey", "raw_name",
-        standardize_wide_name("raw_name", wide_rules).alias("name_wide"),
-        standardize_long_name("raw_name", specs.LONG_NAME_RULES).alias("name_long"),
-        standardize_long_name("raw_name", specs.LONG_NAME_RULES_12B1).alias("name_long_12b1"),
-    )
+    return with_standard_names(df, {
+        "name_wide": (wide_name_input("raw_name"), wide_rules),
+        "name_long": (long_name_input("raw_name"), specs.LONG_NAME_RULES),
+        "name_long_12b1": (long_name_input("raw_name"), specs.LONG_NAME_RULES_12B1),
+    })
 
 
 def _raw_area(orders: DataFrame) -> Column:

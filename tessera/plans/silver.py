@@ -7,24 +7,26 @@ from pyspark.sql import functions as F
 
 from tessera.functions.codes import normalize_code, remap_area_code
 from tessera.functions.dates import period_to_date
-from tessera.functions.names import apply_rules, standardize_long_name
+from tessera.functions.names import apply_rules, long_name_input, wide_name_input
 from tessera.functions.numeric import parse_numeric_text, parse_plain_decimal, to_int
-from tessera.functions.text import blank_to_null, clean_text, null_noise
+from tessera.functions.text import blank_to_null, clean_text
 from tessera.specs import CLEAN_YEARS, VALUE_TYPE, TableSpec, year_col
 
 
 def clean_wide(raw: DataFrame, spec: TableSpec) -> DataFrame:
     """Codes typed and normalised, names standardised, cells parsed to DECIMAL(18,2).
 
-    The cleaned country text is computed once in an inner projection and
-    reused by the noise test and every name rule. Year columns missing from
+    The cleaned, noise-tested country and its upper / lower forms are
+    computed once in an inner projection and reused by every name rule. Year columns missing from
     the raw layout become typed NULL columns.
     """
-    inner = raw.select("*", clean_text("Basic_data").alias("_country"))
+    country = wide_name_input("Basic_data")
+    inner = raw.select("*", country.alias("_country"), F.upper(country).alias("_country_u"),
+                       F.lower(country).alias("_country_l"))
     cols = [
         to_int("C").alias("Country_code"),
         normalize_code("S", spec.code_fixes).alias("Indicator_code"),
-        apply_rules(null_noise("_country"), spec.name_rules).alias("Country"),
+        apply_rules("_country", spec.name_rules, upper="_country_u", lower="_country_l").alias("Country"),
         blank_to_null("Unnamed_5").alias("Indicator_L1"),
         blank_to_null("Unnamed_6").alias("Indicator_L2"),
         blank_to_null("Unnamed_7").alias("Indicator_L3"),
@@ -43,9 +45,11 @@ def clean_wide(raw: DataFrame, spec: TableSpec) -> DataFrame:
 
 def clean_long(raw: DataFrame, spec: TableSpec, *, strip_thousands: bool = False) -> DataFrame:
     """Area code remapped, name standardised, period to date, value parsed (as coded)."""
-    return raw.select(
+    name = long_name_input("GeoAreaName")
+    inner = raw.select("*", name.alias("_country"), F.lower(name).alias("_country_l"))
+    return inner.select(
         remap_area_code("GeoAreaCode", spec.code_remap).alias("Country_code"),
-        standardize_long_name("GeoAreaName", spec.name_rules).alias("Country"),
+        apply_rules("_country", spec.name_rules, upper="_country", lower="_country_l").alias("Country"),
         period_to_date("TimePeriod").alias("Time_Period"),
         parse_plain_decimal("Value", strip_thousands=strip_thousands).alias("Value"),
         blank_to_null("SeriesDescription").alias("SeriesDescription"),
