@@ -513,7 +513,6 @@ ORACLE = {
     "dim_year": dim_year,
     "dim_unit": dim_unit,
     "surrogate_key_scalable": surrogate_key,
-    "surrogate_key_window": surrogate_key,
     "fact_star_4dim": fact_star_4dim,
     "fact_star_conformed": fact_star_conformed,
     "fact_star_labelled": fact_star_labelled,

@@ -226,4 +226,28 @@ PIPELINE_QUERIES = {
     "warehouse_facts": warehouse_facts,
 }
 
-PIPELINE_ORACLE = {"full_reload": _full_reload_sql}
+def _csv_scan_sql() -> str:
+    """Same text lines, split at line breaks and at ';' (no quoting), empty
+    fields as NULL, first four fields kept, reject reasons in the same order."""
+    return """
+WITH c AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS k,
+         CASE WHEN c_custkey % 97 = 0 THEN c_name || ';x'
+              WHEN c_custkey % 83 = 0 THEN c_name || ' of the long name'
+              ELSE c_name END AS nm,
+         CAST(c_nationkey AS VARCHAR) AS nk,
+         CASE WHEN c_custkey % 89 = 0 THEN 'MULTI' || chr(10) || 'LINE ' || c_mktsegment
+              ELSE c_mktsegment END AS seg
+  FROM customer),
+l AS (SELECT concat_ws(';', COALESCE(k, ''), COALESCE(nm, ''), COALESCE(nk, ''), COALESCE(seg, '')) AS line
+      FROM c),
+p AS (SELECT unnest(string_split(line, chr(10))) AS pl FROM l),
+f AS (SELECT string_split(pl, ';') AS t FROM p)
+SELECT NULLIF(t[1], '') AS c_custkey, NULLIF(t[2], '') AS c_name, NULLIF(t[3], '') AS c_nationkey,
+       NULLIF(t[4], '') AS c_mktsegment,
+       CASE WHEN len(t) <> 4 THEN 'field_count'
+            WHEN length(NULLIF(t[2], '')) > 25 THEN 'too_long:c_name' END AS _reject_reason
+FROM f"""
+
+
+PIPELINE_ORACLE = {"full_reload": _full_reload_sql, "csv_scan_roundtrip": _csv_scan_sql}
