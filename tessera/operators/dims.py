@@ -113,8 +113,8 @@ def build_concurrently(builders: dict, max_workers: int = 4) -> dict:
     counts); submitted together they share the executors instead of
     queueing one after another.
     """
-    from concurrent.futures import ThreadPoolExecutor
+    from pyspark.sql import SparkSession
 
-    with ThreadPoolExecutor(max(1, min(max_workers, len(builders)))) as pool:
-        futures = {name: pool.submit(fn) for name, fn in builders.items()}
-        return {name: f.result() for name, f in futures.items()}
+    from tessera.session import run_concurrently
+
+    return run_concurrently(SparkSession.active(), builders, max_workers)

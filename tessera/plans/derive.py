@@ -15,12 +15,11 @@ their size grows with the data; nothing is sampled.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.plans.driver import NAME_VOCABULARY, load
+from tessera.session import run_concurrently
 from tessera.specs import RAW_YEARS, TABLES, TableSpec, year_col
 
 SERIES_TEXT = {
@@ -114,12 +113,10 @@ def derive_raw_files(spark: SparkSession, sf_dir: str, out_dir: str, tables=TABL
     cube = lineitem_cube(spark, sf_dir) if any(t.shape == "wide" for t in tables) else None
     paths = {t.stem: f"{out_dir.rstrip('/')}/{t.stem}" for t in tables}
 
-    def one(item):
-        i, spec = item
+    def one(i, spec):
         df = wide_extract(cube, spec, i) if spec.shape == "wide" else long_extract(spark, sf_dir, spec)
         write_extract(df, paths[spec.stem])
 
-    with ThreadPoolExecutor(max(1, parallelism)) as pool:
-        for f in [pool.submit(one, it) for it in enumerate(tables)]:
-            f.result()
+    run_concurrently(spark, {spec.stem: (lambda i=i, s=spec: one(i, s)) for i, spec in enumerate(tables)},
+                     parallelism)
     return paths

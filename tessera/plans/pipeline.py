@@ -17,7 +17,6 @@ of one layer are independent Spark jobs and may run from a thread pool.
 from __future__ import annotations
 
 import time
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -27,9 +26,9 @@ from pyspark.sql import types as T
 from tessera.plans.derive import derive_raw_files
 from tessera.plans.gold import GoldOptions, Star, build_star
 from tessera.plans.silver import clean_table
-from tessera.session import scratch_path
+from tessera.session import run_concurrently, scratch_path
 from tessera.sources.delimited import REJECT_COL, good_rows, read_delimited, spec_length_limits
-from tessera.sources.sinks import create_namespaces, point_table, publish, write_version
+from tessera.sources.sinks import create_namespaces, define_table, point_table, publish, write_version
 from tessera.specs import RAW_LENGTH_LIMITS, TABLES, YEAR_CELL_LIMIT
 
 AUDIT_SCHEMA = T.StructType([
@@ -63,11 +62,22 @@ class Warehouse:
     options: GoldOptions = field(default_factory=GoldOptions)
     max_reject_fraction: float = 0.05
     parallelism: int = 1
+    fact_partition_by: tuple = ()    # e.g. ("Year_key",) for year-pruned reads
     audit: list = field(default_factory=list)
 
     def __post_init__(self):
         create_namespaces(self.spark)
 
+    def define(self, replace: bool = False) -> None:
+        """Declare the raw and clean tables with their fixed schemas (empty until loaded)."""
+        for spec in self.tables:
+            raw = T.StructType(list(spec.raw_schema().fields) + [
+                T.StructField("_raw_line", T.StringType()), T.StructField(REJECT_COL, T.StringType())])
+            define_table(self.spark, f"bronze.raw_{spec.stem}", raw,
+                         f"{self.root}/bronze/raw_{spec.stem}/empty", replace=replace)
+            define_table(self.spark, f"silver.{spec.stem}", spec.clean_schema(),
+                         f"{self.root}/silver/{spec.stem}/empty", replace=replace)
+
     # -- helpers -------------------------------------------------------------
     def _timed(self, layer: str, table: str, fn):
         row = AuditRow(layer, table)
@@ -87,9 +97,8 @@ class Warehouse:
             for it in items:
                 fn(it)
             return
-        with ThreadPoolExecutor(self.parallelism) as pool:
-            for f in [pool.submit(fn, it) for it in items]:
-                f.result()
+        run_concurrently(self.spark, {it.stem: (lambda it=it: fn(it)) for it in items},
+                         self.parallelism)
 
     # -- layers --------------------------------------------------------------
     def load_raw(self, inputs: dict[str, str]) -> None:
@@ -136,7 +145,7 @@ class Warehouse:
             def run(f=fact, n=name):
                 obs = Observation(f"star_{n}")
                 publish(self.spark, f.observe(obs, F.count(F.lit(1)).alias("rows")),
-                        f"gold.{n}", self.root)
+                        f"gold.{n}", self.root, partition_by=list(self.fact_partition_by) or None)
                 return obs.get["rows"], 0
             self._timed("star", name, run)
         return star

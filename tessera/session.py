@@ -17,6 +17,7 @@ DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.csv.parser.columnPruning.enabled": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -71,3 +72,32 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 def env_sf_dir(default: str = "/root/testdata/sf0.01") -> str:
     return os.environ.get("TESSERA_SF_DIR", default)
+
+
+_PROPAGATED = ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel",
+               "spark.scheduler.pool")
+
+
+def run_concurrently(spark: SparkSession, fns: dict, max_workers: int = 4) -> dict:
+    """Run independent Spark actions from a small thread pool; returns name -> result.
+
+    Local properties (job group, description, scheduler pool) are per thread;
+    they are copied from the caller so the concurrent jobs stay grouped
+    with the work that started them.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    sc = spark.sparkContext
+    props = {k: sc.getLocalProperty(k) for k in _PROPAGATED}
+
+    def call(fn):
+        for k, v in props.items():
+            if v is not None:
+                sc.setLocalProperty(k, v)
+        return fn()
+
+    if not fns:
+        return {}
+    with ThreadPoolExecutor(max(1, min(max_workers, len(fns)))) as pool:
+        futures = {name: pool.submit(call, fn) for name, fn in fns.items()}
+        return {name: f.result() for name, f in futures.items()}

@@ -22,6 +22,19 @@ def create_namespaces(spark: SparkSession, names=LAYERS) -> None:
         spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {n}")
 
 
+def define_table(spark: SparkSession, table: str, schema, path: str, *, replace: bool = False,
+                 fmt: str = "parquet") -> None:
+    """Idempotent table definition with its declared schema (the DDL step).
+
+    ``replace=True`` drops the definition first (the data directory of an
+    external table is left alone); otherwise an existing table is kept.
+    """
+    if replace:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    if not spark.catalog.tableExists(table):
+        spark.catalog.createTable(table, path=path, source=fmt, schema=schema)
+
+
 def stamp(df: DataFrame, col: str = "dwh_create_date") -> DataFrame:
     """Load-time audit column (one timestamp per query, as a default would give)."""
     return df.withColumn(col, F.current_timestamp())
@@ -37,20 +50,27 @@ def write_version(df: DataFrame, root: str, table: str, *, partition_by: list[st
     return path
 
 
-def point_table(spark: SparkSession, table: str, path: str, fmt: str = "parquet") -> None:
-    """Create ``table`` over ``path`` or move the existing table to it (metadata only)."""
+def point_table(spark: SparkSession, table: str, path: str, fmt: str = "parquet",
+                partitioned: bool = False) -> None:
+    """Create ``table`` over ``path`` or move the existing table to it (metadata only).
+
+    A partitioned table then has its partition list synced with the new
+    directory (added and dropped), or readers would see the old partitions.
+    """
     if spark.catalog.tableExists(table):
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
-        spark.sql(f"REFRESH TABLE {table}")
     else:
         spark.sql(f"CREATE TABLE {table} USING {fmt} LOCATION '{path}'")
+    if partitioned:
+        spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+    spark.sql(f"REFRESH TABLE {table}")
 
 
 def publish(spark: SparkSession, df: DataFrame, table: str, root: str, *,
             partition_by: list[str] | None = None, fmt: str = "parquet") -> str:
     """Full reload of ``table``: staged write, then a catalog pointer swap."""
     path = write_version(df, root, table, partition_by=partition_by, fmt=fmt)
-    point_table(spark, table, path, fmt)
+    point_table(spark, table, path, fmt, partitioned=bool(partition_by))
     return path
 
 

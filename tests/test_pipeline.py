@@ -168,3 +168,30 @@ def test_reject_threshold_keeps_previous_version(spark, warehouse, tmp_path):
         strict.load_raw({"domestic_trip": bad})
     assert strict.audit[-1].status == "failed"
     assert spark.table("bronze.raw_domestic_trip").count() == before
+
+
+def test_define_tables_then_load(spark, tmp_path):
+    spec = specs.TABLES_BY_STEM["sdg_892"]
+    wh = Warehouse(spark, str(tmp_path / "tables"), tables=(spec,))
+    wh.define(replace=True)
+    assert spark.table("silver.sdg_892").schema.fieldNames() == spec.clean_schema().fieldNames()
+    assert spark.table("silver.sdg_892").count() == 0
+    path = str(tmp_path / "sdg.csv")
+    write(path, ";".join(spec.raw_schema().fieldNames()),
+          [long_line("276", "Germany", "2020", "3.5", specs.SERIES_RULES[1][1], "NUMBER")])
+    wh.load_raw({"sdg_892": path})
+    wh.load_clean()
+    row = spark.table("silver.sdg_892").collect()[0]
+    assert (row.Country_code, row.Country, str(row.Value)) == (280, "GERMANY", "3.50")
+
+
+def test_fact_partitioning_option(spark, warehouse, tmp_path):
+    wh, _, _, _ = warehouse
+    part = Warehouse(spark, str(tmp_path / "tables"), fact_partition_by=("Year_key",))
+    part.audit = []
+    star = build_star(wh.silver())
+    from tessera.sources.sinks import publish
+    path = publish(spark, star.facts["fact_outbound_tourism"], "gold.fact_outbound_part",
+                   str(tmp_path / "tables"), partition_by=list(part.fact_partition_by))
+    assert any(p.startswith("Year_key=") for p in os.listdir(path))
+    assert spark.table("gold.fact_outbound_part").count() == spark.table("gold.fact_outbound_tourism").count()
