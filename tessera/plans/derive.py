@@ -42,12 +42,19 @@ def _cell(v: Column) -> Column:
 
 def lineitem_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Revenue per (supplier, line number, return flag) and ship year, materialised once
-    (checkpoint) because eleven extracts read it."""
+    (checkpoint) because eleven extracts read it.
+
+    ``pivot`` with the year list given plans a partial sum per (keys, year)
+    before the first shuffle and a ``pivotfirst`` after it: one decimal add
+    per input row, instead of 27 conditional sum buffers per row.
+    """
     li = load(spark, sf_dir, "lineitem")
-    y = F.year("l_shipdate")
-    price = F.col("l_extendedprice").cast("decimal(18,2)")
-    aggs = [F.sum(F.when(y == yr, price)).cast("decimal(38,2)").alias(year_col(yr)) for yr in RAW_YEARS]
-    return li.groupBy("l_suppkey", "l_linenumber", "l_returnflag").agg(*aggs).checkpoint(eager=True)
+    keys = ["l_suppkey", "l_linenumber", "l_returnflag"]
+    cube = (li.select(*keys, F.year("l_shipdate").alias("yr"),
+                      F.col("l_extendedprice").cast("decimal(18,2)").alias("p"))
+              .groupBy(*keys).pivot("yr", list(RAW_YEARS)).agg(F.sum("p")))
+    return cube.select(*keys, *[F.col(str(yr)).cast("decimal(38,2)").alias(year_col(yr))
+                                for yr in RAW_YEARS]).checkpoint(eager=True)
 
 
 def wide_extract(cube: DataFrame, spec: TableSpec, index: int) -> DataFrame:

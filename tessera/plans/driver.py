@@ -203,10 +203,11 @@ def wide_to_long(spark, sf_dir):
 def _orders_wide(orders: DataFrame) -> DataFrame:
     """Orders pivoted to one DECIMAL column per year (raw layout: no 1996),
     then widened to the full year axis (1996 becomes a typed NULL column)."""
-    y = F.year("o_orderdate")
-    price = F.col("o_totalprice").cast(DEC)
-    aggs = [F.sum(F.when(y == yr, price)).cast(SUM_DEC).alias(specs.year_col(yr)) for yr in specs.RAW_YEARS]
-    raw = orders.groupBy("o_orderstatus", "o_orderpriority").agg(*aggs)
+    keys = ["o_orderstatus", "o_orderpriority"]
+    pivoted = (orders.select(*keys, F.year("o_orderdate").alias("yr"), F.col("o_totalprice").cast(DEC).alias("p"))
+                     .groupBy(*keys).pivot("yr", list(specs.RAW_YEARS)).agg(F.sum("p")))
+    raw = pivoted.select(*keys, *[F.col(str(yr)).cast(SUM_DEC).alias(specs.year_col(yr))
+                                  for yr in specs.RAW_YEARS])
     target = T.StructType(
         [T.StructField("o_orderstatus", T.StringType()), T.StructField("o_orderpriority", T.StringType())]
         + [T.StructField(specs.year_col(yr), T.DecimalType(38, 2)) for yr in specs.CLEAN_YEARS])

@@ -137,17 +137,27 @@ class Warehouse:
                 if self.spark.catalog.tableExists(f"silver.{t.stem}")}
 
     def load_star(self) -> Star:
+        """Dimensions (built concurrently, materialised once), then the dimension
+        and fact tables, published concurrently: they are independent writes."""
         star = build_star(self.silver(), self.options, self.tables)
-        for name, dim in star.dims.items():
-            self._timed("star", name, lambda d=dim, n=name: (
-                publish(self.spark, d.df, f"gold.{n}", self.root) and (d.rows, 0)))
-        for name, fact in star.facts.items():
-            def run(f=fact, n=name):
-                obs = Observation(f"star_{n}")
-                publish(self.spark, f.observe(obs, F.count(F.lit(1)).alias("rows")),
-                        f"gold.{n}", self.root, partition_by=list(self.fact_partition_by) or None)
+
+        def dim_job(name, dim):
+            def run():
+                publish(self.spark, dim.df, f"gold.{name}", self.root)
+                return dim.rows, 0
+            return lambda: self._timed("star", name, run)
+
+        def fact_job(name, fact):
+            def run():
+                obs = Observation(f"star_{name}")
+                publish(self.spark, fact.observe(obs, F.count(F.lit(1)).alias("rows")),
+                        f"gold.{name}", self.root, partition_by=list(self.fact_partition_by) or None)
                 return obs.get["rows"], 0
-            self._timed("star", name, run)
+            return lambda: self._timed("star", name, run)
+
+        jobs = {n: dim_job(n, d) for n, d in star.dims.items()}
+        jobs.update({n: fact_job(n, f) for n, f in star.facts.items()})
+        run_concurrently(self.spark, jobs, max(1, self.parallelism))
         return star
 
     def run(self, inputs: dict[str, str]) -> Star:
@@ -168,8 +178,8 @@ class Warehouse:
 
 def _run_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     root = scratch_path(spark, "warehouse")
-    inputs = derive_raw_files(spark, sf_dir, f"{root}/extracts")
-    wh = Warehouse(spark, f"{root}/tables", parallelism=4)
+    inputs = derive_raw_files(spark, sf_dir, f"{root}/extracts", parallelism=8)
+    wh = Warehouse(spark, f"{root}/tables", parallelism=8)
     wh.run(inputs)
     return wh
 
