@@ -27,9 +27,6 @@ class Dimension:
     natural_key: list[str]
     rows: int
 
-    def keys_only(self) -> DataFrame:
-        return self.df.select(self.key, *self.natural_key)
-
 
 def build_dimension(name: str, df: DataFrame, key: str, natural_key: list[str],
                     order_by: list | None = None, *, dedupe: bool = True,

@@ -28,7 +28,9 @@ from tessera.plans.gold import GoldOptions, Star, build_star
 from tessera.plans.silver import clean_table
 from tessera.session import run_concurrently, scratch_path
 from tessera.sources.delimited import REJECT_COL, good_rows, read_delimited, spec_length_limits
-from tessera.sources.sinks import create_namespaces, define_table, point_table, publish, write_version
+from tessera.sources.sinks import (
+    create_namespaces, define_table, point_table, publish, stamp, write_version,
+)
 from tessera.specs import RAW_LENGTH_LIMITS, TABLES, YEAR_CELL_LIMIT
 
 AUDIT_SCHEMA = T.StructType([
@@ -223,9 +225,9 @@ def csv_scan_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def full_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load the same table twice (staged writes + pointer swap), read it once."""
     o = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    df = o.select("o_orderkey", "o_orderstatus", F.col("o_totalprice").cast("decimal(18,2)").alias("o_totalprice"),
-                  F.col("o_orderdate").cast("date").alias("o_orderdate"),
-                  F.current_timestamp().alias("dwh_create_date"))
+    df = stamp(o.select("o_orderkey", "o_orderstatus",
+                        F.col("o_totalprice").cast("decimal(18,2)").alias("o_totalprice"),
+                        F.col("o_orderdate").cast("date").alias("o_orderdate")))
     root = scratch_path(spark, "reload")
     create_namespaces(spark, ["silver"])
     publish(spark, df, "silver.orders_reload", root)

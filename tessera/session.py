@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -61,19 +60,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tessera-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for Python-side file writes in tests."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
-def env_sf_dir(default: str = "/root/testdata/sf0.01") -> str:
-    return os.environ.get("TESSERA_SF_DIR", default)
-
-
 _PROPAGATED = ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel",
                "spark.scheduler.pool")
 

@@ -72,12 +72,3 @@ def publish(spark: SparkSession, df: DataFrame, table: str, root: str, *,
     path = write_version(df, root, table, partition_by=partition_by, fmt=fmt)
     point_table(spark, table, path, fmt, partitioned=bool(partition_by))
     return path
-
-
-def overwrite(df: DataFrame, path: str, *, partition_by: list[str] | None = None,
-              fmt: str = "parquet") -> None:
-    """Plain path overwrite (for scratch outputs that no reader shares)."""
-    w = df.write.mode("overwrite").format(fmt)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.save(path)
