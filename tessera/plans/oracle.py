@@ -533,3 +533,92 @@ ORACLE = {
 
 def oracle_sql() -> dict[str, str]:
     return {k: f().strip() for k, f in ORACLE.items()}
+
+
+# --- the full warehouse load over the derived extracts ------------------------
+
+def warehouse_facts() -> str:
+    """The five facts of the load over the extracts derived from lineitem and
+    orders: the extracts' cleaned values are recomputed from the aggregates
+    (a thousands-separated cell parses back to its value, a blank code to
+    NULL), then dimensions with ROW_NUMBER keys and the star joins."""
+    from tessera.plans.derive import SERIES_TEXT
+    from tessera.plans.gold import FACT_NAMES
+
+    n = len(NAME_VOCABULARY)
+    vocab = "[" + ", ".join(lit(v) for v in NAME_VOCABULARY) + "]"
+    raw_years = ", ".join(str(y) for y in specs.RAW_YEARS)
+    wide_parts, long_parts = [], []
+    for i, t in enumerate(specs.TABLES):
+        if t.shape == "wide":
+            s_raw = f"'{i % 2 + 1}' || CASE WHEN flag = 'A' THEN ',' ELSE '' END || CAST(ln AS VARCHAR)"
+            name = f"{vocab}[CAST(l_suppkey % {n} AS INTEGER) + 1]"
+            wide_parts.append(f"""
+  SELECT '{t.tag}' AS Source_Table, '{FACT_NAMES[t.fact]}' AS fact, l_suppkey, ln, flag,
+         CASE WHEN l_suppkey % 97 = 0 THEN NULL ELSE CAST(l_suppkey AS INTEGER) END AS Country_code,
+         {code_sql(s_raw, t.code_fixes)} AS Indicator_code,
+         {wide_name_sql(name, t.name_rules)} AS Country,
+         COALESCE(UPPER(CASE WHEN ln % 2 = 0 THEN NULL ELSE 'Line ' || CAST(ln AS VARCHAR) END),
+                  UPPER(lower(flag) || ' flag'), UPPER('{t.tag.lower()}')) AS Indicator,
+         CASE flag WHEN 'R' THEN 'Units' WHEN 'A' THEN 'Nights' ELSE 'Thousands' END AS Units
+  FROM keys""")
+        else:
+            name = f"{vocab}[CAST(k % {n} AS INTEGER) + 1]"
+            long_parts.append(f"""
+  SELECT {remap_sql('TRY_CAST(CAST(k AS VARCHAR) AS INTEGER)', t.code_remap)} AS Country_code,
+         {long_name_sql(name, t.name_rules)} AS Country,
+         CASE WHEN yr BETWEEN 1 AND 9999 THEN yr END AS Year,
+         CASE WHEN k % 13 = 0 OR k % 17 = 0 THEN NULL ELSE CAST(v AS DECIMAL(18,2)) END AS Value,
+         {lit(SERIES_TEXT[t.stem])} AS SeriesDescription,
+         CASE WHEN k % 3 = 0 THEN 'NUMBER' ELSE 'PERCENT' END AS Units
+  FROM oagg""")
+    years = ", ".join(f"({y})" for y in specs.CLEAN_YEARS)
+    return f"""
+WITH cube AS (
+  SELECT l_suppkey, l_linenumber AS ln, l_returnflag AS flag, CAST(year(l_shipdate) AS INTEGER) AS yr,
+         SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS v
+  FROM lineitem GROUP BY l_suppkey, l_linenumber, l_returnflag, year(l_shipdate)),
+keys AS (SELECT DISTINCT l_suppkey, ln, flag FROM cube),
+oagg AS (SELECT o_custkey AS k, CAST(year(o_orderdate) AS INTEGER) AS yr,
+                SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS v
+         FROM orders GROUP BY o_custkey, year(o_orderdate)),
+wide AS ({' UNION ALL '.join(wide_parts)}),
+sdg AS ({' UNION ALL '.join(long_parts)}),
+dim_c AS (SELECT {key_sql('Country_key', 'Country_id, Country_name')}, Country_id
+          FROM (SELECT DISTINCT Country_code AS Country_id, Country AS Country_name FROM wide
+                UNION SELECT DISTINCT Country_code, Country FROM sdg)
+          WHERE Country_id IS NOT NULL AND Country_name IS NOT NULL),
+dim_i AS (SELECT {key_sql('Indicator_key', 'Indicator_id, Indicator_name, Source_Table')},
+                 Indicator_id, Source_Table
+          FROM (SELECT DISTINCT Indicator_code AS Indicator_id,
+                       {label_sql('Indicator_code', 'Indicator')} AS Indicator_name, Source_Table FROM wide)
+          WHERE Indicator_id IS NOT NULL AND Indicator_name IS NOT NULL),
+dim_y AS (SELECT {key_sql('Year_key', 'Year')}, Year
+          FROM (SELECT DISTINCT Year FROM sdg UNION SELECT Year FROM (VALUES {years}) v(Year))
+          WHERE Year IS NOT NULL),
+dim_u AS (SELECT {key_sql('Units_key', 'Measure_Units')}, Measure_Units
+          FROM (SELECT DISTINCT {units_sql('Units')} AS Measure_Units FROM wide
+                UNION SELECT DISTINCT {units_sql('Units')} FROM sdg)
+          WHERE Measure_Units IS NOT NULL),
+cells AS (SELECT w.*, c.yr AS Year, CAST(c.v AS DECIMAL(18,2)) AS Value
+          FROM wide w JOIN cube c ON w.l_suppkey = c.l_suppkey AND w.ln = c.ln AND w.flag = c.flag
+          WHERE c.yr IN ({raw_years}) AND c.v IS NOT NULL),
+wide_facts AS (
+  SELECT co.Country_key, ind.Indicator_key, ye.Year_key, un.Units_key, l.Value, l.fact,
+         CAST(NULL AS VARCHAR) AS Indicator
+  FROM cells l
+  LEFT JOIN dim_c co ON l.Country_code = co.Country_id
+  LEFT JOIN dim_i ind ON l.Indicator_code = ind.Indicator_id AND l.Source_Table = ind.Source_Table
+  LEFT JOIN dim_y ye ON l.Year = ye.Year
+  LEFT JOIN dim_u un ON upper(rtrim({units_sql('l.Units')})) = upper(rtrim(un.Measure_Units))),
+sdg_facts AS (
+  SELECT co.Country_key, CAST(NULL AS BIGINT) AS Indicator_key, ye.Year_key, un.Units_key, s.Value,
+         'fact_sdg' AS fact, {rules_sql('s.SeriesDescription', specs.SERIES_RULES)} AS Indicator
+  FROM sdg s
+  LEFT JOIN dim_c co ON s.Country_code = co.Country_id
+  LEFT JOIN dim_y ye ON s.Year = ye.Year
+  LEFT JOIN dim_u un ON upper(rtrim({units_sql('s.Units')})) = upper(rtrim(un.Measure_Units)))
+SELECT * FROM wide_facts UNION ALL SELECT * FROM sdg_facts"""
+
+
+ORACLE["warehouse_facts"] = warehouse_facts
