@@ -537,11 +537,11 @@ def oracle_sql() -> dict[str, str]:
 
 # --- the full warehouse load over the derived extracts ------------------------
 
-def warehouse_facts() -> str:
-    """The five facts of the load over the extracts derived from lineitem and
-    orders: the extracts' cleaned values are recomputed from the aggregates
-    (a thousands-separated cell parses back to its value, a blank code to
-    NULL), then dimensions with ROW_NUMBER keys and the star joins."""
+def _warehouse_ctes() -> str:
+    """The load over the extracts derived from lineitem and orders: the
+    extracts' cleaned values are recomputed from the aggregates (a
+    thousands-separated cell parses back to its value, a blank code to NULL),
+    then dimensions with ROW_NUMBER keys and the star joins."""
     from tessera.plans.derive import SERIES_TEXT
     from tessera.plans.gold import FACT_NAMES
 
@@ -617,8 +617,33 @@ sdg_facts AS (
   FROM sdg s
   LEFT JOIN dim_c co ON s.Country_code = co.Country_id
   LEFT JOIN dim_y ye ON s.Year = ye.Year
-  LEFT JOIN dim_u un ON upper(rtrim({units_sql('s.Units')})) = upper(rtrim(un.Measure_Units)))
-SELECT * FROM wide_facts UNION ALL SELECT * FROM sdg_facts"""
+  LEFT JOIN dim_u un ON upper(rtrim({units_sql('s.Units')})) = upper(rtrim(un.Measure_Units))),
+facts AS (SELECT * FROM wide_facts UNION ALL SELECT * FROM sdg_facts)"""
+
+
+def warehouse_facts() -> str:
+    return f"WITH {_warehouse_ctes().strip()[len('WITH '):]}\nSELECT * FROM facts"
+
+
+def load_audit() -> str:
+    """Row counts and statuses of every table load of that same run."""
+    parts = []
+    for t in specs.TABLES:
+        src = "(SELECT 1 FROM keys)" if t.shape == "wide" else "(SELECT 1 FROM oagg)"
+        for layer in ("raw", "clean"):
+            parts.append(f"SELECT '{layer}' AS layer, '{t.stem}' AS table_name, COUNT(*) AS rows FROM {src}")
+    for d in ("dim_c:dim_country", "dim_i:dim_indicator", "dim_y:dim_year", "dim_u:dim_unit_of_measure"):
+        cte, name = d.split(":")
+        parts.append(f"SELECT 'star', '{name}', COUNT(*) FROM {cte}")
+    from tessera.plans.gold import FACT_NAMES
+    for name in FACT_NAMES.values():
+        parts.append(f"SELECT 'star', '{name}', COUNT(*) FROM facts WHERE fact = '{name}'")
+    body = "\n  UNION ALL ".join(parts)
+    return (f"WITH {_warehouse_ctes().strip()[len('WITH '):]},\n"
+            f"counts AS ({body})\n"
+            "SELECT layer, table_name, CAST(rows AS BIGINT) AS rows, CAST(0 AS BIGINT) AS rejects, "
+            "'ok' AS status, CAST(NULL AS VARCHAR) AS error FROM counts")
 
 
 ORACLE["warehouse_facts"] = warehouse_facts
+ORACLE["load_audit"] = load_audit
