@@ -51,3 +51,26 @@ def test_rows_only_queries(spark):
     assert len(audit) == 37 and all(r.status == "ok" for r in audit)
     scan = QUERIES["csv_scan_roundtrip"](spark, SF)
     assert scan.filter("_reject_reason is not null").count() > 0
+
+
+@pytest.mark.parametrize("name", ["fact_star_4dim", "dq_fk_4dim", "mart_flat"])
+def test_star_queries_without_broadcast(spark, duck, name):
+    """Over the broadcast budget the same queries plan sort-merge joins and
+    still match the oracle."""
+    import contextlib
+    import io
+
+    spark.conf.set("tessera.broadcast.maxBytes", "0")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = QUERIES[name](spark, SF)
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain()
+        assert "SortMergeJoin" in buf.getvalue() and "BroadcastHashJoin" not in buf.getvalue()
+        cur = duck.execute(ORACLE[name])
+        dcols = [d[0] for d in cur.description]
+        assert digest(df.columns, [tuple(r) for r in df.collect()])[0] == digest(dcols, cur.fetchall())[0]
+    finally:
+        spark.conf.unset("tessera.broadcast.maxBytes")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
