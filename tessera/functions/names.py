@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.text import _col, clean_text, null_noise
+from tessera.specs import NOISE_PATTERNS
 
 
 def apply_rules(c, rules, *, upper=None, lower=None) -> Column:
@@ -35,9 +36,9 @@ def apply_rules(c, rules, *, upper=None, lower=None) -> Column:
     return c if expr is None else expr.otherwise(c)
 
 
-def wide_name_input(c) -> Column:
+def wide_name_input(c, patterns=NOISE_PATTERNS) -> Column:
     """Wide sources: drop '..', trim, blank -> NULL, noise -> NULL."""
-    return null_noise(clean_text(c))
+    return null_noise(clean_text(c), patterns)
 
 
 def long_name_input(c) -> Column:

@@ -40,6 +40,15 @@ def matches_any(c, patterns) -> Column:
     return reduce(or_, [c.ilike(p) for p in patterns])
 
 
+def noise_patterns(quote: str | None = "") -> tuple:
+    """Noise patterns for a scan mode. With ``"`` as text qualifier the reader
+    strips the quote that starts the header note, so its pattern is also
+    matched without the quote."""
+    if quote == '"':
+        return NOISE_PATTERNS + tuple(p[1:] for p in NOISE_PATTERNS if p.startswith('"'))
+    return NOISE_PATTERNS
+
+
 def null_noise(c, patterns=NOISE_PATTERNS) -> Column:
     """Header / footnote rows keep their row but lose the value."""
     c = _col(c)

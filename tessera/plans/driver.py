@@ -484,6 +484,21 @@ def dq_dim_unique(spark, sf_dir):
     return Q.dim_key_unique(dim)
 
 
+# the checks that read one driver table each, summarised: (check, table, violations)
+SUMMARY_CHECKS = (
+    ("dq_duplicates", "conversations"),
+    ("dq_blanks", "customer"),
+    ("dq_charset", "customer,supplier,part,documents,nation"),
+    ("dq_id_conflict_only", "customer,supplier"),
+    ("dq_fk_4dim", "lineitem"),
+    ("dq_dim_unique", "customer,supplier"),
+)
+
+
+def dq_summary(spark, sf_dir):
+    return Q.summarize({name: (table, QUERIES[name](spark, sf_dir)) for name, table in SUMMARY_CHECKS})
+
+
 # ---------------------------------------------------------------------------
 # marts
 # ---------------------------------------------------------------------------
@@ -546,6 +561,7 @@ QUERIES = {
     "dq_fk_4dim": dq_fk_4dim,
     "dq_fk_3dim": dq_fk_3dim,
     "dq_dim_unique": dq_dim_unique,
+    "dq_summary": dq_summary,
     "mart_year_agg": mart_year_agg,
     "mart_yoy": mart_yoy,
     "mart_flat": mart_flat,

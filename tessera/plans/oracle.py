@@ -466,6 +466,13 @@ GROUP BY Country_id HAVING COUNT(*) > 1"""
 
 # --- marts ----------------------------------------------------------------------
 
+def dq_summary() -> str:
+    from tessera.plans.driver import SUMMARY_CHECKS
+    return "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS \"check\", '{table}' AS \"table\", COUNT(*) AS violations "
+        f"FROM ({ORACLE[name]().strip()}) q" for name, table in SUMMARY_CHECKS)
+
+
 def _totals_cte() -> str:
     return f"""{lineitem_star_ctes()},
 totals AS (SELECT Country_key, Indicator_key, Year_key, CAST(SUM(Value) AS DECIMAL(38,2)) AS total,
@@ -525,6 +532,7 @@ ORACLE = {
     "dq_fk_4dim": dq_fk_4dim,
     "dq_fk_3dim": dq_fk_3dim,
     "dq_dim_unique": dq_dim_unique,
+    "dq_summary": dq_summary,
     "mart_year_agg": mart_year_agg,
     "mart_yoy": mart_yoy,
     "mart_flat": mart_flat,

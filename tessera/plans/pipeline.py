@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from tessera.plans.derive import derive_raw_files
 from tessera.plans.gold import GoldOptions, Star, build_star
+from tessera.functions.text import noise_patterns
 from tessera.plans.silver import clean_table
 from tessera.session import run_concurrently, scratch_path
 from tessera.sources.delimited import REJECT_COL, good_rows, read_delimited, spec_length_limits
@@ -65,6 +66,7 @@ class Warehouse:
     max_reject_fraction: float = 0.05
     parallelism: int = 1
     fact_partition_by: tuple = ()    # e.g. ("Year_key",) for year-pruned reads
+    quote: str = ""                  # "" keeps quotes as data; '"' treats them as text qualifiers
     audit: list = field(default_factory=list)
 
     def __post_init__(self):
@@ -107,7 +109,7 @@ class Warehouse:
         def one(spec):
             def run():
                 schema = spec.raw_schema()
-                df = read_delimited(self.spark, inputs[spec.stem], schema,
+                df = read_delimited(self.spark, inputs[spec.stem], schema, quote=self.quote,
                                     length_limits=spec_length_limits(schema, RAW_LENGTH_LIMITS,
                                                                      YEAR_CELL_LIMIT))
                 obs = Observation(f"raw_{spec.stem}")
@@ -128,7 +130,8 @@ class Warehouse:
             def run():
                 raw = good_rows(self.spark.table(f"bronze.raw_{spec.stem}"))
                 obs = Observation(f"clean_{spec.stem}")
-                clean = clean_table(raw, spec).observe(obs, F.count(F.lit(1)).alias("rows"))
+                clean = clean_table(raw, spec, noise_patterns(self.quote)).observe(
+                    obs, F.count(F.lit(1)).alias("rows"))
                 publish(self.spark, clean, f"silver.{spec.stem}", self.root)
                 return obs.get["rows"], 0
             self._timed("clean", spec.stem, run)

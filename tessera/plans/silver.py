@@ -10,17 +10,17 @@ from tessera.functions.dates import period_to_date
 from tessera.functions.names import apply_rules, long_name_input, wide_name_input
 from tessera.functions.numeric import parse_numeric_text, parse_plain_decimal, to_int
 from tessera.functions.text import blank_to_null, clean_text
-from tessera.specs import CLEAN_YEARS, VALUE_TYPE, TableSpec, year_col
+from tessera.specs import CLEAN_YEARS, NOISE_PATTERNS, VALUE_TYPE, TableSpec, year_col
 
 
-def clean_wide(raw: DataFrame, spec: TableSpec) -> DataFrame:
+def clean_wide(raw: DataFrame, spec: TableSpec, noise_patterns=NOISE_PATTERNS) -> DataFrame:
     """Codes typed and normalised, names standardised, cells parsed to DECIMAL(18,2).
 
     The cleaned, noise-tested country and its upper / lower forms are
     computed once in an inner projection and reused by every name rule. Year columns missing from
     the raw layout become typed NULL columns.
     """
-    country = wide_name_input("Basic_data")
+    country = wide_name_input("Basic_data", noise_patterns)
     inner = raw.select("*", country.alias("_country"), F.upper(country).alias("_country_u"),
                        F.lower(country).alias("_country_l"))
     cols = [
@@ -59,5 +59,5 @@ def clean_long(raw: DataFrame, spec: TableSpec, *, strip_thousands: bool = False
     )
 
 
-def clean_table(raw: DataFrame, spec: TableSpec) -> DataFrame:
-    return clean_long(raw, spec) if spec.shape == "long" else clean_wide(raw, spec)
+def clean_table(raw: DataFrame, spec: TableSpec, noise_patterns=NOISE_PATTERNS) -> DataFrame:
+    return clean_long(raw, spec) if spec.shape == "long" else clean_wide(raw, spec, noise_patterns)

@@ -213,3 +213,26 @@ def test_quality_report_over_loaded_tables(spark, warehouse):
     assert set(k for k in got if k.startswith("fk:")) == {
         "fk:fact_domestic_tourism", "fk:fact_inbound_tourism", "fk:fact_outbound_tourism",
         "fk:fact_tourism_industries", "fk:fact_sdg"}
+
+
+def test_quote_modes(spark, tmp_path):
+    """Quotes kept as data (default): a ';' inside quotes splits the line, which
+    is then rejected. Quotes as text qualifiers: the field stays whole and the
+    unquoted header note is still recognised as noise."""
+    spec = specs.TABLES_BY_STEM["outbound_departures"]
+    path = str(tmp_path / "od.csv")
+    write(path, ";".join(spec.raw_schema().fieldNames()), [
+        wide_line(spec, "1", "11", '"The information; provisional"', ["a", "", "", ""], "Units", {2000: "5"}),
+        wide_line(spec, "2", "11", '"SPAIN"', ["a", "", "", ""], "Units", {2000: "6"}),
+    ])
+    plain = Warehouse(spark, str(tmp_path / "t1"), tables=(spec,), max_reject_fraction=1.0)
+    plain.load_raw({spec.stem: path})
+    assert plain.audit[-1].rejects == 1
+    plain.load_clean()
+    assert [r.Country for r in spark.table("silver.outbound_departures").collect()] == ['"SPAIN"']
+    quoted = Warehouse(spark, str(tmp_path / "t2"), tables=(spec,), quote='"')
+    quoted.load_raw({spec.stem: path})
+    assert quoted.audit[-1].rejects == 0
+    quoted.load_clean()
+    got = {r.Country_code: r.Country for r in spark.table("silver.outbound_departures").collect()}
+    assert got == {1: None, 2: "SPAIN"}
