@@ -106,7 +106,9 @@ def text_null_clean(spark, sf_dir):
                         F.coalesce(untrimmed("raw_name"), F.lit(False)).alias("is_untrimmed")))
 
 
-def _raw_code(df: DataFrame) -> Column:
+def _raw_code() -> Column:
+    """Size as an indicator-code cell: plain, padded with a trailing digit,
+    with a decimal comma, or blank."""
     s = F.col("p_size").cast("string")
     return _pick(F.col("p_partkey"), [
         (0, s),
@@ -117,7 +119,7 @@ def _raw_code(df: DataFrame) -> Column:
 
 def code_normalize(spark, sf_dir):
     part = load(spark, sf_dir, "part")
-    df = part.select("p_partkey", _raw_code(part).alias("raw_code"))
+    df = part.select("p_partkey", _raw_code().alias("raw_code"))
     return df.select(
         "p_partkey", "raw_code",
         normalize_code("raw_code").alias("code_general"),
