@@ -113,7 +113,7 @@ def _raw_code() -> Column:
     return _pick(F.col("p_partkey"), [
         (0, s),
         (1, F.concat(F.lit(" "), s, F.lit("9 "))),
-        (2, F.concat(F.substring(s, 1, 1), F.lit(","), F.substring(s, 2, 100))),
+        (2, F.concat(F.substr(s, F.lit(1), F.lit(1)), F.lit(","), F.substr(s, F.lit(2)))),
     ], F.when(F.col("p_size") > 45, F.lit(" ")).otherwise(s), 4)
 
 

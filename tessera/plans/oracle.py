@@ -122,7 +122,7 @@ FROM r"""
 RAW_CODE = """CASE p_partkey % 4
     WHEN 0 THEN CAST(p_size AS VARCHAR)
     WHEN 1 THEN ' ' || CAST(p_size AS VARCHAR) || '9 '
-    WHEN 2 THEN substr(CAST(p_size AS VARCHAR), 1, 1) || ',' || substr(CAST(p_size AS VARCHAR), 2, 100)
+    WHEN 2 THEN substr(CAST(p_size AS VARCHAR), 1, 1) || ',' || substr(CAST(p_size AS VARCHAR), 2)
     ELSE CASE WHEN p_size > 45 THEN ' ' ELSE CAST(p_size AS VARCHAR) END END"""
 
 
