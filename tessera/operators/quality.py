@@ -83,12 +83,14 @@ def id_conflicts(left: DataFrame, right: DataFrame, id_col: str, name_col: str,
 
 
 def fk_violations(fact: DataFrame, dims: list[Dimension], fact_keys: list[str] | None = None,
-                  failed_col: str = "failed_keys") -> DataFrame:
+                  failed_col: str = "failed_keys", with_dimensions: bool = False) -> DataFrame:
     """Fact rows whose key does not resolve in its dimension (left join + null test).
 
-    Dimension sides are the key columns only (distinct by construction), so
-    the joins cannot fan out; sides under the broadcast budget broadcast.
-    The result keeps the fact columns and names the keys that failed.
+    Dimension keys are unique, so the joins cannot fan out; sides under the
+    broadcast budget broadcast. The result keeps the fact columns and names
+    the keys that failed. ``with_dimensions`` also carries every dimension
+    column, prefixed ``<dimension>__`` (the star projection over all joined
+    relations, with names that stay unique and writable).
     """
     from tessera.operators.star import broadcast_budget, estimated_bytes
 
@@ -97,7 +99,8 @@ def fk_violations(fact: DataFrame, dims: list[Dimension], fact_keys: list[str] |
     out = fact
     flags = []
     for i, (d, fk) in enumerate(zip(dims, fact_keys)):
-        side = d.df.select(F.col(d.key).alias(f"_dk{i}"), F.lit(True).alias(f"_hit{i}"))
+        extra = [F.col(c).alias(f"{d.name}__{c}") for c in d.df.columns] if with_dimensions else []
+        side = d.df.select(F.col(d.key).alias(f"_dk{i}"), F.lit(True).alias(f"_hit{i}"), *extra)
         if estimated_bytes(d.rows, side.schema) <= budget:
             side = F.broadcast(side)
         out = out.join(side, F.col(fk) == F.col(f"_dk{i}"), "left").drop(f"_dk{i}")

@@ -137,3 +137,13 @@ def test_fk_violations(spark):
                                  "Country_key long, Year_key long, Value double")
     out = {r.Value: r.failed_keys for r in Q.fk_violations(fact, [c, y]).collect()}
     assert out == {2.0: "Country_key", 3.0: "Year_key", 4.0: "Country_key,Year_key"}
+
+
+def test_fk_violations_with_dimension_columns(spark):
+    c = D.member_dim([spark.createDataFrame([(1, "ITALY")], "id int, name string")])
+    fact = spark.createDataFrame([(1, 1.0), (7, 2.0)], "Country_key long, Value double")
+    out = Q.fk_violations(fact, [c], with_dimensions=True)
+    assert out.columns == ["Country_key", "Value", "dim_country__Country_key", "dim_country__Country_id",
+                           "dim_country__Country_name", "failed_keys"]
+    assert [(r.Value, r.dim_country__Country_id, r.failed_keys) for r in out.collect()] == \
+        [(2.0, None, "Country_key")]
