@@ -50,10 +50,40 @@ class DimLink:
     ``on`` maps the dimension's natural-key columns to fact expressions.
     ``collated`` columns compare case- and trailing-blank-insensitively via a
     canonical key on both sides, which keeps the join a hash/sort equi-join.
+    ``salt_buckets`` > 1 turns on salting for a single-column join that does
+    not broadcast: fact rows whose key is in ``hot_keys`` (or NULL) are spread
+    over that many buckets, and the matching dimension rows are replicated
+    into every bucket. ``hot_keys=None`` finds them with ``find_hot_keys``.
     """
     dim: Dimension
     on: dict
     collated: tuple = field(default_factory=tuple)
+    salt_buckets: int = 1
+    hot_keys: list | None = None
+    hot_support: float = 0.05
+
+
+def find_hot_keys(df: DataFrame, column: str, support: float = 0.05) -> list:
+    """Values that may hold at least ``support`` of the rows (one distributed
+    pass, ``DataFrame.stat.freqItems``; at most about 1/support candidates,
+    false positives possible, which only cost a little replication)."""
+    row = df.select(column).stat.freqItems([column], support).collect()[0]
+    return [v for v in row[0] if v is not None]
+
+
+def _salted(fact: DataFrame, side: DataFrame, name: str, link: DimLink, i: int):
+    """Add a salt column to both sides: hot / NULL fact keys get a random
+    bucket, hot dimension rows are exploded into every bucket."""
+    hot = link.hot_keys if link.hot_keys is not None else find_hot_keys(fact, name, link.hot_support)
+    salt = f"_salt{i}"
+    b = link.salt_buckets
+    key = F.col(name)
+    hot_fact = key.isNull() | key.isin(hot) if hot else key.isNull()
+    fact = fact.withColumn(salt, F.when(hot_fact, (F.rand(17 + i) * b).cast("int")).otherwise(F.lit(0)))
+    buckets = F.when(F.col(name).isin(hot), F.sequence(F.lit(0), F.lit(b - 1))) if hot else None
+    side = side.withColumn(salt, F.explode(buckets.otherwise(F.array(F.lit(0))))) if hot \
+        else side.withColumn(salt, F.lit(0))
+    return fact, side, salt
 
 
 def star_join(fact: DataFrame, links: list[DimLink], keep: list[str],
@@ -71,9 +101,14 @@ def star_join(fact: DataFrame, links: list[DimLink], keep: list[str],
             fact_cols.append(f.alias(name))
             names.append(name)
         side = link.dim.df.select(F.col(link.dim.key), *dim_cols)
+        out = out.select("*", *fact_cols)
+        join_on = list(names)
         if estimated_bytes(link.dim.rows, side.schema) <= budget:
             side = F.broadcast(side)
-        out = out.select("*", *fact_cols).join(side, on=names, how=how).drop(*names)
+        elif link.salt_buckets > 1 and len(names) == 1:
+            out, side, salt = _salted(out, side, names[0], link, i)
+            join_on.append(salt)
+        out = out.join(side, on=join_on, how=how).drop(*join_on)
     keys = [link.dim.key for link in links]
     return out.select(*keys, *keep)
 

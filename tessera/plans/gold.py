@@ -39,6 +39,7 @@ class GoldOptions:
     dedupe_year: bool = True           # one row per year
     conform_fact_units: bool = True    # recode units on every fact, not only industries
     indicator_on_source: bool = True   # join indicators on (code, source table)
+    salt_buckets: int = 1              # >1: salt hot / NULL member keys when dim_country is too big to broadcast
 
 
 @dataclass
@@ -89,7 +90,8 @@ def wide_fact(silver: dict[str, DataFrame], fact: str, dims: dict, opts: GoldOpt
     ind_on = {"Indicator_id": "Indicator_code"}
     if opts.indicator_on_source:
         ind_on["Source_Table"] = "Source_Table"
-    row_links = [DimLink(dims["dim_country"], {"Country_id": "Country_code"}),
+    row_links = [DimLink(dims["dim_country"], {"Country_id": "Country_code"},
+                         salt_buckets=opts.salt_buckets),
                  DimLink(dims["dim_indicator"], ind_on),
                  DimLink(dims["dim_unit_of_measure"], {"Measure_Units": "Units"},
                          collated=("Measure_Units",))]
@@ -111,7 +113,7 @@ def sdg_fact(silver: dict[str, DataFrame], dims: dict, opts: GoldOptions = GoldO
         parts.append(s.select("Country_code", series_code("SeriesDescription").alias("Indicator"),
                               F.year("Time_Period").alias("Year"), units.alias("Units"), "Value"))
     long = union_all(parts)
-    links = [DimLink(dims["dim_country"], {"Country_id": "Country_code"}),
+    links = [DimLink(dims["dim_country"], {"Country_id": "Country_code"}, salt_buckets=opts.salt_buckets),
              DimLink(dims["dim_year"], {"Year": "Year"}),
              DimLink(dims["dim_unit_of_measure"], {"Measure_Units": "Units"}, collated=("Measure_Units",))]
     out = build_fact(long, links, keep_extra=["Indicator"], drop_null_measure=False)

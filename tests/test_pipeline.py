@@ -236,3 +236,18 @@ def test_quote_modes(spark, tmp_path):
     quoted.load_clean()
     got = {r.Country_code: r.Country for r in spark.table("silver.outbound_departures").collect()}
     assert got == {1: None, 2: "SPAIN"}
+
+
+def test_salted_star_without_broadcast_matches(spark, warehouse):
+    wh, _, _, _ = warehouse
+    spark.conf.set("tessera.broadcast.maxBytes", "0")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        star = build_star(wh.silver(), GoldOptions(salt_buckets=4))
+        for name in ("fact_inbound_tourism", "fact_sdg"):
+            got = sorted(map(tuple, star.facts[name].collect()), key=str)
+            want = sorted(map(tuple, spark.table(f"gold.{name}").collect()), key=str)
+            assert got == want
+    finally:
+        spark.conf.unset("tessera.broadcast.maxBytes")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
