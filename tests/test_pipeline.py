@@ -79,6 +79,8 @@ def test_audit_rows(warehouse):
     assert raw["domestic_accommodation"] == (5, 2)     # extra field, quoted ';'
     assert raw["domestic_trip"] == (5, 2)              # CRLF line ends read the same
     assert raw["sdg_891"] == (3, 0)
+    clean = {r.table_name: r.rows for r in audit if r.layer == "clean"}
+    assert clean == {t: rows - rejects for t, (rows, rejects) in raw.items()}   # cleaning keeps rows
 
 
 def test_clean_values(spark, warehouse):
