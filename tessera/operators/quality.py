@@ -66,6 +66,9 @@ def id_conflicts(left: DataFrame, right: DataFrame, id_col: str, name_col: str,
     ``Missing_in_<left>``, ``Missing_in_<right>``, ``Country_Conflict`` or
     ``OK``. Names compare case- and trailing-blank-insensitively.
     ``only_conflicts`` plans an inner join instead (conflicts need both sides).
+    Copies never pair up: an id held by a third of all rows contributes one
+    row per distinct name on each side, and the pairs formed are exactly the
+    (name, name) pairs the report lists for that id.
     """
     a = left.select(F.col(id_col).alias("_id_l"), F.col(name_col).alias(left_col)).distinct()
     b = right.select(F.col(id_col).alias("_id_r"), F.col(name_col).alias(right_col)).distinct()
