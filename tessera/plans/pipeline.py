@@ -137,6 +137,15 @@ class Warehouse:
             self._timed("clean", spec.stem, run)
         self._each(one, [t for t in self.tables if self.spark.catalog.tableExists(f"bronze.raw_{t.stem}")])
 
+    def rejects(self) -> DataFrame:
+        """Rejected raw lines of every loaded table, with the table and the reason."""
+        from tessera.operators.reshape import union_all
+        from tessera.sources.delimited import rejected_rows
+        parts = [rejected_rows(self.spark.table(f"bronze.raw_{t.stem}"))
+                 .select(F.lit(t.stem).alias("table_name"), "_raw_line", REJECT_COL)
+                 for t in self.tables if self.spark.catalog.tableExists(f"bronze.raw_{t.stem}")]
+        return union_all(parts)
+
     def silver(self) -> dict[str, DataFrame]:
         return {t.stem: self.spark.table(f"silver.{t.stem}") for t in self.tables
                 if self.spark.catalog.tableExists(f"silver.{t.stem}")}

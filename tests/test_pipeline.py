@@ -83,6 +83,13 @@ def test_audit_rows(warehouse):
     assert clean == {t: rows - rejects for t, (rows, rejects) in raw.items()}   # cleaning keeps rows
 
 
+def test_rejects_are_kept_with_reasons(spark, warehouse):
+    wh, _, _, _ = warehouse
+    rej = wh.rejects().filter("table_name = 'domestic_accommodation'").collect()
+    assert len(rej) == 2 and {r._reject_reason for r in rej} == {"field_count"}
+    assert any(r._raw_line.endswith(";stray") for r in rej)
+
+
 def test_clean_values(spark, warehouse):
     da = spark.table("silver.domestic_accommodation").orderBy("Country_code").collect()
     assert len(da) == 3
