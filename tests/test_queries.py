@@ -25,7 +25,9 @@ def duck():
 
 
 def test_every_query_registered_with_oracle_or_rows_only():
-    assert set(ORACLE) == set(QUERIES)
+    # the optional training-data queries that SQL cannot express are tested in their own folder
+    rows_only = {n for n in QUERIES if n == "pipeline" or n.startswith("op")}
+    assert set(ORACLE) <= set(QUERIES) <= set(ORACLE) | rows_only
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
