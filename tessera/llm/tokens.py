@@ -13,9 +13,13 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from itertools import islice
+
+import numpy as np
 
 _TWO_SPACES = re.compile(r"\s\s")
 _LONE_SPACE = re.compile(r"(?<!\s) (?!\s)")
+_ODD = re.compile(r"[\s\0]|^$")
 _SEPARATORS = re.compile("[\x1c-\x1f]")   # white space to Python, symbols to the tokenizer
 
 
@@ -23,68 +27,73 @@ class ChunkEncoder:
     """``encode(texts)`` gives each text's ids as little-endian unsigned 32-bit bytes.
 
     ``spaces`` says whether a chunk's ids depend on a space before it (byte
-    level) or white space is dropped. ``max_entries`` bounds the dictionary
-    between two calls; a null text is the empty text. Control strings in a
-    text are ordinary text.
+    level) or white space is dropped. The dictionary is cut back to its
+    ``KEEP`` oldest entries (frequent words come early) whenever it holds more
+    than ``MOST``. A null text is the empty text. Control strings in a text are
+    ordinary text.
     """
 
-    def __init__(self, path: str, spaces: bool, max_entries: int = 400_000):
+    MOST, KEEP = 700_000, 200_000
+
+    def __init__(self, path: str, spaces: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"   # Spark runs one task a core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.spaces, self.max_entries = spaces, max_entries
-        self.plain: dict[str, bytes] = {}    # chunk at the start of a text or line
-        self.spaced: dict[str, bytes] = {}   # chunk after a space
+        self.spaces = spaces
+        self.separator, = self.tokenizer.encode("\n" if spaces else "\0", add_special_tokens=False).ids
+        self.known: dict[str, bytes] = {}    # by chunk; a space before it is left out, a line break is not
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
-    def _fill(self, known: dict[str, bytes], words: set[str], prefix: str) -> None:
-        if len(known) > self.max_entries:
-            known.clear()
-        new = [w for w in words if w not in known]
-        if new:
-            known.update(zip(new, self._ids([prefix + w for w in new])))
+    def _ids_joined(self, words: list[str]) -> list[bytes]:
+        """As ``_ids``, for words without white space, in one call: a separator of one id stands between them."""
+        if not words:
+            return []
+        text = "\n".join([" " + w for w in words]) if self.spaces else " \0 ".join(words)
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.append(np.flatnonzero(ids == self.separator), len(ids)) * 4
+        data, starts = ids.tobytes(), [0, *(ends[:-1] + 4).tolist()]
+        if len(ends) != len(words):
+            raise RuntimeError("the separator is not an id of its own")
+        return [data[a:b] for a, b in zip(starts, ends.tolist())]
+
+    def _chunks(self, text: str | None) -> tuple[str, list[str]]:
+        """What stands at the start of the text, and the chunks that follow."""
+        if not text:
+            return "", []
+        if not self.spaces:
+            return (text, []) if _SEPARATORS.search(text) else ("", text.split())
+        parts = _LONE_SPACE.split(text) if _TWO_SPACES.search(text) else text.replace("\n", " \n").split(" ")
+        return parts[0], parts[1:]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        return self._spaced(texts) if self.spaces else self._dropped(texts)
-
-    def _spaced(self, texts):
-        split, first, rest = [], {"", "\n"}, set()
-        for t in texts:
-            if not t:
-                split.append([])
-            elif _TWO_SPACES.search(t):
-                split.append([_LONE_SPACE.split(t)])
-            else:
-                split.append([line.split(" ") for line in t.split("\n")])
-            for chunks in split[-1]:
-                first.add(chunks[0])
-                rest.update(chunks[1:])
-        self._fill(self.plain, first, "")
-        self._fill(self.spaced, rest, " ")
-        plain, spaced, out = self.plain, self.spaced.__getitem__, []
-        new_line = plain["\n"]
-        for lines in split:
-            parts = []
-            for chunks in lines:
-                parts.append(new_line)
-                parts.append(plain[chunks[0]])
-                parts.extend(map(spaced, chunks[1:]))
-            out.append(b"".join(parts[1:]))
-        return out
-
-    def _dropped(self, texts):
-        split, words = [], set()
-        for t in texts:
-            split.append(([t] if _SEPARATORS.search(t) else t.split()) if t else [])
-            words.update(split[-1])
-        self._fill(self.plain, words, "")
-        known = self.plain.__getitem__
-        return [b"".join(map(known, chunks)) for chunks in split]
+        if len(self.known) > self.MOST:
+            self.known = dict(islice(self.known.items(), self.KEEP))
+        find, starts, rows, new, gaps = self.known.get, [], [], {}, []
+        for text in texts:
+            first, chunks = self._chunks(text)
+            got = list(map(find, chunks))
+            if None in got:
+                for i, ids in enumerate(got):
+                    if ids is None:
+                        new[chunks[i]] = None
+                        gaps.append((got, i, chunks[i]))
+            starts.append(first)
+            rows.append(got)
+        if new:
+            before = " " if self.spaces else ""
+            odd = [w for w in new if _ODD.search(w)]
+            even = [w for w in new if not _ODD.search(w)]
+            new = dict(zip(even, self._ids_joined(even)))
+            new.update(zip(odd, self._ids([w if w[:1] == "\n" else before + w for w in odd])))
+            for got, i, word in gaps:
+                got[i] = new[word]
+            self.known.update(new)
+        return [first + b"".join(got) for first, got in zip(self._ids(starts), rows)]
 
 
 _encoders: dict[tuple, ChunkEncoder] = {}
