@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import materialise, table
+from tessera.llm.lm_score import ORACLE_SQL as LM_SQL
 from tessera.session import scratch_path
 
 
@@ -15,6 +16,17 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stupid-backoff score of every document under the counts of all others."""
+    from tessera.llm.lm_score import MICRO, score_documents
+
+    scored = score_documents(table(spark, sf_dir, "documents"))
+    used = [F.get("used", F.lit(i)).alias(n) for i, n in enumerate(("unseen", "unigrams", "bigrams", "trigrams"))]
+    # the same division of whole numbers as in the SQL
+    mean = F.round(F.col("log_score") * MICRO) / MICRO / F.col("n_words")
+    return scored.select("doc_id", "n_words", "log_score", F.when(F.col("n_words") > 0, mean).alias("mean_log_score"), *used)
+
+
 def op2_repair_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents written as Re-Pair shards and read back."""
     from tessera.llm.repair import read_tokens, write_tokens
@@ -24,6 +36,16 @@ def op2_repair_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op4_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records, read back, and merged into one capture index."""
+    from tessera.llm.warc import merged_index, read_runs, write_archives
+
+    path = scratch_path(spark, "warc")
+    write_archives(table(spark, sf_dir, "pages"), path)
+    return merged_index(read_runs(spark, path)).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured", "index_range", "index_place")
+
+
 def op5_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 1024 tokens."""
     from tessera.llm.packing import pack_documents
@@ -32,6 +54,14 @@ def op5_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op7_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by PPM code length, learned from the documents not held out."""
+    from tessera.llm.ppm import held_out, predict, train
+
+    docs = table(spark, sf_dir, "documents")
+    return predict(docs, train(docs)).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "bits_per_byte")
+
+
 def op8_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies of all documents that bring the sources to their target words."""
     from tessera.llm.mixing import mix
@@ -57,6 +87,14 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.length("formatted").cast("long").alias("formatted_chars"), "expanded_tokens")
 
 
+def op10_simhash_popcount(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprint and near-duplicate component of every document."""
+    from tessera.llm.simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op2_repair_tokens, op5_sequence_packing, op8_pivotal_mixing, op9_chat_format)}
-ORACLE: dict[str, str] = {}
+    op1_stupid_backoff, op2_repair_tokens, op4_warc_index, op5_sequence_packing, op7_ppm_language, op8_pivotal_mixing,
+    op9_chat_format, op10_simhash_popcount)}
+ORACLE: dict[str, str] = {"op1_stupid_backoff": LM_SQL}
