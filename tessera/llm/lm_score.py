@@ -25,6 +25,7 @@ scored; extra columns are ignored; an empty table gives no row.
 from __future__ import annotations
 
 import math
+import zlib
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -33,6 +34,8 @@ from pyspark.sql import functions as F
 from tessera.llm.common import partitions, ship_code
 
 ORDER, BACKOFF = 3, 0.4
+LOW = 4             # byte planes of hash differences that are noise
+BLOCKS = 2          # blocks, and hash ranges, a shuffle partition
 MICRO = 1_000_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -44,14 +47,16 @@ def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def _planes(values: np.ndarray) -> bytes:
-    """The values' bytes, lowest bytes of all values first."""
-    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes()
+def _planes(values: np.ndarray, plain: int = 0) -> bytes:
+    """The values' bytes, lowest bytes of all values first; all but the ``plain`` lowest planes are deflated."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T)
+    return planes[:plain].tobytes() + zlib.compress(planes[plain:], 1)
 
 
-def _from_planes(data: bytes, kind) -> np.ndarray:
+def _from_planes(data: bytes, kind, n: int, plain: int = 0) -> np.ndarray:
     size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
+    planes = np.frombuffer(data[:plain * n] + zlib.decompress(data[plain * n:]), np.uint8).reshape(size, n)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
 class Block:
@@ -80,16 +85,17 @@ def _edges(parts: int) -> np.ndarray:
 
 
 def _asked(block_id: int, block: Block, order: int, parts: int):
-    """Rows (part, order, block, hashes, counts) of a block; order 0 holds its number of words."""
+    """Rows (part, order, block, n, hashes, counts) of a block; order 0 holds its number of words."""
     edges = _edges(parts)
-    yield 0, 0, block_id, _planes(np.zeros(1, np.uint64)), _planes(np.array([block.sizes.sum()], np.uint64))
+    yield 0, 0, block_id, 1, _planes(np.zeros(1, np.uint64), LOW), _planes(np.array([block.sizes.sum()], np.uint64))
     for k in range(1, order + 1):
         names, counts = np.unique(block.grams[k], return_counts=True)
         bounds = np.append(np.searchsorted(names, edges), len(names))
         for p in range(parts):
             low, high = bounds[p], bounds[p + 1]
             if high > low:
-                yield p, k, block_id, _planes(np.diff(names[low:high], prepend=edges[p])), _planes(counts[low:high].astype(np.uint64))
+                yield (p, k, block_id, high - low, _planes(np.diff(names[low:high], prepend=edges[p]), LOW),
+                       _planes(counts[low:high].astype(np.uint64)))
 
 
 def _added_up(names: list[np.ndarray], counts: list[np.ndarray]) -> list[np.ndarray]:
@@ -107,25 +113,24 @@ def _scores(block: Block, totals: dict[int, np.ndarray], order: int):
     used = np.zeros((len(block.sizes), order + 1), np.int64)
     if not n:
         return score, used
-    count = {}
+    words = (int(totals[0][0]) - block.sizes)[block.doc]
+    best = np.zeros(n, np.int64)
+    ratio = 1.0 / (words + 1.0)
+    shorter = words                        # count of the context of each k-gram, by the word where it ends
     for k in range(1, order + 1):
         names, which = np.unique(block.grams[k], return_inverse=True)
         if len(names) != len(totals.get(k, ())):
             raise ValueError("totals don't match the block's n-grams")
         own = _mix(block.grams[k], block.doc[block.at[k]].astype(np.uint64))
         _, same, times = np.unique(own, return_inverse=True, return_counts=True)
-        count[k] = np.zeros(n, np.int64)
+        count = np.zeros(n, np.int64)
         if len(names):
-            count[k][block.at[k]] = totals[k].astype(np.int64)[which] - times[same]
-    words = (int(totals[0][0]) - block.sizes)[block.doc].astype(np.float64)
-    most = np.minimum(block.place + 1, order)                       # longest n-gram that ends here
-    best = np.zeros(n, np.int64)
-    ratio = 1.0 / (words + 1.0)
-    for k in range(1, order + 1):
-        hit = np.flatnonzero(count[k] > 0)
+            count[block.at[k]] = totals[k].astype(np.int64)[which] - times[same]
+        hit = np.flatnonzero(count > 0)
         best[hit] = k
-        below = words[hit] if k == 1 else count[k - 1][hit - 1]
-        ratio[hit] = count[k][hit] / below
+        ratio[hit] = count[hit] / shorter[hit].astype(np.float64)
+        shorter = np.concatenate(([0], count[:-1]))
+    most = np.minimum(block.place + 1, order)                       # longest n-gram that ends at a word
     value = np.rint(MICRO * (np.log(ratio) + (most - best) * math.log(BACKOFF))).astype(np.int64)
     np.add.at(score, block.doc, value)
     np.add.at(used, (block.doc, best), 1)
@@ -136,7 +141,7 @@ def score_documents(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """doc_id, n_words, log_score (nats), used (words by order of the n-gram that scored them, unseen first) of each row."""
     spark = docs.sparkSession
     ship_code(spark)
-    parts = partitions(spark)
+    parts = BLOCKS * partitions(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)).cast("int")).repartition(parts, "block")
 
@@ -145,31 +150,32 @@ def score_documents(docs: DataFrame, order: int = ORDER) -> DataFrame:
 
         block = Block(table["text"].to_pylist(), order)
         found = list(zip(*_asked(table["block"][0].as_py(), block, order, parts)))
-        kinds = (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
-        return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(found, kinds)], names=["part", "k", "block", "names", "counts"])
+        kinds = (pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
+        return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(found, kinds)], names=["part", "k", "block", "n", "names", "counts"])
 
     def add_up(table):
         import pyarrow as pa
 
         first = _edges(parts)[table["part"][0].as_py()]
-        names = [np.cumsum(_from_planes(x, np.uint64), dtype=np.uint64) + first for x in table["names"].to_pylist()]
-        totals = _added_up(names, [_from_planes(x, np.uint64) for x in table["counts"].to_pylist()])
-        return pa.Table.from_arrays([table["block"], table["k"], table["part"], pa.array([_planes(t) for t in totals], pa.binary())],
-                                    names=["block", "k", "part", "totals"])
+        sizes = table["n"].to_pylist()
+        names = [np.cumsum(_from_planes(x, np.uint64, n, LOW), dtype=np.uint64) + first for x, n in zip(table["names"].to_pylist(), sizes)]
+        totals = _added_up(names, [_from_planes(x, np.uint64, n) for x, n in zip(table["counts"].to_pylist(), sizes)])
+        return pa.Table.from_arrays([table["block"], table["k"], table["part"], table["n"], pa.array([_planes(t) for t in totals], pa.binary())],
+                                    names=["block", "k", "part", "n", "totals"])
 
     def score(table, answers):
         import pyarrow as pa
 
         block, totals = Block(table["text"].to_pylist(), order), {}
-        for k, _, data in sorted(zip(*(answers[n].to_pylist() for n in ("k", "part", "totals")))):
-            totals.setdefault(k, []).append(_from_planes(data, np.uint64))
+        for k, _, n, data in sorted(zip(*(answers[c].to_pylist() for c in ("k", "part", "n", "totals")))):
+            totals.setdefault(k, []).append(_from_planes(data, np.uint64, n))
         value, used = _scores(block, {k: np.concatenate(v) for k, v in totals.items()}, order)
         return pa.Table.from_arrays(
             [table["doc_id"], pa.array(block.sizes), pa.array(value / MICRO), pa.array(used.tolist(), pa.list_(pa.int64()))],
             names=["doc_id", "n_words", "log_score", "used"])
 
-    asked = rows.groupBy("block").applyInArrow(ask, "part int, k int, block int, names binary, counts binary")
-    answers = asked.groupBy("part", "k").applyInArrow(add_up, "block int, k int, part int, totals binary")
+    asked = rows.groupBy("block").applyInArrow(ask, "part int, k int, block int, n int, names binary, counts binary")
+    answers = asked.groupBy("part", "k").applyInArrow(add_up, "block int, k int, part int, n int, totals binary")
     return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         score, "doc_id long, n_words long, log_score double, used array<long>")
 

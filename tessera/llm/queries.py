@@ -36,6 +36,14 @@ def op2_repair_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op3_va_file_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact top 5 by integer inner product for every vector whose id is divisible by 50, against all."""
+    from tessera.llm.va_search import top_k
+
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
 def op4_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written as WARC records, read back, and merged into one capture index."""
     from tessera.llm.warc import merged_index, read_runs, write_archives
@@ -54,6 +62,13 @@ def op5_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op6_pruned_graph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of cosine 0.95 and more between all vectors, and their components."""
+    from tessera.llm.ann_dedup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op7_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document by PPM code length, learned from the documents not held out."""
     from tessera.llm.ppm import held_out, predict, train
@@ -95,6 +110,6 @@ def op10_simhash_popcount(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_stupid_backoff, op2_repair_tokens, op4_warc_index, op5_sequence_packing, op7_ppm_language, op8_pivotal_mixing,
+    op1_stupid_backoff, op2_repair_tokens, op3_va_file_search, op4_warc_index, op5_sequence_packing, op6_pruned_graph_dedup, op7_ppm_language, op8_pivotal_mixing,
     op9_chat_format, op10_simhash_popcount)}
 ORACLE: dict[str, str] = {"op1_stupid_backoff": LM_SQL}
