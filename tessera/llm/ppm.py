@@ -195,7 +195,8 @@ _models: dict[str, Model] = {}
 
 
 def predict(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Columns ``keep``, ``lang_pred``, ``score`` and ``bits_per_byte`` (of the best language, null for ``und``)."""
+    """Columns ``keep`` (text among them, if wanted, comes last), ``lang_pred``, ``score`` and
+    ``bits_per_byte`` (of the best language, null for ``und``)."""
     spark = docs.sparkSession
     ship_code(spark)
     name = uuid.uuid4().hex
@@ -221,9 +222,10 @@ def predict(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ("doc_
                 for i, w, s, n, d in zip(real, least.tolist(), share.tolist(), length.min(axis=1).tolist(), data):
                     best[i], score[i], rate[i] = own.languages[w], s, n / UNIT / len(d)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(best), pa.array(score, pa.float64()), pa.array(rate, pa.float64())],
-                names=[*keep, "lang_pred", "score", "bits_per_byte"])
+                [*batch.columns[:len(out)], pa.array(best), pa.array(score, pa.float64()), pa.array(rate, pa.float64())],
+                names=[*out, "lang_pred", "score", "bits_per_byte"])
 
-    rows = docs.select(*keep, F.col("text").cast("string").alias("text"))
+    rows = docs.select(*(c for c in keep if c != "text"), F.col("text").cast("string").alias("text"))
+    out = [c for c in rows.columns if c in keep]
     kinds = dict(rows.dtypes)
-    return rows.mapInArrow(run, ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "lang_pred string, score double, bits_per_byte double"]))
+    return rows.mapInArrow(run, ", ".join([*(f"`{c}` {kinds[c]}" for c in out), "lang_pred string, score double, bits_per_byte double"]))
