@@ -6,15 +6,16 @@ word that doesn't occur at all counts as 1 in (words + 1). All counts leave the
 scored document out, so a text isn't scored by itself.
 
 As a job: documents are dealt to blocks by hash; a block explodes its n-grams,
-counts them, and sends each hash range of each order the sorted distinct n-gram
-hashes with their counts, packed into arrays (byte planes of the differences,
+counts them, and sends each hash range the sorted distinct n-gram hashes of each order
+ with their counts, packed into arrays (byte planes of the differences,
 which the shuffle's compression shrinks). A range adds the counts of all blocks
 up (the count tables, partitioned by hash) and sends every block the totals of
 the n-grams it asked for, in the same order. The block joins them to its
 n-grams and sums the scores of each document. Frequent n-grams are counted
 before the shuffle, so none is a hot key; no part of the tables goes to the
 driver. Words are runs of anything but ASCII white space, with A-Z in lower
-case; n-grams are named by 64-bit hashes.
+case; n-grams are named by hashes of 56 bits (of n n-grams, one shares its name
+with another with probability n / 2^56).
 
 Scores are sums of integers (millionths of a nat a word), so they do not depend
 on the order of addition. Edge cases: a null text has no word, score 0 and a
@@ -34,6 +35,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import partitions, ship_code
 
 ORDER, BACKOFF = 3, 0.4
+NAME_BITS = 56
 LOW = 4             # byte planes of hash differences that are noise
 BLOCKS = 2          # blocks, and hash ranges, a shuffle partition
 MICRO = 1_000_000
@@ -76,37 +78,40 @@ class Block:
             if k > 1:
                 whole = np.concatenate((whole[:1], _mix(whole[:-1], words[1:])))
             self.at[k] = np.flatnonzero(self.place >= k - 1)
-            self.grams[k] = whole[self.at[k]]
+            self.grams[k] = whole[self.at[k]] >> np.uint64(64 - NAME_BITS)
 
 
 def _edges(parts: int) -> np.ndarray:
     """Lower ends of the hash ranges."""
-    return np.array([(i << 64) // parts for i in range(parts)], np.uint64)
+    return np.array([(i << NAME_BITS) // parts for i in range(parts)], np.uint64)
 
 
-def _asked(block_id: int, block: Block, order: int, parts: int):
-    """Rows (part, order, block, n, hashes, counts) of a block; order 0 holds its number of words."""
+def _asked(block: Block, order: int, parts: int):
+    """For each hash range: (part, n, hashes, counts), lists by order; order 0 holds the block's number of words in range 0."""
     edges = _edges(parts)
-    yield 0, 0, block_id, 1, _planes(np.zeros(1, np.uint64), LOW), _planes(np.array([block.sizes.sum()], np.uint64))
+    names, counts, bounds = [], [], []
     for k in range(1, order + 1):
-        names, counts = np.unique(block.grams[k], return_counts=True)
-        bounds = np.append(np.searchsorted(names, edges), len(names))
-        for p in range(parts):
-            low, high = bounds[p], bounds[p + 1]
-            if high > low:
-                yield (p, k, block_id, high - low, _planes(np.diff(names[low:high], prepend=edges[p]), LOW),
-                       _planes(counts[low:high].astype(np.uint64)))
+        x, c = np.unique(block.grams[k], return_counts=True)
+        names.append(x)
+        counts.append(c.astype(np.uint64))
+        bounds.append(np.append(np.searchsorted(x, edges), len(x)).tolist())
+    for p in range(parts):
+        some = [slice(b[p], b[p + 1]) for b in bounds]
+        n = [int(p == 0), *(s.stop - s.start for s in some)]
+        if any(n):
+            yield (p, n, [_planes(np.zeros(n[0], np.uint64), LOW), *(_planes(np.diff(x[s], prepend=edges[p]), LOW) for x, s in zip(names, some))],
+                   [_planes(np.full(n[0], block.sizes.sum(), np.uint64)), *(_planes(c[s]) for c, s in zip(counts, some))])
 
 
 def _added_up(names: list[np.ndarray], counts: list[np.ndarray]) -> list[np.ndarray]:
     """Total of each name over all arrays, for each array's names."""
-    _, which = np.unique(np.concatenate(names), return_inverse=True)
-    total = np.zeros(which.max() + 1, np.uint64)
+    distinct, which = np.unique(np.concatenate(names), return_inverse=True)
+    total = np.zeros(len(distinct), np.uint64)
     np.add.at(total, which, np.concatenate(counts))
     return np.split(total[which], np.cumsum([len(n) for n in names])[:-1])
 
 
-def _scores(block: Block, totals: dict[int, np.ndarray], order: int):
+def _scores(block: Block, totals: list[np.ndarray], order: int):
     """Per document: score in millionths, words by the order that gave their score (0 to order)."""
     n = len(block.doc)
     score = np.zeros(len(block.sizes), np.int64)
@@ -119,7 +124,7 @@ def _scores(block: Block, totals: dict[int, np.ndarray], order: int):
     shorter = words                        # count of the context of each k-gram, by the word where it ends
     for k in range(1, order + 1):
         names, which = np.unique(block.grams[k], return_inverse=True)
-        if len(names) != len(totals.get(k, ())):
+        if len(names) != len(totals[k]):
             raise ValueError("totals don't match the block's n-grams")
         own = _mix(block.grams[k], block.doc[block.at[k]].astype(np.uint64))
         _, same, times = np.unique(own, return_inverse=True, return_counts=True)
@@ -149,33 +154,40 @@ def score_documents(docs: DataFrame, order: int = ORDER) -> DataFrame:
         import pyarrow as pa
 
         block = Block(table["text"].to_pylist(), order)
-        found = list(zip(*_asked(table["block"][0].as_py(), block, order, parts)))
-        kinds = (pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
-        return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(found, kinds)], names=["part", "k", "block", "n", "names", "counts"])
+        part, n, names, counts = zip(*_asked(block, order, parts))
+        arrays = pa.list_(pa.binary())
+        return pa.Table.from_arrays([pa.array(part, pa.int32()), pa.array([table["block"][0].as_py()] * len(part), pa.int32()),
+                                     pa.array(n, pa.list_(pa.int32())), pa.array(names, arrays), pa.array(counts, arrays)],
+                                    names=["part", "block", "n", "names", "counts"])
 
     def add_up(table):
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         first = _edges(parts)[table["part"][0].as_py()]
-        sizes = table["n"].to_pylist()
-        names = [np.cumsum(_from_planes(x, np.uint64, n, LOW), dtype=np.uint64) + first for x, n in zip(table["names"].to_pylist(), sizes)]
-        totals = _added_up(names, [_from_planes(x, np.uint64, n) for x, n in zip(table["counts"].to_pylist(), sizes)])
-        return pa.Table.from_arrays([table["block"], table["k"], table["part"], table["n"], pa.array([_planes(t) for t in totals], pa.binary())],
-                                    names=["block", "k", "part", "n", "totals"])
+        sizes, totals = table["n"].to_pylist(), [[] for _ in range(len(table))]
+        for k in range(order + 1):
+            names = [np.cumsum(_from_planes(x.as_py(), np.uint64, n[k], LOW), dtype=np.uint64) + first for x, n in zip(pc.list_element(table["names"], k), sizes)]
+            counts = [_from_planes(x.as_py(), np.uint64, n[k]) for x, n in zip(pc.list_element(table["counts"], k), sizes)]
+            for out, t in zip(totals, _added_up(names, counts)):
+                out.append(_planes(t))
+        return pa.Table.from_arrays([table["block"], table["part"], table["n"], pa.array(totals, pa.list_(pa.binary()))],
+                                    names=["block", "part", "n", "totals"])
 
     def score(table, answers):
         import pyarrow as pa
 
-        block, totals = Block(table["text"].to_pylist(), order), {}
-        for k, _, n, data in sorted(zip(*(answers[c].to_pylist() for c in ("k", "part", "n", "totals")))):
-            totals.setdefault(k, []).append(_from_planes(data, np.uint64, n))
-        value, used = _scores(block, {k: np.concatenate(v) for k, v in totals.items()}, order)
+        block, totals = Block(table["text"].to_pylist(), order), [[np.zeros(0, np.uint64)] for _ in range(order + 1)]
+        for _, n, data in sorted(zip(*(answers[c].to_pylist() for c in ("part", "n", "totals")))):
+            for k, x in enumerate(data):
+                totals[k].append(_from_planes(x, np.uint64, n[k]))
+        value, used = _scores(block, [np.concatenate(t) for t in totals], order)
         return pa.Table.from_arrays(
             [table["doc_id"], pa.array(block.sizes), pa.array(value / MICRO), pa.array(used.tolist(), pa.list_(pa.int64()))],
             names=["doc_id", "n_words", "log_score", "used"])
 
-    asked = rows.groupBy("block").applyInArrow(ask, "part int, k int, block int, n int, names binary, counts binary")
-    answers = asked.groupBy("part", "k").applyInArrow(add_up, "block int, k int, part int, n int, totals binary")
+    asked = rows.groupBy("block").applyInArrow(ask, "part int, block int, n array<int>, names array<binary>, counts array<binary>")
+    answers = asked.groupBy("part").applyInArrow(add_up, "block int, part int, n array<int>, totals array<binary>")
     return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         score, "doc_id long, n_words long, log_score double, used array<long>")
 
