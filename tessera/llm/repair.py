@@ -30,7 +30,8 @@ MAGIC = b"TRP1"
 SHARD_TOKENS = 4_000_000
 #: Re-Pair: rounds, least count of a pair, most new rules a round.
 ROUNDS, LEAST, RULES_A_ROUND = 8, 8, 16_384
-_NONE = np.iinfo(np.int64).max
+_NONE = np.iinfo(np.int32).max
+_ODD, _TABLE = np.uint64(0x9E3779B97F4A7C15), 20
 
 
 def compress(ids: np.ndarray, ends: np.ndarray, rounds: int = ROUNDS, least: int = LEAST,
@@ -48,35 +49,43 @@ def compress(ids: np.ndarray, ends: np.ndarray, rounds: int = ROUNDS, least: int
             break
         inner = ~ends[:-1]
         pairs = (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:]
-        ordered = np.sort(pairs[inner])
+        spot = ((pairs * _ODD) >> np.uint64(64 - _TABLE)).astype(np.int32)      # hash of each pair
+        # pairs whose hash is rare are rare; the others are counted exactly
+        often = np.bincount(spot, minlength=1 << _TABLE) >= least
+        ordered = np.sort(pairs[inner & often[spot]])
         starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1]))) if len(ordered) else np.zeros(0, int)
         counts = np.diff(np.append(starts, len(ordered)))
         frequent = np.flatnonzero(counts >= least)
         if not len(frequent):
             break
-        if len(frequent) > rules_a_round:
-            frequent = np.sort(frequent[np.argsort(-counts[frequent], kind="stable")[:rules_a_round]])
-        chosen, rank = ordered[starts[frequent]], np.empty(len(frequent), np.int64)
-        rank[np.argsort(-counts[frequent], kind="stable")] = np.arange(len(frequent))
-        at = np.minimum(np.searchsorted(chosen, pairs), len(chosen) - 1)
-        order = np.where(inner & (chosen[at] == pairs), rank[at], _NONE)
-        before = np.concatenate(([_NONE], order[:-1]))
-        after = np.concatenate((order[1:], [_NONE]))
-        take = (order < before) & (order <= after) & (order != _NONE)
-        useful = np.bincount(at[take], minlength=len(chosen)) >= 4   # a rule costs two symbols and a length
-        take &= useful[at]
+        # the most frequent first; of pairs that share a hash, the others wait for a later round
+        frequent = frequent[np.argsort(-counts[frequent], kind="stable")[:rules_a_round]]
+        chosen = ordered[starts[frequent]]
+        place = ((chosen * _ODD) >> np.uint64(64 - _TABLE)).astype(np.int64)
+        rank = np.full(1 << _TABLE, _NONE, np.int32)
+        rank[place[::-1]] = np.arange(len(chosen) - 1, -1, -1, dtype=np.int32)
+        order = rank[spot]
+        order[~inner] = _NONE
+        hit = np.flatnonzero(order != _NONE)
+        order[hit[chosen[order[hit]] != pairs[hit]]] = _NONE
+        # a pair is taken where it beats the overlapping one on either side
+        take = order != _NONE
+        take[1:] &= order[1:] < order[:-1]
+        take[:-1] &= order[:-1] <= order[1:]
         where = np.flatnonzero(take)
+        useful = np.bincount(order[where], minlength=len(chosen)) >= 4          # a rule costs two symbols and a length
+        where = where[useful[order[where]]]
         if not len(where):
             break
         name = first + len(rules) + np.cumsum(useful) - 1
         new = chosen[useful]
         rules = np.concatenate((rules, np.stack((new >> np.uint64(32), new & np.uint64(0xFFFFFFFF)), 1).astype(np.uint32)))
-        symbols[where] = name[at[where]]
+        symbols[where] = name[order[where]]
         ends[where] = ends[where + 1]
         keep = np.ones(len(symbols), bool)
         keep[where + 1] = False
         symbols, ends = symbols[keep], ends[keep]
-        if len(where) < 0.01 * len(symbols):
+        if len(where) < 0.03 * len(symbols):
             break
     return symbols, ends, rules, first
 

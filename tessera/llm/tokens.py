@@ -15,11 +15,12 @@ import re
 from array import array
 from itertools import islice
 
-import numpy as np
-
 _TWO_SPACES = re.compile(r"\s\s")
 _LONE_SPACE = re.compile(r"(?<!\s) (?!\s)")
-_ODD = re.compile(r"[\s\0]|^$")
+#: Text that normalisation to composed characters leaves as it is and whose lower case is that of its characters.
+_PLAIN = re.compile("[\t-\r -~\xa0-\u017f]*")
+#: A line break, letters of the plain range, and few stops.
+_SIMPLE = re.compile("(\n?)([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u0148\u014a-\u017f]+)([.,;:!?]{0,3})")
 _SEPARATORS = re.compile("[\x1c-\x1f]")   # white space to Python, symbols to the tokenizer
 
 
@@ -42,30 +43,42 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.spaces = spaces
-        self.separator, = self.tokenizer.encode("\n" if spaces else "\0", add_special_tokens=False).ids
+        self.model = self.tokenizer.model
+        self.around: dict[str, bytes] = {}   # line breaks and stops around words
         self.known: dict[str, bytes] = {}    # by chunk; a space before it is left out, a line break is not
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
-    def _ids_joined(self, words: list[str]) -> list[bytes]:
-        """As ``_ids``, for words without white space, in one call: a separator of one id stands between them."""
-        if not words:
-            return []
-        text = "\n".join([" " + w for w in words]) if self.spaces else " \0 ".join(words)
-        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-        ends = np.append(np.flatnonzero(ids == self.separator), len(ids)) * 4
-        data, starts = ids.tobytes(), [0, *(ends[:-1] + 4).tolist()]
-        if len(ends) != len(words):
-            raise RuntimeError("the separator is not an id of its own")
-        return [data[a:b] for a, b in zip(starts, ends.tolist())]
+    def _simple(self, chunk: str) -> bytes | None:
+        """Ids of a chunk of letters and stops, straight from the model; None for others.
+
+        The pre-tokenizer cuts such a chunk into its letters (with the space
+        before them) and its stops, and the normaliser only lowers its case.
+        """
+        m = _SIMPLE.fullmatch(chunk)
+        if not m:
+            return None
+        line, letters, stops = m.groups()
+        if not self.spaces:
+            letters = letters.lower()
+        elif not line:
+            letters = " " + letters
+        word = letters if letters.isascii() and not self.spaces else letters.encode().decode("latin-1").translate(_BYTES)
+        ids = array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
+        for x in (line, stops):
+            if x not in self.around:
+                self.around[x] = self._ids([x])[0]
+        return self.around[line] + ids + self.around[stops]
 
     def _chunks(self, text: str | None) -> tuple[str, list[str]]:
         """What stands at the start of the text, and the chunks that follow."""
         if not text:
             return "", []
         if not self.spaces:
+            if _PLAIN.fullmatch(text):
+                return "", text.lower().split()      # the normaliser's own first step: fewer distinct chunks
             return (text, []) if _SEPARATORS.search(text) else ("", text.split())
         parts = _LONE_SPACE.split(text) if _TWO_SPACES.search(text) else text.replace("\n", " \n").split(" ")
         return parts[0], parts[1:]
@@ -86,9 +99,8 @@ class ChunkEncoder:
             rows.append(got)
         if new:
             before = " " if self.spaces else ""
-            odd = [w for w in new if _ODD.search(w)]
-            even = [w for w in new if not _ODD.search(w)]
-            new = dict(zip(even, self._ids_joined(even)))
+            new = {w: self._simple(w) for w in new}
+            odd = [w for w, ids in new.items() if ids is None]
             new.update(zip(odd, self._ids([w if w[:1] == "\n" else before + w for w in odd])))
             for got, i, word in gaps:
                 got[i] = new[word]
@@ -96,6 +108,14 @@ class ChunkEncoder:
         return [first + b"".join(got) for first, got in zip(self._ids(starts), rows)]
 
 
+def _byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable Latin-1 characters stand for their byte, the other bytes follow from U+0100 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+_BYTES = _byte_letters()
 _encoders: dict[tuple, ChunkEncoder] = {}
 
 
