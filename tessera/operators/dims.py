@@ -42,16 +42,34 @@ def build_dimension(name: str, df: DataFrame, key: str, natural_key: list[str],
     return Dimension(name, keyed.df, key, natural_key, keyed.rows)
 
 
+def least_name(df: DataFrame, natural_key: list[str], name_col: str) -> DataFrame:
+    """One row per natural key: the least of its names. Facts that join on the
+    natural key then keep their number of rows."""
+    named = df.where(F.col(name_col).isNotNull())
+    return named.groupBy(*natural_key).agg(F.min(name_col).alias(name_col)).select(*df.columns)
+
+
+def aliases(df: DataFrame, natural_key: list[str], name_col: str) -> DataFrame:
+    """The names of ``df`` that ``least_name`` leaves out: natural key, alias, kept name."""
+    kept = least_name(df.select(*natural_key, name_col), natural_key, name_col).withColumnRenamed(name_col, "kept_name")
+    return (df.select(*natural_key, F.col(name_col).alias("alias")).distinct().join(kept, natural_key)
+            .where("alias <> kept_name"))
+
+
 def member_dim(sources: list[DataFrame], *, prefix: str = "Country", dedupe: bool = True,
-               id_col: str = "id", name_col: str = "name") -> Dimension:
+               id_col: str = "id", name_col: str = "name", one_name: bool = False) -> Dimension:
     """(id, name) members from many sources; key ordered by id, then name.
 
+    ``one_name`` keeps one row per id, with its least name.
+
     ``dedupe=False`` keeps one key per source row (the literal form; facts
     joining it multiply, and the key-uniqueness check reports it).
     """
     kid, kname = f"{prefix}_id", f"{prefix}_name"
     df = union_all([s.select(F.col(id_col).alias(kid), F.col(name_col).alias(kname))
                     for s in sources])
+    if one_name:
+        df = least_name(df, [kid], kname)
     return build_dimension(f"dim_{prefix.lower()}", df, f"{prefix}_key", [kid],
                            [kid, kname], dedupe=dedupe, required=[kid, kname])
 
@@ -64,18 +82,21 @@ def indicator_frame(df: DataFrame, tag: str, code_col: str = "Indicator_code",
                      F.lit(tag).alias("Source_Table"))
 
 
-def indicator_dim(frames: list[DataFrame], *, join_on_source: bool = True) -> Dimension:
+def indicator_dim(frames: list[DataFrame], *, join_on_source: bool = True, one_name: bool = False) -> Dimension:
     """Indicators from (Indicator_code, Indicator, Source_Table) frames.
 
     Labels are qualified by code, then made distinct; the key orders by id,
     then name and source so ties are deterministic. Facts join on
     (id, source) by default; ``join_on_source=False`` joins on the id only.
+    ``one_name`` keeps one row per (id, source), with its least label.
     """
     u = union_all(frames)
     df = u.select(F.col("Indicator_code").alias("Indicator_id"),
                   qualify_label("Indicator_code", "Indicator").alias("Indicator_name"),
                   "Source_Table")
     nk = ["Indicator_id", "Source_Table"] if join_on_source else ["Indicator_id"]
+    if one_name:
+        df = least_name(df, ["Indicator_id", "Source_Table"], "Indicator_name")
     return build_dimension("dim_indicator", df, "Indicator_key", nk,
                            ["Indicator_id", "Indicator_name", "Source_Table"],
                            required=["Indicator_id", "Indicator_name"])

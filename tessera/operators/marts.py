@@ -21,13 +21,14 @@ def yearly_totals(fact: DataFrame, by: list[str], year_key: str = "Year_key",
 
 def year_over_year(totals: DataFrame, by: list[str], year_col: str = "Year",
                    value_col: str = "total") -> DataFrame:
-    """Change against the previous year of the same series (``lag``).
+    """Change against the year before of the same series; null where that year is
+    missing. ``year_col`` holds calendar years.
 
     The window partitions by series; after aggregation a series holds one
     row per year, so no window partition can grow with the data volume.
     """
     w = Window.partitionBy(*by).orderBy(year_col)
-    prev = F.lag(value_col).over(w)
+    prev = F.when(F.lag(year_col).over(w) == F.col(year_col) - 1, F.lag(value_col).over(w))
     return totals.select("*", prev.alias("previous"), (F.col(value_col) - prev).alias("change"))
 
 

@@ -23,7 +23,7 @@ from tessera.functions.text import clean_text, matches_any, untrimmed
 from tessera.operators import dims as D
 from tessera.operators import quality as Q
 from tessera.operators.keys import dense_key
-from tessera.operators.marts import flat_star, year_over_year, yearly_totals
+from tessera.operators.marts import attach, flat_star, year_over_year, yearly_totals
 from tessera.operators.reshape import schema_columns, union_all, union_tagged, unpivot_years, widen
 from tessera.operators.star import DimLink, build_fact, unpivot_fact
 
@@ -203,10 +203,11 @@ def wide_to_long(spark, sf_dir):
 
 
 def _orders_wide(orders: DataFrame) -> DataFrame:
-    """Orders pivoted to one DECIMAL column per year (raw layout: no 1996),
-    then widened to the full year axis (1996 becomes a typed NULL column)."""
+    """Orders pivoted to one DECIMAL column per raw year slot (the layout has no 1996;
+    every order year has its slot), then widened to the full year axis (1996
+    becomes a typed NULL column)."""
     keys = ["o_orderstatus", "o_orderpriority"]
-    pivoted = (orders.select(*keys, F.year("o_orderdate").alias("yr"), F.col("o_totalprice").cast(DEC).alias("p"))
+    pivoted = (orders.select(*keys, specs.raw_slot(F.year("o_orderdate")).alias("yr"), F.col("o_totalprice").cast(DEC).alias("p"))
                      .groupBy(*keys).pivot("yr", list(specs.RAW_YEARS)).agg(F.sum("p")))
     raw = pivoted.select(*keys, *[F.col(str(yr)).cast(SUM_DEC).alias(specs.year_col(yr))
                                   for yr in specs.RAW_YEARS])
@@ -519,8 +520,8 @@ def mart_year_agg(spark, sf_dir):
 
 
 def mart_yoy(spark, sf_dir):
-    totals, _ = _mart_totals(spark, sf_dir)
-    out = year_over_year(totals, ["Country_key", "Indicator_key"], year_col="Year_key")
+    totals, (_, _, dim_y, _) = _mart_totals(spark, sf_dir)
+    out = year_over_year(attach(totals, dim_y, ["Year"]), ["Country_key", "Indicator_key"])
     return out.select("Country_key", "Indicator_key", "Year_key", "total",
                       F.col("previous").cast("decimal(38,2)").alias("previous"),
                       F.col("change").cast("decimal(38,2)").alias("change"))

@@ -35,6 +35,7 @@ INDUSTRIES_UNIT_RULES = (("eq", "Units", "NUMBER"), ("eq", "Nights", "AVG_NIGHTS
 
 @dataclass
 class GoldOptions:
+    one_name: bool = True              # one row and key per natural key (the least name); False: the literal form
     dedupe_country: bool = True        # one row per (id, name), not per source row
     dedupe_year: bool = True           # one row per year
     conform_fact_units: bool = True    # recode units on every fact, not only industries
@@ -56,14 +57,14 @@ def build_dims(silver: dict[str, DataFrame], opts: GoldOptions = GoldOptions(),
                tables=TABLES) -> dict[str, D.Dimension]:
     present = [t for t in tables if t.stem in silver]
     sdg = [silver[t.stem] for t in present if t.shape == "long"]
-    wide = [silver[t.stem] for t in _wide_specs(present)][:1]
+    wide = [silver[t.stem] for t in _wide_specs(present)]
     return D.build_concurrently({
         "dim_country": lambda: D.member_dim(
             [silver[t.stem].select(F.col("Country_code").alias("id"), F.col("Country").alias("name"))
-             for t in present], dedupe=opts.dedupe_country),
+             for t in present], dedupe=opts.dedupe_country, one_name=opts.one_name and opts.dedupe_country),
         "dim_indicator": lambda: D.indicator_dim(
             [D.indicator_frame(silver[t.stem], t.tag) for t in _wide_specs(present)],
-            join_on_source=opts.indicator_on_source),
+            join_on_source=opts.indicator_on_source, one_name=opts.one_name),
         "dim_year": lambda: D.year_dim([s.select(F.year("Time_Period").alias("Year")) for s in sdg],
                                        wide, dedupe=opts.dedupe_year),
         "dim_unit_of_measure": lambda: D.unit_dim([silver[t.stem].select("Units") for t in present]),
@@ -120,6 +121,23 @@ def sdg_fact(silver: dict[str, DataFrame], dims: dict, opts: GoldOptions = GoldO
     return out.select("Country_key", "Indicator", "Year_key", "Units_key", "Value")
 
 
+def fact_cells(silver: dict[str, DataFrame], fact: str, tables=TABLES) -> DataFrame:
+    """Source side of a fact, one row: ``cells`` (filled year cells, or SDG rows) and their ``total``."""
+    parts = []
+    for t in tables:
+        if t.fact != fact or t.stem not in silver:
+            continue
+        s = silver[t.stem]
+        if t.shape == "long":
+            parts.append(s.agg(F.count(F.lit(1)).alias("cells"), F.sum("Value").alias("total")))
+        else:
+            years = [year_col(y) for y in CLEAN_YEARS]
+            cells = sum((F.count(y) for y in years[1:]), F.count(years[0]))
+            total = sum((F.coalesce(F.sum(y), F.lit(0)) for y in years[1:]), F.coalesce(F.sum(years[0]), F.lit(0)))
+            parts.append(s.agg(cells.alias("cells"), total.cast("decimal(38,2)").alias("total")))
+    return union_all(parts).agg(F.sum("cells").alias("cells"), F.sum("total").cast("decimal(38,2)").alias("total"))
+
+
 def build_star(silver: dict[str, DataFrame], opts: GoldOptions = GoldOptions(), tables=TABLES) -> Star:
     dims = build_dims(silver, opts, tables)
     facts = {}

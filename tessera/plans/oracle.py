@@ -201,13 +201,15 @@ def wide_to_long() -> str:
     return f"WITH w AS ({w})\n{parts}"
 
 
+# the raw layout has no column for 1996: years from there on stand one later
+SLOT = "CAST(CASE WHEN {y} < 1996 THEN {y} ELSE {y} + 1 END AS INTEGER)"
+
+
 def yearly_wide_to_long() -> str:
     return f"""
-SELECT o_orderstatus, o_orderpriority, CAST(year(o_orderdate) AS INTEGER) AS Year,
+SELECT o_orderstatus, o_orderpriority, {SLOT.format(y='year(o_orderdate)')} AS Year,
        CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS Value
 FROM orders
-WHERE year(o_orderdate) BETWEEN {specs.FIRST_YEAR} AND {specs.LAST_YEAR}
-  AND year(o_orderdate) NOT IN ({', '.join(str(y) for y in specs.RAW_MISSING_YEARS)})
 GROUP BY o_orderstatus, o_orderpriority, year(o_orderdate)
 HAVING SUM(o_totalprice) IS NOT NULL"""
 
@@ -485,12 +487,12 @@ def mart_year_agg() -> str:
 
 
 def mart_yoy() -> str:
-    w = "OVER (PARTITION BY Country_key, Indicator_key ORDER BY Year_key ASC NULLS FIRST)"
-    return f"""WITH {_totals_cte()}
-SELECT Country_key, Indicator_key, Year_key, total,
-       CAST(LAG(total) {w} AS DECIMAL(38,2)) AS previous,
-       CAST(total - LAG(total) {w} AS DECIMAL(38,2)) AS change
-FROM totals"""
+    return f"""WITH {_totals_cte()},
+dated AS (SELECT t.*, y.Year FROM totals t LEFT JOIN dim_y y ON t.Year_key = y.Year_key)
+SELECT t.Country_key, t.Indicator_key, t.Year_key, t.total, CAST(p.total AS DECIMAL(38,2)) AS previous,
+       CAST(t.total - p.total AS DECIMAL(38,2)) AS change
+FROM dated t LEFT JOIN dated p ON t.Year = p.Year + 1 AND t.Country_key IS NOT DISTINCT FROM p.Country_key
+                              AND t.Indicator_key IS NOT DISTINCT FROM p.Indicator_key"""
 
 
 def mart_flat() -> str:
@@ -555,7 +557,6 @@ def _warehouse_ctes() -> str:
 
     n = len(NAME_VOCABULARY)
     vocab = "[" + ", ".join(lit(v) for v in NAME_VOCABULARY) + "]"
-    raw_years = ", ".join(str(y) for y in specs.RAW_YEARS)
     wide_parts, long_parts = [], []
     for i, t in enumerate(specs.TABLES):
         if t.shape == "wide":
@@ -583,7 +584,7 @@ def _warehouse_ctes() -> str:
     years = ", ".join(f"({y})" for y in specs.CLEAN_YEARS)
     return f"""
 WITH cube AS (
-  SELECT l_suppkey, l_linenumber AS ln, l_returnflag AS flag, CAST(year(l_shipdate) AS INTEGER) AS yr,
+  SELECT l_suppkey, l_linenumber AS ln, l_returnflag AS flag, {SLOT.format(y='year(l_shipdate)')} AS yr,
          SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS v
   FROM lineitem GROUP BY l_suppkey, l_linenumber, l_returnflag, year(l_shipdate)),
 keys AS (SELECT DISTINCT l_suppkey, ln, flag FROM cube),
@@ -593,14 +594,15 @@ oagg AS (SELECT o_custkey AS k, CAST(year(o_orderdate) AS INTEGER) AS yr,
 wide AS ({' UNION ALL '.join(wide_parts)}),
 sdg AS ({' UNION ALL '.join(long_parts)}),
 dim_c AS (SELECT {key_sql('Country_key', 'Country_id, Country_name')}, Country_id
-          FROM (SELECT DISTINCT Country_code AS Country_id, Country AS Country_name FROM wide
-                UNION SELECT DISTINCT Country_code, Country FROM sdg)
-          WHERE Country_id IS NOT NULL AND Country_name IS NOT NULL),
+          FROM (SELECT Country_id, min(Country_name) AS Country_name FROM (
+                  SELECT DISTINCT Country_code AS Country_id, Country AS Country_name FROM wide
+                  UNION SELECT DISTINCT Country_code, Country FROM sdg)
+                WHERE Country_id IS NOT NULL AND Country_name IS NOT NULL GROUP BY Country_id)),
 dim_i AS (SELECT {key_sql('Indicator_key', 'Indicator_id, Indicator_name, Source_Table')},
                  Indicator_id, Source_Table
-          FROM (SELECT DISTINCT Indicator_code AS Indicator_id,
-                       {label_sql('Indicator_code', 'Indicator')} AS Indicator_name, Source_Table FROM wide)
-          WHERE Indicator_id IS NOT NULL AND Indicator_name IS NOT NULL),
+          FROM (SELECT Indicator_id, min(Indicator_name) AS Indicator_name, Source_Table FROM (
+                  SELECT Indicator_code AS Indicator_id, {label_sql('Indicator_code', 'Indicator')} AS Indicator_name, Source_Table FROM wide)
+                WHERE Indicator_id IS NOT NULL AND Indicator_name IS NOT NULL GROUP BY Indicator_id, Source_Table)),
 dim_y AS (SELECT {key_sql('Year_key', 'Year')}, Year
           FROM (SELECT DISTINCT Year FROM sdg UNION SELECT Year FROM (VALUES {years}) v(Year))
           WHERE Year IS NOT NULL),
@@ -610,7 +612,7 @@ dim_u AS (SELECT {key_sql('Units_key', 'Measure_Units')}, Measure_Units
           WHERE Measure_Units IS NOT NULL),
 cells AS (SELECT w.*, c.yr AS Year, CAST(c.v AS DECIMAL(18,2)) AS Value
           FROM wide w JOIN cube c ON w.l_suppkey = c.l_suppkey AND w.ln = c.ln AND w.flag = c.flag
-          WHERE c.yr IN ({raw_years}) AND c.v IS NOT NULL),
+          WHERE c.v IS NOT NULL),
 wide_facts AS (
   SELECT co.Country_key, ind.Indicator_key, ye.Year_key, un.Units_key, l.Value, l.fact,
          CAST(NULL AS VARCHAR) AS Indicator
@@ -653,5 +655,24 @@ def load_audit() -> str:
             "'ok' AS status, CAST(NULL AS VARCHAR) AS error FROM counts")
 
 
+def fact_grain() -> str:
+    """Cells and sums straight from lineitem and orders: every wide extract holds each filled cell once."""
+    cells = "(SELECT count(*) AS n, sum(CAST(v AS DECIMAL(18,2))) AS s FROM cube WHERE v IS NOT NULL)"
+    sdg = "(SELECT count(*) AS n, sum(CASE WHEN k % 13 = 0 OR k % 17 = 0 THEN NULL ELSE CAST(v AS DECIMAL(18,2)) END) AS s FROM oagg)"
+    from tessera.plans.gold import FACT_NAMES
+    parts = []
+    for fact, name in FACT_NAMES.items():
+        files = sum(t.fact == fact for t in specs.TABLES)
+        n, s = f"CAST({files} * n AS BIGINT)", f"CAST({files} * s AS DECIMAL(38,2))"
+        parts.append(f"SELECT '{name}' AS fact, {n} AS rows, {n} AS cells, {s} AS total, {s} AS source_total "
+                     f"FROM {sdg if fact == 'sdg' else cells}")
+    return (f"""
+WITH cube AS (SELECT SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS v
+              FROM lineitem GROUP BY l_suppkey, l_linenumber, l_returnflag, year(l_shipdate)),
+oagg AS (SELECT o_custkey AS k, SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS v FROM orders GROUP BY o_custkey, year(o_orderdate))
+""" + "\nUNION ALL ".join(parts))
+
+
+ORACLE["fact_grain"] = fact_grain
 ORACLE["warehouse_facts"] = warehouse_facts
 ORACLE["load_audit"] = load_audit

@@ -20,17 +20,31 @@ DEFAULTS = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "tessera", extra: dict | None = None) -> SparkSession:
-    """Local/test session. On a cluster use the session the platform gives you."""
-    builder = SparkSession.builder.master(master).appName(app_name)
+    """The active session, or a new one; settings that are already there stay.
+
+    A given ``master`` is for local runs and tests: it brings the static
+    defaults and, unless told, 8 shuffle partitions. Without one, master and
+    partitions are those of the cluster.
+    """
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        builder = SparkSession.builder.appName(app_name)
+        if master:
+            builder = builder.master(master).config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
+            for k, v in DEFAULTS.items():
+                builder = builder.config(k, v)
+        elif shuffle_partitions:
+            builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        for k, v in (extra or {}).items():
+            builder = builder.config(k, v)
+        spark = builder.getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
+    own = spark.conf.getAll
     for k, v in DEFAULTS.items():
-        builder = builder.config(k, v)
-    builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for k, v in (extra or {}).items():
-        builder = builder.config(k, v)
-    spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+        if k.startswith("spark.sql.") and k not in own:
+            spark.conf.set(k, v)
     ensure_checkpoint_dir(spark)
     return spark
 

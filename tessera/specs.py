@@ -160,6 +160,17 @@ def year_col(year: int) -> str:
     return f"year_{year}"
 
 
+def raw_slot(year):
+    """The raw year column that holds a data year (Column to Column): the layout
+    lacks 1996, so years from there on move up by one. A year without a column
+    (null too) ends the job: nothing is left out."""
+    from pyspark.sql import functions as F
+
+    slot = F.when(year < RAW_MISSING_YEARS[0], year).otherwise(year + 1)
+    return F.when(slot.isin(*RAW_YEARS), slot).otherwise(
+        F.raise_error(F.concat(F.lit("no raw year column for "), F.coalesce(year.cast("string"), F.lit("null")))).cast("int"))
+
+
 def raw_wide_schema(with_series: bool) -> T.StructType:
     names = ["C", "S", "C_and_S", "Basic_data", "Unnamed_5", "Unnamed_6",
              "Unnamed_7", "Unnamed_8", "Units", "Notes"]

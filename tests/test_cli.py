@@ -8,6 +8,24 @@ from tessera.__main__ import main
 from tests.test_pipeline import build_inputs
 
 
+def test_missing_extracts_fail(spark, tmp_dir):
+    build_inputs(os.path.join(tmp_dir, "in"))
+    assert main(["load", os.path.join(tmp_dir, "nothing"), os.path.join(tmp_dir, "root")]) == 2
+    assert main(["load", "file://" + os.path.join(tmp_dir, "nothing"), os.path.join(tmp_dir, "root"), "--allow-missing"]) == 2
+    assert not os.path.exists(os.path.join(tmp_dir, "root"))
+
+
+def test_settings_of_the_session_stay(spark):
+    from tessera.session import build_session
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "777")
+    try:
+        assert build_session("local[2]").conf.get("spark.sql.shuffle.partitions") == "777"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_load_and_check(spark, tmp_dir):
     build_inputs(os.path.join(tmp_dir, "in"))
     buf = io.StringIO()
