@@ -193,3 +193,29 @@ def test_components_have_no_cross_join(spark, docs):
     with contextlib.redirect_stdout(out):
         simhash.links(docs.select(F.col("doc_id").alias("fp"))).explain()
     assert "Cartesian" not in out.getvalue() and "NestedLoop" not in out.getvalue()
+
+
+def test_each_pair_of_overlapping_tasks_is_counted_once(spark):
+    rnd = np.random.default_rng(3)
+    rows = [(i, (rnd.normal(size=6) * 0.3 + np.eye(6)[i % 6]).tolist()) for i in range(300)]
+    table = ann_dedup.shards(spark.createDataFrame(rows, "vec_id long, v array<double>"), shard=40, largest=25).toPandas()
+    met, counted = set(), {}
+    for (_, pivot, i, j), task in table.groupby(["dim", "pivot", "i", "j"]):
+        ids = task["vec_id"].to_numpy()
+        own = ann_dedup.own_pairs(np.stack(task["pivots"]), task["sub"].to_numpy(), pivot, i, j)
+        met |= {(a, b) for a in ids for b in ids if a < b}
+        for a, b in zip(*np.nonzero(own)):
+            if ids[a] < ids[b]:
+                counted[ids[a], ids[b]] = counted.get((ids[a], ids[b]), 0) + 1
+    assert set(counted) == met and set(counted.values()) == {1}
+
+
+def test_group_of_near_copies_gives_rows_in_proportion(spark):
+    rnd = np.random.default_rng(4)
+    base = rnd.normal(size=16)
+    rows = [(i, (base + rnd.normal(size=16) * 0.03).tolist(), 1) for i in range(300)]
+    nodes = spark.createDataFrame(rows, "vec_id long, v array<double>, copies int")
+    found = ann_dedup.links(nodes, 0.95)
+    assert found.count() < 4 * 300                                    # of 44,850 links
+    got = {r["vec_id"]: r for r in ann_dedup.near_duplicates(nodes, vector_col="v").collect()}
+    assert all(r["n_links"] == 299 and r["component_id"] == 0 for r in got.values())
