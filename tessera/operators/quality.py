@@ -15,6 +15,9 @@ from pyspark.sql import types as T
 from tessera.functions.text import any_of, collation_key, has_nonstandard_char, untrimmed
 from tessera.operators.dims import Dimension
 
+#: Reducers over which a foreign-key check spreads the rows of NULL key.
+NULL_BUCKETS = 4096
+
 
 def duplicates(df: DataFrame, keys: list[str], count_col: str = "n") -> DataFrame:
     """Keys occurring more than once (GROUP BY .. HAVING COUNT(*) > 1).
@@ -91,11 +94,13 @@ def fk_violations(fact: DataFrame, dims: list[Dimension], fact_keys: list[str] |
 
     Dimension keys are unique, so the joins cannot fan out; sides under the
     broadcast budget broadcast. The result keeps the fact columns and names
-    the keys that failed. ``with_dimensions`` also carries every dimension
+    the keys that failed. In a shuffled join NULL keys, which match nothing,
+    are spread as negative numbers (dimension keys are 1..N), not sent to one
+    reducer. ``with_dimensions`` also carries every dimension
     column, prefixed ``<dimension>__`` (the star projection over all joined
     relations, with names that stay unique and writable).
     """
-    from tessera.operators.star import broadcast_budget, estimated_bytes
+    from tessera.operators.star import broadcast_budget, estimated_bytes, row_bucket
 
     fact_keys = fact_keys or [d.key for d in dims]
     budget = broadcast_budget(fact.sparkSession)
@@ -104,9 +109,12 @@ def fk_violations(fact: DataFrame, dims: list[Dimension], fact_keys: list[str] |
     for i, (d, fk) in enumerate(zip(dims, fact_keys)):
         extra = [F.col(c).alias(f"{d.name}__{c}") for c in d.df.columns] if with_dimensions else []
         side = d.df.select(F.col(d.key).alias(f"_dk{i}"), F.lit(True).alias(f"_hit{i}"), *extra)
+        key = F.col(fk)
         if estimated_bytes(d.rows, side.schema) <= budget:
             side = F.broadcast(side)
-        out = out.join(side, F.col(fk) == F.col(f"_dk{i}"), "left").drop(f"_dk{i}")
+        elif fact.schema[fk].dataType.typeName() in ("integer", "long"):
+            key = F.coalesce(key, -1 - row_bucket(fact, NULL_BUCKETS))
+        out = out.join(side, key == F.col(f"_dk{i}"), "left").drop(f"_dk{i}")
         flags.append((fk, F.col(f"_hit{i}").isNull()))
     bad = out.filter(reduce(lambda a, b: a | b, [f for _, f in flags]))
     bad = bad.withColumn(failed_col, F.concat_ws(",", *[F.when(f, F.lit(k)) for k, f in flags]))

@@ -71,15 +71,21 @@ def find_hot_keys(df: DataFrame, column: str, support: float = 0.05) -> list:
     return [v for v in row[0] if v is not None]
 
 
+def row_bucket(df: DataFrame, buckets: int):
+    """Bucket of a row from its stored values: a recomputed task puts it in the same one."""
+    values = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in values]), F.lit(buckets)).cast("int")
+
+
 def _salted(fact: DataFrame, side: DataFrame, name: str, link: DimLink, i: int):
-    """Add a salt column to both sides: hot / NULL fact keys get a random
-    bucket, hot dimension rows are exploded into every bucket."""
+    """Add a salt column to both sides: hot / NULL fact keys get a bucket by the
+    hash of their row, hot dimension rows are exploded into every bucket."""
     hot = link.hot_keys if link.hot_keys is not None else find_hot_keys(fact, name, link.hot_support)
     salt = f"_salt{i}"
     b = link.salt_buckets
     key = F.col(name)
     hot_fact = key.isNull() | key.isin(hot) if hot else key.isNull()
-    fact = fact.withColumn(salt, F.when(hot_fact, (F.rand(17 + i) * b).cast("int")).otherwise(F.lit(0)))
+    fact = fact.withColumn(salt, F.when(hot_fact, row_bucket(fact, b)).otherwise(F.lit(0)))
     buckets = F.when(F.col(name).isin(hot), F.sequence(F.lit(0), F.lit(b - 1))) if hot else None
     side = side.withColumn(salt, F.explode(buckets.otherwise(F.array(F.lit(0))))) if hot \
         else side.withColumn(salt, F.lit(0))

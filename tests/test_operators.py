@@ -149,6 +149,25 @@ def test_fk_violations_with_dimension_columns(spark):
         [(2.0, None, "Country_key")]
 
 
+def test_fk_violations_spread_null_keys_in_shuffled_joins(spark):
+    c = D.member_dim([spark.createDataFrame([(1, "ITALY"), (2, "SPAIN")], "id int, name string")])
+    rows = [(None if i % 3 else 1 + i % 4, float(i)) for i in range(90)]
+    fact = spark.createDataFrame(rows, "Country_key long, Value double")
+    want = sorted(v for k, v in rows if k not in (1, 2))
+    spark.conf.set("tessera.broadcast.maxBytes", "0")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = Q.fk_violations(fact, [c])
+        plan = out._jdf.queryExecution().toString()
+        got = out.collect()
+    finally:
+        spark.conf.unset("tessera.broadcast.maxBytes")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and "hashpartitioning(coalesce(" in plan
+    assert sorted(r.Value for r in got) == want
+    assert {r.Country_key for r in got} == {None, 3, 4}
+
+
 def test_salted_join_matches_plain_join_under_skew(spark):
     from tessera.operators.star import find_hot_keys
     # one member holds a third of the rows, another sixth have no key at all
