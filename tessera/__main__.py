@@ -23,6 +23,8 @@ def main(argv=None) -> int:
     ld.add_argument("--parallelism", type=int, default=4)
     ld.add_argument("--max-reject-fraction", type=float, default=0.0)
     ld.add_argument("--allow-missing", action="store_true", help="load the extracts that are there")
+    ld.add_argument("--prefix", default="", help="put before the namespaces bronze, silver and gold")
+    ld.add_argument("--keep-versions", type=int, help="versions left of each table (default: all)")
     ld.add_argument("--check", action="store_true", help="run the quality checks afterwards")
     ld.add_argument("--show-violations", type=int, default=0, help="rows to show per failing check")
     args = p.parse_args(argv)
@@ -38,7 +40,8 @@ def main(argv=None) -> int:
         return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
     wh = Warehouse(spark, args.root, parallelism=args.parallelism,
-                   max_reject_fraction=args.max_reject_fraction)
+                   max_reject_fraction=args.max_reject_fraction, prefix=args.prefix,
+                   keep_versions=args.keep_versions)
     paths = {t.stem: f"{args.input_dir.rstrip('/')}/{t.file_name}" for t in wh.tables}
     inputs = {stem: path for stem, path in paths.items() if exists(path)}
     missing = sorted(paths[stem] for stem in paths if stem not in inputs)
@@ -51,7 +54,7 @@ def main(argv=None) -> int:
     finally:
         wh.audit_frame().drop("error").show(100, truncate=False)
     if args.check:
-        summary, checks = quality_report(spark)
+        summary, checks = quality_report(spark, prefix=args.prefix)
         for r in summary.collect():
             print(f"{r['check']:60s} {r['table']:40s} {r['violations']}")
             if args.show_violations and r["violations"]:

@@ -29,18 +29,18 @@ def _exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
-def load_dimension(spark: SparkSession, name: str) -> Dimension:
+def load_dimension(spark: SparkSession, name: str, prefix: str = "") -> Dimension:
     key, nk = DIMS[name]
-    df = spark.table(f"gold.{name}")
+    df = spark.table(f"{prefix}gold.{name}")
     return Dimension(name, df, key, nk, df.count())
 
 
-def quality_checks(spark: SparkSession, tables=TABLES, conflict_pair=("domestic_accommodation", "sdg_12b1")
-                   ) -> dict[str, tuple[str, DataFrame]]:
+def quality_checks(spark: SparkSession, tables=TABLES, conflict_pair=("domestic_accommodation", "sdg_12b1"),
+                   prefix: str = "") -> dict[str, tuple[str, DataFrame]]:
     """check name -> (table, violating rows) for every table present."""
     checks: dict[str, tuple[str, DataFrame]] = {}
     for spec in tables:
-        name = f"silver.{spec.stem}"
+        name = f"{prefix}silver.{spec.stem}"
         if not _exists(spark, name):
             continue
         df = spark.table(name)
@@ -49,22 +49,25 @@ def quality_checks(spark: SparkSession, tables=TABLES, conflict_pair=("domestic_
         checks[f"duplicates:{spec.stem}"] = (name, Q.duplicates(df.filter(F.col("Country_code").isNotNull()), key))
         checks[f"blanks:{spec.stem}"] = (name, Q.untrimmed_rows(df))
         checks[f"charset:{spec.stem}"] = (name, Q.nonstandard_values(df, "Country"))
+        # the source's own form of the duplicate check and its standardisation profile: lists to read, not faults
+        checks[f"repeated_country:{spec.stem}"] = (name, Q.duplicates(df, ["Country"]))
+        checks[f"profile:{spec.stem}"] = (name, Q.distinct_values(df, "Country"))
     left, right = conflict_pair
-    if _exists(spark, f"silver.{left}") and _exists(spark, f"silver.{right}"):
-        checks[f"id_conflict:{left}~{right}"] = (f"silver.{left}", Q.id_conflicts(
-            spark.table(f"silver.{left}"), spark.table(f"silver.{right}"), "Country_code", "Country"))
-    if all(_exists(spark, f"gold.{d}") for d in DIMS):
-        dims = {d: load_dimension(spark, d) for d in DIMS}
+    if _exists(spark, f"{prefix}silver.{left}") and _exists(spark, f"{prefix}silver.{right}"):
+        checks[f"id_conflict:{left}~{right}"] = (f"{prefix}silver.{left}", Q.id_conflicts(
+            spark.table(f"{prefix}silver.{left}"), spark.table(f"{prefix}silver.{right}"), "Country_code", "Country"))
+    if all(_exists(spark, f"{prefix}gold.{d}") for d in DIMS):
+        dims = {d: load_dimension(spark, d, prefix) for d in DIMS}
         for d in dims.values():
-            checks[f"dim_unique:{d.name}"] = (f"gold.{d.name}", Q.dim_key_unique(d))
+            checks[f"dim_unique:{d.name}"] = (f"{prefix}gold.{d.name}", Q.dim_key_unique(d))
         for fact in FACT_NAMES.values():
-            if not _exists(spark, f"gold.{fact}"):
+            if not _exists(spark, f"{prefix}gold.{fact}"):
                 continue
             used = [dims[d] for d in DIMS if d != "dim_indicator" or fact != "fact_sdg"]
-            checks[f"fk:{fact}"] = (f"gold.{fact}", Q.fk_violations(spark.table(f"gold.{fact}"), used))
+            checks[f"fk:{fact}"] = (f"{prefix}gold.{fact}", Q.fk_violations(spark.table(f"{prefix}gold.{fact}"), used))
     return checks
 
 
-def quality_report(spark: SparkSession, tables=TABLES) -> tuple[DataFrame, dict]:
-    checks = quality_checks(spark, tables)
+def quality_report(spark: SparkSession, tables=TABLES, prefix: str = "") -> tuple[DataFrame, dict]:
+    checks = quality_checks(spark, tables, prefix=prefix)
     return Q.summarize(checks), checks

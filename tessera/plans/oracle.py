@@ -635,6 +635,9 @@ def warehouse_facts() -> str:
     return f"WITH {_warehouse_ctes().strip()[len('WITH '):]}\nSELECT * FROM facts"
 
 
+ERROR_COLUMNS = ("error", "error_class", "error_condition", "error_state", "error_procedure", "error_line")
+
+
 def load_audit() -> str:
     """Row counts and statuses of every table load of that same run."""
     parts = []
@@ -650,9 +653,10 @@ def load_audit() -> str:
         parts.append(f"SELECT 'star', '{name}', COUNT(*) FROM facts WHERE fact = '{name}'")
     body = "\n  UNION ALL ".join(parts)
     return (f"WITH {_warehouse_ctes().strip()[len('WITH '):]},\n"
-            f"counts AS ({body})\n"
-            "SELECT layer, table_name, CAST(rows AS BIGINT) AS rows, CAST(0 AS BIGINT) AS rejects, "
-            "'ok' AS status, CAST(NULL AS VARCHAR) AS error FROM counts")
+            f"counts AS ({body}),\n"
+            "layers AS (SELECT * FROM counts UNION ALL SELECT layer, '*', SUM(rows) FROM counts GROUP BY layer)\n"
+            "SELECT layer, table_name, CAST(rows AS BIGINT) AS rows, CAST(0 AS BIGINT) AS rejects, 'ok' AS status, "
+            + ", ".join(f"CAST(NULL AS VARCHAR) AS {c}" for c in ERROR_COLUMNS) + " FROM layers")
 
 
 def fact_grain() -> str:

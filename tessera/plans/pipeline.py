@@ -10,15 +10,21 @@
 
 Every table write is staged (new version directory, then a catalog pointer
 swap), timed, and recorded as an audit row; a failure is recorded with its
-message and re-raised, and the previous version stays readable. The tables
-of one layer are independent Spark jobs and may run from a thread pool.
+message, class, error condition, state and place, and re-raised, and the
+previous version stays readable. A layer adds one row of its own (table ``*``).
+The tables of one layer are independent Spark jobs and may run from a thread
+pool. The nine star tables are swapped together, after all are written and
+checked; ``read_star`` reads them as of one load.
 """
 
 from __future__ import annotations
 
 import time
+import traceback
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,7 +36,8 @@ from tessera.plans.silver import clean_table
 from tessera.session import run_concurrently, scratch_path
 from tessera.sources.delimited import REJECT_COL, good_rows, read_delimited, spec_length_limits
 from tessera.sources.sinks import (
-    create_namespaces, define_table, point_table, publish, stamp, write_version,
+    create_namespaces, define_table, drop_old_versions, move_pointers, new_version, point_table, publish, stamp,
+    table_location, version_path, write_version,
 )
 from tessera.specs import RAW_LENGTH_LIMITS, TABLES, YEAR_CELL_LIMIT
 
@@ -38,8 +45,13 @@ AUDIT_SCHEMA = T.StructType([
     T.StructField("layer", T.StringType()), T.StructField("table_name", T.StringType()),
     T.StructField("rows", T.LongType()), T.StructField("rejects", T.LongType()),
     T.StructField("seconds", T.DoubleType()), T.StructField("status", T.StringType()),
-    T.StructField("error", T.StringType()),
+    T.StructField("error", T.StringType()), T.StructField("error_class", T.StringType()),
+    T.StructField("error_condition", T.StringType()), T.StructField("error_state", T.StringType()),
+    T.StructField("error_procedure", T.StringType()), T.StructField("error_line", T.StringType()),
+    T.StructField("started", T.TimestampType()), T.StructField("ended", T.TimestampType()),
 ])
+TIMES = ("seconds", "started", "ended")
+WHOLE_LAYER = "*"
 
 
 class RejectThresholdExceeded(RuntimeError):
@@ -59,6 +71,23 @@ class AuditRow:
     seconds: float = 0.0
     status: str = "ok"
     error: str | None = None
+    error_class: str | None = None
+    error_condition: str | None = None
+    error_state: str | None = None
+    error_procedure: str | None = None
+    error_line: str | None = None
+    started: datetime | None = None
+    ended: datetime | None = None
+
+    def failed(self, e: Exception) -> None:
+        """Whole message, class, Spark error condition and SQLSTATE, place; '-' for what the error has not."""
+        spark_error = isinstance(e, PySparkException)
+        place = traceback.extract_tb(e.__traceback__)
+        self.status, self.error, self.error_class = "failed", f"{type(e).__name__}: {e}", type(e).__name__
+        self.error_condition = (e.getCondition() if spark_error else None) or "-"
+        self.error_state = (e.getSqlState() if spark_error else None) or "-"
+        self.error_procedure = place[-1].name if place else "-"
+        self.error_line = str(place[-1].lineno) if place else "-"
 
 
 @dataclass
@@ -71,36 +100,57 @@ class Warehouse:
     parallelism: int = 1
     fact_partition_by: tuple = ()    # e.g. ("Year_key",) for year-pruned reads
     quote: str = ""                  # "" keeps quotes as data; '"' treats them as text qualifiers
+    prefix: str = ""                 # put before the namespaces: several warehouses in one metastore
+    keep_versions: int | None = None    # versions left of each table after a load; None: all
     audit: list = field(default_factory=list)
     loaded: set | None = None        # stems loaded by this run; None: whatever the catalog has
 
     def __post_init__(self):
-        create_namespaces(self.spark)
+        create_namespaces(self.spark, prefix=self.prefix)
+
+    def name(self, layer: str, table: str) -> str:
+        return f"{self.prefix}{layer}.{table}"
 
     def define(self, replace: bool = False) -> None:
         """Declare the raw and clean tables with their fixed schemas (empty until loaded)."""
         for spec in self.tables:
             raw = T.StructType(list(spec.raw_schema().fields) + [
                 T.StructField("_raw_line", T.StringType()), T.StructField(REJECT_COL, T.StringType())])
-            define_table(self.spark, f"bronze.raw_{spec.stem}", raw,
-                         f"{self.root}/bronze/raw_{spec.stem}/empty", replace=replace)
-            define_table(self.spark, f"silver.{spec.stem}", spec.clean_schema(),
-                         f"{self.root}/silver/{spec.stem}/empty", replace=replace)
+            for table, schema in ((self.name("bronze", f"raw_{spec.stem}"), raw),
+                                  (self.name("silver", spec.stem), spec.clean_schema())):
+                define_table(self.spark, table, schema, version_path(self.root, table, "empty"), replace=replace)
 
     # -- helpers -------------------------------------------------------------
     def _timed(self, layer: str, table: str, fn):
-        row = AuditRow(layer, table)
+        row = AuditRow(layer, table, started=datetime.now(timezone.utc))
         start = time.monotonic()
         try:
             rows, rejects = fn()
             row.rows, row.rejects = rows, rejects
         except Exception as e:  # record, then re-raise: a failed load is never silent
-            row.status, row.error = "failed", f"{type(e).__name__}: {e}"
+            row.failed(e)
             raise
         finally:
             row.seconds = round(time.monotonic() - start, 3)
+            row.ended = datetime.now(timezone.utc)
             self.audit.append(row)
 
+    def _layer(self, layer: str, fn):
+        """Run a layer's loads; its own audit row has the sums of their rows and rejects."""
+        first, out = len(self.audit), []
+
+        def run():
+            out.append(fn())
+            done = self.audit[first:]
+            return sum(a.rows for a in done), sum(a.rejects for a in done)
+        self._timed(layer, WHOLE_LAYER, run)
+        return out[0]
+
+    def _prune(self, *tables: str) -> None:
+        if self.keep_versions is not None:
+            for table in tables:
+                drop_old_versions(self.spark, self.root, table, self.keep_versions)
+
     def _each(self, fn, items):
         if self.parallelism <= 1:
             for it in items:
@@ -112,14 +162,16 @@ class Warehouse:
     # -- layers --------------------------------------------------------------
     def _present(self, layer: str) -> list:
         """Specs whose table of ``layer`` is there and, after load_raw, belongs to this run."""
-        name = {"bronze": "bronze.raw_{}", "silver": "silver.{}"}[layer]
+        stem = {"bronze": "raw_{}", "silver": "{}"}[layer]
         return [t for t in self.tables if (self.loaded is None or t.stem in self.loaded)
-                and self.spark.catalog.tableExists(name.format(t.stem))]
+                and self.spark.catalog.tableExists(self.name(layer, stem.format(t.stem)))]
 
     def load_raw(self, inputs: dict[str, str]) -> None:
         self.loaded = {t.stem for t in self.tables if t.stem in inputs}
 
         def one(spec):
+            table = self.name("bronze", f"raw_{spec.stem}")
+
             def run():
                 schema = spec.raw_schema()
                 df = read_delimited(self.spark, inputs[spec.stem], schema, quote=self.quote,
@@ -128,72 +180,102 @@ class Warehouse:
                 obs = Observation(f"raw_{spec.stem}")
                 counted = df.observe(obs, F.count(F.lit(1)).alias("rows"),
                                      F.count(F.col(REJECT_COL)).alias("rejects"))
-                path = write_version(counted, self.root, f"bronze.raw_{spec.stem}")
+                path = write_version(counted, self.root, table)
                 m = obs.get
                 if m["rejects"] > self.max_reject_fraction * max(m["rows"], 1):
                     raise RejectThresholdExceeded(
                         f"{m['rejects']} of {m['rows']} rows rejected in {spec.stem}")
-                point_table(self.spark, f"bronze.raw_{spec.stem}", path)
+                point_table(self.spark, table, path)
+                self._prune(table)
                 return m["rows"], m["rejects"]
             self._timed("raw", spec.stem, run)
-        self._each(one, [t for t in self.tables if t.stem in inputs])
+        self._layer("raw", lambda: self._each(one, [t for t in self.tables if t.stem in inputs]))
 
     def load_clean(self) -> None:
         def one(spec):
+            table = self.name("silver", spec.stem)
+
             def run():
-                raw = good_rows(self.spark.table(f"bronze.raw_{spec.stem}"))
+                raw = good_rows(self.spark.table(self.name("bronze", f"raw_{spec.stem}")))
                 obs = Observation(f"clean_{spec.stem}")
                 clean = clean_table(raw, spec, noise_patterns(self.quote)).observe(
                     obs, F.count(F.lit(1)).alias("rows"))
-                publish(self.spark, clean, f"silver.{spec.stem}", self.root)
+                publish(self.spark, clean, table, self.root)
+                self._prune(table)
                 return obs.get["rows"], 0
             self._timed("clean", spec.stem, run)
-        self._each(one, self._present("bronze"))
+        self._layer("clean", lambda: self._each(one, self._present("bronze")))
 
     def rejects(self) -> DataFrame:
         """Rejected raw lines of every loaded table, with the table and the reason."""
         from tessera.operators.reshape import union_all
         from tessera.sources.delimited import rejected_rows
-        parts = [rejected_rows(self.spark.table(f"bronze.raw_{t.stem}"))
-                 .select(F.lit(t.stem).alias("table_name"), "_raw_line", REJECT_COL)
-                 for t in self.tables if self.spark.catalog.tableExists(f"bronze.raw_{t.stem}")]
+        names = {t.stem: self.name("bronze", f"raw_{t.stem}") for t in self.tables}
+        parts = [rejected_rows(self.spark.table(name)).select(F.lit(stem).alias("table_name"), "_raw_line", REJECT_COL)
+                 for stem, name in names.items() if self.spark.catalog.tableExists(name)]
         return union_all(parts)
 
     def silver(self) -> dict[str, DataFrame]:
-        return {t.stem: self.spark.table(f"silver.{t.stem}") for t in self._present("silver")}
+        return {t.stem: self.spark.table(self.name("silver", t.stem)) for t in self._present("silver")}
 
     def load_star(self) -> Star:
-        """Dimensions (built concurrently, materialised once), then the dimension
-        and fact tables, published concurrently: they are independent writes."""
+        """Dimensions (built concurrently, materialised once), then all dimension and
+        fact tables, written concurrently under one version name. The catalog moves to
+        them after every write and row check: a failed load leaves the nine old tables.
+        A fact without sources in this load leaves the catalog, since its keys are those
+        of older dimensions (its files stay)."""
+        return self._layer("star", self._load_star)
+
+    def _load_star(self) -> Star:
         silver = self.silver()
         star = build_star(silver, self.options, self.tables)
         kinds = {name: fact for fact, name in FACT_NAMES.items()}
+        version, paths = new_version(), {}
 
         def dim_job(name, dim):
             def run():
-                publish(self.spark, dim.df, f"gold.{name}", self.root)
+                paths[name] = write_version(dim.df, self.root, self.name("gold", name), version=version)
                 return dim.rows, 0
             return lambda: self._timed("star", name, run)
 
         def fact_job(name, fact):
             def run():
                 obs = Observation(f"star_{name}")
-                path = write_version(fact.observe(obs, F.count(F.lit(1)).alias("rows")), self.root,
-                                     f"gold.{name}", partition_by=list(self.fact_partition_by) or None)
+                paths[name] = write_version(fact.observe(obs, F.count(F.lit(1)).alias("rows")), self.root,
+                                            self.name("gold", name), version=version,
+                                            partition_by=list(self.fact_partition_by) or None)
                 rows = obs.get["rows"]
                 if self.options.one_name:
                     cells = fact_cells(silver, kinds[name], self.tables).first()["cells"]
                     if rows != cells:
                         raise FactGrainError(f"{name} has {rows} rows of {cells} filled source cells")
-                point_table(self.spark, f"gold.{name}", path, partitioned=bool(self.fact_partition_by))
                 return rows, 0
             return lambda: self._timed("star", name, run)
 
         jobs = {n: dim_job(n, d) for n, d in star.dims.items()}
         jobs.update({n: fact_job(n, f) for n, f in star.facts.items()})
         run_concurrently(self.spark, jobs, max(1, self.parallelism))
+        tables = {n: self.name("gold", n) for n in paths}
+        move_pointers(self.spark, {tables[n]: path for n, path in paths.items()},
+                      partitioned={tables[n] for n in star.facts} if self.fact_partition_by else ())
+        for name in kinds:
+            if name not in paths:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self.name('gold', name)}")
+        self._prune(*tables.values())
         return star
 
+    def read_star(self) -> dict[str, DataFrame]:
+        """The star tables as of one load: the table ``dim_country`` names the version, and
+        pointers move only once all tables have it. Safe while a load swaps them."""
+        location = table_location(self.spark, self.name("gold", "dim_country"))
+        if location is None:
+            raise LookupError("no star has been loaded")
+        base, version = location.rstrip("/").rsplit("/", 1)
+        base = base.removesuffix("/dim_country")
+        names = ["dim_country", "dim_indicator", "dim_year", "dim_unit_of_measure"]
+        names += [n for n in FACT_NAMES.values() if self.spark.catalog.tableExists(self.name("gold", n))]
+        return {n: self.spark.read.parquet(f"{base}/{n}/{version}") for n in names}
+
     def run(self, inputs: dict[str, str]) -> Star:
         self.load_raw(inputs)
         self.load_clean()
@@ -201,8 +283,7 @@ class Warehouse:
 
     def audit_frame(self) -> DataFrame:
         return self.spark.createDataFrame(
-            [(a.layer, a.table_name, a.rows, a.rejects, float(a.seconds), a.status, a.error)
-             for a in self.audit], AUDIT_SCHEMA)
+            [tuple(getattr(a, f) for f in AUDIT_SCHEMA.fieldNames()) for a in self.audit], AUDIT_SCHEMA)
 
 
 # ---------------------------------------------------------------------------
@@ -243,7 +324,7 @@ def fact_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
 def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audit rows of a full load (durations dropped: not reproducible)."""
     wh = _run_warehouse(spark, sf_dir)
-    return wh.audit_frame().drop("seconds")
+    return wh.audit_frame().drop(*TIMES)
 
 
 def csv_scan_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
