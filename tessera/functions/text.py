@@ -5,8 +5,9 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.specs import NOISE_PATTERNS
 
@@ -60,6 +61,22 @@ def collation_key(c) -> Column:
     return F.upper(F.rtrim(_col(c)))
 
 
+def distinct_collated(df: DataFrame) -> DataFrame:
+    """Distinct rows whose text columns compare case- and trailing-blank-insensitively;
+    of several spellings the least stays.
+
+    Copies of one spelling go first, by a hash aggregate before the shuffle, so
+    that only distinct spellings reach the aggregate that picks the least one.
+    """
+    text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    df = df.distinct()
+    if not text:
+        return df
+    keys = [(collation_key(c) if c in text else F.col(c)).alias(f"_k{i}") for i, c in enumerate(df.columns)]
+    return (df.groupBy(*keys).agg(*[F.min(c).alias(c) for c in text])
+              .select(*[F.col(c) if c in text else F.col(f"_k{i}").alias(c) for i, c in enumerate(df.columns)]))
+
+
 def collated_equal(a, b) -> Column:
     return collation_key(a) == collation_key(b)
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.conform import conform_units, first_label, qualify_label
 from tessera.functions.dates import year_from_name
+from tessera.functions.text import distinct_collated
 from tessera.operators.keys import dense_key
 from tessera.operators.reshape import schema_columns, union_all
 
@@ -31,12 +32,13 @@ class Dimension:
 def build_dimension(name: str, df: DataFrame, key: str, natural_key: list[str],
                     order_by: list | None = None, *, dedupe: bool = True,
                     required: list[str] | None = None, method: str = "range") -> Dimension:
-    """Generic dimension: drop rows missing ``required`` columns, distinct, key."""
+    """Generic dimension: drop rows missing ``required`` columns, distinct (text without
+    regard to case and trailing blanks, the least spelling stays), key."""
     required = natural_key if required is None else required
     for c in required:
         df = df.filter(F.col(c).isNotNull())
     if dedupe:
-        df = df.distinct()
+        df = distinct_collated(df)
     order_by = order_by or list(df.columns)
     keyed = dense_key(df, order_by, key, method=method, split_ties=not dedupe)
     return Dimension(name, keyed.df, key, natural_key, keyed.rows)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.text import any_of, collation_key, has_nonstandard_char, untrimmed
+from tessera.functions.text import any_of, collation_key, distinct_collated, has_nonstandard_char, untrimmed
 from tessera.operators.dims import Dimension
 
 #: Reducers over which a foreign-key check spreads the rows of NULL key.
@@ -20,13 +20,19 @@ NULL_BUCKETS = 4096
 
 
 def duplicates(df: DataFrame, keys: list[str], count_col: str = "n") -> DataFrame:
-    """Keys occurring more than once (GROUP BY .. HAVING COUNT(*) > 1).
+    """Keys occurring more than once (GROUP BY .. HAVING COUNT(*) > 1); text keys
+    compare case- and trailing-blank-insensitively, the least spelling is shown.
 
     Partial counts per partition before the shuffle; a hot key costs one
-    counter per map task, not its rows.
+    counter per map task, not its rows. Spellings are merged after that.
     """
-    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col))
-              .filter(F.col(count_col) > 1))
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col))
+    text = [c for c in string_columns(df) if c in keys]
+    if text:
+        merged = [(collation_key(c) if c in text else F.col(c)).alias(f"_k{i}") for i, c in enumerate(keys)]
+        counts = (counts.groupBy(*merged).agg(*[F.min(c).alias(c) for c in text], F.sum(count_col).alias(count_col))
+                  .select(*[F.col(c) if c in text else F.col(f"_k{i}").alias(c) for i, c in enumerate(keys)], count_col))
+    return counts.filter(F.col(count_col) > 1)
 
 
 def string_columns(df: DataFrame) -> list[str]:
@@ -48,13 +54,14 @@ def untrimmed_rows(df: DataFrame, columns: list[str] | None = None,
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
-    """Standardisation profile: the distinct values of one column."""
-    return df.select(column).distinct()
+    """Standardisation profile: the distinct values of one column, without regard to
+    case and trailing blanks (the least spelling)."""
+    return distinct_collated(df.select(column))
 
 
 def nonstandard_values(df: DataFrame, column: str) -> DataFrame:
     """Distinct values holding a character outside [a-zA-Z0-9 _-]."""
-    return df.select(column).filter(has_nonstandard_char(column)).distinct()
+    return distinct_collated(df.select(column).filter(has_nonstandard_char(column)))
 
 
 def id_conflicts(left: DataFrame, right: DataFrame, id_col: str, name_col: str, *,
@@ -63,9 +70,9 @@ def id_conflicts(left: DataFrame, right: DataFrame, id_col: str, name_col: str,
                  only_conflicts: bool = True) -> DataFrame:
     """Cross-source id/name mapping report.
 
-    Both sides are reduced to distinct (id, name) first (the partial
-    aggregate runs before the shuffle, so a hot id costs one row per map
-    task); then a full outer join classifies each pair as
+    Both sides are reduced to distinct (id, name) first (spellings that differ
+    in case or trailing blanks are one name; the partial aggregate runs before
+    the shuffle, so a hot id costs one row per map task); then a full outer join classifies each pair as
     ``Missing_in_<left>``, ``Missing_in_<right>``, ``Country_Conflict`` or
     ``OK``. Names compare case- and trailing-blank-insensitively.
     ``only_conflicts`` plans an inner join instead (conflicts need both sides).
@@ -73,8 +80,8 @@ def id_conflicts(left: DataFrame, right: DataFrame, id_col: str, name_col: str,
     row per distinct name on each side, and the pairs formed are exactly the
     (name, name) pairs the report lists for that id.
     """
-    a = left.select(F.col(id_col).alias("_id_l"), F.col(name_col).alias(left_col)).distinct()
-    b = right.select(F.col(id_col).alias("_id_r"), F.col(name_col).alias(right_col)).distinct()
+    a = distinct_collated(left.select(F.col(id_col).alias("_id_l"), F.col(name_col).alias(left_col)))
+    b = distinct_collated(right.select(F.col(id_col).alias("_id_r"), F.col(name_col).alias(right_col)))
     ln, rn = F.col(left_col), F.col(right_col)
     how = "inner" if only_conflicts else "full"
     j = a.join(b, F.col("_id_l") == F.col("_id_r"), how)
@@ -85,7 +92,7 @@ def id_conflicts(left: DataFrame, right: DataFrame, id_col: str, name_col: str,
     out = j.select(F.coalesce("_id_l", "_id_r").alias("ID"), ln, rn, status.alias("Status"))
     if only_conflicts:
         out = out.filter((F.col("Status") == "Country_Conflict") & ln.isNotNull())
-    return out.distinct()
+    return out
 
 
 def fk_violations(fact: DataFrame, dims: list[Dimension], fact_keys: list[str] | None = None,

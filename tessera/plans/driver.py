@@ -4,7 +4,8 @@ The statistics warehouse's own inputs are wide text files; here every
 operator is exercised on text and keys that Spark derives from the given
 tables, so the work of each query grows with those tables. Derivations
 that inject formatting (thousands separators, placeholders, padding,
-mis-cased units) pick the variant from a key column; no row is dropped.
+mis-cased units) pick the variant from a key column; no row is dropped and no
+given text is replaced: placeholder cells stand in rows of their own.
 """
 
 from __future__ import annotations
@@ -81,27 +82,30 @@ def _pick(key: Column, choices: list[tuple[int, Column]], default: Column, modul
 # ---------------------------------------------------------------------------
 
 def numeric_text_parse(spark, sf_dir):
+    """Every price as a text cell, in four formats; some lines add a cell that holds no price."""
     li = load(spark, sf_dir, "lineitem")
     p = F.col("l_extendedprice").cast(DEC)
     base = p.cast("string")
     ln = F.col("l_linenumber")
-    raw = (F.when(ln == 1, base)
-             .when(ln == 2, F.format_number(p, 2))
-             .when(ln == 3, F.lit(".."))
+    raw = (F.when(ln == 2, F.format_number(p, 2))
              .when(ln == 4, F.concat(F.lit("  "), base, F.lit(" ")))
-             .when(ln == 5, F.lit(""))
              .when(ln == 6, F.concat(base, F.lit("5")))
-             .otherwise(F.concat(ln.cast("string"), F.lit("E3"))))
-    return (li.select("l_orderkey", "l_linenumber", raw.alias("raw_value"))
+             .otherwise(base))
+    cells = (F.when(ln == 3, F.array(raw, F.lit("..")))
+              .when(ln == 5, F.array(raw, F.lit("")))
+              .when(ln == 7, F.array(raw, F.concat(ln.cast("string"), F.lit("E3"))))
+              .otherwise(F.array(raw)))
+    return (li.select("l_orderkey", "l_linenumber", F.explode(cells).alias("raw_value"))
               .withColumn("value", parse_numeric_text("raw_value")))
 
 
 def text_null_clean(spark, sf_dir):
+    """Every part name, plain, padded or with a placeholder behind it; some parts add an empty cell."""
     part = load(spark, sf_dir, "part")
     k, n = F.col("p_partkey"), F.col("p_name")
-    raw = _pick(k, [(0, F.concat(F.lit("  "), n, F.lit(" "))), (1, F.lit("..")),
-                    (2, F.concat(n, F.lit(".."))), (3, F.lit("   "))], n, 5)
-    return (part.select("p_partkey", raw.alias("raw_name"))
+    raw = _pick(k, [(0, F.concat(F.lit("  "), n, F.lit(" "))), (2, F.concat(n, F.lit("..")))], n, 5)
+    cells = _pick(k, [(1, F.array(raw, F.lit(".."))), (3, F.array(raw, F.lit("   ")))], F.array(raw), 5)
+    return (part.select("p_partkey", F.explode(cells).alias("raw_name"))
                 .select("p_partkey", "raw_name", clean_text("raw_name").alias("name_clean"),
                         F.coalesce(untrimmed("raw_name"), F.lit(False)).alias("is_untrimmed")))
 
@@ -130,27 +134,35 @@ def code_normalize(spark, sf_dir):
 
 
 def noise_rows(spark, sf_dir):
+    """Every whole text; three of four get the words of a header or footnote in front."""
     docs = load(spark, sf_dir, "documents")
+    text = F.col("text")
     cell = _pick(F.col("doc_id"), [
-        (0, F.concat(F.lit("Source: "), F.col("source"))),
-        (1, F.concat(F.lit('"The information in '), F.col("lang"), F.lit(' is provisional"'))),
-        (2, F.concat(F.lit("SOURCE "), F.col("lang"))),
-    ], F.col("text"), 4)
+        (0, F.concat(F.lit("Source: "), text)),
+        (1, F.concat(F.lit('"The information in '), text)),
+        (2, F.concat(F.lit("SOURCE "), text)),
+    ], text, 4)
     df = docs.select("doc_id", cell.alias("cell")).select("doc_id", clean_text("cell").alias("cleaned"))
     noise = F.coalesce(matches_any("cleaned", specs.NOISE_PATTERNS), F.lit(False))
     return df.select("doc_id", noise.alias("is_noise"),
                      F.when(noise, F.lit(None).cast("string")).otherwise(F.col("cleaned")).alias("country"))
 
 
-def _vocab_name(key: Column) -> Column:
+def _spelled_name(key: Column, given: Column) -> Column:
+    """Cells of one customer: the given name; for a third of the keys a spelling of the
+    rule lists in a row beside it, for a third one in front of it (so that prefix and
+    infix rules meet given text)."""
     vocab = F.array(*[F.lit(v) for v in NAME_VOCABULARY])
-    name = F.element_at(vocab, (key % len(NAME_VOCABULARY)).cast("int") + 1)
-    return F.when(key % 7 == 3, F.lower(name)).otherwise(name)
+    name = F.element_at(vocab, (F.floor(key / 3) % len(NAME_VOCABULARY)).cast("int") + 1)
+    name = F.when(key % 7 == 3, F.lower(name)).otherwise(name)
+    return F.explode(F.when(key % 3 == 0, F.array(given, name))
+                      .when(key % 3 == 1, F.array(F.concat(name, F.lit(" "), given)))
+                      .otherwise(F.array(given)))
 
 
 def name_standardize(spark, sf_dir):
     cust = load(spark, sf_dir, "customer")
-    df = cust.select("c_custkey", _vocab_name(F.col("c_custkey")).alias("raw_name"))
+    df = cust.select("c_custkey", _spelled_name(F.col("c_custkey"), F.col("c_name")).alias("raw_name"))
     wide_rules = specs.WIDE_NAME_RULES + specs.WIDE_NAME_RULES_INTACT
     return with_standard_names(df, {
         "name_wide": (wide_name_input("raw_name"), wide_rules),
@@ -236,12 +248,13 @@ def union_many(spark, sf_dir):
 # dimensions and keys
 # ---------------------------------------------------------------------------
 
-def _nation_members(spark, sf_dir) -> list[DataFrame]:
+def _nation_members(spark, sf_dir, rows: tuple = ()) -> list[DataFrame]:
     nation = load(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     cust = load(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
     supp = load(spark, sf_dir, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-    return [cust.select(F.col("c_nationkey").alias("id"), F.col("n_name").alias("name")),
-            supp.select(F.col("s_nationkey").alias("id"), F.col("n_name").alias("name"))]
+    extra = [[F.col(c).alias("row")] for c in rows] or [[], []]
+    return [cust.select(F.col("c_nationkey").alias("id"), F.col("n_name").alias("name"), *extra[0]),
+            supp.select(F.col("s_nationkey").alias("id"), F.col("n_name").alias("name"), *extra[1])]
 
 
 def dim_member(spark, sf_dir):
@@ -409,6 +422,29 @@ def dq_duplicates(spark, sf_dir):
     return Q.duplicates(load(spark, sf_dir, "conversations"), ["conv_id"])
 
 
+def _respelled(key: Column, text: Column) -> Column:
+    """The given text, upper-cased, lower-cased with a trailing blank, or as it is."""
+    return _pick(key, [(0, F.upper(text)), (1, F.concat(F.lower(text), F.lit(" ")))], text, 3)
+
+
+def dq_duplicates_collated(spark, sf_dir):
+    """Market segments of a nation that occur more than once, in whatever spelling."""
+    c = load(spark, sf_dir, "customer")
+    return Q.duplicates(c.select("c_nationkey", _respelled(F.col("c_custkey"), F.col("c_mktsegment")).alias("segment")),
+                        ["c_nationkey", "segment"])
+
+
+def dq_profile_collated(spark, sf_dir):
+    p = load(spark, sf_dir, "part")
+    return Q.distinct_values(p.select(_respelled(F.col("p_partkey"), F.col("p_type")).alias("p_type")), "p_type")
+
+
+def dim_member_collated(spark, sf_dir):
+    """Nation members as customers and suppliers spell them: one key whatever the spelling."""
+    cust, supp = _nation_members(spark, sf_dir, ("c_custkey", "s_suppkey"))
+    return D.member_dim([m.select("id", _respelled(F.col("row"), F.col("name")).alias("name")) for m in (cust, supp)]).df
+
+
 def _raw_customer(spark, sf_dir) -> DataFrame:
     """Customer as a raw text extract: padding creeps into some cells."""
     c = load(spark, sf_dir, "customer")
@@ -422,6 +458,14 @@ def dq_blanks(spark, sf_dir):
     return Q.untrimmed_rows(_raw_customer(spark, sf_dir), ["c_name", "c_mktsegment"])
 
 
+def dq_blanks_texts(spark, sf_dir):
+    """Documents and pages with blanks around a text cell."""
+    docs = Q.untrimmed_rows(load(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    pages = Q.untrimmed_rows(load(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return union_all([docs.select(F.lit("documents").alias("table_name"), F.col("doc_id").alias("id"), "untrimmed_columns"),
+                      pages.select(F.lit("pages").alias("table_name"), F.col("page_id").alias("id"), "untrimmed_columns")])
+
+
 def dq_profile(spark, sf_dir):
     return Q.distinct_values(load(spark, sf_dir, "documents"), "lang")
 
@@ -435,15 +479,18 @@ def dq_charset(spark, sf_dir):
 
 
 def _conflict_sides(spark, sf_dir):
+    """Names of the customers' and of the suppliers' nations. The ids are made distinct
+    before the names are joined to them."""
     nation = load(spark, sf_dir, "nation")
     region = load(spark, sf_dir, "region")
-    left = (load(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    left = (load(spark, sf_dir, "customer").select("c_nationkey").distinct()
+            .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
             .select(F.col("c_nationkey").alias("id"), F.col("n_name").alias("name")))
     nk = F.col("s_nationkey")
     alt = (F.when(nk % 5 == 0, F.concat(F.col("n_name"), F.lit(" ("), F.col("r_name"), F.lit(")")))
              .when(nk % 2 == 0, F.lower("n_name"))
              .otherwise(F.col("n_name")))
-    right = (load(spark, sf_dir, "supplier").join(nation, nk == F.col("n_nationkey"))
+    right = (load(spark, sf_dir, "supplier").select(nk).distinct().join(nation, nk == F.col("n_nationkey"))
              .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
              .select(nk.alias("id"), alt.alias("name")))
     return left, right
@@ -459,6 +506,14 @@ def dq_id_conflict_only(spark, sf_dir):
     return Q.id_conflicts(left, right, "id", "name", only_conflicts=True)
 
 
+def dq_id_conflict_codes(spark, sf_dir):
+    """The same report where the right side's code list begins three later: ids
+    that either side lacks, in every status."""
+    left, right = _conflict_sides(spark, sf_dir)
+    shifted = right.select((F.col("id") + 3).alias("id"), "name")
+    return Q.id_conflicts(left, shifted, "id", "name", only_conflicts=False)
+
+
 def dq_fk_4dim(spark, sf_dir):
     """Registered members are suppliers in good standing (balance >= 0);
     facts of the others carry a NULL member key and are reported."""
@@ -482,12 +537,37 @@ def dq_fk_3dim(spark, sf_dir):
     return Q.fk_violations(fact, list(dims))
 
 
+def dq_fk_all_keys(spark, sf_dir):
+    """Facts of events against dimensions that lag behind them: users whose first event
+    is a signup, years and units of clicks only. Every key fails somewhere; the result
+    carries the dimension columns."""
+    ev, _ = _events_base(spark, sf_dir)
+    clicks = ev.where("event_type = 'click'")
+    first = ev.groupBy("user_id").agg(F.min_by("event_type", "ts").alias("first_event"))
+    members = first.where("first_event = 'signup'").select(
+        F.col("user_id").alias("id"), F.concat(F.lit("USER_"), F.col("user_id").cast("string")).alias("name"))
+    built = D.build_concurrently({
+        "c": lambda: D.member_dim([members]),
+        "i": lambda: D.indicator_dim([clicks.select(F.col("event_type").alias("Indicator_code"),
+                                                    F.upper("event_type").alias("Indicator"),
+                                                    F.lit("EVENTS").alias("Source_Table"))], join_on_source=False),
+        "y": lambda: D.year_dim([clicks.groupBy().agg(F.year(F.max("ts")).alias("Year"))]),
+        "u": lambda: D.unit_dim([clicks.select(_event_units(ev).alias("Units"))]),
+    })
+    dims = [built["c"], built["i"], built["y"], built["u"]]
+    long = ev.select("user_id", "event_type", (F.year("ts") + F.col("user_id") % 2).cast("int").alias("Year"),
+                     conform_units(_event_units(ev)).alias("Units"), F.col("value").cast(DEC).alias("Value"))
+    links = [DimLink(dims[0], {"Country_id": "user_id"}), DimLink(dims[1], {"Indicator_id": "event_type"}),
+             DimLink(dims[2], {"Year": "Year"}), DimLink(dims[3], {"Measure_Units": "Units"})]
+    return Q.fk_violations(build_fact(long, links), dims, with_dimensions=True)
+
+
 def dq_dim_unique(spark, sf_dir):
     dim = D.member_dim(_nation_members(spark, sf_dir), dedupe=False)
     return Q.dim_key_unique(dim)
 
 
-# the checks that read one driver table each, summarised: (check, table, violations)
+# all checks summarised: (check, table, violations)
 SUMMARY_CHECKS = (
     ("dq_duplicates", "conversations"),
     ("dq_blanks", "customer"),
@@ -495,6 +575,14 @@ SUMMARY_CHECKS = (
     ("dq_id_conflict_only", "customer,supplier"),
     ("dq_fk_4dim", "lineitem"),
     ("dq_dim_unique", "customer,supplier"),
+    ("dq_fk_3dim", "events"),
+    ("dq_fk_all_keys", "events"),
+    ("dq_id_conflict", "customer,supplier"),
+    ("dq_id_conflict_codes", "customer,supplier"),
+    ("dq_profile", "documents"),
+    ("dq_profile_collated", "part"),
+    ("dq_duplicates_collated", "customer"),
+    ("dq_blanks_texts", "documents,pages"),
 )
 
 
@@ -564,6 +652,12 @@ QUERIES = {
     "dq_fk_4dim": dq_fk_4dim,
     "dq_fk_3dim": dq_fk_3dim,
     "dq_dim_unique": dq_dim_unique,
+    "dq_duplicates_collated": dq_duplicates_collated,
+    "dq_profile_collated": dq_profile_collated,
+    "dq_id_conflict_codes": dq_id_conflict_codes,
+    "dq_fk_all_keys": dq_fk_all_keys,
+    "dq_blanks_texts": dq_blanks_texts,
+    "dim_member_collated": dim_member_collated,
     "dq_summary": dq_summary,
     "mart_year_agg": mart_year_agg,
     "mart_yoy": mart_yoy,

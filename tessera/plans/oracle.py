@@ -96,14 +96,15 @@ def numeric_text_parse() -> str:
     return f"""
 WITH s AS (SELECT l_orderkey, l_linenumber, CAST(l_extendedprice AS DECIMAL(18,2)) AS p FROM lineitem),
 r AS (SELECT l_orderkey, l_linenumber,
-        CASE WHEN l_linenumber = 1 THEN CAST(p AS VARCHAR)
-             WHEN l_linenumber = 2 THEN format('{{:,.2f}}', p)
-             WHEN l_linenumber = 3 THEN '..'
+        CASE WHEN l_linenumber = 2 THEN format('{{:,.2f}}', p)
              WHEN l_linenumber = 4 THEN '  ' || CAST(p AS VARCHAR) || ' '
-             WHEN l_linenumber = 5 THEN ''
              WHEN l_linenumber = 6 THEN CAST(p AS VARCHAR) || '5'
-             ELSE CAST(l_linenumber AS VARCHAR) || 'E3' END AS raw_value
-      FROM s),
+             ELSE CAST(p AS VARCHAR) END AS raw_value
+      FROM s
+      UNION ALL
+      SELECT l_orderkey, l_linenumber,
+        CASE l_linenumber WHEN 3 THEN '..' WHEN 5 THEN '' ELSE '7E3' END
+      FROM s WHERE l_linenumber IN (3, 5, 7)),
 t AS (SELECT *, NULLIF(TRIM(REPLACE(REPLACE(raw_value, '..', ''), ',', '')), '') AS t FROM r)
 SELECT l_orderkey, l_linenumber, raw_value, {decimal_sql('t')} AS value FROM t"""
 
@@ -111,9 +112,12 @@ SELECT l_orderkey, l_linenumber, raw_value, {decimal_sql('t')} AS value FROM t""
 def text_null_clean() -> str:
     return f"""
 WITH r AS (SELECT p_partkey,
-             CASE p_partkey % 5 WHEN 0 THEN '  ' || p_name || ' ' WHEN 1 THEN '..'
-                  WHEN 2 THEN p_name || '..' WHEN 3 THEN '   ' ELSE p_name END AS raw_name
-           FROM part)
+             CASE p_partkey % 5 WHEN 0 THEN '  ' || p_name || ' '
+                  WHEN 2 THEN p_name || '..' ELSE p_name END AS raw_name
+           FROM part
+           UNION ALL
+           SELECT p_partkey, CASE p_partkey % 5 WHEN 1 THEN '..' ELSE '   ' END
+           FROM part WHERE p_partkey % 5 IN (1, 3))
 SELECT p_partkey, raw_name, {clean_sql('raw_name')} AS name_clean,
        COALESCE(raw_name <> TRIM(raw_name), false) AS is_untrimmed
 FROM r"""
@@ -139,9 +143,9 @@ FROM r"""
 
 def noise_rows() -> str:
     return f"""
-WITH c AS (SELECT doc_id, {clean_sql('''CASE doc_id % 4 WHEN 0 THEN 'Source: ' || source
-              WHEN 1 THEN '"The information in ' || lang || ' is provisional"'
-              WHEN 2 THEN 'SOURCE ' || lang ELSE text END''')} AS cleaned
+WITH c AS (SELECT doc_id, {clean_sql('''CASE doc_id % 4 WHEN 0 THEN 'Source: ' || text
+              WHEN 1 THEN '"The information in ' || text
+              WHEN 2 THEN 'SOURCE ' || text ELSE text END''')} AS cleaned
            FROM documents)
 SELECT doc_id, COALESCE({noise_sql('cleaned')}, false) AS is_noise,
        CASE WHEN COALESCE({noise_sql('cleaned')}, false) THEN NULL ELSE cleaned END AS country
@@ -153,8 +157,10 @@ def name_standardize() -> str:
     n = len(NAME_VOCABULARY)
     wide_rules = specs.WIDE_NAME_RULES + specs.WIDE_NAME_RULES_INTACT
     return f"""
-WITH v AS (SELECT c_custkey, {vocab}[CAST(c_custkey % {n} AS INTEGER) + 1] AS nm FROM customer),
-r AS (SELECT c_custkey, CASE WHEN c_custkey % 7 = 3 THEN lower(nm) ELSE nm END AS raw_name FROM v)
+WITH v AS (SELECT c_custkey, c_name, {vocab}[CAST((c_custkey // 3) % {n} AS INTEGER) + 1] AS nm FROM customer),
+w AS (SELECT c_custkey, c_name, CASE WHEN c_custkey % 7 = 3 THEN lower(nm) ELSE nm END AS nm FROM v),
+r AS (SELECT c_custkey, CASE WHEN c_custkey % 3 = 1 THEN nm || ' ' || c_name ELSE c_name END AS raw_name FROM w
+      UNION ALL SELECT c_custkey, nm FROM w WHERE c_custkey % 3 = 0)
 SELECT c_custkey, raw_name,
        {wide_name_sql('raw_name', wide_rules)} AS name_wide,
        {long_name_sql('raw_name', specs.LONG_NAME_RULES)} AS name_long,
@@ -380,6 +386,44 @@ def dq_duplicates() -> str:
     return "SELECT conv_id, COUNT(*) AS n FROM conversations GROUP BY conv_id HAVING COUNT(*) > 1"
 
 
+def respelled_sql(key: str, x: str) -> str:
+    return f"CASE {key} % 3 WHEN 0 THEN upper({x}) WHEN 1 THEN lower({x}) || ' ' ELSE {x} END"
+
+
+def dq_duplicates_collated() -> str:
+    return f"""
+WITH s AS (SELECT c_nationkey, {respelled_sql('c_custkey', 'c_mktsegment')} AS segment FROM customer)
+SELECT c_nationkey, min(segment) AS segment, CAST(count(*) AS BIGINT) AS n
+FROM s GROUP BY c_nationkey, upper(rtrim(segment)) HAVING count(*) > 1"""
+
+
+def dq_profile_collated() -> str:
+    return f"""
+WITH s AS (SELECT {respelled_sql('p_partkey', 'p_type')} AS p_type FROM part)
+SELECT min(p_type) AS p_type FROM s GROUP BY upper(rtrim(p_type))"""
+
+
+def dim_member_collated() -> str:
+    return f"""
+WITH m AS (SELECT c_nationkey AS id, {respelled_sql('c_custkey', 'n_name')} AS name
+           FROM customer JOIN nation ON c_nationkey = n_nationkey
+           UNION ALL SELECT s_nationkey, {respelled_sql('s_suppkey', 'n_name')}
+           FROM supplier JOIN nation ON s_nationkey = n_nationkey),
+d AS (SELECT id AS Country_id, min(name) AS Country_name FROM m
+      WHERE id IS NOT NULL AND name IS NOT NULL GROUP BY id, upper(rtrim(name)))
+SELECT {key_sql('Country_key', 'Country_id, Country_name')}, Country_id, Country_name FROM d"""
+
+
+def dq_blanks_texts() -> str:
+    def part(table, key, cols):
+        bad = {c: f"COALESCE({c} <> TRIM({c}), false)" for c in cols}
+        names = ", ".join(f"CASE WHEN {b} THEN '{c}' END" for c, b in bad.items())
+        return (f"SELECT '{table}' AS table_name, {key} AS id, concat_ws(',', {names}) AS untrimmed_columns "
+                f"FROM {table} WHERE {' OR '.join(bad.values())}")
+    return (part("documents", "doc_id", ("text", "lang", "source")) + "\nUNION ALL\n"
+            + part("pages", "page_id", ("url", "html")))
+
+
 def dq_blanks() -> str:
     bad_n = "COALESCE(c_name <> TRIM(c_name), false)"
     bad_s = "COALESCE(c_mktsegment <> TRIM(c_mktsegment), false)"
@@ -406,13 +450,13 @@ def dq_charset() -> str:
         f"WHERE regexp_matches({c}, '[^a-zA-Z0-9 _-]')" for t, c in cols)
 
 
-def _conflict_sql(only_conflicts: bool) -> str:
+def _conflict_sql(only_conflicts: bool, shift: int = 0) -> str:
     tail = "WHERE Status = 'Country_Conflict' AND Country_Acc IS NOT NULL" if only_conflicts else ""
     join = "JOIN" if only_conflicts else "FULL JOIN"
     return f"""
 WITH a AS (SELECT DISTINCT c_nationkey AS id, n_name AS name
            FROM customer JOIN nation ON c_nationkey = n_nationkey),
-b AS (SELECT DISTINCT s_nationkey AS id,
+b AS (SELECT DISTINCT s_nationkey + {shift} AS id,
              CASE WHEN s_nationkey % 5 = 0 THEN n_name || ' (' || r_name || ')'
                   WHEN s_nationkey % 2 = 0 THEN lower(n_name) ELSE n_name END AS name
       FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
@@ -433,6 +477,10 @@ def dq_id_conflict_only() -> str:
     return _conflict_sql(True)
 
 
+def dq_id_conflict_codes() -> str:
+    return _conflict_sql(False, shift=3)
+
+
 def _fk_sql(keys_dims: list[tuple[str, str]], cols: str) -> str:
     joins = "\n".join(f"LEFT JOIN {d} d{i} ON d{i}.{k} = f.{k}" for i, (k, d) in enumerate(keys_dims))
     failed = ", ".join(f"CASE WHEN d{i}.{k} IS NULL THEN '{k}' END" for i, (k, _) in enumerate(keys_dims))
@@ -458,6 +506,35 @@ def dq_fk_3dim() -> str:
     return f"WITH {labelled_ctes(buyers)}\n{body}"
 
 
+def dq_fk_all_keys() -> str:
+    dims = {"dim_country": ("d0", ("Country_key", "Country_id", "Country_name")),
+            "dim_indicator": ("d1", ("Indicator_key", "Indicator_id", "Indicator_name", "Source_Table")),
+            "dim_year": ("d2", ("Year_key", "Year")), "dim_unit_of_measure": ("d3", ("Units_key", "Measure_Units"))}
+    cols = ["f.Country_key", "f.Indicator_key", "f.Year_key", "f.Units_key", "f.Value"]
+    cols += [f"{a}.{c} AS {d}__{c}" for d, (a, names) in dims.items() for c in names]
+    body = _fk_sql([("Country_key", "dim_c"), ("Indicator_key", "dim_i"), ("Year_key", "dim_y"),
+                    ("Units_key", "dim_u")], ", ".join(cols))
+    return f"""
+WITH dim_c AS (SELECT {key_sql('Country_key', 'Country_id, Country_name')}, Country_id, Country_name
+               FROM (SELECT user_id AS Country_id, 'USER_' || CAST(user_id AS VARCHAR) AS Country_name FROM events
+                     GROUP BY user_id HAVING arg_min(event_type, ts) = 'signup') WHERE Country_id IS NOT NULL),
+dim_i AS (SELECT {key_sql('Indicator_key', 'Indicator_id')}, Indicator_id, Indicator_name, Source_Table
+          FROM (SELECT DISTINCT event_type AS Indicator_id, upper(event_type) AS Indicator_name,
+                       'EVENTS' AS Source_Table FROM events WHERE event_type = 'click')),
+dim_y AS (SELECT CAST(1 AS BIGINT) AS Year_key, CAST(year(max(ts)) AS INTEGER) AS Year
+          FROM events WHERE event_type = 'click'),
+dim_u AS (SELECT {key_sql('Units_key', 'Measure_Units')}, Measure_Units
+          FROM (SELECT DISTINCT {units_sql(event_units_sql())} AS Measure_Units FROM events WHERE event_type = 'click')),
+fact AS (SELECT c.Country_key, i.Indicator_key, y.Year_key, u.Units_key, CAST(e.value AS DECIMAL(18,2)) AS Value
+         FROM events e
+         LEFT JOIN dim_c c ON e.user_id = c.Country_id
+         LEFT JOIN dim_i i ON e.event_type = i.Indicator_id
+         LEFT JOIN dim_y y ON year(e.ts) + e.user_id % 2 = y.Year
+         LEFT JOIN dim_u u ON {units_sql(event_units_sql())} = u.Measure_Units
+         WHERE e.value IS NOT NULL)
+{body}"""
+
+
 def dq_dim_unique() -> str:
     return f"""
 WITH m AS ({NATION_MEMBERS})
@@ -534,6 +611,12 @@ ORACLE = {
     "dq_fk_4dim": dq_fk_4dim,
     "dq_fk_3dim": dq_fk_3dim,
     "dq_dim_unique": dq_dim_unique,
+    "dq_duplicates_collated": dq_duplicates_collated,
+    "dq_profile_collated": dq_profile_collated,
+    "dq_id_conflict_codes": dq_id_conflict_codes,
+    "dq_fk_all_keys": dq_fk_all_keys,
+    "dq_blanks_texts": dq_blanks_texts,
+    "dim_member_collated": dim_member_collated,
     "dq_summary": dq_summary,
     "mart_year_agg": mart_year_agg,
     "mart_yoy": mart_yoy,

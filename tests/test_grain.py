@@ -28,3 +28,31 @@ def test_every_year_has_a_slot_or_the_job_fails(spark):
     assert [r[0] for r in df.select(raw_slot(F.col("y"))).collect()] == [1995, 1997, 2022]
     with pytest.raises(Exception, match="no raw year column for 1994"):
         spark.createDataFrame([(1994,)], "y int").select(raw_slot(F.col("y"))).collect()
+
+
+def test_one_name_whatever_the_spelling(spark):
+    from tessera.operators import quality as Q
+    src = spark.createDataFrame([(1, "France"), (1, "FRANCE"), (1, "france "), (2, "Chad"), (2, "TCHAD")], "id int, name string")
+    rows = D.member_dim([src]).df.orderBy("Country_key").collect()
+    assert [(r["Country_key"], r["Country_id"], r["Country_name"]) for r in rows] == \
+        [(1, 1, "FRANCE"), (2, 2, "Chad"), (3, 2, "TCHAD")]
+    assert [tuple(r) for r in Q.duplicates(src, ["name"]).collect()] == [("FRANCE", 3)]
+    assert [tuple(r) for r in Q.duplicates(src, ["id", "name"]).collect()] == [(1, "FRANCE", 3)]
+    assert sorted(r[0] for r in Q.distinct_values(src, "name").collect()) == ["Chad", "FRANCE", "TCHAD"]
+    empty = src.where("id > 9")
+    assert Q.duplicates(empty, ["name"]).count() == D.member_dim([empty]).rows == 0
+
+
+def test_unique_check_reports_conflicting_names(spark):
+    from tessera.operators import quality as Q
+    src = spark.createDataFrame([(1, "France"), (1, "Gaul"), (2, "Chad")], "id int, name string")
+    assert [tuple(r) for r in Q.dim_key_unique(D.member_dim([src])).collect()] == [(1, 2)]
+    assert Q.dim_key_unique(D.member_dim([src], one_name=True)).count() == 0
+
+
+def test_id_conflicts_pair_each_name_once(spark):
+    from tessera.operators import quality as Q
+    left = spark.createDataFrame([(1, "Italy"), (1, "ITALY "), (2, "Spain")], "id int, name string")
+    right = spark.createDataFrame([(1, "italy"), (2, "Espana"), (2, "ESPANA")], "id int, name string")
+    rows = Q.id_conflicts(left, right, "id", "name", only_conflicts=False).collect()
+    assert sorted((r.ID, r.Status) for r in rows) == [(1, "OK"), (2, "Country_Conflict")]
