@@ -2,13 +2,13 @@
 
 Each builder returns a :class:`Dimension` whose DataFrame is materialised in
 the checkpoint folder, so every fact that joins it sees the same keys and the
-sources are not rescanned per fact. ``rows`` is exact (it falls out of the
-key assignment), which is what the star join uses to decide on broadcasting.
+sources are not rescanned per fact. ``rows`` and ``string_bytes`` are exact
+(they fall out of the key assignment); the star join decides on broadcasting by them.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +27,7 @@ class Dimension:
     key: str
     natural_key: list[str]
     rows: int
+    string_bytes: dict = field(default_factory=dict)    # bytes of each text column, measured with the keys
 
 
 def build_dimension(name: str, df: DataFrame, key: str, natural_key: list[str],
@@ -41,7 +42,7 @@ def build_dimension(name: str, df: DataFrame, key: str, natural_key: list[str],
         df = distinct_collated(df)
     order_by = order_by or list(df.columns)
     keyed = dense_key(df, order_by, key, method=method, split_ties=not dedupe)
-    return Dimension(name, keyed.df, key, natural_key, keyed.rows)
+    return Dimension(name, keyed.df, key, natural_key, keyed.rows, keyed.string_bytes)
 
 
 def least_name(df: DataFrame, natural_key: list[str], name_col: str) -> DataFrame:

@@ -10,10 +10,10 @@ small bound (years). The default path keeps the work distributed:
    order inside them are now fixed, so recomputing after a lost executor
    cannot renumber rows.
 3. ``monotonically_increasing_id`` gives (partition id, position) per row
-   with a narrow projection; a partial-aggregate count per partition id is
-   the only extra job and returns one row per partition.
+   with a narrow projection; a partial aggregate per partition id (rows, and
+   bytes of text) is the only extra job and returns one row per partition.
 4. Prefix sums of those counts (one number per partition, a bound set by
-   the partition count, not the data) go back as a literal array; the key
+   the partition count, not the data) go back as one literal; the key
    is offset + position + 1.
 
 Result: keys 1..N, dense, in order, identical to the single-task window.
@@ -21,10 +21,11 @@ Result: keys 1..N, dense, in order, identical to the single-task window.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.session import ensure_checkpoint_dir
 
@@ -33,10 +34,17 @@ _POS_BITS = 33  # monotonically_increasing_id = partition_id << 33 | position
 
 @dataclass
 class Keyed:
-    """A keyed, materialised DataFrame and its exact row count."""
+    """A keyed, materialised DataFrame, its exact row count and the bytes of each text column."""
     df: DataFrame
     key: str
     rows: int
+    string_bytes: dict = field(default_factory=dict)
+
+
+def size_aggregates(df: DataFrame) -> list[Column]:
+    """Aggregates that measure a frame: rows ``n`` and, by column name, bytes of text."""
+    text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    return [F.count(F.lit(1)).alias("n"), *[F.sum(F.octet_length(c)).alias(c) for c in text]]
 
 
 def _order_cols(order_by) -> list[Column]:
@@ -51,7 +59,8 @@ def dense_key(df: DataFrame, order_by: list, key: str, *, method: str = "range",
     single-task window, for domains with a small proven bound.
     ``split_ties`` adds a row-unique tie-breaker so that many identical rows
     (a literal, non-distinct dimension) can spread over several ranges; such
-    rows are interchangeable, so the numbered result is the same multiset.
+    rows are interchangeable, so the numbered result is the same multiset. The
+    rows are checkpointed before they are tagged: a recomputed task tags them alike.
     """
     spark = df.sparkSession
     order = _order_cols(order_by)
@@ -59,14 +68,15 @@ def dense_key(df: DataFrame, order_by: list, key: str, *, method: str = "range",
     if method == "window":
         keyed = df.withColumn(key, F.row_number().over(Window.orderBy(*order)).cast("long"))
         keyed = keyed.select(key, *cols).checkpoint(eager=True)
-        return Keyed(keyed, key, keyed.count())
+        size = keyed.agg(*size_aggregates(keyed)).first().asDict()
+        return Keyed(keyed, key, size.pop("n"), {c: b or 0 for c, b in size.items()})
     if method != "range":
         raise ValueError(f"unknown key method {method!r}")
 
     ensure_checkpoint_dir(spark)
     sort_cols = list(order)
     if split_ties:
-        df = df.withColumn("_tie", F.monotonically_increasing_id())
+        df = df.checkpoint(eager=True).withColumn("_tie", F.monotonically_increasing_id())
         sort_cols.append(F.col("_tie"))
     # Without an explicit count AQE sizes the ranges from the shuffle
     # statistics: a small dimension ends up in one range, a large one in
@@ -82,14 +92,16 @@ def dense_key(df: DataFrame, order_by: list, key: str, *, method: str = "range",
         rid.bitwiseAND(F.lit((1 << _POS_BITS) - 1)).alias("_pos"),
     )
     # one row per non-empty partition; bounded by n, never by the data
-    counts = {r["_pid"]: r["n"] for r in
-              indexed.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes = {r["_pid"]: r for r in indexed.groupBy("_pid").agg(*size_aggregates(staged.select(*cols))).collect()}
+    counts = {pid: r["n"] for pid, r in sizes.items()}
     offsets, total = [], 0
     for pid in range(max(counts, default=-1) + 1):
         offsets.append(total)
         total += counts.get(pid, 0)
     if not offsets:
         offsets = [0]
-    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col("_pid") + 1)
-    keyed = indexed.select((offset + F.col("_pos") + 1).alias(key), *cols)
-    return Keyed(keyed, key, total)
+    # one text literal that the optimizer folds to an array, however many ranges there are
+    starts = F.split(F.lit(",".join(map(str, offsets))), ",").cast("array<bigint>")
+    keyed = indexed.select((F.element_at(starts, F.col("_pid") + 1) + F.col("_pos") + 1).alias(key), *cols)
+    text = [c for c in cols if isinstance(staged.schema[c].dataType, T.StringType)]
+    return Keyed(keyed, key, total, {c: sum(r[c] or 0 for r in sizes.values()) for c in text})

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.dims import Dimension
-from tessera.operators.star import broadcast_budget, estimated_bytes
+from tessera.operators.star import DimLink, broadcast_budget, side_bytes, star_join
 
 
 def yearly_totals(fact: DataFrame, by: list[str], year_key: str = "Year_key",
@@ -19,6 +19,31 @@ def yearly_totals(fact: DataFrame, by: list[str], year_key: str = "Year_key",
                      F.count(measure).alias("n")))
 
 
+def yearly_totals_wide(wide: DataFrame, row_links: list[DimLink], value_cols: list[str], cell_expr,
+                       cell_link: DimLink) -> DataFrame:
+    """``yearly_totals`` of a fact that is not built: sum and count of every value
+    column per natural key first, then the joins and the unpivot, on one row per
+    key, and a last sum per surrogate key (unknown members share the key NULL).
+
+    The source rows are shuffled as partial aggregates; no join sees them, so a
+    member with a third of the rows costs one row per task.
+    """
+    natural = [c for link in row_links for c in link.on.values()]
+    sums = (wide.groupBy(*natural)
+                .agg(*[F.sum(c).alias(f"{c}_total") for c in value_cols],
+                     *[F.count(c).alias(f"{c}_n") for c in value_cols]))
+    keyed = star_join(sums, row_links, [f"{c}_{k}" for c in value_cols for k in ("total", "n")])
+    cells = F.array(*[F.struct(F.lit(c).alias("cell"), F.col(f"{c}_total").cast("decimal(38,2)").alias("total"),
+                               F.col(f"{c}_n").alias("n")) for c in value_cols])
+    row_keys = [link.dim.key for link in row_links]
+    long = keyed.select(*row_keys, F.inline(cells)).where("n > 0")
+    (fact_col,) = cell_link.on.values()
+    long = long.select(*row_keys, cell_expr(F.col("cell")).alias(fact_col), "total", "n")
+    by = [*row_keys, cell_link.dim.key]
+    return (star_join(long, [cell_link], [*row_keys, "total", "n"]).groupBy(*by)
+            .agg(F.sum("total").alias("total"), F.sum("n").alias("n")))
+
+
 def year_over_year(totals: DataFrame, by: list[str], year_col: str = "Year",
                    value_col: str = "total") -> DataFrame:
     """Change against the year before of the same series; null where that year is
@@ -35,7 +60,7 @@ def year_over_year(totals: DataFrame, by: list[str], year_col: str = "Year",
 def attach(fact: DataFrame, dim: Dimension, columns: list[str]) -> DataFrame:
     """Left-join dimension attributes onto a fact by surrogate key (checked broadcast)."""
     side = dim.df.select(dim.key, *columns)
-    if estimated_bytes(dim.rows, side.schema) <= broadcast_budget(fact.sparkSession):
+    if side_bytes(dim, [dim.key, *columns]) <= broadcast_budget(fact.sparkSession):
         side = F.broadcast(side)
     return fact.join(side, dim.key, "left")
 

@@ -107,7 +107,7 @@ def fk_violations(fact: DataFrame, dims: list[Dimension], fact_keys: list[str] |
     column, prefixed ``<dimension>__`` (the star projection over all joined
     relations, with names that stay unique and writable).
     """
-    from tessera.operators.star import broadcast_budget, estimated_bytes, row_bucket
+    from tessera.operators.star import broadcast_budget, row_bucket, side_bytes
 
     fact_keys = fact_keys or [d.key for d in dims]
     budget = broadcast_budget(fact.sparkSession)
@@ -117,7 +117,7 @@ def fk_violations(fact: DataFrame, dims: list[Dimension], fact_keys: list[str] |
         extra = [F.col(c).alias(f"{d.name}__{c}") for c in d.df.columns] if with_dimensions else []
         side = d.df.select(F.col(d.key).alias(f"_dk{i}"), F.lit(True).alias(f"_hit{i}"), *extra)
         key = F.col(fk)
-        if estimated_bytes(d.rows, side.schema) <= budget:
+        if side_bytes(d, d.df.columns if with_dimensions else [d.key]) <= budget:
             side = F.broadcast(side)
         elif fact.schema[fk].dataType.typeName() in ("integer", "long"):
             key = F.coalesce(key, -1 - row_bucket(fact, NULL_BUCKETS))

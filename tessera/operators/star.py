@@ -1,7 +1,7 @@
 """Star joins: facts to dimension keys by left equi-joins on natural keys.
 
-Broadcasting is decided per dimension from its exact row count (known from
-key assignment) times an estimated row width, against a byte budget. Below
+Broadcasting is decided per dimension from its exact row count and the measured
+bytes of its texts (both known from key assignment), against a byte budget. Below
 the budget the dimension is broadcast (no shuffle of the fact); above it the
 join is left to the planner and AQE (sort-merge, skew splitting, runtime
 broadcast when the shuffled side turns out small).
@@ -25,17 +25,19 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-# Per-value size guesses (bytes) for the broadcast estimate; strings are the
-# unknown, so they are sized generously.
+# Bytes of one value; a text value adds its measured bytes.
 _WIDTH = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4,
           T.LongType: 8, T.FloatType: 4, T.DoubleType: 8, T.TimestampType: 8, T.DecimalType: 16,
-          T.StringType: 64}
+          T.StringType: 16}
 
 
-def estimated_bytes(rows: int, schema: T.StructType) -> int:
-    """Upper-end size of a dimension side in memory: rows x (values + row overhead)."""
-    width = sum(_WIDTH.get(type(f.dataType), 32) for f in schema.fields) + 16
-    return rows * width
+def side_bytes(dim: Dimension, columns: list[str]) -> int:
+    """Upper-end size in memory of these columns of a dimension: rows x (values + row
+    overhead) and twice the bytes of its texts (a join key may be upper-cased)."""
+    types = [dim.df.schema[c].dataType for c in columns]
+    width = sum(_WIDTH.get(type(t), 32) for t in types) + 16
+    text = sum(dim.string_bytes[c] for c, t in zip(columns, types) if isinstance(t, T.StringType))
+    return dim.rows * width + 2 * text
 
 
 def broadcast_budget(spark) -> int:
@@ -54,6 +56,7 @@ class DimLink:
     not broadcast: fact rows whose key is in ``hot_keys`` (or NULL) are spread
     over that many buckets, and the matching dimension rows are replicated
     into every bucket. ``hot_keys=None`` finds them with ``find_hot_keys``.
+    ``attributes`` are dimension columns that the joined rows carry with the key.
     """
     dim: Dimension
     on: dict
@@ -61,6 +64,7 @@ class DimLink:
     salt_buckets: int = 1
     hot_keys: list | None = None
     hot_support: float = 0.05
+    attributes: tuple = ()
 
 
 def find_hot_keys(df: DataFrame, column: str, support: float = 0.05) -> list:
@@ -106,17 +110,21 @@ def star_join(fact: DataFrame, links: list[DimLink], keep: list[str],
             dim_cols.append(d.alias(name))
             fact_cols.append(f.alias(name))
             names.append(name)
-        side = link.dim.df.select(F.col(link.dim.key), *dim_cols)
+        side = link.dim.df.select(F.col(link.dim.key), *link.attributes, *dim_cols)
         out = out.select("*", *fact_cols)
         join_on = list(names)
-        if estimated_bytes(link.dim.rows, side.schema) <= budget:
+        if side_bytes(link.dim, [link.dim.key, *link.attributes, *link.on]) <= budget:
             side = F.broadcast(side)
         elif link.salt_buckets > 1 and len(names) == 1:
             out, side, salt = _salted(out, side, names[0], link, i)
             join_on.append(salt)
         out = out.join(side, on=join_on, how=how).drop(*join_on)
-    keys = [link.dim.key for link in links]
-    return out.select(*keys, *keep)
+    return out.select(*_joined(links), *keep)
+
+
+def _joined(links: list[DimLink]) -> list[str]:
+    """Columns that the links add to a fact."""
+    return [c for link in links for c in (link.dim.key, *link.attributes)]
 
 
 def build_fact(long: DataFrame, links: list[DimLink], measure: str = "Value",
@@ -146,7 +154,7 @@ def unpivot_fact(wide: DataFrame, row_links: list[DimLink], value_cols: list[str
     """
     keyed = star_join(wide, row_links, list(keep_extra) + list(value_cols),
                       max_broadcast_bytes=max_broadcast_bytes)
-    row_keys = [link.dim.key for link in row_links]
+    row_keys = _joined(row_links)
     long = keyed.unpivot(row_keys + list(keep_extra), list(value_cols), "_cell", measure)
     long = long.select(*row_keys, *keep_extra, cell_expr(F.col("_cell")).alias(cell_col), measure)
     if drop_null_measure:

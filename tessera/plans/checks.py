@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import quality as Q
 from tessera.operators.dims import Dimension
+from tessera.operators.keys import size_aggregates
 from tessera.plans.gold import FACT_NAMES
 from tessera.specs import TABLES
 
@@ -32,7 +33,8 @@ def _exists(spark: SparkSession, name: str) -> bool:
 def load_dimension(spark: SparkSession, name: str, prefix: str = "") -> Dimension:
     key, nk = DIMS[name]
     df = spark.table(f"{prefix}gold.{name}")
-    return Dimension(name, df, key, nk, df.count())
+    size = df.agg(*size_aggregates(df)).first().asDict()
+    return Dimension(name, df, key, nk, size.pop("n"), {c: b or 0 for c, b in size.items()})
 
 
 def quality_checks(spark: SparkSession, tables=TABLES, conflict_pair=("domestic_accommodation", "sdg_12b1"),

@@ -24,7 +24,7 @@ from tessera.functions.text import clean_text, matches_any, untrimmed
 from tessera.operators import dims as D
 from tessera.operators import quality as Q
 from tessera.operators.keys import dense_key
-from tessera.operators.marts import attach, flat_star, year_over_year, yearly_totals
+from tessera.operators.marts import attach, year_over_year, yearly_totals_wide
 from tessera.operators.reshape import schema_columns, union_all, union_tagged, unpivot_years, widen
 from tessera.operators.star import DimLink, build_fact, unpivot_fact
 
@@ -315,12 +315,12 @@ def surrogate_key_scalable(spark, sf_dir):
 # facts
 # ---------------------------------------------------------------------------
 
-def _lineitem_star(spark, sf_dir, *, members: DataFrame | None = None):
+def _lineitem_star(spark, sf_dir, *, members: DataFrame | None = None, attributes: bool = False):
     """Long lineitem facts and their four dimensions.
 
     member = supplier, indicator = measure column (read from the schema),
     year = ship year, unit = return flag (mixed case on the fact side,
-    matched case-insensitively).
+    matched case-insensitively). ``attributes``: the links carry the dimensions' names.
     """
     li = load(spark, sf_dir, "lineitem")
     supp = load(spark, sf_dir, "supplier")
@@ -338,11 +338,12 @@ def _lineitem_star(spark, sf_dir, *, members: DataFrame | None = None):
     })
     dim_c, dim_i, dim_y, dim_u = built["c"], built["i"], built["y"], built["u"]
     unit = F.when(F.col("l_linenumber") % 2 == 1, F.lower("l_returnflag")).otherwise(F.col("l_returnflag"))
-    wide = wide.select("l_suppkey", F.year("l_shipdate").alias("Year"), unit.alias("Units"), *MEASURES)
-    row_links = [DimLink(dim_c, {"Country_id": "l_suppkey"}),
-                 DimLink(dim_y, {"Year": "Year"}),
-                 DimLink(dim_u, {"Measure_Units": "Units"}, collated=("Measure_Units",))]
-    cell_links = [DimLink(dim_i, {"Indicator_id": "measure"})]
+    wide = wide.select("l_suppkey", F.year("l_shipdate").alias("ship_year"), unit.alias("Units"), *MEASURES)
+    named = (lambda c: (c,)) if attributes else (lambda c: ())
+    row_links = [DimLink(dim_c, {"Country_id": "l_suppkey"}, attributes=named("Country_name")),
+                 DimLink(dim_y, {"Year": "ship_year"}, attributes=named("Year")),
+                 DimLink(dim_u, {"Measure_Units": "Units"}, collated=("Measure_Units",), attributes=named("Measure_Units"))]
+    cell_links = [DimLink(dim_i, {"Indicator_id": "measure"}, attributes=named("Indicator_name"))]
     return wide, row_links, cell_links, (dim_c, dim_i, dim_y, dim_u)
 
 
@@ -595,12 +596,11 @@ def dq_summary(spark, sf_dir):
 # ---------------------------------------------------------------------------
 
 def _mart_totals(spark, sf_dir):
-    wide, row_links, cell_links, dims = _lineitem_star(spark, sf_dir)
-    fact = _lineitem_fact(wide, row_links, cell_links)
-    totals = (yearly_totals(fact, ["Country_key", "Indicator_key"])
-              .select("Country_key", "Indicator_key", "Year_key",
-                      F.col("total").cast("decimal(38,2)").alias("total"), "n"))
-    return totals, dims
+    """Totals per member, measure and year, summed before the joins (the unit plays no part in them)."""
+    wide, (c, y, _), (i,), dims = _lineitem_star(spark, sf_dir)
+    totals = yearly_totals_wide(wide, [c, y], list(MEASURES), F.upper, i)
+    return totals.select("Country_key", "Indicator_key", "Year_key",
+                         F.col("total").cast("decimal(38,2)").alias("total"), "n"), dims
 
 
 def mart_year_agg(spark, sf_dir):
@@ -616,11 +616,10 @@ def mart_yoy(spark, sf_dir):
 
 
 def mart_flat(spark, sf_dir):
-    wide, row_links, cell_links, (dim_c, dim_i, dim_y, dim_u) = _lineitem_star(spark, sf_dir)
-    fact = _lineitem_fact(wide, row_links, cell_links)
-    flat = flat_star(fact, [(dim_c, ["Country_name"]), (dim_i, ["Indicator_name"]),
-                            (dim_y, ["Year"]), (dim_u, ["Measure_Units"])])
-    return flat.select("Country_name", "Indicator_name", "Year", "Measure_Units", "Value")
+    """The readable star; names come along with the row-level joins, one join per dimension."""
+    wide, row_links, (i,), _ = _lineitem_star(spark, sf_dir, attributes=True)
+    return unpivot_fact(wide, row_links, list(MEASURES), F.upper, "measure", [i],
+                        ["Country_name", "Indicator_name", "Year", "Measure_Units"])
 
 
 QUERIES = {

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.plans.derive import derive_raw_files
+from tessera.plans.derive import derive_raw_files, long_extract, orders_by_year, write_extract
 from tessera.plans.gold import FACT_NAMES, GoldOptions, Star, build_star, fact_cells
 from tessera.functions.text import noise_patterns
 from tessera.plans.silver import clean_table
@@ -366,7 +366,63 @@ def _full_reload_sql() -> str:
             "CAST(o_orderdate AS DATE) AS o_orderdate FROM orders")
 
 
+FAILURE_STEM = "sdg_891"
+
+
+def load_failure_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit rows of a load that must fail: an SDG extract of ``orders`` in which every
+    19th customer's lines have a field too many, and no rejected line is allowed."""
+    root = scratch_path(spark, "failure")
+    spec = next(t for t in TABLES if t.stem == FAILURE_STEM)
+    df = long_extract(orders_by_year(spark, sf_dir), spec)
+    stray = F.col("GeoAreaCode").cast("long") % 19 == 0
+    write_extract(df.withColumn("Units", F.when(stray, F.concat("Units", F.lit(";stray"))).otherwise(F.col("Units"))),
+                  f"{root}/{spec.stem}")
+    wh = Warehouse(spark, f"{root}/tables", tables=(spec,), prefix="failure_")
+    try:
+        wh.load_raw({spec.stem: f"{root}/{spec.stem}"})
+    except RejectThresholdExceeded:
+        pass    # the audit has it
+    return wh.audit_frame().drop(*TIMES, "error_line")
+
+
+def _load_failure_sql() -> str:
+    return f"""
+WITH l AS (SELECT o_custkey AS k FROM orders GROUP BY o_custkey, year(o_orderdate)),
+c AS (SELECT count(*) AS n, count(*) FILTER (WHERE k % 19 = 0) AS r FROM l)
+SELECT 'raw' AS layer, t AS table_name, CAST(NULL AS BIGINT) AS rows, CAST(NULL AS BIGINT) AS rejects,
+       'failed' AS status, 'RejectThresholdExceeded: ' || r || ' of ' || n || ' rows rejected in {FAILURE_STEM}' AS error,
+       'RejectThresholdExceeded' AS error_class, '-' AS error_condition, '-' AS error_state, 'run' AS error_procedure
+FROM c, (VALUES ('{FAILURE_STEM}'), ('*')) v(t)"""
+
+
+def define_then_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table declared (twice: the second keeps the first), empty until it is loaded,
+    then rows, sum and load stamps per order status."""
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    df = stamp(o.select("o_orderkey", "o_orderstatus", F.col("o_totalprice").cast("decimal(18,2)").alias("o_totalprice")))
+    root, table = scratch_path(spark, "defined"), "silver.orders_defined"
+    create_namespaces(spark, ["silver"])
+    define_table(spark, table, df.schema, version_path(root, table, "empty"), replace=True)
+    define_table(spark, table, df.schema, version_path(root, table, "other"))
+    before = spark.table(table).count()
+    publish(spark, df, table, root)
+    return spark.table(table).groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("o_totalprice").cast("decimal(38,2)").alias("total"),
+        F.count_distinct("dwh_create_date").alias("stamps"),
+        F.sum(F.col("dwh_create_date").isNull().cast("long")).alias("unstamped"),
+    ).withColumn("rows_before", F.lit(before).cast("long"))
+
+
+def _define_then_load_sql() -> str:
+    return ("SELECT o_orderstatus, count(*) AS rows, "
+            "CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total, CAST(1 AS BIGINT) AS stamps, "
+            "CAST(0 AS BIGINT) AS unstamped, CAST(0 AS BIGINT) AS rows_before FROM orders GROUP BY o_orderstatus")
+
+
 PIPELINE_QUERIES = {
+    "define_then_load": define_then_load,
+    "load_failure_audit": load_failure_audit,
     "csv_scan_roundtrip": csv_scan_roundtrip,
     "fact_grain": fact_grain,
     "full_reload": full_reload,
@@ -398,4 +454,5 @@ SELECT NULLIF(t[1], '') AS c_custkey, NULLIF(t[2], '') AS c_name, NULLIF(t[3], '
 FROM f"""
 
 
-PIPELINE_ORACLE = {"full_reload": _full_reload_sql, "csv_scan_roundtrip": _csv_scan_sql}
+PIPELINE_ORACLE = {"full_reload": _full_reload_sql, "csv_scan_roundtrip": _csv_scan_sql,
+                   "define_then_load": _define_then_load_sql, "load_failure_audit": _load_failure_sql}

@@ -58,3 +58,31 @@ def test_name_rules_read_precomputed_inputs(spark):
     # the rule inputs live in their own projection, the ladders read them
     assert "_nm0_u" in optimized and "_nm0_l" in optimized
     assert optimized.count("Project [") >= 2
+
+
+def test_totals_are_summed_before_any_join(spark):
+    ops = tree_ops(plan(QUERIES["mart_year_agg"](spark, SF)))
+    # root first: last sum, the indicator join, member and year joins, and the first sum below them all
+    assert [o for o in ops if o != "Expand"] == ["Exchange hashpartitioning", "BroadcastHashJoin", "BroadcastHashJoin",
+                                                 "BroadcastHashJoin", "Exchange hashpartitioning"]
+
+
+def test_flat_star_joins_each_dimension_once_without_broadcast(spark):
+    spark.conf.set("tessera.broadcast.maxBytes", "0")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ops = tree_ops(plan(QUERIES["mart_flat"](spark, SF)))
+    finally:
+        spark.conf.unset("tessera.broadcast.maxBytes")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert ops.count("SortMergeJoin") == 4
+
+
+def test_broadcast_size_is_measured(spark):
+    from tessera.operators import dims as D
+    from tessera.operators.star import side_bytes
+    src = spark.createDataFrame([(i, "n" * 10_000) for i in range(50)], "id int, name string")
+    dim = D.member_dim([src])
+    assert dim.string_bytes == {"Country_name": 500_000}
+    assert side_bytes(dim, ["Country_key", "Country_id"]) < 2_000 < 1_000_000 <= side_bytes(dim, ["Country_key", "Country_name"])
+    assert D.unit_dim([src.selectExpr("name AS Units")]).rows == 1
