@@ -10,14 +10,20 @@ same raw -> clean projection can run as a file-source stream instead:
   store is involved);
 * ``foreachBatch`` writes good rows and rejects to per-batch directories
   keyed by the batch id, overwriting that directory on a retry, so a
-  replayed batch after a failure does not duplicate rows.
+  replayed batch after a failure does not duplicate rows;
+* a batch is parsed once: it is persisted for the count and the two writes. A
+  share of rejected lines above ``max_reject_fraction`` (0, as in the batch
+  load) stops the stream before the batch is written.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.text import noise_patterns
+from tessera.plans.pipeline import RejectThresholdExceeded
 from tessera.plans.silver import clean_table
 from tessera.session import ensure_checkpoint_dir
 from tessera.sources.delimited import REJECT_COL, good_rows, read_delimited, spec_length_limits
@@ -25,17 +31,18 @@ from tessera.specs import RAW_LENGTH_LIMITS, YEAR_CELL_LIMIT, TableSpec
 
 
 def landing_stream(spark: SparkSession, spec: TableSpec, input_dir: str,
-                   max_files_per_trigger: int | None = None) -> DataFrame:
+                   max_files_per_trigger: int | None = None, quote: str = "") -> DataFrame:
     """Streaming DataFrame of raw rows with the reject column."""
     schema = spec.raw_schema()
     opts = {"maxFilesPerTrigger": max_files_per_trigger} if max_files_per_trigger else None
-    return read_delimited(spark, input_dir, schema, stream=True, options=opts,
+    return read_delimited(spark, input_dir, schema, stream=True, options=opts, quote=quote,
                           length_limits=spec_length_limits(schema, RAW_LENGTH_LIMITS, YEAR_CELL_LIMIT))
 
 
 def start_landing(spark: SparkSession, spec: TableSpec, input_dir: str, output_dir: str, *,
                   checkpoint: str | None = None, available_now: bool = True,
-                  processing_time: str | None = None):
+                  processing_time: str | None = None, max_files_per_trigger: int | None = None,
+                  quote: str = "", max_reject_fraction: float = 0.0):
     """Start the landing query; returns the ``StreamingQuery``.
 
     ``available_now`` processes what is there and stops (scheduled runs);
@@ -46,12 +53,19 @@ def start_landing(spark: SparkSession, spec: TableSpec, input_dir: str, output_d
     out = output_dir.rstrip("/")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rejects = batch.filter(F.col(REJECT_COL).isNotNull())
-        clean = clean_table(good_rows(batch), spec)
-        clean.write.mode("overwrite").parquet(f"{out}/clean/batch_id={batch_id}")
-        rejects.write.mode("overwrite").parquet(f"{out}/rejects/batch_id={batch_id}")
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            rows, bad = batch.agg(F.count(F.lit(1)), F.count(REJECT_COL)).first()
+            if bad > max_reject_fraction * rows:
+                raise RejectThresholdExceeded(f"{bad} of {rows} rows rejected in {spec.stem}, batch {batch_id}")
+            clean = clean_table(good_rows(batch), spec, noise_patterns(quote))
+            clean.write.mode("overwrite").parquet(f"{out}/clean/batch_id={batch_id}")
+            rejects = batch.filter(F.col(REJECT_COL).isNotNull())
+            rejects.write.mode("overwrite").parquet(f"{out}/rejects/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
-    writer = (landing_stream(spark, spec, input_dir).writeStream
+    writer = (landing_stream(spark, spec, input_dir, max_files_per_trigger, quote).writeStream
               .foreachBatch(write_batch)
               .option("checkpointLocation", checkpoint))
     if available_now:

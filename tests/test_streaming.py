@@ -2,6 +2,9 @@
 
 import os
 
+import pytest
+from pyspark.errors import StreamingQueryException
+
 from tessera import specs
 from tessera.streaming import read_landed, start_landing
 from tests.test_pipeline import wide_line, write
@@ -21,7 +24,10 @@ def test_landing_two_rounds(spark, tmp_dir):
     write(os.path.join(inp, "b.csv"), header,
           [wide_line(spec, "724", "13", "SPAIN", ["Arrivals", "", "", ""], "Units", {}),
            wide_line(spec, "1", "1", "BAD", ["", "", "", ""], "", {}, extra="x")])
-    q = start_landing(spark, spec, inp, out, checkpoint=ckpt)
+    with pytest.raises(StreamingQueryException, match="1 of 2 rows rejected"):      # no share allowed
+        start_landing(spark, spec, inp, out, checkpoint=ckpt).awaitTermination(120)
+    assert read_landed(spark, out).count() == 1
+    q = start_landing(spark, spec, inp, out, checkpoint=ckpt, max_reject_fraction=0.5, max_files_per_trigger=1)
     q.awaitTermination(120)
     rows = read_landed(spark, out).collect()
     assert sorted(r.Country_code for r in rows) == [380, 724]     # a.csv not processed again
