@@ -13,13 +13,18 @@ their order. The language of the least code length wins (ties: code point
 order); ``score`` is its share of the total probability of the text under
 equal priors.
 
-Training uses a documented bounded sample: of each of the ``LANGUAGES`` most
-frequent labels, about ``TRAIN_DOCS`` labelled texts of least hash, of each at
-most ``TRAIN_CHARS`` characters. Prediction reads whole texts.
+Every label is learned, from a documented bounded sample of its rows: the
+labelled texts of least hash, at most ``TRAIN_DOCS`` of them and at least one,
+each read whole. Context counts are pre-aggregated a piece of text and summed by
+language and string on Spark. The cost tables are built and scored in blocks of
+languages, each of at most ``CELLS`` costs of four-byte strings (a language
+alone may have more), so neither labels nor texts are cut; a worker unpacks one
+block at a time. Prediction reads whole texts.
 
 Edge cases: ``und`` with score 0 for a null text, a text without a letter, or
 when nothing could be learned; a null ``doc_id`` is not held out; repeated rows
-get equal results; extra columns are ignored; an empty table gives no row.
+get equal results; extra columns are ignored; a label without a text
+of a byte or more is not learned; an empty table gives no row.
 """
 
 from __future__ import annotations
@@ -27,14 +32,18 @@ from __future__ import annotations
 import pickle
 import re
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import ship_code
+from tessera.llm.common import materialise, ship_code
 
-TRAIN_DOCS, TRAIN_CHARS, LANGUAGES = 300, 8000, 64
+TRAIN_DOCS = 300
+#: Costs of four-byte strings (strings times languages) and languages of a block.
+CELLS, BLOCK = 1 << 24, 32
 UNIT = 65536
 _LETTER = re.compile(r"[^\W\d_]")
 _CHUNK = 1 << 20
@@ -172,55 +181,143 @@ class Model:
         return out
 
 
-def train(docs: DataFrame, train_docs: int = TRAIN_DOCS, train_chars: int = TRAIN_CHARS, languages: int = LANGUAGES) -> Model | None:
-    """Learn from ``docs(doc_id, text, lang)`` that are not held out; None if there is nothing to learn from."""
-    rows = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-    frequent = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
-    if not frequent:
-        return None
-    # a hash threshold that about 1.3 * train_docs texts of each language pass: the sample is bounded before it is collected
+def _counted(batches):
+    """Strings ``code`` of ``k`` bytes and their counts ``n`` in pieces of the texts, a row a string."""
+    import pyarrow as pa
+
+    for batch in batches:
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            data = b"\0\0\0" + text.encode()
+            for low in range(0, len(data) - 3, _CHUNK):
+                piece = np.frombuffer(data[low:low + _CHUNK + 3], np.uint8)
+                for k in range(1, 5):
+                    codes, n = np.unique(_codes(piece, k), return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(codes), pa.string()), pa.array(np.full(len(codes), k, np.int32)),
+                                                      pa.array(codes.astype(np.int64)), pa.array(n.astype(np.int64))], names=["lang", "k", "code", "n"])
+
+
+def _packed(batches):
+    """The strings and counts of a language and length in a batch as one row."""
+    import pyarrow as pa
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        lang, level = np.unique(np.array(batch.column(0).to_pylist(), object), return_inverse=True)
+        k, codes, n = (batch.column(i).to_numpy() for i in (1, 2, 3))
+        names, kinds, strings, counts = [], [], [], []
+        for i, name in enumerate(lang):
+            for length in range(1, 5):
+                here = (level == i) & (k == length)
+                names.append(name)
+                kinds.append(length)
+                strings.append(codes[here].astype("<u4").tobytes())
+                counts.append(n[here].astype("<i8").tobytes())
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(kinds, pa.int32()), pa.array(strings, pa.binary()), pa.array(counts, pa.binary())],
+                                         names=["lang", "k", "codes", "counts"])
+
+
+def blocks_of(sizes: dict[str, int], cells: int = CELLS, block: int = BLOCK) -> list[list[str]]:
+    """Languages in code point order, cut into runs of at most ``block`` whose strings times languages stay within ``cells``."""
+    out, held = [], 0
+    for lang in sorted(sizes):
+        if not out or len(out[-1]) == block or (held + sizes[lang]) * (len(out[-1]) + 1) > cells:
+            out.append([])
+            held = 0
+        out[-1].append(lang)
+        held += sizes[lang]
+    return out
+
+
+def sample(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
+    """``lang, text`` of the rows to learn from: of every label those of least hash."""
     space = 1 << 30
-    limits = {r["lang"]: max(1, min(space, int(1.3 * train_docs / r["count"] * space))) for r in frequent}
-    limit = F.create_map(*[F.lit(x) for pair in limits.items() for x in pair])[F.col("lang")]
-    h = F.xxhash64("doc_id", "text")
-    sample = (rows.withColumn("h", h).where(F.pmod("h", F.lit(space)) < limit)
-              .select("lang", "h", F.substring("text", 1, train_chars).alias("text")).distinct().collect())
-    by: dict[str, list] = {}
-    for r in sorted(sample, key=lambda r: (r["h"] % space, r["text"])):
-        by.setdefault(r["lang"], []).append(r["text"].encode())
-    return Model({lang: context_counts(texts[:train_docs]) for lang, texts in by.items()}) if by else None
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).where(
+        (F.col("text") != "") & F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))).withColumn("h", F.xxhash64("doc_id", "text"))
+    at = F.pmod("h", F.lit(space))
+    # a hash threshold that about 1.3 * train_docs texts of each label pass, the least one always: a label's rows are bounded before they meet
+    limits = rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("count"), F.min(at).alias("least")).select(
+        "lang", F.greatest(F.col("least") + 1, F.lit(1.3 * train_docs * space) / F.col("count")).alias("limit"))
+    near = rows.join(F.broadcast(limits), "lang").where(at < F.col("limit")).select("lang", "h", "text").distinct()
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(at, "h", "text"))
+    return near.withColumn("place", place).where(F.col("place") <= train_docs).select("lang", "text")
+
+
+def train(docs: DataFrame, train_docs: int = TRAIN_DOCS, cells: int = CELLS, block: int = BLOCK) -> list[Broadcast] | None:
+    """Learn from ``docs(doc_id, text, lang)`` that are not held out: the pickled ``Model`` of each block of
+    languages; None if there is nothing to learn from."""
+    spark = docs.sparkSession
+    ship_code(spark)
+    chosen = materialise(sample(docs, train_docs), "ppm-sample")
+    found = chosen.mapInArrow(_counted, "lang string, k int, code long, n long").groupBy("lang", "k", "code").agg(F.sum("n").alias("n"))
+    counts = materialise(found, "ppm-contexts")
+    sizes = {r["lang"]: r["count"] for r in counts.where("k = 4").groupBy("lang").count().collect()}
+    out = []
+    for langs in blocks_of(sizes, cells, block):
+        own = counts.where(F.col("lang").between(langs[0], langs[-1]))      # UTF-8 bytes and code points sort alike
+        parts: dict[tuple, list] = {}
+        for r in own.mapInArrow(_packed, "lang string, k int, codes binary, counts binary").toLocalIterator():
+            parts.setdefault((r["lang"], r["k"]), []).append((np.frombuffer(r["codes"], "<u4"), np.frombuffer(r["counts"], "<i8")))
+        trees = {}
+        for lang in langs:
+            trees[lang] = []
+            for k in range(1, 5):
+                codes, n = (np.concatenate(x) for x in zip(*parts[lang, k]))
+                order = np.argsort(codes)
+                trees[lang].append((codes[order], n[order]))
+        out.append(spark.sparkContext.broadcast(pickle.dumps(Model(trees))))
+    return out or None
 
 
 _models: dict[str, Model] = {}
 
 
-def predict(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def _each_model(name: str, sent: list[Broadcast]) -> Iterator[Model]:
+    """The blocks' models in turn; a single one is kept, of several only the current one and no pickled copy."""
+    if len(sent) == 1:
+        if name not in _models:
+            _models.clear()
+            _models[name] = pickle.loads(sent[0].value)
+        yield _models[name]
+        return
+    for one in sent:
+        model = pickle.loads(one.value)
+        one.__dict__.pop("_value", None)                # reread from the executor's file for the next batch
+        yield model
+
+
+def predict(docs: DataFrame, learned: list[Broadcast] | None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Columns ``keep`` (text among them, if wanted, comes last), ``lang_pred``, ``score`` and
     ``bits_per_byte`` (of the best language, null for ``und``)."""
     spark = docs.sparkSession
     ship_code(spark)
     name = uuid.uuid4().hex
-    sent = spark.sparkContext.broadcast(pickle.dumps(model))   # its size follows the bounded sample
+    sent = learned or []
 
     def run(batches):
         import pyarrow as pa
 
-        if name not in _models:
-            _models.clear()
-            _models[name] = pickle.loads(sent.value)
-        own = _models[name]
         for batch in batches:
             texts = batch.column(batch.num_columns - 1).to_pylist()
-            real = [i for i, t in enumerate(texts) if own and t and _LETTER.search(t)]
+            real = [i for i, t in enumerate(texts) if sent and t and _LETTER.search(t)]
             data = [texts[i].encode() for i in real]
             best, score, rate = ["und"] * len(texts), [0.0] * len(texts), [None] * len(texts)
             if real:
-                length = own.code_lengths(data)
-                least = length.argmin(axis=1)
-                more = (length - length.min(axis=1, keepdims=True)) / UNIT
-                share = 1 / np.exp2(-np.minimum(more, 1000.0)).sum(axis=1)
-                for i, w, s, n, d in zip(real, least.tolist(), share.tolist(), length.min(axis=1).tolist(), data):
-                    best[i], score[i], rate[i] = own.languages[w], s, n / UNIT / len(d)
+                least, total, names = None, None, None
+                for model in _each_model(name, sent):
+                    length = model.code_lengths(data)
+                    low = length.min(axis=1)
+                    own = np.exp2(-np.minimum((length - low[:, None]) / UNIT, 1000.0)).sum(axis=1)
+                    found = np.array(model.languages, object)[length.argmin(axis=1)]
+                    if least is None:
+                        least, total, names = low, own, found
+                        continue
+                    both = np.minimum(least, low)                    # ties: the earlier block, in code point order
+                    names = np.where(low < least, found, names)
+                    total = total * np.exp2(-np.minimum((least - both) / UNIT, 1000.0)) + own * np.exp2(-np.minimum((low - both) / UNIT, 1000.0))
+                    least = both
+                for i, w, s, n, d in zip(real, names.tolist(), (1 / total).tolist(), least.tolist(), data):
+                    best[i], score[i], rate[i] = w, s, n / UNIT / len(d)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:len(out)], pa.array(best), pa.array(score, pa.float64()), pa.array(rate, pa.float64())],
                 names=[*out, "lang_pred", "score", "bits_per_byte"])

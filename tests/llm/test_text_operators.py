@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -65,6 +66,37 @@ def test_ppm_predicts(docs, no_docs):
     assert {r["lang_pred"] for r in ppm.predict(docs, None).collect()} == {"und"}
 
 
+def test_ppm_learns_every_label_from_whole_texts(spark):
+    """70 labels, each in letters of its own that stand after character 8,000 of its only learned text, scored in several blocks too."""
+    def words(i):
+        return " ".join(chr(0x4E00 + 40 * i + j) + chr(0x4E00 + 40 * i + (3 * j) % 40) for j in range(40))
+
+    ids = [i for i in range(4000) if zlib.crc32(str(i).encode()) % 4 != 2]
+    rows = [(ids[i], "a b " * 2100 + words(i), f"x{i:03}") for i in range(70)]
+    # one label's only text stands in many repeated rows
+    rows += [rows[7]] * 900
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    asked = spark.createDataFrame([(i, words(i), None) for i in range(70)], docs.schema)
+    got = []
+    for size in (1000, 6):
+        learned = ppm.train(docs, block=size)
+        assert len(learned) == -(-70 // size)
+        got.append({r["doc_id"]: r for r in ppm.predict(asked, learned).collect()})
+        assert [got[-1][i]["lang_pred"] for i in range(70)] == [f"x{i:03}" for i in range(70)]
+    assert all(a["bits_per_byte"] == got[1][i]["bits_per_byte"] and abs(a["score"] - got[1][i]["score"]) < 1e-12 for i, a in got[0].items())
+    want = ppm.Model({r[2]: ppm.context_counts([r[1].encode()]) for r in rows})
+    lengths = want.code_lengths([words(i).encode() for i in range(70)])
+    assert all(round(got[0][i]["bits_per_byte"] * len(words(i).encode()) * ppm.UNIT) == lengths[i].min() for i in range(70))
+
+
+def test_ppm_blocks_are_bounded():
+    sizes = {f"x{i:03}": 10 + i for i in range(100)}
+    parts = ppm.blocks_of(sizes, cells=1000, block=8)
+    assert sum(parts, []) == sorted(sizes) and all(len(p) <= 8 for p in parts)
+    assert all(len(p) == 1 or len(p) * sum(sizes[x] for x in p) <= 1000 for p in parts)
+    assert ppm.blocks_of({}) == [] and ppm.blocks_of({"a": 10 ** 12, "b": 1}) == [["a"], ["b"]]
+
+
 def test_ppm_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     r = ppm.predict(docs, ppm.train(docs), keep=("doc_id", "lang")).where(ppm.held_out(F.col("doc_id")))
