@@ -17,15 +17,29 @@ from pyspark.sql import functions as F
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Bits a byte under the best language from which a text is in none of them. Running text takes 2 to 3, random letters and digits 6 and more.
 FOREIGN_BITS = 6.0
+#: Bytes that a text is judged by at least; they must also be half of the text's.
+JUDGED_BYTES = 64
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the texts of a learned language: out go those without a letter and those that no language compresses."""
+    """Out go the texts without a letter and those that no language compresses.
+
+    The rate is that of the bytes that say something: not the first three, and
+    not those of characters that no learned text holds. A text too short to
+    judge, or written mostly in such characters, stays, and so does one of which
+    more than half of the words are below the rate (a sentence with a key in it);
+    so does any text with a letter if nothing could be learned.
+    """
     from tessera.llm.ppm import predict, train
 
     own = docs.select(*COLUMNS)
-    found = predict(own, train(own), keep=COLUMNS)
-    return found.where((F.col("lang_pred") != "und") & (F.col("bits_per_byte") < FOREIGN_BITS)).select(*COLUMNS)
+    learned = train(own)
+    if learned is None:
+        return own.where(F.col("text").cast("string").rlike(r"\p{L}"))
+    found = predict(own, learned, keep=COLUMNS, evidence=FOREIGN_BITS)
+    judged = (F.col("judged_bytes") >= JUDGED_BYTES) & (2 * F.col("judged_bytes") >= F.col("n_bytes"))
+    foreign = judged & (F.col("judged_bits") >= FOREIGN_BITS * F.col("judged_bytes")) & (F.col("dear_words") >= 0.5)
+    return found.where((F.col("lang_pred") != "und") & ~foreign).select(*COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -33,6 +33,7 @@ import pickle
 import re
 import uuid
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 from pyspark import Broadcast
@@ -153,10 +154,12 @@ class Model:
             cost[miss] = low
         return cost
 
-    def code_lengths(self, texts: list[bytes]) -> np.ndarray:
-        """Code length of each text under each language, in 1/UNIT bits."""
+    def code_lengths(self, texts: list[bytes], skip: list[np.ndarray] | None = None):
+        """Code length of each text under each language, in 1/UNIT bits; with ``skip``, true for some
+        bytes of each text, also the part of it that falls on them."""
         out = np.zeros((len(texts), len(self.languages)), np.int64)
-        which, parts, held = [], [], 0
+        skipped = np.zeros_like(out)
+        which, parts, left_out, held = [], [], [], 0
 
         def flush():
             data = np.frombuffer(b"".join(parts), np.uint8)
@@ -166,19 +169,51 @@ class Model:
             edges = np.stack((starts, ends - 3), 1).ravel()
             sums = np.add.reduceat(np.concatenate((cost, np.zeros((1, cost.shape[1]), np.int64))), edges, axis=0)[::2]
             np.add.at(out, which, sums)
+            for i, start, at in zip(which, starts, left_out):
+                skipped[i] += cost[start + at].sum(axis=0)
 
         for i, text in enumerate(texts):
             for low in range(0, len(text), _CHUNK):
                 part = text[max(0, low - 3):low + _CHUNK]
                 parts.append(part if low else b"\0\0\0" + part)
                 which.append(i)
+                if skip is not None:
+                    left_out.append(np.flatnonzero(skip[i][low:low + _CHUNK]))
                 held += len(parts[-1])
                 if held >= _CHUNK:
                     flush()
-                    which, parts, held = [], [], 0
+                    which, parts, left_out, held = [], [], [], 0
         if parts:
             flush()
-        return out
+        return out if skip is None else (out, skipped)
+
+
+    def dear_words(self, text: bytes, skip: np.ndarray, bits: float) -> float:
+        """Share of the words that cost ``bits`` a byte or more, of those with bytes outside ``skip`` (whose
+        costs count only), under the language with the fewest; a word across the border of two pieces of
+        ``_CHUNK`` bytes is two."""
+        data, words, dear = np.frombuffer(b"\0\0\0" + text, np.uint8), 0, np.zeros(len(self.languages), np.int64)
+        for low in range(0, len(text), _CHUNK):
+            piece, out = data[low:low + _CHUNK + 3], skip[low:low + _CHUNK]
+            cost = self.costs(_codes(piece, 4))
+            space = (piece[3:] == 32) | (piece[3:] >= 9) & (piece[3:] <= 13)
+            own = ~(space | out)
+            word = np.cumsum(space)[own]
+            n = np.bincount(word)
+            real = n > 0
+            words += int(real.sum())
+            for i in range(len(dear)):
+                dear[i] += int((np.bincount(word, cost[own, i])[real] >= bits * UNIT * n[real]).sum())
+        return int(dear.min()) / words if words else 0.0
+
+
+def no_evidence(text: str, letters: np.ndarray) -> np.ndarray:
+    """Of each byte of a text, whether its cost says nothing: it is one of the first three, whose contexts
+    reach before the text, or belongs to a character that is not among ``letters`` (truth by code point)."""
+    points = np.frombuffer(text.encode("utf-32-le"), "<u4")
+    out = np.repeat(~letters[points], 1 + (points >= 0x80) + (points >= 0x800) + (points >= 0x10000))
+    out[:3] = True
+    return out
 
 
 def _counted(batches):
@@ -243,16 +278,32 @@ def sample(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
     return near.withColumn("place", place).where(F.col("place") <= train_docs).select("lang", "text")
 
 
-def train(docs: DataFrame, train_docs: int = TRAIN_DOCS, cells: int = CELLS, block: int = BLOCK) -> list[Broadcast] | None:
-    """Learn from ``docs(doc_id, text, lang)`` that are not held out: the pickled ``Model`` of each block of
-    languages; None if there is nothing to learn from."""
+def characters(tree: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Code points of the characters that a language's strings of one to four bytes hold."""
+    one, two, three, four = (t[0].astype(np.uint32) for t in tree)
+    two, three, four = two[two >> 8 >= 0xC2], three[three >> 16 >= 0xE0], four[four >> 24 >= 0xF0]
+    three = three[three >> 16 < 0xF0]
+    two = two[two >> 8 < 0xE0]
+    return np.concatenate((one[one < 0x80], (two >> 8 & 31) << 6 | two & 63, (three >> 16 & 15) << 12 | (three >> 8 & 63) << 6 | three & 63,
+                           (four >> 24 & 7) << 18 | (four >> 16 & 63) << 12 | (four >> 8 & 63) << 6 | four & 63))
+
+
+class Learned(NamedTuple):
+    #: the pickled ``Model`` of each block of languages
+    blocks: list[Broadcast]
+    #: by code point, whether a learned text holds the character
+    letters: Broadcast
+
+
+def train(docs: DataFrame, train_docs: int = TRAIN_DOCS, cells: int = CELLS, block: int = BLOCK) -> Learned | None:
+    """Learn from ``docs(doc_id, text, lang)`` that are not held out; None if there is nothing to learn from."""
     spark = docs.sparkSession
     ship_code(spark)
     chosen = materialise(sample(docs, train_docs), "ppm-sample")
     found = chosen.mapInArrow(_counted, "lang string, k int, code long, n long").groupBy("lang", "k", "code").agg(F.sum("n").alias("n"))
     counts = materialise(found, "ppm-contexts")
     sizes = {r["lang"]: r["count"] for r in counts.where("k = 4").groupBy("lang").count().collect()}
-    out = []
+    out, letters = [], np.zeros(0x110000, bool)
     for langs in blocks_of(sizes, cells, block):
         own = counts.where(F.col("lang").between(langs[0], langs[-1]))      # UTF-8 bytes and code points sort alike
         parts: dict[tuple, list] = {}
@@ -265,8 +316,9 @@ def train(docs: DataFrame, train_docs: int = TRAIN_DOCS, cells: int = CELLS, blo
                 codes, n = (np.concatenate(x) for x in zip(*parts[lang, k]))
                 order = np.argsort(codes)
                 trees[lang].append((codes[order], n[order]))
+            letters[characters(trees[lang])] = True
         out.append(spark.sparkContext.broadcast(pickle.dumps(Model(trees))))
-    return out or None
+    return Learned(out, spark.sparkContext.broadcast(letters)) if out else None
 
 
 _models: dict[str, Model] = {}
@@ -286,13 +338,20 @@ def _each_model(name: str, sent: list[Broadcast]) -> Iterator[Model]:
         yield model
 
 
-def predict(docs: DataFrame, learned: list[Broadcast] | None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def predict(docs: DataFrame, learned: Learned | None, keep: tuple[str, ...] = ("doc_id",), evidence: float | None = None) -> DataFrame:
     """Columns ``keep`` (text among them, if wanted, comes last), ``lang_pred``, ``score`` and
-    ``bits_per_byte`` (of the best language, null for ``und``)."""
+    ``bits_per_byte`` (of the best language, null for ``und``).
+
+    With ``evidence``, a number of bits a byte, also ``n_bytes``, ``judged_bytes`` (those that
+    ``no_evidence`` leaves), ``judged_bits``, the least that they cost in a language, and ``dear_words``,
+    the least share of words at that rate or above in a language (0 where the judged bytes as a whole
+    are below it). The language predicted needn't be that one: noise in a text costs least in a label of few rows.
+    """
     spark = docs.sparkSession
     ship_code(spark)
     name = uuid.uuid4().hex
-    sent = learned or []
+    sent = learned.blocks if learned else []
+    letters = learned.letters if learned else None
 
     def run(batches):
         import pyarrow as pa
@@ -302,27 +361,41 @@ def predict(docs: DataFrame, learned: list[Broadcast] | None, keep: tuple[str, .
             real = [i for i, t in enumerate(texts) if sent and t and _LETTER.search(t)]
             data = [texts[i].encode() for i in real]
             best, score, rate = ["und"] * len(texts), [0.0] * len(texts), [None] * len(texts)
+            size, judged, bits, dear = [0] * len(texts), [0] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
             if real:
-                least, total, names = None, None, None
+                least, total, names, part = None, None, None, None
+                skip = [no_evidence(texts[i], letters.value) for i in real] if evidence else None
                 for model in _each_model(name, sent):
-                    length = model.code_lengths(data)
-                    low = length.min(axis=1)
+                    length, skipped = model.code_lengths(data, skip) if evidence else (model.code_lengths(data), None)
+                    low, at = length.min(axis=1), length.argmin(axis=1)
+                    own_part = (length - skipped).min(axis=1) if evidence else low
+                    if evidence:
+                        for j, (i, x) in enumerate(zip(real, skip)):
+                            n = int(len(x) - x.sum())
+                            share = model.dear_words(data[j], x, evidence) if n and own_part[j] >= evidence * UNIT * n else 0.0
+                            dear[i] = share if least is None else min(dear[i], share)
                     own = np.exp2(-np.minimum((length - low[:, None]) / UNIT, 1000.0)).sum(axis=1)
-                    found = np.array(model.languages, object)[length.argmin(axis=1)]
+                    found = np.array(model.languages, object)[at]
                     if least is None:
-                        least, total, names = low, own, found
+                        least, total, names, part = low, own, found, own_part
                         continue
                     both = np.minimum(least, low)                    # ties: the earlier block, in code point order
                     names = np.where(low < least, found, names)
+                    part = np.minimum(part, own_part)
                     total = total * np.exp2(-np.minimum((least - both) / UNIT, 1000.0)) + own * np.exp2(-np.minimum((low - both) / UNIT, 1000.0))
                     least = both
                 for i, w, s, n, d in zip(real, names.tolist(), (1 / total).tolist(), least.tolist(), data):
                     best[i], score[i], rate[i] = w, s, n / UNIT / len(d)
+                if evidence:
+                    for i, n, x in zip(real, part.tolist(), skip):
+                        size[i], judged[i], bits[i] = len(x), int(len(x) - x.sum()), n / UNIT
+            more = [pa.array(size, pa.int64()), pa.array(judged, pa.int64()), pa.array(bits, pa.float64()), pa.array(dear, pa.float64())] if evidence else []
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:len(out)], pa.array(best), pa.array(score, pa.float64()), pa.array(rate, pa.float64())],
-                names=[*out, "lang_pred", "score", "bits_per_byte"])
+                [*batch.columns[:len(out)], pa.array(best), pa.array(score, pa.float64()), pa.array(rate, pa.float64()), *more],
+                names=[*out, "lang_pred", "score", "bits_per_byte", *added])
 
     rows = docs.select(*(c for c in keep if c != "text"), F.col("text").cast("string").alias("text"))
     out = [c for c in rows.columns if c in keep]
     kinds = dict(rows.dtypes)
-    return rows.mapInArrow(run, ", ".join([*(f"`{c}` {kinds[c]}" for c in out), "lang_pred string, score double, bits_per_byte double"]))
+    added = {"n_bytes": "long", "judged_bytes": "long", "judged_bits": "double", "dear_words": "double"} if evidence else {}
+    return rows.mapInArrow(run, ", ".join([*(f"`{c}` {kinds[c]}" for c in out), "lang_pred string, score double, bits_per_byte double", *(f"{c} {k}" for c, k in added.items())]))

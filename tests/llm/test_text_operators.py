@@ -80,7 +80,7 @@ def test_ppm_learns_every_label_from_whole_texts(spark):
     got = []
     for size in (1000, 6):
         learned = ppm.train(docs, block=size)
-        assert len(learned) == -(-70 // size)
+        assert len(learned.blocks) == -(-70 // size)
         got.append({r["doc_id"]: r for r in ppm.predict(asked, learned).collect()})
         assert [got[-1][i]["lang_pred"] for i in range(70)] == [f"x{i:03}" for i in range(70)]
     assert all(a["bits_per_byte"] == got[1][i]["bits_per_byte"] and abs(a["score"] - got[1][i]["score"]) < 1e-12 for i, a in got[0].items())

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import zlib
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -176,6 +177,31 @@ def test_pipeline_stages(spark):
         assert stage(spark, empty, "").count() == 0
 
 
+def test_pipeline_language_rejects_on_evidence_only(spark):
+    """Short clean texts and labels with few or only held-out rows stay; long random letters go."""
+    import corpus_pipeline as pipe
+
+    rnd = random.Random(3)
+    held = [i for i in range(9000) if zlib.crc32(str(i).encode()) % 4 == 2]
+    free = [i for i in range(9000) if zlib.crc32(str(i).encode()) % 4 != 2]
+    rows = [doc(free.pop(), (EN if i % 2 else FR) * 3 + f"Number {i}.", "en" if i % 2 else "fr", "a") for i in range(40)]
+    rows += [doc(free.pop(), t, "en", "a") for t in ("ok", "Zoë", "Xylqz", "QWJKX", "Žižek", "GmbH")]
+    rows += [doc(held.pop(), t, "en", "a") for t in ("ok", "Ömer", "Kvapil", "XBOX")]
+    tamil = "யாமறிந்த மொழிகளிலே தமிழ்மொழி போல் இனிதாவது எங்கும் காணோம் " * 3
+    greek = "Η γρήγορη αλεπού πηδά πάνω από το τεμπέλικο σκυλί και φεύγει από το παλιό σπίτι. "
+    rows += [doc(held.pop(), tamil, "ta", "b"), doc(held.pop(), "தமிழ்", "ta", "b"), doc(free.pop(), greek, "el", "b"),
+             doc(held.pop(), "Το παλιό σπίτι είναι πάνω από τη θάλασσα και ο σκύλος τρέχει γρήγορα προς την πόλη.", "el", "b")]
+    rows += [doc(held.pop(), EN[:44] + "Zj9Kv2Wq8Xb4Yp6" * 12, "en", "a")]      # a sentence with a key in it
+    used = "".join(sorted(set(EN + FR + "".join(str(i) for i in range(10))) - {" "}))
+    noise = [doc(held.pop(), "".join(rnd.choice(used) for _ in range(n)), None, "b") for n in (200, 3000)]
+    noise += [doc(held.pop(), " ".join("".join(rnd.choice(used) for _ in range(12)) for _ in range(40)), None, "b")]
+    found = pipe.language(spark, spark.createDataFrame(rows + noise, DOC_SCHEMA), "").collect()
+    assert sorted(r["doc_id"] for r in found) == sorted(r[0] for r in rows)
+    # nothing to learn from
+    bare = spark.createDataFrame([doc(1, EN, None, "a"), doc(2, "12 34", None, "a")], DOC_SCHEMA)
+    assert [r["doc_id"] for r in pipe.language(spark, bare, "").collect()] == [1]
+
+
 def spark_row(r):
     from pyspark.sql import Row
 
