@@ -43,16 +43,14 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each SimHash component: that of the smallest doc_id (of rows repeating it, one)."""
+    """Keeps one document of each SimHash component: that of the smallest doc_id (of rows repeating it, or if all ids are null, the one of least name)."""
     from tessera.llm.common import materialise
     from tessera.llm.mixing import numbered, row_names
     from tessera.llm.simhash import near_duplicates
 
     named = row_names(docs.select(*COLUMNS).withColumn("doc_id", F.col("doc_id").cast("long")))
-    found = materialise(near_duplicates(named, keep=("doc_id", "key")), "dedup-components")
-    # a component without any doc_id is named by its fingerprint group: rows of equal fingerprint
-    group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("null-"), F.col("fingerprint")))
-    first = found.groupBy(group.alias("g")).agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("m"))
+    found = materialise(near_duplicates(named, keep=("doc_id", "key"), named=True), "dedup-components")
+    first = found.groupBy("component_fp").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("m"))
     winners = first.select(F.col("m.key").alias("key"), F.lit(1).alias("n"))
     rows = numbered(named)
     return rows.join(winners, ["key", "n"]).select(*COLUMNS)

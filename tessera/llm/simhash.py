@@ -170,16 +170,18 @@ def links(distinct: DataFrame, bits: int = BITS, groups: int = GROUPS, cell: int
 
 
 def components(rows: DataFrame, bits: int = BITS, groups: int = GROUPS, cell: int = CELL) -> DataFrame:
-    """``rows(doc_id, fp, ...)`` with ``component_id``, the smallest doc_id reachable by links."""
+    """``rows(doc_id, fp, ...)`` with ``component_id``, the smallest doc_id reachable by links, and ``component_fp``,
+    the smallest fp, which names the component also where no doc_id does."""
     distinct = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
     label = materialise(connected_components(links(distinct, bits, groups, cell)), "simhash-labels")
     member = label.join(distinct, label["node"] == distinct["fp"]).select("fp", "label", "least")
-    merged = member.join(member.groupBy("label").agg(F.min("least").alias("merged")), "label").select("fp", "merged")
-    final = distinct.join(merged, "fp", "left").select("fp", F.coalesce("merged", "least").alias("component_id"))
+    merged = member.join(member.groupBy("label").agg(F.min("least").alias("merged")), "label").select("fp", "label", "merged")
+    final = distinct.join(merged, "fp", "left").select("fp", F.coalesce("merged", "least").alias("component_id"),
+                                                       F.coalesce("label", "fp").alias("component_fp"))
     return rows.join(final, "fp")
 
 
-def near_duplicates(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
-    """Columns ``keep`` (with doc_id), ``fingerprint`` (16 hex digits) and ``component_id`` of every row."""
+def near_duplicates(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), shingle: int = SHINGLE, bits: int = BITS, named: bool = False) -> DataFrame:
+    """Columns ``keep`` (with doc_id), ``fingerprint`` (16 hex digits) and ``component_id`` of every row, if ``named`` also ``component_fp``."""
     rows = materialise(fingerprints(docs.withColumn("doc_id", F.col("doc_id").cast("long")), keep, shingle), "simhash-fingerprints")
-    return components(rows, bits).select(*keep, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return components(rows, bits).select(*keep, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", *["component_fp"] * named)

@@ -202,6 +202,20 @@ def test_pipeline_language_rejects_on_evidence_only(spark):
     assert [r["doc_id"] for r in pipe.language(spark, bare, "").collect()] == [1]
 
 
+def test_pipeline_dedup_without_ids(spark):
+    """Near copies without doc_ids give one document; components that share a repeated doc_id stay apart."""
+    import corpus_pipeline as pipe
+
+    rnd = random.Random(11)
+    words = [" ".join("".join(rnd.choice("abcdefgh") for _ in range(5)) for _ in range(300)) for _ in range(2)]
+    rows = [doc(None, words[0] + end, "en", "a") for end in ("", " one", " two", " three")] + [doc(5, words[1], "en", "a"), doc(5, EN * 3, "en", "a")]
+    fps = [slow_fingerprint(r[1]) for r in rows]
+    part = slow_components(fps)
+    assert len(set(fps[:4])) > 1 and len(set(part)) == 3                # linked, but not equal
+    got = pipe.near_dedup(spark, spark.createDataFrame(rows, DOC_SCHEMA), "").collect()
+    assert sorted(str(r["doc_id"]) for r in got) == ["5", "5", "None"]
+
+
 def spark_row(r):
     from pyspark.sql import Row
 
