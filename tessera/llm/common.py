@@ -58,6 +58,25 @@ def materialise(df: DataFrame, name: str, **options) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread_join(rows: DataFrame, values: DataFrame, key: str) -> DataFrame:
+    """Left join of ``rows`` (a written table) with ``values`` (a row a key at most) that no hot key slows.
+
+    Keys that hold more than a 4th of a shuffle partition's share of the rows
+    number fewer than four times the partitions, so their values are broadcast
+    with that bound; rows of these keys and of a null key stay where they are,
+    the others meet their values by shuffle.
+    """
+    spark = rows.sparkSession
+    least = max(1, rows.count() // (4 * partitions(spark)))
+    known = rows.where(F.col(key).isNotNull())
+    hot = materialise(known.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > least).select(key), "hot-keys")
+    own = hot.join(values.join(F.broadcast(hot), key, "left_semi"), key, "left").withColumn("_hot", F.lit(True))
+    order = [*rows.columns, *(c for c in values.columns if c != key)]
+    here = rows.join(F.broadcast(own), key, "left").where(F.col("_hot") | F.col(key).isNull())
+    there = known.join(F.broadcast(hot), key, "left_anti").join(values, key, "left")
+    return here.select(*order).union(there.select(*order))
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b",
                          max_rounds: int = 60) -> DataFrame:
     """Smallest reachable node of every node with an edge: columns ``node, label``.

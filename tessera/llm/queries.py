@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import materialise, table
+from tessera.llm.filter_audit import ORACLE_SQL as AUDIT_SQL
+from tessera.llm.fim import ORACLE_SQL as FIM_SQL
 from tessera.llm.lm_score import ORACLE_SQL as LM_SQL
 from tessera.session import scratch_path
 
@@ -109,7 +111,32 @@ def op10_simhash_popcount(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five text filters remove, alone and in every order, in each language of all documents."""
+    from tessera.llm.filter_audit import audit, checked
+
+    return audit(checked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents cut into prefix, middle and suffix, put in order, and put together again."""
+    from tessera.llm.fim import fill_in_middle, restored
+
+    out = fill_in_middle(table(spark, sf_dir, "documents"))
+    return out.select("row.doc_id", "n", "form", F.col("prefix_end").alias("prefix_chars"), (F.col("middle_end") - F.col("prefix_end")).alias("middle_chars"),
+                      F.sha2("output", 256).alias("output_sha256"), F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+def op13_token_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents through a new digest cache."""
+    from tessera.llm.token_cache import count_tokens
+
+    counted = count_tokens(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), scratch_path(spark, "token-cache"))
+    return counted.select("row.doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_stupid_backoff, op2_repair_tokens, op3_va_file_search, op4_warc_index, op5_sequence_packing, op6_pruned_graph_dedup, op7_ppm_language, op8_pivotal_mixing,
-    op9_chat_format, op10_simhash_popcount)}
-ORACLE: dict[str, str] = {"op1_stupid_backoff": LM_SQL}
+    op9_chat_format, op10_simhash_popcount,
+    op11_filter_audit, op12_fill_in_middle, op13_token_cache)}
+ORACLE: dict[str, str] = {"op1_stupid_backoff": LM_SQL, "op11_filter_audit": AUDIT_SQL, "op12_fill_in_middle": FIM_SQL}
