@@ -6,7 +6,7 @@ from tessera.functions.dates import period_to_date, year_from_name, year_of, yea
 from tessera.functions.names import apply_rules, standardize_long_name, standardize_wide_name
 from tessera.functions.numeric import parse_numeric_text, parse_plain_decimal, to_decimal, to_int
 from tessera.functions.text import (
-    any_of, blank_to_null, clean_text, collated_equal, collation_key, has_nonstandard_char,
+    any_of, blank_to_null, clean_text, collated, collated_equal, collation_key, exact, has_nonstandard_char,
     matches_any, null_noise, untrimmed,
 )
 
@@ -15,6 +15,6 @@ __all__ = [
     "qualify_label", "series_code", "period_to_date", "year_from_name", "year_of",
     "year_to_date", "apply_rules", "standardize_long_name", "standardize_wide_name",
     "parse_numeric_text", "parse_plain_decimal", "to_decimal", "to_int", "any_of",
-    "blank_to_null", "clean_text", "collated_equal", "collation_key",
+    "blank_to_null", "clean_text", "collated", "collated_equal", "collation_key", "exact",
     "has_nonstandard_char", "matches_any", "null_noise", "untrimmed",
 ]

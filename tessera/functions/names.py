@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.text import _col, clean_text, null_noise
+from tessera.functions.text import _col, clean_text, exact, null_noise
 from tessera.specs import NOISE_PATTERNS
 
 
@@ -27,7 +27,7 @@ def apply_rules(c, rules, *, upper=None, lower=None) -> Column:
         if kind == "eq":
             cond = u == F.lit(pattern.upper())
         elif kind == "like":
-            cond = lo.like(pattern.lower())
+            cond = exact(lo).like(pattern.lower())
         elif kind == "prefix":
             cond = F.startswith(u, F.lit(pattern.upper()))
         else:

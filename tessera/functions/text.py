@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.specs import NOISE_PATTERNS
+from tessera.specs import COLLATION, NOISE_PATTERNS
 
 PLACEHOLDER = ".."
 
@@ -18,6 +18,24 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def collated(c) -> Column:
+    """The value as text that compares without regard to case and trailing blanks.
+
+    Joins on it hash or sort a collation key that Spark computes once a row;
+    grouping by it sorts, so copies of one spelling should be merged before.
+    """
+    return F.collate(_col(c), COLLATION)
+
+
+def exact(c) -> Column:
+    """The value as text that compares code point by code point."""
+    return F.collate(_col(c), "UTF8_BINARY")
+
+
+def text_columns(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+
+
 def blank_to_null(c) -> Column:
     """``NULLIF(TRIM(c), '')``: trims U+0020 only, like the source."""
     return F.nullif(F.trim(_col(c)), F.lit(""))
@@ -37,7 +55,7 @@ def clean_text(c, placeholder: str | None = PLACEHOLDER) -> Column:
 
 def matches_any(c, patterns) -> Column:
     """Case-insensitive LIKE against any of the patterns."""
-    c = _col(c)
+    c = exact(c)
     return reduce(or_, [c.ilike(p) for p in patterns])
 
 
@@ -57,33 +75,47 @@ def null_noise(c, patterns=NOISE_PATTERNS) -> Column:
 
 
 def collation_key(c) -> Column:
-    """Canonical join key for case- and trailing-blank-insensitive equality."""
-    return F.upper(F.rtrim(_col(c)))
+    """Plain text that is equal where values are equal but for case and trailing blanks:
+    for systems without collations, and to check joins by another way than their own."""
+    return F.upper(F.rtrim(exact(c)))
+
+
+def group_collated(df: DataFrame, keys: list[str], *aggregates: Column) -> DataFrame:
+    """``df.groupBy(keys).agg(aggregates)`` with text keys compared under the collation.
+    The least spelling of a group's keys stands for it, in the type its column has."""
+    text = [k for k in text_columns(df) if k in keys]
+    named = [(collated(k) if k in text else F.col(k)).alias(f"_k{i}") for i, k in enumerate(keys)]
+    out = df.groupBy(*named).agg(*[F.min(exact(k)).alias(f"_s{keys.index(k)}") for k in text], *aggregates)
+    shown = [F.col(f"_s{i}").cast(df.schema[k].dataType).alias(k) if k in text else F.col(f"_k{i}").alias(k) for i, k in enumerate(keys)]
+    return out.select(*shown, *out.columns[len(keys) + len(text):])
+
+
+def as_exact(df: DataFrame) -> DataFrame:
+    """The same rows with text that compares code point by code point (aggregates then hash)."""
+    text = text_columns(df)
+    return df.select(*[exact(c).alias(c) if c in text else F.col(c) for c in df.columns])
 
 
 def distinct_collated(df: DataFrame) -> DataFrame:
-    """Distinct rows whose text columns compare case- and trailing-blank-insensitively;
-    of several spellings the least stays.
+    """Distinct rows whose text columns compare under the collation; of several
+    spellings the least stays. Columns keep their types.
 
     Copies of one spelling go first, by a hash aggregate before the shuffle, so
-    that only distinct spellings reach the aggregate that picks the least one.
+    that only distinct spellings reach the sort by collation.
     """
-    text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    df = df.distinct()
-    if not text:
-        return df
-    keys = [(collation_key(c) if c in text else F.col(c)).alias(f"_k{i}") for i, c in enumerate(df.columns)]
-    return (df.groupBy(*keys).agg(*[F.min(c).alias(c) for c in text])
-              .select(*[F.col(c) if c in text else F.col(f"_k{i}").alias(c) for i, c in enumerate(df.columns)]))
+    if not text_columns(df):
+        return df.distinct()
+    out = group_collated(as_exact(df).distinct(), df.columns)
+    return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in df.schema.fields])
 
 
 def collated_equal(a, b) -> Column:
-    return collation_key(a) == collation_key(b)
+    return collated(a) == collated(b)
 
 
 def untrimmed(c) -> Column:
     """True where the value differs from its trimmed form (NULL stays NULL)."""
-    c = _col(c)
+    c = exact(c)
     return c != F.trim(c)
 
 
@@ -92,7 +124,7 @@ STANDARD_CHARS = r"[^a-zA-Z0-9 _-]"
 
 def has_nonstandard_char(c, pattern: str = STANDARD_CHARS) -> Column:
     """Binary (code-point) test for any character outside the allowed class."""
-    return _col(c).rlike(pattern)
+    return exact(c).rlike(pattern)
 
 
 def any_of(conditions) -> Column:

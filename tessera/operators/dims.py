@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.conform import conform_units, first_label, qualify_label
 from tessera.functions.dates import year_from_name
-from tessera.functions.text import distinct_collated
+from tessera.functions.text import as_exact, collated, collated_equal, distinct_collated, exact, group_collated, text_columns
 from tessera.operators.keys import dense_key
 from tessera.operators.reshape import schema_columns, union_all
 
@@ -40,23 +40,30 @@ def build_dimension(name: str, df: DataFrame, key: str, natural_key: list[str],
         df = df.filter(F.col(c).isNotNull())
     if dedupe:
         df = distinct_collated(df)
-    order_by = order_by or list(df.columns)
+    text = text_columns(df)
+    order_by = order_by or [exact(c) if c in text else F.col(c) for c in df.columns]
     keyed = dense_key(df, order_by, key, method=method, split_ties=not dedupe)
     return Dimension(name, keyed.df, key, natural_key, keyed.rows, keyed.string_bytes)
 
 
 def least_name(df: DataFrame, natural_key: list[str], name_col: str) -> DataFrame:
-    """One row per natural key: the least of its names. Facts that join on the
-    natural key then keep their number of rows."""
-    named = df.where(F.col(name_col).isNotNull())
-    return named.groupBy(*natural_key).agg(F.min(name_col).alias(name_col)).select(*df.columns)
+    """One row per natural key (text keys under the collation): the least of its names.
+    Facts that join on the natural key then keep their number of rows."""
+    named = as_exact(df.where(F.col(name_col).isNotNull())).groupBy(*natural_key).agg(F.min(name_col).alias(name_col))
+    one = group_collated(named, natural_key, F.min(name_col).alias(name_col))
+    return one.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in df.schema.fields])
 
 
 def aliases(df: DataFrame, natural_key: list[str], name_col: str) -> DataFrame:
-    """The names of ``df`` that ``least_name`` leaves out: natural key, alias, kept name."""
-    kept = least_name(df.select(*natural_key, name_col), natural_key, name_col).withColumnRenamed(name_col, "kept_name")
-    return (df.select(*natural_key, F.col(name_col).alias("alias")).distinct().join(kept, natural_key)
-            .where("alias <> kept_name"))
+    """The names of ``df`` that ``least_name`` leaves out (names that differ in case or trailing
+    blanks only are one): natural key as kept, alias, kept name."""
+    names = distinct_collated(df.select(*natural_key, name_col)).where(F.col(name_col).isNotNull())
+    text = text_columns(df)
+    keys = [f"_k{i}" for i in range(len(natural_key))]
+    by = [(collated(k) if k in text else F.col(k)).alias(n) for k, n in zip(natural_key, keys)]
+    kept = least_name(names, natural_key, name_col).select(*by, *natural_key, F.col(name_col).alias("kept_name"))
+    return (names.select(*by, F.col(name_col).alias("alias")).join(kept, keys)
+            .where(~collated_equal("alias", "kept_name")).select(*natural_key, "alias", "kept_name"))
 
 
 def member_dim(sources: list[DataFrame], *, prefix: str = "Country", dedupe: bool = True,
@@ -97,6 +104,11 @@ def indicator_dim(frames: list[DataFrame], *, join_on_source: bool = True, one_n
     df = u.select(F.col("Indicator_code").alias("Indicator_id"),
                   qualify_label("Indicator_code", "Indicator").alias("Indicator_name"),
                   "Source_Table")
+    return qualified_indicator_dim(df, join_on_source=join_on_source, one_name=one_name)
+
+
+def qualified_indicator_dim(df: DataFrame, *, join_on_source: bool = True, one_name: bool = False) -> Dimension:
+    """``indicator_dim`` of rows (Indicator_id, Indicator_name, Source_Table) whose labels are qualified already."""
     nk = ["Indicator_id", "Source_Table"] if join_on_source else ["Indicator_id"]
     if one_name:
         df = least_name(df, ["Indicator_id", "Source_Table"], "Indicator_name")

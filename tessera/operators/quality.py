@@ -10,9 +10,10 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tessera.functions.text import any_of, collation_key, distinct_collated, has_nonstandard_char, untrimmed
+from tessera.functions.text import (
+    any_of, as_exact, collated_equal, distinct_collated, group_collated, has_nonstandard_char, text_columns, untrimmed,
+)
 from tessera.operators.dims import Dimension
 
 #: Reducers over which a foreign-key check spreads the rows of NULL key.
@@ -21,31 +22,24 @@ NULL_BUCKETS = 4096
 
 def duplicates(df: DataFrame, keys: list[str], count_col: str = "n") -> DataFrame:
     """Keys occurring more than once (GROUP BY .. HAVING COUNT(*) > 1); text keys
-    compare case- and trailing-blank-insensitively, the least spelling is shown.
+    compare under the collation, the least spelling is shown.
 
     Partial counts per partition before the shuffle; a hot key costs one
     counter per map task, not its rows. Spellings are merged after that.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col))
-    text = [c for c in string_columns(df) if c in keys]
-    if text:
-        merged = [(collation_key(c) if c in text else F.col(c)).alias(f"_k{i}") for i, c in enumerate(keys)]
-        counts = (counts.groupBy(*merged).agg(*[F.min(c).alias(c) for c in text], F.sum(count_col).alias(count_col))
-                  .select(*[F.col(c) if c in text else F.col(f"_k{i}").alias(c) for i, c in enumerate(keys)], count_col))
+    counts = as_exact(df.select(*keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col))
+    if text_columns(counts):
+        counts = group_collated(counts, keys, F.sum(count_col).alias(count_col))
     return counts.filter(F.col(count_col) > 1)
 
 
-def string_columns(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-
-
 def untrimmed_rows(df: DataFrame, columns: list[str] | None = None,
                    flag_col: str | None = "untrimmed_columns") -> DataFrame:
     """Rows where any text column differs from its trimmed form.
 
     With ``flag_col`` the names of the offending columns are listed too.
     """
-    columns = columns or string_columns(df)
+    columns = columns or text_columns(df)
     bad = df.filter(any_of([untrimmed(c) for c in columns]))
     if flag_col:
         bad = bad.withColumn(flag_col, F.concat_ws(",", *[
@@ -54,8 +48,7 @@ def untrimmed_rows(df: DataFrame, columns: list[str] | None = None,
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
-    """Standardisation profile: the distinct values of one column, without regard to
-    case and trailing blanks (the least spelling)."""
+    """Standardisation profile: the distinct values of one column under the collation (the least spelling)."""
     return distinct_collated(df.select(column))
 
 
@@ -87,7 +80,7 @@ def id_conflicts(left: DataFrame, right: DataFrame, id_col: str, name_col: str,
     j = a.join(b, F.col("_id_l") == F.col("_id_r"), how)
     status = (F.when(F.col("_id_l").isNull(), F.lit(f"Missing_in_{left_name}"))
                .when(F.col("_id_r").isNull(), F.lit(f"Missing_in_{right_name}"))
-               .when(collation_key(ln) != collation_key(rn), F.lit("Country_Conflict"))
+               .when(~collated_equal(ln, rn), F.lit("Country_Conflict"))
                .otherwise(F.lit("OK")))
     out = j.select(F.coalesce("_id_l", "_id_r").alias("ID"), ln, rn, status.alias("Status"))
     if only_conflicts:

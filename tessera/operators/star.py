@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.text import collation_key
+from tessera.functions.text import collated, exact
 from tessera.operators.dims import Dimension
 
 DEFAULT_BROADCAST_BYTES = 32 * 1024 * 1024
@@ -50,8 +50,9 @@ class DimLink:
     """How a fact reaches one dimension.
 
     ``on`` maps the dimension's natural-key columns to fact expressions.
-    ``collated`` columns compare case- and trailing-blank-insensitively via a
-    canonical key on both sides, which keeps the join a hash/sort equi-join.
+    Text columns compare under the collation, without regard to case and trailing
+    blanks (Spark hashes or sorts their collation keys: still an equi-join);
+    ``collated`` names those that do where others compare exactly.
     ``salt_buckets`` > 1 turns on salting for a single-column join that does
     not broadcast: fact rows whose key is in ``hot_keys`` (or NULL) are spread
     over that many buckets, and the matching dimension rows are replicated
@@ -60,7 +61,7 @@ class DimLink:
     """
     dim: Dimension
     on: dict
-    collated: tuple = field(default_factory=tuple)
+    collated: tuple | None = None
     salt_buckets: int = 1
     hot_keys: list | None = None
     hot_support: float = 0.05
@@ -105,8 +106,9 @@ def star_join(fact: DataFrame, links: list[DimLink], keep: list[str],
         for j, (dcol, fexpr) in enumerate(link.on.items()):
             name = f"_jk{i}_{j}"
             d, f = F.col(dcol), _col(fexpr)
-            if dcol in link.collated:
-                d, f = collation_key(d), collation_key(f)
+            if isinstance(link.dim.df.schema[dcol].dataType, T.StringType):
+                as_compared = collated if link.collated is None or dcol in link.collated else exact
+                d, f = as_compared(d), as_compared(f)
             dim_cols.append(d.alias(name))
             fact_cols.append(f.alias(name))
             names.append(name)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tessera.operators import quality as Q
 from tessera.operators.dims import Dimension
 from tessera.operators.keys import size_aggregates
-from tessera.plans.gold import FACT_NAMES
+from tessera.plans.gold import ALIAS_TABLES, FACT_NAMES
 from tessera.specs import TABLES
 
 # natural key of one clean row: a wide row is one (country, indicator[, series])
@@ -58,6 +58,11 @@ def quality_checks(spark: SparkSession, tables=TABLES, conflict_pair=("domestic_
     if _exists(spark, f"{prefix}silver.{left}") and _exists(spark, f"{prefix}silver.{right}"):
         checks[f"id_conflict:{left}~{right}"] = (f"{prefix}silver.{left}", Q.id_conflicts(
             spark.table(f"{prefix}silver.{left}"), spark.table(f"{prefix}silver.{right}"), "Country_code", "Country"))
+    # after a load: ids that the clean tables know under several names (the star keeps one of them)
+    for name in ALIAS_TABLES:
+        table = f"{prefix}gold.{name}"
+        if _exists(spark, table):
+            checks[f"id_conflict:{name}"] = (table, spark.table(table))
     if all(_exists(spark, f"{prefix}gold.{d}") for d in DIMS):
         dims = {d: load_dimension(spark, d, prefix) for d in DIMS}
         for d in dims.values():

@@ -20,13 +20,14 @@ from tessera.functions.conform import conform_units, series_code
 from tessera.functions.dates import period_to_date
 from tessera.functions.names import long_name_input, wide_name_input, with_standard_names
 from tessera.functions.numeric import parse_numeric_text
-from tessera.functions.text import clean_text, matches_any, untrimmed
+from tessera.functions.text import clean_text, collated, matches_any, untrimmed
 from tessera.operators import dims as D
 from tessera.operators import quality as Q
 from tessera.operators.keys import dense_key
 from tessera.operators.marts import attach, year_over_year, yearly_totals_wide
 from tessera.operators.reshape import schema_columns, union_all, union_tagged, unpivot_years, widen
 from tessera.operators.star import DimLink, build_fact, unpivot_fact
+from tessera.session import scratch_path
 
 DEC = "decimal(18,2)"
 SUM_DEC = "decimal(38,2)"
@@ -342,7 +343,7 @@ def _lineitem_star(spark, sf_dir, *, members: DataFrame | None = None, attribute
     named = (lambda c: (c,)) if attributes else (lambda c: ())
     row_links = [DimLink(dim_c, {"Country_id": "l_suppkey"}, attributes=named("Country_name")),
                  DimLink(dim_y, {"Year": "ship_year"}, attributes=named("Year")),
-                 DimLink(dim_u, {"Measure_Units": "Units"}, collated=("Measure_Units",), attributes=named("Measure_Units"))]
+                 DimLink(dim_u, {"Measure_Units": "Units"}, attributes=named("Measure_Units"))]
     cell_links = [DimLink(dim_i, {"Indicator_id": "measure"}, attributes=named("Indicator_name"))]
     return wide, row_links, cell_links, (dim_c, dim_i, dim_y, dim_u)
 
@@ -415,6 +416,57 @@ def fact_star_labelled(spark, sf_dir):
     return out.select("Country_key", "Indicator", "Year_key", "Units_key", "Value")
 
 
+def _collated_star(spark, sf_dir, max_broadcast_bytes: int | None):
+    """Orders whose priority (indicator code), status (source tag) and market segment (unit) are spelled
+    in three ways, differently on the fact's side and on the dimensions'."""
+    orders = load(spark, sf_dir, "orders").join(load(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey"))
+    k = F.col("o_orderkey")
+    tag = F.concat(F.lit("Orders_"), F.col("o_orderstatus"))
+    # a natural key meets each spelling: the variant changes with the day on one side, with the customer on the other
+    fact = orders.select("o_orderkey", F.col("o_custkey").cast("int").alias("Country_code"),
+                         _respelled(k + F.dayofmonth("o_orderdate"), F.col("o_orderpriority")).alias("Indicator_code"),
+                         _respelled(k + F.month("o_orderdate"), tag).alias("Source_Table"),
+                         _respelled(F.col("o_custkey") + 1, F.col("c_mktsegment")).alias("Units"), F.col("o_totalprice").cast(DEC).alias("Value"))
+    indicators = orders.select(_respelled(F.col("o_custkey"), F.col("o_orderpriority")).alias("Indicator_code"),
+                               F.upper("o_orderpriority").alias("Indicator"), _respelled(F.col("o_custkey") + 2, tag).alias("Source_Table"))
+    built = D.build_concurrently({
+        "i": lambda: D.indicator_dim([indicators], one_name=True),
+        "u": lambda: D.unit_dim([orders.select(_respelled(F.col("o_custkey"), F.col("c_mktsegment")).alias("Units"))]),
+    })
+    links = [DimLink(built["i"], {"Indicator_id": "Indicator_code", "Source_Table": "Source_Table"}), DimLink(built["u"], {"Measure_Units": "Units"})]
+    return build_fact(fact, links, keep_extra=["o_orderkey"], max_broadcast_bytes=max_broadcast_bytes)
+
+
+def collated_star(spark, sf_dir):
+    """Keys found whatever the case and trailing blanks of codes, tags and units; dimensions broadcast."""
+    return _collated_star(spark, sf_dir, None)
+
+
+def collated_star_shuffled(spark, sf_dir):
+    """The same with every dimension over the broadcast budget."""
+    return _collated_star(spark, sf_dir, 0)
+
+
+def collated_table(spark, sf_dir):
+    """A table whose text columns carry the collation, written, and asked in SQL: DISTINCT, GROUP BY, =, IN, LIKE prefix and a join."""
+    c = load(spark, sf_dir, "customer")
+    spelled = _respelled(F.col("c_custkey"), F.col("c_mktsegment"))
+    path = scratch_path(spark, "collated")
+    c.select("c_custkey", "c_nationkey", collated(spelled).alias("segment")).write.parquet(path)
+    view = "collated_customers"
+    spark.read.parquet(path).createOrReplaceTempView(view)
+    sql = f"""
+SELECT 'distinct' AS question, CAST(NULL AS BIGINT) AS nation, count(*) AS n FROM (SELECT DISTINCT segment FROM {view})
+UNION ALL SELECT 'group', nation, count(*) FROM (SELECT c_nationkey AS nation, segment, count(*) AS rows FROM {view} GROUP BY c_nationkey, segment) GROUP BY nation
+UNION ALL SELECT 'equal', c_nationkey, count(*) FROM {view} WHERE segment = 'building' GROUP BY c_nationkey
+UNION ALL SELECT 'in', c_nationkey, count(*) FROM {view} WHERE segment IN ('MACHINERY', 'household  ') GROUP BY c_nationkey
+UNION ALL SELECT 'prefix', c_nationkey, count(*) FROM {view} WHERE startswith(segment, 'AUTO') GROUP BY c_nationkey
+UNION ALL SELECT 'join', a.c_nationkey, sum(b.n) FROM (SELECT DISTINCT c_nationkey, segment FROM {view}) a
+          JOIN (SELECT segment, count(*) AS n FROM {view} GROUP BY segment) b ON a.segment = b.segment GROUP BY a.c_nationkey
+"""
+    return spark.sql(sql)
+
+
 # ---------------------------------------------------------------------------
 # quality checks
 # ---------------------------------------------------------------------------
@@ -642,6 +694,9 @@ QUERIES = {
     "fact_star_4dim": fact_star_4dim,
     "fact_star_conformed": fact_star_conformed,
     "fact_star_labelled": fact_star_labelled,
+    "collated_star": collated_star,
+    "collated_star_shuffled": collated_star_shuffled,
+    "collated_table": collated_table,
     "dq_duplicates": dq_duplicates,
     "dq_blanks": dq_blanks,
     "dq_profile": dq_profile,

@@ -1,6 +1,9 @@
 """Clean -> star: four conformed dimensions and five facts.
 
-Dimensions are built once (materialised with their keys) and shared by all
+One scan of each clean table finds the distinct members, indicators, units and
+years (``natural_members``: grouping sets, one partial aggregate); dimensions, and
+the names that a one-name dimension leaves out (``Star.aliases``), are built
+from that. Dimensions are materialised with their keys and shared by all
 facts. Each fact unions its wide sources first and unpivots once (one
 ``Expand``), drops empty cells, then left-joins the dimensions; dimensions
 under the broadcast budget are broadcast, so a fact is one pass over its
@@ -14,12 +17,13 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.conform import conform_units, series_code
+from tessera.functions.conform import conform_units, first_label, qualify_label, series_code
 from tessera.functions.names import apply_rules
+from tessera.functions.text import collation_key, exact
 from tessera.operators import dims as D
 from tessera.operators.reshape import union_all
-from tessera.operators.star import DimLink, build_fact, unpivot_fact
-from tessera.specs import CLEAN_YEARS, TABLES, TableSpec, year_col
+from tessera.operators.star import DimLink, build_fact, star_join, unpivot_fact
+from tessera.specs import CLEAN_YEARS, TABLES, TEXT_TYPE, TableSpec, year_col
 
 FACT_NAMES = {
     "domestic": "fact_domestic_tourism",
@@ -47,6 +51,50 @@ class GoldOptions:
 class Star:
     dims: dict = field(default_factory=dict)
     facts: dict = field(default_factory=dict)
+    aliases: dict = field(default_factory=dict)     # names that one-name dimensions leave out, by table name
+    members: DataFrame | None = None                # natural keys as the clean tables spell them
+
+
+#: Tables of the names that a one-name dimension leaves out.
+ALIAS_TABLES = ("dim_country_alias", "dim_indicator_alias")
+
+_NATURAL = ("Country_id", "Country_name", "Indicator_id", "Indicator_name", "Source_Table", "Units", "Year")
+#: What one scan of a clean table finds: distinct values of each of these sets of columns.
+_SETS = {"member": ("Country_id", "Country_name"), "indicator": ("Indicator_id", "Indicator_name", "Source_Table"),
+         "unit": ("Units",), "year": ("Year",)}
+
+
+def members_query(silver: dict[str, DataFrame], tables=TABLES) -> DataFrame:
+    """Distinct members, indicators (labels qualified), units and years of all clean tables, as they spell
+    them: column ``set`` and those of its set.
+
+    One aggregate over grouping sets: every table is scanned once, text hashes as it is,
+    and copies go before the shuffle.
+    """
+    parts = []
+    for t in tables:
+        if t.stem not in silver:
+            continue
+        none = F.lit(None).cast("string")
+        if t.shape == "wide":
+            label = first_label("Indicator_L1", "Indicator_L2", "Indicator_L3", "Indicator_L4")
+            own = [exact("Indicator_code"), exact(qualify_label("Indicator_code", label)), F.lit(t.tag), exact("Units"), F.lit(None).cast("int")]
+        else:
+            own = [none, none, none, exact("Units"), F.year("Time_Period")]
+        parts.append(silver[t.stem].select(*[c.alias(n) for c, n in zip([F.col("Country_code"), exact("Country"), *own], _NATURAL)]))
+    every = union_all(parts)
+    found = every.groupingSets([[F.col(c) for c in cols] for cols in _SETS.values()], *[F.col(c) for c in _NATURAL]).agg(F.grouping_id().alias("_gid"))
+    # a set's grouping id has a bit, from the left, for every column that is not in it
+    n = len(_NATURAL)
+    ids = {name: sum(1 << (n - 1 - i) for i, c in enumerate(_NATURAL) if c not in cols) for name, cols in _SETS.items()}
+    kind = F.create_map(*[x for name, i in ids.items() for x in (F.lit(i), F.lit(name))])[F.col("_gid").cast("int")]
+    typed = [F.col(c).cast(TEXT_TYPE).alias(c) if c in ("Country_name", "Indicator_id", "Indicator_name", "Units") else F.col(c) for c in _NATURAL]
+    return found.select(kind.alias("set"), *typed)
+
+
+def natural_members(silver: dict[str, DataFrame], tables=TABLES) -> DataFrame:
+    """``members_query``, checkpointed: four dimensions and the aliases read it."""
+    return members_query(silver, tables).checkpoint(eager=True)
 
 
 def _wide_specs(tables=TABLES):
@@ -54,23 +102,57 @@ def _wide_specs(tables=TABLES):
 
 
 def build_dims(silver: dict[str, DataFrame], opts: GoldOptions = GoldOptions(),
-               tables=TABLES) -> dict[str, D.Dimension]:
+               tables=TABLES, members: DataFrame | None = None) -> dict[str, D.Dimension]:
+    """The four dimensions, from ``members`` (``natural_members``) except for the literal forms, whose rows repeat."""
     present = [t for t in tables if t.stem in silver]
     sdg = [silver[t.stem] for t in present if t.shape == "long"]
     wide = [silver[t.stem] for t in _wide_specs(present)]
+    members = natural_members(silver, tables) if members is None else members
+
+    def found(name):
+        return members.where(F.col("set") == name)
+
+    if opts.dedupe_country:
+        countries = [found("member").select(F.col("Country_id").alias("id"), F.col("Country_name").alias("name"))]
+    else:
+        countries = [silver[t.stem].select(F.col("Country_code").alias("id"), F.col("Country").alias("name")) for t in present]
+    years = [found("year").select("Year")] if opts.dedupe_year else [s.select(F.year("Time_Period").alias("Year")) for s in sdg]
     return D.build_concurrently({
-        "dim_country": lambda: D.member_dim(
-            [silver[t.stem].select(F.col("Country_code").alias("id"), F.col("Country").alias("name"))
-             for t in present], dedupe=opts.dedupe_country, one_name=opts.one_name and opts.dedupe_country),
-        "dim_indicator": lambda: D.indicator_dim(
-            [D.indicator_frame(silver[t.stem], t.tag) for t in _wide_specs(present)],
-            join_on_source=opts.indicator_on_source, one_name=opts.one_name),
-        "dim_year": lambda: D.year_dim([s.select(F.year("Time_Period").alias("Year")) for s in sdg],
-                                       wide, dedupe=opts.dedupe_year),
-        "dim_unit_of_measure": lambda: D.unit_dim([silver[t.stem].select("Units") for t in present]),
+        "dim_country": lambda: D.member_dim(countries, dedupe=opts.dedupe_country, one_name=opts.one_name and opts.dedupe_country),
+        "dim_indicator": lambda: D.qualified_indicator_dim(found("indicator").select(*_SETS["indicator"]),
+                                                           join_on_source=opts.indicator_on_source, one_name=opts.one_name),
+        "dim_year": lambda: D.year_dim(years, wide, dedupe=opts.dedupe_year),
+        "dim_unit_of_measure": lambda: D.unit_dim([found("unit").select("Units")]),
     })
 
 
+def build_aliases(members: DataFrame) -> dict[str, DataFrame]:
+    """The names that one-name dimensions leave out, by table name: natural key, alias, kept name."""
+    country = members.where("set = 'member' AND Country_id IS NOT NULL").select(*_SETS["member"])
+    indicator = members.where("set = 'indicator' AND Indicator_id IS NOT NULL").select(*_SETS["indicator"])
+    return {"dim_country_alias": D.aliases(country, ["Country_id"], "Country_name"),
+            "dim_indicator_alias": D.aliases(indicator, ["Indicator_id", "Source_Table"], "Indicator_name")}
+
+
+def unresolved_keys(members: DataFrame, dims: dict, opts: GoldOptions = GoldOptions()) -> dict[str, int]:
+    """By dimension, the natural keys that have a name in some clean table and yet don't find exactly one
+    row through the join that facts use. Keys are those that ``collation_key`` tells apart, which the join doesn't use."""
+    out = {}
+    on_source = ["Indicator_id", "Source_Table"] if opts.indicator_on_source else ["Indicator_id"]
+    for name, kind, keys, named in (("dim_country", "member", ["Country_id"], "Country_name"),
+                                    ("dim_indicator", "indicator", on_source, "Indicator_name"), ("dim_unit_of_measure", "unit", ["Units"], "Units")):
+        dim = dims[name]
+        rows = members.where((F.col("set") == kind) & F.col(named).isNotNull()).dropna(subset=keys).select(*keys).distinct()
+        if kind == "unit":
+            rows = rows.select(conform_units("Units").alias("Units"))
+        joined = star_join(rows.withColumn("_row", F.monotonically_increasing_id()), [DimLink(dim, dict(zip(dim.natural_key, keys)))], ["_row", *keys])
+        plain = [collation_key(F.col(k).cast("string")) for k in keys]
+        per = joined.groupBy(*[c.alias(f"_p{i}") for i, c in enumerate(plain)]).agg(
+            F.count_distinct(dim.key).alias("found"), F.count(dim.key).alias("hits"), F.count_distinct("_row").alias("rows"))
+        out[name] = per.where("found <> 1 OR hits <> rows").count()
+    return out
+
+
 def _fact_units(units, spec: TableSpec, opts: GoldOptions):
     if opts.conform_fact_units:
         return conform_units(units)
@@ -94,8 +176,7 @@ def wide_fact(silver: dict[str, DataFrame], fact: str, dims: dict, opts: GoldOpt
     row_links = [DimLink(dims["dim_country"], {"Country_id": "Country_code"},
                          salt_buckets=opts.salt_buckets),
                  DimLink(dims["dim_indicator"], ind_on),
-                 DimLink(dims["dim_unit_of_measure"], {"Measure_Units": "Units"},
-                         collated=("Measure_Units",))]
+                 DimLink(dims["dim_unit_of_measure"], {"Measure_Units": "Units"})]
     cell_links = [DimLink(dims["dim_year"], {"Year": "Year"})]
     year_of_col = lambda c: F.substring_index(c, "_", -1).cast("int")
     return unpivot_fact(union_all(parts), row_links, years, year_of_col, "Year", cell_links,
@@ -116,7 +197,7 @@ def sdg_fact(silver: dict[str, DataFrame], dims: dict, opts: GoldOptions = GoldO
     long = union_all(parts)
     links = [DimLink(dims["dim_country"], {"Country_id": "Country_code"}, salt_buckets=opts.salt_buckets),
              DimLink(dims["dim_year"], {"Year": "Year"}),
-             DimLink(dims["dim_unit_of_measure"], {"Measure_Units": "Units"}, collated=("Measure_Units",))]
+             DimLink(dims["dim_unit_of_measure"], {"Measure_Units": "Units"})]
     out = build_fact(long, links, keep_extra=["Indicator"], drop_null_measure=False)
     return out.select("Country_key", "Indicator", "Year_key", "Units_key", "Value")
 
@@ -139,7 +220,8 @@ def fact_cells(silver: dict[str, DataFrame], fact: str, tables=TABLES) -> DataFr
 
 
 def build_star(silver: dict[str, DataFrame], opts: GoldOptions = GoldOptions(), tables=TABLES) -> Star:
-    dims = build_dims(silver, opts, tables)
+    members = natural_members(silver, tables)
+    dims = build_dims(silver, opts, tables, members)
     facts = {}
     for fact, name in FACT_NAMES.items():
         if fact == "sdg":
@@ -147,4 +229,5 @@ def build_star(silver: dict[str, DataFrame], opts: GoldOptions = GoldOptions(),
                 facts[name] = sdg_fact(silver, dims, opts, tables)
         elif any(t.fact == fact and t.stem in silver for t in tables):
             facts[name] = wide_fact(silver, fact, dims, opts, tables)
-    return Star(dims, facts)
+    aliases = build_aliases(members) if opts.one_name and opts.dedupe_country else {}
+    return Star(dims, facts, aliases, members)

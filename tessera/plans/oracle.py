@@ -628,6 +628,38 @@ def oracle_sql() -> dict[str, str]:
     return {k: f().strip() for k, f in ORACLE.items()}
 
 
+def collated_star() -> str:
+    """Plain upper-case keys on both sides; the spellings play no part."""
+    return f"""
+WITH o AS (SELECT o.*, c_mktsegment FROM orders o JOIN customer ON o_custkey = c_custkey),
+i AS (SELECT {key_sql('Indicator_key', 'id, name, source')}, upper(code) AS code, upper(tag) AS tag
+      FROM (SELECT min({respelled_sql('o_custkey', 'o_orderpriority')}) AS id, upper(o_orderpriority) AS name, o_orderpriority AS code,
+                   min({respelled_sql('(o_custkey + 2)', "('Orders_' || o_orderstatus)")}) AS source, 'Orders_' || o_orderstatus AS tag
+            FROM o GROUP BY o_orderpriority, o_orderstatus)),
+u AS (SELECT {key_sql('Units_key', 'unit')}, unit FROM (
+        SELECT min({units_sql(respelled_sql('o_custkey', 'c_mktsegment'))}) AS unit FROM o GROUP BY upper(c_mktsegment)))
+SELECT Indicator_key, Units_key, o_orderkey, CAST(o_totalprice AS DECIMAL(18,2)) AS Value
+FROM o JOIN i ON upper(o_orderpriority) = i.code AND upper('Orders_' || o_orderstatus) = i.tag
+JOIN u ON upper(rtrim(u.unit)) = upper(c_mktsegment)
+WHERE o_totalprice IS NOT NULL"""
+
+
+def collated_table() -> str:
+    return """
+WITH s AS (SELECT c_nationkey AS nation, upper(c_mktsegment) AS segment FROM customer),
+b AS (SELECT segment, count(*) AS n FROM s GROUP BY segment)
+SELECT 'distinct' AS question, CAST(NULL AS BIGINT) AS nation, count(DISTINCT segment) AS n FROM s
+UNION ALL SELECT 'group', nation, count(DISTINCT segment) FROM s GROUP BY nation
+UNION ALL SELECT 'equal', nation, count(*) FROM s WHERE segment = 'BUILDING' GROUP BY nation
+UNION ALL SELECT 'in', nation, count(*) FROM s WHERE segment IN ('MACHINERY', 'HOUSEHOLD') GROUP BY nation
+UNION ALL SELECT 'prefix', nation, count(*) FROM s WHERE starts_with(segment, 'AUTO') GROUP BY nation
+UNION ALL SELECT 'join', a.nation, CAST(sum(b.n) AS BIGINT) FROM (SELECT DISTINCT nation, segment FROM s) a JOIN b USING (segment) GROUP BY a.nation"""
+
+
+ORACLE["collated_star"] = collated_star
+ORACLE["collated_star_shuffled"] = collated_star
+ORACLE["collated_table"] = collated_table
+
 # --- the full warehouse load over the derived extracts ------------------------
 
 def _warehouse_ctes() -> str:
@@ -681,6 +713,14 @@ dim_c AS (SELECT {key_sql('Country_key', 'Country_id, Country_name')}, Country_i
                   SELECT DISTINCT Country_code AS Country_id, Country AS Country_name FROM wide
                   UNION SELECT DISTINCT Country_code, Country FROM sdg)
                 WHERE Country_id IS NOT NULL AND Country_name IS NOT NULL GROUP BY Country_id)),
+names_c AS (SELECT Country_code AS id, Country AS name FROM wide UNION SELECT Country_code, Country FROM sdg),
+names_i AS (SELECT DISTINCT Indicator_code AS id, Source_Table AS source, {label_sql('Indicator_code', 'Indicator')} AS name FROM wide),
+alias_c AS (SELECT * FROM (SELECT id AS Country_id, min(name) AS alias, min(min(name)) OVER (PARTITION BY id) AS kept_name
+                           FROM names_c WHERE id IS NOT NULL AND name IS NOT NULL GROUP BY id, upper(rtrim(name)))
+            WHERE upper(rtrim(alias)) <> upper(rtrim(kept_name))),
+alias_i AS (SELECT * FROM (SELECT id AS Indicator_id, source, min(name) AS alias, min(min(name)) OVER (PARTITION BY id, source) AS kept_name
+                           FROM names_i WHERE id IS NOT NULL AND name IS NOT NULL GROUP BY id, source, upper(rtrim(name)))
+            WHERE upper(rtrim(alias)) <> upper(rtrim(kept_name))),
 dim_i AS (SELECT {key_sql('Indicator_key', 'Indicator_id, Indicator_name, Source_Table')},
                  Indicator_id, Source_Table
           FROM (SELECT Indicator_id, min(Indicator_name) AS Indicator_name, Source_Table FROM (
@@ -718,6 +758,13 @@ def warehouse_facts() -> str:
     return f"WITH {_warehouse_ctes().strip()[len('WITH '):]}\nSELECT * FROM facts"
 
 
+def star_aliases() -> str:
+    """Names that ids and (code, source) pairs have beside the least one, after the load."""
+    return (f"WITH {_warehouse_ctes().strip()[len('WITH '):]}\n"
+            "SELECT 'dim_country_alias' AS table_name, CAST(Country_id AS VARCHAR) AS id, CAST(NULL AS VARCHAR) AS Source_Table, alias, kept_name FROM alias_c "
+            "UNION ALL SELECT 'dim_indicator_alias', Indicator_id, source, alias, kept_name FROM alias_i")
+
+
 ERROR_COLUMNS = ("error", "error_class", "error_condition", "error_state", "error_procedure", "error_line")
 
 
@@ -728,7 +775,8 @@ def load_audit() -> str:
         src = "(SELECT 1 FROM keys)" if t.shape == "wide" else "(SELECT 1 FROM oagg)"
         for layer in ("raw", "clean"):
             parts.append(f"SELECT '{layer}' AS layer, '{t.stem}' AS table_name, COUNT(*) AS rows FROM {src}")
-    for d in ("dim_c:dim_country", "dim_i:dim_indicator", "dim_y:dim_year", "dim_u:dim_unit_of_measure"):
+    for d in ("dim_c:dim_country", "dim_i:dim_indicator", "dim_y:dim_year", "dim_u:dim_unit_of_measure",
+              "alias_c:dim_country_alias", "alias_i:dim_indicator_alias"):
         cte, name = d.split(":")
         parts.append(f"SELECT 'star', '{name}', COUNT(*) FROM {cte}")
     from tessera.plans.gold import FACT_NAMES
@@ -763,3 +811,4 @@ oagg AS (SELECT o_custkey AS k, SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS v FR
 ORACLE["fact_grain"] = fact_grain
 ORACLE["warehouse_facts"] = warehouse_facts
 ORACLE["load_audit"] = load_audit
+ORACLE["star_aliases"] = star_aliases

@@ -13,7 +13,7 @@ swap), timed, and recorded as an audit row; a failure is recorded with its
 message, class, error condition, state and place, and re-raised, and the
 previous version stays readable. A layer adds one row of its own (table ``*``).
 The tables of one layer are independent Spark jobs and may run from a thread
-pool. The nine star tables are swapped together, after all are written and
+pool. The star tables are swapped together, after all are written and
 checked; ``read_star`` reads them as of one load.
 """
 
@@ -25,16 +25,19 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.plans.derive import derive_raw_files, long_extract, orders_by_year, write_extract
-from tessera.plans.gold import FACT_NAMES, GoldOptions, Star, build_star, fact_cells
-from tessera.functions.text import noise_patterns
+from tessera.plans.gold import ALIAS_TABLES, FACT_NAMES, GoldOptions, Star, build_star, fact_cells, unresolved_keys
+from tessera.functions.text import exact, noise_patterns
+from tessera.operators.reshape import year_columns
 from tessera.plans.silver import clean_table
 from tessera.session import run_concurrently, scratch_path
+from tessera.functions.encoding import PAGES, misread, to_bytes
 from tessera.sources.delimited import REJECT_COL, good_rows, read_delimited, spec_length_limits
+from tessera.sources.survey import FILE_COL, LINE_COL, file_encodings, numbered_lines, read_surveyed, survey
 from tessera.sources.sinks import (
     create_namespaces, define_table, drop_old_versions, move_pointers, new_version, point_table, publish, stamp,
     table_location, version_path, write_version,
@@ -62,6 +65,10 @@ class FactGrainError(RuntimeError):
     """A fact has more or fewer rows than its sources have filled cells."""
 
 
+class FactKeyError(RuntimeError):
+    """A natural key that has a name in the clean tables doesn't find one row of its dimension."""
+
+
 @dataclass
 class AuditRow:
     layer: str
@@ -101,9 +108,12 @@ class Warehouse:
     fact_partition_by: tuple = ()    # e.g. ("Year_key",) for year-pruned reads
     quote: str = ""                  # "" keeps quotes as data; '"' treats them as text qualifiers
     prefix: str = ""                 # put before the namespaces: several warehouses in one metastore
+    survey: bool = True              # find out each file's encoding and number its lines (one more scan of the raw files)
+    pages: tuple = PAGES             # code pages a file may be in, or have been misread in
     keep_versions: int | None = None    # versions left of each table after a load; None: all
     audit: list = field(default_factory=list)
     loaded: set | None = None        # stems loaded by this run; None: whatever the catalog has
+    cells: dict = field(default_factory=dict)    # filled cells by stem, counted while this run wrote the clean tables
 
     def __post_init__(self):
         create_namespaces(self.spark, prefix=self.prefix)
@@ -115,7 +125,8 @@ class Warehouse:
         """Declare the raw and clean tables with their fixed schemas (empty until loaded)."""
         for spec in self.tables:
             raw = T.StructType(list(spec.raw_schema().fields) + [
-                T.StructField("_raw_line", T.StringType()), T.StructField(REJECT_COL, T.StringType())])
+                T.StructField("_raw_line", T.StringType()), T.StructField(REJECT_COL, T.StringType()),
+                T.StructField(FILE_COL, T.StringType()), T.StructField(LINE_COL, T.LongType())])
             for table, schema in ((self.name("bronze", f"raw_{spec.stem}"), raw),
                                   (self.name("silver", spec.stem), spec.clean_schema())):
                 define_table(self.spark, table, schema, version_path(self.root, table, "empty"), replace=replace)
@@ -174,9 +185,12 @@ class Warehouse:
 
             def run():
                 schema = spec.raw_schema()
-                df = read_delimited(self.spark, inputs[spec.stem], schema, quote=self.quote,
-                                    length_limits=spec_length_limits(schema, RAW_LENGTH_LIMITS,
-                                                                     YEAR_CELL_LIMIT))
+                limits = spec_length_limits(schema, RAW_LENGTH_LIMITS, YEAR_CELL_LIMIT)
+                if self.survey:
+                    df = read_surveyed(self.spark, inputs[spec.stem], schema, quote=self.quote, length_limits=limits, pages=self.pages)
+                else:
+                    df = read_delimited(self.spark, inputs[spec.stem], schema, quote=self.quote, length_limits=limits)
+                    df = df.withColumns({FILE_COL: F.col("_metadata.file_path"), LINE_COL: F.lit(None).cast("long")})
                 obs = Observation(f"raw_{spec.stem}")
                 counted = df.observe(obs, F.count(F.lit(1)).alias("rows"),
                                      F.count(F.col(REJECT_COL)).alias("rejects"))
@@ -198,20 +212,22 @@ class Warehouse:
             def run():
                 raw = good_rows(self.spark.table(self.name("bronze", f"raw_{spec.stem}")))
                 obs = Observation(f"clean_{spec.stem}")
-                clean = clean_table(raw, spec, noise_patterns(self.quote)).observe(
-                    obs, F.count(F.lit(1)).alias("rows"))
+                clean = clean_table(raw, spec, noise_patterns(self.quote))
+                filled = [F.count(c) for c in year_columns(clean)] or [F.count(F.lit(1))]
+                clean = clean.observe(obs, F.count(F.lit(1)).alias("rows"), sum(filled[1:], filled[0]).alias("cells"))
                 publish(self.spark, clean, table, self.root)
                 self._prune(table)
+                self.cells[spec.stem] = obs.get["cells"]
                 return obs.get["rows"], 0
             self._timed("clean", spec.stem, run)
         self._layer("clean", lambda: self._each(one, self._present("bronze")))
 
     def rejects(self) -> DataFrame:
-        """Rejected raw lines of every loaded table, with the table and the reason."""
+        """Rejected raw lines of every loaded table, with the table, the reason, and the file and line they stand in."""
         from tessera.operators.reshape import union_all
         from tessera.sources.delimited import rejected_rows
         names = {t.stem: self.name("bronze", f"raw_{t.stem}") for t in self.tables}
-        parts = [rejected_rows(self.spark.table(name)).select(F.lit(stem).alias("table_name"), "_raw_line", REJECT_COL)
+        parts = [rejected_rows(self.spark.table(name)).select(F.lit(stem).alias("table_name"), "_raw_line", REJECT_COL, FILE_COL, LINE_COL)
                  for stem, name in names.items() if self.spark.catalog.tableExists(name)]
         return union_all(parts)
 
@@ -219,9 +235,9 @@ class Warehouse:
         return {t.stem: self.spark.table(self.name("silver", t.stem)) for t in self._present("silver")}
 
     def load_star(self) -> Star:
-        """Dimensions (built concurrently, materialised once), then all dimension and
+        """Dimensions (built concurrently, materialised once), then all dimension, alias and
         fact tables, written concurrently under one version name. The catalog moves to
-        them after every write and row check: a failed load leaves the nine old tables.
+        them after every write and check of rows and keys: a failed load leaves the old tables.
         A fact without sources in this load leaves the catalog, since its keys are those
         of older dimensions (its files stay)."""
         return self._layer("star", self._load_star)
@@ -229,6 +245,8 @@ class Warehouse:
     def _load_star(self) -> Star:
         silver = self.silver()
         star = build_star(silver, self.options, self.tables)
+        if self.options.one_name and (lost := {k: n for k, n in unresolved_keys(star.members, star.dims, self.options).items() if n}):
+            raise FactKeyError(f"natural keys without one row of their dimension: {lost}")
         kinds = {name: fact for fact, name in FACT_NAMES.items()}
         version, paths = new_version(), {}
 
@@ -246,19 +264,31 @@ class Warehouse:
                                             partition_by=list(self.fact_partition_by) or None)
                 rows = obs.get["rows"]
                 if self.options.one_name:
-                    cells = fact_cells(silver, kinds[name], self.tables).first()["cells"]
+                    stems = [t.stem for t in self.tables if t.fact == kinds[name] and t.stem in silver]
+                    if all(s in self.cells for s in stems):
+                        cells = sum(self.cells[s] for s in stems)
+                    else:                       # clean tables of an earlier session
+                        cells = fact_cells(silver, kinds[name], self.tables).first()["cells"]
                     if rows != cells:
                         raise FactGrainError(f"{name} has {rows} rows of {cells} filled source cells")
                 return rows, 0
             return lambda: self._timed("star", name, run)
 
+        def alias_job(name, df):
+            def run():
+                obs = Observation(f"star_{name}")
+                paths[name] = write_version(df.observe(obs, F.count(F.lit(1)).alias("rows")), self.root, self.name("gold", name), version=version)
+                return obs.get["rows"], 0
+            return lambda: self._timed("star", name, run)
+
         jobs = {n: dim_job(n, d) for n, d in star.dims.items()}
+        jobs.update({n: alias_job(n, a) for n, a in star.aliases.items()})
         jobs.update({n: fact_job(n, f) for n, f in star.facts.items()})
         run_concurrently(self.spark, jobs, max(1, self.parallelism))
         tables = {n: self.name("gold", n) for n in paths}
         move_pointers(self.spark, {tables[n]: path for n, path in paths.items()},
                       partitioned={tables[n] for n in star.facts} if self.fact_partition_by else ())
-        for name in kinds:
+        for name in (*kinds, *ALIAS_TABLES):
             if name not in paths:
                 self.spark.sql(f"DROP TABLE IF EXISTS {self.name('gold', name)}")
         self._prune(*tables.values())
@@ -273,7 +303,7 @@ class Warehouse:
         base, version = location.rstrip("/").rsplit("/", 1)
         base = base.removesuffix("/dim_country")
         names = ["dim_country", "dim_indicator", "dim_year", "dim_unit_of_measure"]
-        names += [n for n in FACT_NAMES.values() if self.spark.catalog.tableExists(self.name("gold", n))]
+        names += [n for n in (*ALIAS_TABLES, *FACT_NAMES.values()) if self.spark.catalog.tableExists(self.name("gold", n))]
         return {n: self.spark.read.parquet(f"{base}/{n}/{version}") for n in names}
 
     def run(self, inputs: dict[str, str]) -> Star:
@@ -321,6 +351,21 @@ def fact_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_all(out)
 
 
+def star_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """After a load: the names that ids have beside the one the star keeps, through the check that reports them."""
+    from tessera.operators.reshape import union_all
+    from tessera.plans.checks import quality_checks
+
+    _run_warehouse(spark, sf_dir)
+    checks = quality_checks(spark)
+    country, indicator = (checks[f"id_conflict:{name}"][1] for name in ALIAS_TABLES)
+    return union_all([
+        country.select(F.lit("dim_country_alias").alias("table_name"), F.col("Country_id").cast("string").alias("id"),
+                       F.lit(None).cast("string").alias("Source_Table"), exact("alias").alias("alias"), exact("kept_name").alias("kept_name")),
+        indicator.select(F.lit("dim_indicator_alias").alias("table_name"), exact("Indicator_id").alias("id"), exact("Source_Table").alias("Source_Table"),
+                         exact("alias").alias("alias"), exact("kept_name").alias("kept_name"))])
+
+
 def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audit rows of a full load (durations dropped: not reproducible)."""
     wh = _run_warehouse(spark, sf_dir)
@@ -348,6 +393,64 @@ def csv_scan_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
                           length_limits={"c_name": 25}).drop("_raw_line")
 
 
+def encoding_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text (a line each) in files of four kinds: UTF-8, UTF-8 misread in two code pages, and raw bytes of
+    a third page; read back by the verdict on each file."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    text = F.translate(F.coalesce("text", F.lit("")), "\r\n;", "  ,")
+    raw = to_bytes("text", "cp1252").cast("string")
+    kind = F.when((F.col("doc_id") % 4 == 3) & raw.isNull(), 0).otherwise(F.col("doc_id") % 4).cast("int")
+    body = F.when(F.col("kind") == 1, misread("text", "cp437")).when(F.col("kind") == 2, misread("text", "cp850")).when(F.col("kind") == 3, raw).otherwise(F.col("text"))
+    path = scratch_path(spark, "encodings")
+    (docs.select("doc_id", text.alias("text")).withColumn("kind", kind)
+         .select(F.concat(F.col("doc_id").cast("string"), F.lit(";"), body).alias("value"), "kind").write.partitionBy("kind").text(path))
+    line = numbered_lines(spark, path)
+    own = F.substring("_line", F.instr("_line", ";") + 1, F.length("_line"))
+    return line.select(F.substring_index("_line", ";", 1).cast("long").alias("doc_id"), F.length(own).cast("long").alias("n_chars"),
+                       F.sha2(own, 256).alias("text_sha256"))
+
+
+def _encoding_repair_sql() -> str:
+    return """
+SELECT doc_id, CAST(length(t) AS BIGINT) AS n_chars, sha256(t) AS text_sha256
+FROM (SELECT doc_id, translate(coalesce(text, ''), chr(13) || chr(10) || ';', '  ,') AS t FROM documents)"""
+
+
+def reject_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where every rejected line of an extract of customers stands: its number, counted through the files in order.
+    Blank lines and line breaks within fields stand among the lines."""
+    c = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    k = F.col("c_custkey")
+    name = (F.when(k % 97 == 0, F.concat(F.col("c_name"), F.lit(";x"))).when(k % 83 == 0, F.concat(F.col("c_name"), F.lit(" of the long name")))
+             .otherwise(F.col("c_name")))
+    segment = F.when(k % 89 == 0, F.concat(F.lit("MULTI\nLINE "), F.col("c_mktsegment"))).otherwise(F.col("c_mktsegment"))
+    line = F.concat(F.when(k % 61 == 0, F.lit("\n")).otherwise(F.lit("")), F.concat_ws(";", k.cast("string"), name, F.col("c_nationkey").cast("string"), segment))
+    path = scratch_path(spark, "numbered")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    c.select(k, line.alias("value")).repartitionByRange(parts, k).sortWithinPartitions(k).select("value").write.text(path)
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in ("c_custkey", "c_name", "c_nationkey", "c_mktsegment")])
+    surveyed = survey(spark, path)
+    rows = read_surveyed(spark, path, schema, header=False, length_limits={"c_name": 25}, surveyed=surveyed)
+    before = F.sum("lines").over(Window.orderBy(FILE_COL).rowsBetween(Window.unboundedPreceding, -1))       # a row a file
+    files = file_encodings(surveyed).select(FILE_COL, F.coalesce(before, F.lit(0)).alias("before"))
+    return rows.where(F.col(REJECT_COL).isNotNull()).join(files, FILE_COL).select(
+        (F.col("before") + F.col(LINE_COL)).alias("line"), F.col(REJECT_COL).alias("reason"), "c_custkey")
+
+
+def _reject_lines_sql() -> str:
+    return """
+WITH c AS (
+  SELECT c_custkey AS k, CASE WHEN c_custkey % 61 = 0 THEN chr(10) ELSE '' END || concat_ws(';', CAST(c_custkey AS VARCHAR),
+           CASE WHEN c_custkey % 97 = 0 THEN c_name || ';x' WHEN c_custkey % 83 = 0 THEN c_name || ' of the long name' ELSE c_name END,
+           CAST(c_nationkey AS VARCHAR), CASE WHEN c_custkey % 89 = 0 THEN 'MULTI' || chr(10) || 'LINE ' || c_mktsegment ELSE c_mktsegment END) AS line
+  FROM customer),
+p AS (SELECT k, string_split(line, chr(10)) AS parts FROM c),
+u AS (SELECT k, i, parts[i] AS line FROM p, LATERAL (SELECT unnest(generate_series(1, len(parts))) AS i)),
+n AS (SELECT row_number() OVER (ORDER BY k, i) AS line_number, string_split(line, ';') AS t, line FROM u),
+r AS (SELECT line_number, t, CASE WHEN len(t) <> 4 THEN 'field_count' WHEN length(t[2]) > 25 THEN 'too_long:c_name' END AS reason FROM n WHERE trim(line) <> '')
+SELECT CAST(line_number AS BIGINT) AS line, reason, NULLIF(t[1], '') AS c_custkey FROM r WHERE reason IS NOT NULL"""
+
+
 def full_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load the same table twice (staged writes + pointer swap), read it once."""
     o = spark.read.parquet(f"{sf_dir}/orders.parquet")
@@ -424,9 +527,12 @@ PIPELINE_QUERIES = {
     "define_then_load": define_then_load,
     "load_failure_audit": load_failure_audit,
     "csv_scan_roundtrip": csv_scan_roundtrip,
+    "encoding_repair": encoding_repair,
+    "reject_lines": reject_lines,
     "fact_grain": fact_grain,
     "full_reload": full_reload,
     "load_audit": load_audit,
+    "star_aliases": star_aliases,
     "warehouse_facts": warehouse_facts,
 }
 
@@ -454,5 +560,5 @@ SELECT NULLIF(t[1], '') AS c_custkey, NULLIF(t[2], '') AS c_name, NULLIF(t[3], '
 FROM f"""
 
 
-PIPELINE_ORACLE = {"full_reload": _full_reload_sql, "csv_scan_roundtrip": _csv_scan_sql,
+PIPELINE_ORACLE = {"encoding_repair": _encoding_repair_sql, "reject_lines": _reject_lines_sql, "full_reload": _full_reload_sql, "csv_scan_roundtrip": _csv_scan_sql,
                    "define_then_load": _define_then_load_sql, "load_failure_audit": _load_failure_sql}

@@ -9,7 +9,7 @@ from tessera.functions.codes import normalize_code, remap_area_code
 from tessera.functions.dates import period_to_date
 from tessera.functions.names import apply_rules, long_name_input, wide_name_input
 from tessera.functions.numeric import parse_numeric_text, parse_plain_decimal, to_int
-from tessera.functions.text import blank_to_null, clean_text
+from tessera.functions.text import blank_to_null, clean_text, collated, text_columns
 from tessera.specs import CLEAN_YEARS, NOISE_PATTERNS, VALUE_TYPE, TableSpec, year_col
 
 
@@ -60,4 +60,7 @@ def clean_long(raw: DataFrame, spec: TableSpec, *, strip_thousands: bool = False
 
 
 def clean_table(raw: DataFrame, spec: TableSpec, noise_patterns=NOISE_PATTERNS) -> DataFrame:
-    return clean_long(raw, spec) if spec.shape == "long" else clean_wide(raw, spec, noise_patterns)
+    """The clean table of a spec; its text columns have the type that compares under the collation."""
+    df = clean_long(raw, spec) if spec.shape == "long" else clean_wide(raw, spec, noise_patterns)
+    text = text_columns(df)
+    return df.select(*[collated(c).alias(c) if c in text else F.col(c) for c in df.columns])

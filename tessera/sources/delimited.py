@@ -17,30 +17,27 @@ CORRUPT_COL = "_corrupt_record"
 REJECT_COL = "_reject_reason"
 
 
+def csv_options(sep: str, quote: str | None) -> dict:
+    """How a line is split at its separators, by a scan or by an expression."""
+    out = {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL,
+           "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    return out if quote is None else out | {"quote": quote}
+
+
 def _configure(reader, schema: T.StructType, sep: str, header: bool, quote: str | None,
                encoding: str):
     full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COL, T.StringType())])
-    reader = (reader.schema(full)
-              .option("sep", sep)
-              .option("header", header)
-              .option("encoding", encoding)
-              .option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", CORRUPT_COL)
-              .option("ignoreLeadingWhiteSpace", False)
-              .option("ignoreTrailingWhiteSpace", False))
-    if quote is not None:
-        reader = reader.option("quote", quote)
-    return reader
-
-
-def with_reject_reason(df: DataFrame, schema: T.StructType, length_limits: dict | None = None) -> DataFrame:
-    """Declared columns, the raw line of malformed rows, and the reject reason."""
+    return reader.schema(full).options(header=header, encoding=encoding, **csv_options(sep, quote))
+
+
+def with_reject_reason(df: DataFrame, schema: T.StructType, length_limits: dict | None = None, keep: tuple = ()) -> DataFrame:
+    """Declared columns, the raw line of malformed rows, the reject reason, and the columns ``keep``."""
     reason = F.when(F.col(CORRUPT_COL).isNotNull(), F.lit("field_count"))
     for name, limit in (length_limits or {}).items():
         if name in schema.fieldNames():
             reason = reason.when(F.length(name) > limit, F.lit(f"too_long:{name}"))
     return df.select(*schema.fieldNames(), F.col(CORRUPT_COL).alias("_raw_line"),
-                     reason.alias(REJECT_COL))
+                     reason.alias(REJECT_COL), *keep)
 
 
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType, *, sep: str = ";",
@@ -68,7 +65,7 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType, *, sep:
 
 
 def good_rows(df: DataFrame) -> DataFrame:
-    return df.filter(F.col(REJECT_COL).isNull()).drop(REJECT_COL, "_raw_line")
+    return df.filter(F.col(REJECT_COL).isNull()).drop(REJECT_COL, "_raw_line", "_file", "_line_number")
 
 
 def rejected_rows(df: DataFrame) -> DataFrame:

@@ -192,20 +192,26 @@ def raw_long_schema() -> T.StructType:
 
 VALUE_TYPE = T.DecimalType(18, 2)
 
+# How text compares from the clean layer on, as in the source's databases:
+# without regard to case and trailing blanks. Columns of this type carry the
+# rule to every =, DISTINCT, GROUP BY and join.
+COLLATION = "UTF8_LCASE_RTRIM"
+TEXT_TYPE = T.StringType(COLLATION)
+
 
 def clean_wide_schema(with_series: bool) -> T.StructType:
     fields = [
         T.StructField("Country_code", T.IntegerType()),
-        T.StructField("Indicator_code", T.StringType()),
-        T.StructField("Country", T.StringType()),
-        T.StructField("Indicator_L1", T.StringType()),
-        T.StructField("Indicator_L2", T.StringType()),
-        T.StructField("Indicator_L3", T.StringType()),
-        T.StructField("Indicator_L4", T.StringType()),
-        T.StructField("Units", T.StringType()),
+        T.StructField("Indicator_code", TEXT_TYPE),
+        T.StructField("Country", TEXT_TYPE),
+        T.StructField("Indicator_L1", TEXT_TYPE),
+        T.StructField("Indicator_L2", TEXT_TYPE),
+        T.StructField("Indicator_L3", TEXT_TYPE),
+        T.StructField("Indicator_L4", TEXT_TYPE),
+        T.StructField("Units", TEXT_TYPE),
     ]
     if with_series:
-        fields.append(T.StructField("Series_method", T.StringType()))
+        fields.append(T.StructField("Series_method", TEXT_TYPE))
     fields += [T.StructField(year_col(y), VALUE_TYPE) for y in CLEAN_YEARS]
     fields.append(T.StructField("dwh_create_date", T.TimestampType()))
     return T.StructType(fields)
@@ -214,12 +220,12 @@ def clean_wide_schema(with_series: bool) -> T.StructType:
 def clean_long_schema() -> T.StructType:
     return T.StructType([
         T.StructField("Country_code", T.IntegerType()),
-        T.StructField("Country", T.StringType()),
+        T.StructField("Country", TEXT_TYPE),
         T.StructField("Time_Period", T.DateType()),
         T.StructField("Value", VALUE_TYPE),
-        T.StructField("SeriesDescription", T.StringType()),
-        T.StructField("Nature", T.StringType()),
-        T.StructField("Units", T.StringType()),
+        T.StructField("SeriesDescription", TEXT_TYPE),
+        T.StructField("Nature", TEXT_TYPE),
+        T.StructField("Units", TEXT_TYPE),
         T.StructField("dwh_create_date", T.TimestampType()),
     ])
 

@@ -50,7 +50,7 @@ def test_entry_smoke(spark):
 
 def test_rows_only_queries(spark):
     audit = QUERIES["load_audit"](spark, SF).collect()
-    assert len(audit) == 40 and all(r.status == "ok" for r in audit)
+    assert len(audit) == 42 and all(r.status == "ok" for r in audit)
     scan = QUERIES["csv_scan_roundtrip"](spark, SF)
     assert scan.filter("_reject_reason is not null").count() > 0
 
