@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from tessera.functions.text import (
     any_of, as_exact, collated_equal, distinct_collated, group_collated, has_nonstandard_char, text_columns, untrimmed,
 )
+from tessera.operators.bitmap import key_bitmap, with_membership
 from tessera.operators.dims import Dimension
+from tessera.operators.skew import row_bucket, salted
 
 #: Reducers over which a foreign-key check spreads the rows of NULL key.
 NULL_BUCKETS = 4096
@@ -89,32 +91,56 @@ def id_conflicts(left: DataFrame, right: DataFrame, id_col: str, name_col: str,
 
 
 def fk_violations(fact: DataFrame, dims: list[Dimension], fact_keys: list[str] | None = None,
-                  failed_col: str = "failed_keys", with_dimensions: bool = False) -> DataFrame:
+                  failed_col: str = "failed_keys", with_dimensions: bool = False, method: str = "auto",
+                  hot: dict | None = None) -> DataFrame:
     """Fact rows whose key does not resolve in its dimension (left join + null test).
 
-    Dimension keys are unique, so the joins cannot fan out; sides under the
-    broadcast budget broadcast. The result keeps the fact columns and names
-    the keys that failed. In a shuffled join NULL keys, which match nothing,
-    are spread as negative numbers (dimension keys are 1..N), not sent to one
-    reducer. ``with_dimensions`` also carries every dimension
-    column, prefixed ``<dimension>__`` (the star projection over all joined
-    relations, with names that stay unique and writable).
+    Dimension keys are unique, so the joins cannot fan out. The result keeps the
+    fact columns and names the keys that failed. A side under the broadcast budget
+    is broadcast. Above it, whole-number keys are looked up in a bitmap index of the
+    dimension (``bitmap.key_bitmap``), broadcast if its measured size is under the
+    budget, so the fact stays where it is. What remains is a shuffled join, in which
+    ``hot`` (by fact key, measured when the fact was written) spreads heavy keys and
+    NULL keys; without it NULL keys, which match nothing, are spread as
+    negative numbers (dimension keys are 1..N), not sent to one reducer.
+    ``method``: ``bitmap`` or ``join`` instead of that choice.
+
+    ``with_dimensions`` also carries every dimension column, prefixed ``<dimension>__`` (the
+    star projection over all joined relations, with names that stay unique and writable).
     """
-    from tessera.operators.star import broadcast_budget, row_bucket, side_bytes
+    from tessera.operators.star import broadcast_budget, side_bytes
 
+    if method not in ("auto", "bitmap", "join") or method == "bitmap" and with_dimensions:
+        raise ValueError(f"method {method!r}" + " has no dimension columns" * with_dimensions)
     fact_keys = fact_keys or [d.key for d in dims]
     budget = broadcast_budget(fact.sparkSession)
+    partitions = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     out = fact
     flags = []
     for i, (d, fk) in enumerate(zip(dims, fact_keys)):
+        small = side_bytes(d, d.df.columns if with_dimensions else [d.key]) <= budget
+        whole = fact.schema[fk].dataType.typeName() in ("integer", "long")
+        if whole and not with_dimensions and (method == "bitmap" or method == "auto" and not small):
+            index = key_bitmap(d.df, d.key)
+            if method == "bitmap" or index.bytes <= budget:
+                out = with_membership(out, fk, index, f"_hit{i}")
+                flags.append((fk, ~F.col(f"_hit{i}")))
+                continue
         extra = [F.col(c).alias(f"{d.name}__{c}") for c in d.df.columns] if with_dimensions else []
-        side = d.df.select(F.col(d.key).alias(f"_dk{i}"), F.lit(True).alias(f"_hit{i}"), *extra)
-        key = F.col(fk)
-        if side_bytes(d, d.df.columns if with_dimensions else [d.key]) <= budget:
+        name = f"_dk{i}"
+        side = d.df.select(F.col(d.key).alias(name), F.lit(True).alias(f"_hit{i}"), *extra)
+        on, key = [name], F.col(fk)
+        spread = hot[fk].buckets(partitions) if hot and fk in hot else {}
+        if small:
             side = F.broadcast(side)
-        elif fact.schema[fk].dataType.typeName() in ("integer", "long"):
-            key = F.coalesce(key, -1 - row_bucket(fact, NULL_BUCKETS))
-        out = out.join(side, key == F.col(f"_dk{i}"), "left").drop(f"_dk{i}")
+        elif spread:
+            out, side = salted(out.withColumn(name, key), side, name, spread, f"_salt{i}")
+            on.append(f"_salt{i}")
+        elif whole:
+            key = F.coalesce(key, -1 - row_bucket(fact, F.lit(NULL_BUCKETS)))
+        if len(on) == 1:
+            out = out.withColumn(name, key)
+        out = out.join(side, on, "left").drop(*on)
         flags.append((fk, F.col(f"_hit{i}").isNull()))
     bad = out.filter(reduce(lambda a, b: a | b, [f for _, f in flags]))
     bad = bad.withColumn(failed_col, F.concat_ws(",", *[F.when(f, F.lit(k)) for k, f in flags]))

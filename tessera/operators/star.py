@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from tessera.functions.text import collated, exact
 from tessera.operators.dims import Dimension
+from tessera.operators.skew import HotKeys, row_bucket, salted
 
 DEFAULT_BROADCAST_BYTES = 32 * 1024 * 1024
 
@@ -57,6 +58,9 @@ class DimLink:
     not broadcast: fact rows whose key is in ``hot_keys`` (or NULL) are spread
     over that many buckets, and the matching dimension rows are replicated
     into every bucket. ``hot_keys=None`` finds them with ``find_hot_keys``.
+    ``hot``, by fact column, are heavy hitters that were measured when the fact's
+    sources were written: a join that does not broadcast spreads those of the
+    first column that has some, without being told to.
     ``attributes`` are dimension columns that the joined rows carry with the key.
     """
     dim: Dimension
@@ -66,6 +70,7 @@ class DimLink:
     hot_keys: list | None = None
     hot_support: float = 0.05
     attributes: tuple = ()
+    hot: dict[str, HotKeys] = field(default_factory=dict)
 
 
 def find_hot_keys(df: DataFrame, column: str, support: float = 0.05) -> list:
@@ -76,12 +81,6 @@ def find_hot_keys(df: DataFrame, column: str, support: float = 0.05) -> list:
     return [v for v in row[0] if v is not None]
 
 
-def row_bucket(df: DataFrame, buckets: int):
-    """Bucket of a row from its stored values: a recomputed task puts it in the same one."""
-    values = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in values]), F.lit(buckets)).cast("int")
-
-
 def _salted(fact: DataFrame, side: DataFrame, name: str, link: DimLink, i: int):
     """Add a salt column to both sides: hot / NULL fact keys get a bucket by the
     hash of their row, hot dimension rows are exploded into every bucket."""
@@ -90,13 +89,17 @@ def _salted(fact: DataFrame, side: DataFrame, name: str, link: DimLink, i: int):
     b = link.salt_buckets
     key = F.col(name)
     hot_fact = key.isNull() | key.isin(hot) if hot else key.isNull()
-    fact = fact.withColumn(salt, F.when(hot_fact, row_bucket(fact, b)).otherwise(F.lit(0)))
+    fact = fact.withColumn(salt, F.when(hot_fact, row_bucket(fact, F.lit(b))).otherwise(F.lit(0)))
     buckets = F.when(F.col(name).isin(hot), F.sequence(F.lit(0), F.lit(b - 1))) if hot else None
     side = side.withColumn(salt, F.explode(buckets.otherwise(F.array(F.lit(0))))) if hot \
         else side.withColumn(salt, F.lit(0))
     return fact, side, salt
 
 
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def star_join(fact: DataFrame, links: list[DimLink], keep: list[str],
               how: str = "left", max_broadcast_bytes: int | None = None) -> DataFrame:
     budget = max_broadcast_bytes if max_broadcast_bytes is not None else broadcast_budget(fact.sparkSession)
@@ -120,6 +123,14 @@ def star_join(fact: DataFrame, links: list[DimLink], keep: list[str],
         elif link.salt_buckets > 1 and len(names) == 1:
             out, side, salt = _salted(out, side, names[0], link, i)
             join_on.append(salt)
+        else:
+            for name, fexpr in zip(names, link.on.values()):
+                known = link.hot.get(fexpr) if isinstance(fexpr, str) else None
+                spread = known.buckets(_partitions(fact)) if known else {}
+                if spread:
+                    out, side = salted(out, side, name, spread, f"_salt{i}")
+                    join_on.append(f"_salt{i}")
+                    break
         out = out.join(side, on=join_on, how=how).drop(*join_on)
     return out.select(*_joined(links), *keep)
 

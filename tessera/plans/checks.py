@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import quality as Q
+from tessera.operators import skew
 from tessera.operators.dims import Dimension
 from tessera.operators.keys import size_aggregates
 from tessera.plans.gold import ALIAS_TABLES, FACT_NAMES
@@ -71,7 +72,8 @@ def quality_checks(spark: SparkSession, tables=TABLES, conflict_pair=("domestic_
             if not _exists(spark, f"{prefix}gold.{fact}"):
                 continue
             used = [dims[d] for d in DIMS if d != "dim_indicator" or fact != "fact_sdg"]
-            checks[f"fk:{fact}"] = (f"{prefix}gold.{fact}", Q.fk_violations(spark.table(f"{prefix}gold.{fact}"), used))
+            table = f"{prefix}gold.{fact}"
+            checks[f"fk:{fact}"] = (table, Q.fk_violations(spark.table(table), used, hot=skew.stored(spark, table)))
     return checks
 
 

@@ -23,6 +23,8 @@ from tessera.functions.numeric import parse_numeric_text
 from tessera.functions.text import clean_text, collated, matches_any, untrimmed
 from tessera.operators import dims as D
 from tessera.operators import quality as Q
+from tessera.operators import skew
+from tessera.operators.bitmap import key_bitmap, with_membership
 from tessera.operators.keys import dense_key
 from tessera.operators.marts import attach, year_over_year, yearly_totals_wide
 from tessera.operators.reshape import schema_columns, union_all, union_tagged, unpivot_years, widen
@@ -467,6 +469,32 @@ UNION ALL SELECT 'join', a.c_nationkey, sum(b.n) FROM (SELECT DISTINCT c_nationk
     return spark.sql(sql)
 
 
+def _skewed_lines(spark, sf_dir) -> tuple[DataFrame, dict]:
+    """Lines of which a third belong to one supplier, and some to none, written; their heavy hitters, measured by that write."""
+    li = load(spark, sf_dir, "lineitem")
+    member = F.when(F.col("l_orderkey") % 3 == 0, 1).when(F.col("l_linenumber") < 7, F.col("l_suppkey")).cast("int")
+    rows = li.select(member.alias("Country_code"), "l_orderkey", "l_linenumber", F.col("l_extendedprice").cast(DEC).alias("Value"))
+    path = scratch_path(spark, "skewed")
+    measuring, seen = skew.observed(rows, "skewed_lines", ["Country_code"])
+    measuring.write.parquet(path)
+    return spark.read.parquet(path), skew.measured(seen.get, ["Country_code"])
+
+
+def skewed_star(spark, sf_dir):
+    """Member keys of those lines through a shuffled join that spreads the heavy supplier."""
+    lines, hot = _skewed_lines(spark, sf_dir)
+    dim = D.member_dim([load(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))])
+    return build_fact(lines, [DimLink(dim, {"Country_id": "Country_code"}, hot=hot)], keep_extra=["l_orderkey", "l_linenumber"], max_broadcast_bytes=0)
+
+
+def heavy_keys(spark, sf_dir):
+    """What the write measured: rows, NULL keys, and every supplier with a 16th of the lines or more."""
+    _, hot = _skewed_lines(spark, sf_dir)
+    own = hot["Country_code"]
+    heavy = [(v, 1) for v, n in own.counts.items() if 16 * n >= own.rows]
+    return spark.createDataFrame([(own.rows, own.nulls, v) for v, _ in heavy], "rows long, nulls long, Country_code int")
+
+
 # ---------------------------------------------------------------------------
 # quality checks
 # ---------------------------------------------------------------------------
@@ -576,6 +604,21 @@ def dq_fk_4dim(spark, sf_dir):
     return Q.fk_violations(_lineitem_fact(wide, row_links, cell_links), list(dims))
 
 
+def dq_fk_bitmap(spark, sf_dir):
+    """The same violations found in bitmap indexes of the dimensions' keys."""
+    supp = load(spark, sf_dir, "supplier")
+    wide, row_links, cell_links, dims = _lineitem_star(spark, sf_dir, members=supp.filter(F.col("s_acctbal") >= 0))
+    return Q.fk_violations(_lineitem_fact(wide, row_links, cell_links), list(dims), method="bitmap")
+
+
+def key_membership(spark, sf_dir):
+    """Which lines refer to a part of a size above 10 (keys with gaps) and to an order of the table, by bitmap."""
+    parts = key_bitmap(load(spark, sf_dir, "part").where("p_size > 10"), "p_partkey")
+    orders = key_bitmap(load(spark, sf_dir, "orders").where("o_orderkey % 5 <> 0"), "o_orderkey")
+    li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    return with_membership(with_membership(li, "l_partkey", parts, "known_part"), "l_orderkey", orders, "known_order")
+
+
 def dq_fk_3dim(spark, sf_dir):
     """Registered members are users whose first event is a signup; facts of
     the others carry a NULL member key and are reported."""
@@ -694,6 +737,10 @@ QUERIES = {
     "fact_star_4dim": fact_star_4dim,
     "fact_star_conformed": fact_star_conformed,
     "fact_star_labelled": fact_star_labelled,
+    "skewed_star": skewed_star,
+    "heavy_keys": heavy_keys,
+    "dq_fk_bitmap": dq_fk_bitmap,
+    "key_membership": key_membership,
     "collated_star": collated_star,
     "collated_star_shuffled": collated_star_shuffled,
     "collated_table": collated_table,

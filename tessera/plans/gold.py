@@ -22,6 +22,7 @@ from tessera.functions.names import apply_rules
 from tessera.functions.text import collation_key, exact
 from tessera.operators import dims as D
 from tessera.operators.reshape import union_all
+from tessera.operators.skew import united
 from tessera.operators.star import DimLink, build_fact, star_join, unpivot_fact
 from tessera.specs import CLEAN_YEARS, TABLES, TEXT_TYPE, TableSpec, year_col
 
@@ -44,7 +45,7 @@ class GoldOptions:
     dedupe_year: bool = True           # one row per year
     conform_fact_units: bool = True    # recode units on every fact, not only industries
     indicator_on_source: bool = True   # join indicators on (code, source table)
-    salt_buckets: int = 1              # >1: salt hot / NULL member keys when dim_country is too big to broadcast
+    salt_buckets: int = 1              # >1: so many buckets for hot / NULL member keys instead of those measured
 
 
 @dataclass
@@ -161,11 +162,23 @@ def _fact_units(units, spec: TableSpec, opts: GoldOptions):
     return units
 
 
+#: Natural keys whose heavy hitters are measured when a clean table is written, by shape.
+MEASURED = {"wide": ("Country_code", "Indicator_code"), "long": ("Country_code",)}
+
+
+def _heavy(hot: dict | None, stems: list[str], column: str) -> dict:
+    """Heavy hitters of a natural key over the sources of a fact, as a link takes them; empty unless all sources know theirs."""
+    found = united([(hot or {}).get(s, {}).get(column) for s in stems])
+    return {column: found} if found else {}
+
+
 def wide_fact(silver: dict[str, DataFrame], fact: str, dims: dict, opts: GoldOptions = GoldOptions(),
-              tables=TABLES) -> DataFrame:
+              tables=TABLES, hot: dict | None = None) -> DataFrame:
     """Union the fact's wide sources, resolve member / indicator / unit keys per
-    row, unpivot the year cells once, drop empty cells, resolve the year key."""
+    row, unpivot the year cells once, drop empty cells, resolve the year key.
+    ``hot``: measured heavy hitters by stem and column."""
     years = [year_col(y) for y in CLEAN_YEARS]
+    stems = [t.stem for t in _wide_specs(tables) if t.fact == fact and t.stem in silver]
     parts = [silver[t.stem].select("Country_code", "Indicator_code",
                                    _fact_units(F.col("Units"), t, opts).alias("Units"),
                                    F.lit(t.tag).alias("Source_Table"), *years)
@@ -174,8 +187,8 @@ def wide_fact(silver: dict[str, DataFrame], fact: str, dims: dict, opts: GoldOpt
     if opts.indicator_on_source:
         ind_on["Source_Table"] = "Source_Table"
     row_links = [DimLink(dims["dim_country"], {"Country_id": "Country_code"},
-                         salt_buckets=opts.salt_buckets),
-                 DimLink(dims["dim_indicator"], ind_on),
+                         salt_buckets=opts.salt_buckets, hot=_heavy(hot, stems, "Country_code")),
+                 DimLink(dims["dim_indicator"], ind_on, hot=_heavy(hot, stems, "Indicator_code")),
                  DimLink(dims["dim_unit_of_measure"], {"Measure_Units": "Units"})]
     cell_links = [DimLink(dims["dim_year"], {"Year": "Year"})]
     year_of_col = lambda c: F.substring_index(c, "_", -1).cast("int")
@@ -184,7 +197,7 @@ def wide_fact(silver: dict[str, DataFrame], fact: str, dims: dict, opts: GoldOpt
 
 
 def sdg_fact(silver: dict[str, DataFrame], dims: dict, opts: GoldOptions = GoldOptions(),
-             tables=TABLES) -> DataFrame:
+             tables=TABLES, hot: dict | None = None) -> DataFrame:
     """SDG facts keep their NULL values and carry a short series label, not an indicator key."""
     parts = []
     for t in tables:
@@ -195,7 +208,8 @@ def sdg_fact(silver: dict[str, DataFrame], dims: dict, opts: GoldOptions = GoldO
         parts.append(s.select("Country_code", series_code("SeriesDescription").alias("Indicator"),
                               F.year("Time_Period").alias("Year"), units.alias("Units"), "Value"))
     long = union_all(parts)
-    links = [DimLink(dims["dim_country"], {"Country_id": "Country_code"}, salt_buckets=opts.salt_buckets),
+    stems = [t.stem for t in tables if t.shape == "long" and t.stem in silver]
+    links = [DimLink(dims["dim_country"], {"Country_id": "Country_code"}, salt_buckets=opts.salt_buckets, hot=_heavy(hot, stems, "Country_code")),
              DimLink(dims["dim_year"], {"Year": "Year"}),
              DimLink(dims["dim_unit_of_measure"], {"Measure_Units": "Units"})]
     out = build_fact(long, links, keep_extra=["Indicator"], drop_null_measure=False)
@@ -219,15 +233,15 @@ def fact_cells(silver: dict[str, DataFrame], fact: str, tables=TABLES) -> DataFr
     return union_all(parts).agg(F.sum("cells").alias("cells"), F.sum("total").cast("decimal(38,2)").alias("total"))
 
 
-def build_star(silver: dict[str, DataFrame], opts: GoldOptions = GoldOptions(), tables=TABLES) -> Star:
+def build_star(silver: dict[str, DataFrame], opts: GoldOptions = GoldOptions(), tables=TABLES, hot: dict | None = None) -> Star:
     members = natural_members(silver, tables)
     dims = build_dims(silver, opts, tables, members)
     facts = {}
     for fact, name in FACT_NAMES.items():
         if fact == "sdg":
             if any(t.shape == "long" and t.stem in silver for t in tables):
-                facts[name] = sdg_fact(silver, dims, opts, tables)
+                facts[name] = sdg_fact(silver, dims, opts, tables, hot)
         elif any(t.fact == fact and t.stem in silver for t in tables):
-            facts[name] = wide_fact(silver, fact, dims, opts, tables)
+            facts[name] = wide_fact(silver, fact, dims, opts, tables, hot)
     aliases = build_aliases(members) if opts.one_name and opts.dedupe_country else {}
     return Star(dims, facts, aliases, members)

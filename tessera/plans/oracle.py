@@ -656,6 +656,32 @@ UNION ALL SELECT 'prefix', nation, count(*) FROM s WHERE starts_with(segment, 'A
 UNION ALL SELECT 'join', a.nation, CAST(sum(b.n) AS BIGINT) FROM (SELECT DISTINCT nation, segment FROM s) a JOIN b USING (segment) GROUP BY a.nation"""
 
 
+SKEWED = """SELECT CASE WHEN l_orderkey % 3 = 0 THEN 1 WHEN l_linenumber < 7 THEN l_suppkey END AS m, l_orderkey, l_linenumber,
+       CAST(l_extendedprice AS DECIMAL(18,2)) AS v FROM lineitem"""
+
+
+def skewed_star() -> str:
+    return f"""
+WITH d AS (SELECT {key_sql('Country_key', 's_suppkey')}, s_suppkey FROM supplier), s AS ({SKEWED})
+SELECT Country_key, l_orderkey, l_linenumber, v AS Value FROM s LEFT JOIN d ON m = s_suppkey WHERE v IS NOT NULL"""
+
+
+def heavy_keys() -> str:
+    return f"""
+WITH s AS ({SKEWED}), t AS (SELECT count(*) AS rows, count(*) FILTER (WHERE m IS NULL) AS nulls FROM s)
+SELECT rows, nulls, CAST(m AS INTEGER) AS Country_code FROM s, t WHERE m IS NOT NULL GROUP BY ALL HAVING 16 * count(*) >= rows"""
+
+
+def key_membership() -> str:
+    return """
+SELECT l_orderkey, l_linenumber, l_partkey, l_partkey IN (SELECT p_partkey FROM part WHERE p_size > 10) AS known_part,
+       l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 5 <> 0) AS known_order FROM lineitem"""
+
+
+ORACLE["skewed_star"] = skewed_star
+ORACLE["heavy_keys"] = heavy_keys
+ORACLE["key_membership"] = key_membership
+ORACLE["dq_fk_bitmap"] = dq_fk_4dim
 ORACLE["collated_star"] = collated_star
 ORACLE["collated_star_shuffled"] = collated_star
 ORACLE["collated_table"] = collated_table

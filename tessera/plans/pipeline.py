@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.plans.derive import derive_raw_files, long_extract, orders_by_year, write_extract
-from tessera.plans.gold import ALIAS_TABLES, FACT_NAMES, GoldOptions, Star, build_star, fact_cells, unresolved_keys
+from tessera.operators import skew
+from tessera.plans.gold import ALIAS_TABLES, FACT_NAMES, MEASURED, GoldOptions, Star, build_star, fact_cells, unresolved_keys
 from tessera.functions.text import exact, noise_patterns
 from tessera.operators.reshape import year_columns
 from tessera.plans.silver import clean_table
@@ -214,8 +215,10 @@ class Warehouse:
                 obs = Observation(f"clean_{spec.stem}")
                 clean = clean_table(raw, spec, noise_patterns(self.quote))
                 filled = [F.count(c) for c in year_columns(clean)] or [F.count(F.lit(1))]
-                clean = clean.observe(obs, F.count(F.lit(1)).alias("rows"), sum(filled[1:], filled[0]).alias("cells"))
+                keys = MEASURED[spec.shape]
+                clean = clean.observe(obs, F.count(F.lit(1)).alias("rows"), sum(filled[1:], filled[0]).alias("cells"), *skew.sketch(clean, keys))
                 publish(self.spark, clean, table, self.root)
+                skew.store(self.spark, table, skew.measured(obs.get, keys))
                 self._prune(table)
                 self.cells[spec.stem] = obs.get["cells"]
                 return obs.get["rows"], 0
@@ -244,11 +247,12 @@ class Warehouse:
 
     def _load_star(self) -> Star:
         silver = self.silver()
-        star = build_star(silver, self.options, self.tables)
+        hot = {stem: skew.stored(self.spark, self.name("silver", stem)) for stem in silver}
+        star = build_star(silver, self.options, self.tables, hot)
         if self.options.one_name and (lost := {k: n for k, n in unresolved_keys(star.members, star.dims, self.options).items() if n}):
             raise FactKeyError(f"natural keys without one row of their dimension: {lost}")
         kinds = {name: fact for fact, name in FACT_NAMES.items()}
-        version, paths = new_version(), {}
+        version, paths, fact_hot = new_version(), {}, {}
 
         def dim_job(name, dim):
             def run():
@@ -259,10 +263,11 @@ class Warehouse:
         def fact_job(name, fact):
             def run():
                 obs = Observation(f"star_{name}")
-                paths[name] = write_version(fact.observe(obs, F.count(F.lit(1)).alias("rows")), self.root,
-                                            self.name("gold", name), version=version,
+                keys = [c for c in fact.columns if c.endswith("_key")]
+                measured = fact.observe(obs, F.count(F.lit(1)).alias("rows"), *skew.sketch(fact, keys))
+                paths[name] = write_version(measured, self.root, self.name("gold", name), version=version,
                                             partition_by=list(self.fact_partition_by) or None)
-                rows = obs.get["rows"]
+                rows, fact_hot[name] = obs.get["rows"], skew.measured(obs.get, keys)
                 if self.options.one_name:
                     stems = [t.stem for t in self.tables if t.fact == kinds[name] and t.stem in silver]
                     if all(s in self.cells for s in stems):
@@ -288,6 +293,8 @@ class Warehouse:
         tables = {n: self.name("gold", n) for n in paths}
         move_pointers(self.spark, {tables[n]: path for n, path in paths.items()},
                       partitioned={tables[n] for n in star.facts} if self.fact_partition_by else ())
+        for name, own in fact_hot.items():
+            skew.store(self.spark, tables[name], own)
         for name in (*kinds, *ALIAS_TABLES):
             if name not in paths:
                 self.spark.sql(f"DROP TABLE IF EXISTS {self.name('gold', name)}")
