@@ -129,18 +129,18 @@ def fk_violations(fact: DataFrame, dims: list[Dimension], fact_keys: list[str] |
         extra = [F.col(c).alias(f"{d.name}__{c}") for c in d.df.columns] if with_dimensions else []
         name = f"_dk{i}"
         side = d.df.select(F.col(d.key).alias(name), F.lit(True).alias(f"_hit{i}"), *extra)
-        on, key = [name], F.col(fk)
+        key = F.col(fk)
         spread = hot[fk].buckets(partitions) if hot and fk in hot else {}
         if small:
             side = F.broadcast(side)
         elif spread:
             out, side = salted(out.withColumn(name, key), side, name, spread, f"_salt{i}")
-            on.append(f"_salt{i}")
+            out = out.join(side, [name, f"_salt{i}"], "left").drop(name, f"_salt{i}")
+            flags.append((fk, F.col(f"_hit{i}").isNull()))
+            continue
         elif whole:
             key = F.coalesce(key, -1 - row_bucket(fact, F.lit(NULL_BUCKETS)))
-        if len(on) == 1:
-            out = out.withColumn(name, key)
-        out = out.join(side, on, "left").drop(*on)
+        out = out.join(side, key == F.col(name), "left").drop(name)
         flags.append((fk, F.col(f"_hit{i}").isNull()))
     bad = out.filter(reduce(lambda a, b: a | b, [f for _, f in flags]))
     bad = bad.withColumn(failed_col, F.concat_ws(",", *[F.when(f, F.lit(k)) for k, f in flags]))
