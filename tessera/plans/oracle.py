@@ -791,7 +791,7 @@ def star_aliases() -> str:
             "UNION ALL SELECT 'dim_indicator_alias', Indicator_id, source, alias, kept_name FROM alias_i")
 
 
-ERROR_COLUMNS = ("error", "error_class", "error_condition", "error_state", "error_procedure", "error_line")
+ERROR_COLUMNS = ("error", "error_class", "error_condition", "error_state", "error_procedure", "error_line", "error_severity")
 
 
 def load_audit() -> str:

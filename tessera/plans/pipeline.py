@@ -24,7 +24,7 @@ import traceback
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,6 +39,7 @@ from tessera.session import run_concurrently, scratch_path
 from tessera.functions.encoding import PAGES, misread, to_bytes
 from tessera.sources.delimited import REJECT_COL, good_rows, read_delimited, spec_length_limits
 from tessera.sources.survey import FILE_COL, LINE_COL, file_encodings, numbered_lines, read_surveyed, survey
+from tessera.sources.history import new_run_id, read_history, write_layer
 from tessera.sources.sinks import (
     create_namespaces, define_table, drop_old_versions, move_pointers, new_version, point_table, publish, stamp,
     table_location, version_path, write_version,
@@ -52,21 +53,26 @@ AUDIT_SCHEMA = T.StructType([
     T.StructField("error", T.StringType()), T.StructField("error_class", T.StringType()),
     T.StructField("error_condition", T.StringType()), T.StructField("error_state", T.StringType()),
     T.StructField("error_procedure", T.StringType()), T.StructField("error_line", T.StringType()),
+    T.StructField("error_severity", T.StringType()),
     T.StructField("started", T.TimestampType()), T.StructField("ended", T.TimestampType()),
 ])
 TIMES = ("seconds", "started", "ended")
 WHOLE_LAYER = "*"
 
 
-class RejectThresholdExceeded(RuntimeError):
+class LoadError(RuntimeError):
+    """The input, not the system, keeps a load from being right."""
+
+
+class RejectThresholdExceeded(LoadError):
     pass
 
 
-class FactGrainError(RuntimeError):
+class FactGrainError(LoadError):
     """A fact has more or fewer rows than its sources have filled cells."""
 
 
-class FactKeyError(RuntimeError):
+class FactKeyError(LoadError):
     """A natural key that has a name in the clean tables doesn't find one row of its dimension."""
 
 
@@ -84,11 +90,14 @@ class AuditRow:
     error_state: str | None = None
     error_procedure: str | None = None
     error_line: str | None = None
+    error_severity: str | None = None
     started: datetime | None = None
     ended: datetime | None = None
 
     def failed(self, e: Exception) -> None:
-        """Whole message, class, Spark error condition and SQLSTATE, place; '-' for what the error has not."""
+        """Whole message, class, Spark error condition and SQLSTATE, place, '-' for what the error has not; and
+        severity: ``input`` if other input would not have failed so (rejected lines, lost keys, a table or column
+        that is not there), else ``system``."""
         spark_error = isinstance(e, PySparkException)
         place = traceback.extract_tb(e.__traceback__)
         self.status, self.error, self.error_class = "failed", f"{type(e).__name__}: {e}", type(e).__name__
@@ -96,6 +105,7 @@ class AuditRow:
         self.error_state = (e.getSqlState() if spark_error else None) or "-"
         self.error_procedure = place[-1].name if place else "-"
         self.error_line = str(place[-1].lineno) if place else "-"
+        self.error_severity = "input" if isinstance(e, (LoadError, AnalysisException)) else "system"
 
 
 @dataclass
@@ -113,6 +123,8 @@ class Warehouse:
     pages: tuple = PAGES             # code pages a file may be in, or have been misread in
     keep_versions: int | None = None    # versions left of each table after a load; None: all
     audit: list = field(default_factory=list)
+    history: bool = True             # keep the audit rows of every run under the root
+    run_id: str = field(default_factory=new_run_id)    # retries under the same id replace their rows in the history
     loaded: set | None = None        # stems loaded by this run; None: whatever the catalog has
     cells: dict = field(default_factory=dict)    # filled cells by stem, counted while this run wrote the clean tables
 
@@ -155,9 +167,18 @@ class Warehouse:
             out.append(fn())
             done = self.audit[first:]
             return sum(a.rows for a in done), sum(a.rejects for a in done)
-        self._timed(layer, WHOLE_LAYER, run)
+        try:
+            self._timed(layer, WHOLE_LAYER, run)
+        finally:
+            if self.history:
+                rows = [tuple(getattr(a, f) for f in AUDIT_SCHEMA.fieldNames()) for a in self.audit[first:]]
+                write_layer(self.spark, self.root, self.run_id, layer, rows, AUDIT_SCHEMA)
         return out[0]
 
+    def load_history(self) -> DataFrame:
+        """Audit rows of all runs under this root, of this session and others, with their run ids."""
+        return read_history(self.spark, self.root, AUDIT_SCHEMA)
+
     def _prune(self, *tables: str) -> None:
         if self.keep_versions is not None:
             for table in tables:
@@ -479,6 +500,58 @@ def _full_reload_sql() -> str:
 FAILURE_STEM = "sdg_891"
 
 
+HISTORY_STEMS = ("domestic_trip", "sdg_891")
+
+
+def load_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs of a small warehouse (two layers) read back from its history: one good load, one that fails in its raw layer for a
+    rejected line, and one that is tried twice under its id. Times are compared, not returned: every table's lies
+    within its layer's, in order, and lasts as long as it says."""
+    chosen = tuple(t for t in TABLES if t.stem in HISTORY_STEMS)
+    root = scratch_path(spark, "history")
+    inputs = derive_raw_files(spark, sf_dir, f"{root}/extracts", tables=chosen)
+    sdg = next(t for t in chosen if t.shape == "long")
+    bad = long_extract(orders_by_year(spark, sf_dir), sdg)
+    write_extract(bad.withColumn("Units", F.when(F.col("GeoAreaCode").cast("long") % 19 == 0, F.concat("Units", F.lit(";stray"))).otherwise(F.col("Units"))), f"{root}/bad")
+
+    def warehouse(run_id):
+        return Warehouse(spark, f"{root}/tables", tables=chosen, prefix="history_", run_id=run_id)
+
+    def two_layers(wh):
+        wh.load_raw(inputs)
+        wh.load_clean()
+
+    two_layers(warehouse("run-1"))
+    try:
+        warehouse("run-2").load_raw(inputs | {sdg.stem: f"{root}/bad"})
+    except RejectThresholdExceeded:
+        pass    # the history has it
+    for _ in range(2):
+        two_layers(warehouse("run-3"))
+    found = warehouse("reader").load_history()
+    whole = found.where(F.col("table_name") == WHOLE_LAYER).select("run_id", "layer", F.col("started").alias("_from"), F.col("ended").alias("_to"))
+    lasted = F.col("ended").cast("double") - F.col("started").cast("double")
+    timed = (F.col("started") <= F.col("ended")) & (F.col("started") >= F.col("_from")) & (F.col("ended") <= F.col("_to")) & (F.abs(lasted - F.col("seconds")) < 0.5)
+    return found.join(whole, ["run_id", "layer"]).select("run_id", "layer", "table_name", "rows", "rejects", "status", "error_class", "error_severity", timed.alias("timed"))
+
+
+def _load_history_sql() -> str:
+    return f"""
+WITH d AS (SELECT * FROM lineitem), k AS (SELECT DISTINCT l_suppkey, l_linenumber, l_returnflag FROM d),
+w AS (SELECT count(*) AS n FROM k),
+c AS (SELECT l_suppkey, l_linenumber, l_returnflag, year(l_shipdate) AS y FROM d WHERE l_extendedprice IS NOT NULL GROUP BY ALL),
+o AS (SELECT o_custkey AS k, year(o_orderdate) AS y FROM orders GROUP BY ALL),
+s AS (SELECT count(*) AS n, count(*) FILTER (WHERE k % 19 = 0) AS bad FROM o),
+loaded AS (
+  SELECT layer, t AS table_name, n AS rows FROM w, (VALUES ('raw', 'domestic_trip'), ('clean', 'domestic_trip')) v(layer, t)
+  UNION ALL SELECT layer, t, n FROM s, (VALUES ('raw', 'sdg_891'), ('clean', 'sdg_891')) v(layer, t)),
+ok AS (SELECT r AS run_id, layer, table_name, rows, CAST(0 AS BIGINT) AS rejects FROM loaded, (VALUES ('run-1'), ('run-3')) v(r)),
+layers AS (SELECT * FROM ok UNION ALL SELECT run_id, layer, '*', CAST(sum(rows) AS BIGINT), CAST(0 AS BIGINT) FROM ok GROUP BY ALL)
+SELECT run_id, layer, table_name, rows, rejects, 'ok' AS status, CAST(NULL AS VARCHAR) AS error_class, CAST(NULL AS VARCHAR) AS error_severity, true AS timed FROM layers
+UNION ALL SELECT 'run-2', 'raw', 'domestic_trip', n, 0, 'ok', NULL, NULL, true FROM w
+UNION ALL SELECT 'run-2', 'raw', t, NULL, NULL, 'failed', 'RejectThresholdExceeded', 'input', true FROM (VALUES ('sdg_891'), ('*')) v(t)"""
+
+
 def load_failure_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audit rows of a load that must fail: an SDG extract of ``orders`` in which every
     19th customer's lines have a field too many, and no rejected line is allowed."""
@@ -502,7 +575,7 @@ WITH l AS (SELECT o_custkey AS k FROM orders GROUP BY o_custkey, year(o_orderdat
 c AS (SELECT count(*) AS n, count(*) FILTER (WHERE k % 19 = 0) AS r FROM l)
 SELECT 'raw' AS layer, t AS table_name, CAST(NULL AS BIGINT) AS rows, CAST(NULL AS BIGINT) AS rejects,
        'failed' AS status, 'RejectThresholdExceeded: ' || r || ' of ' || n || ' rows rejected in {FAILURE_STEM}' AS error,
-       'RejectThresholdExceeded' AS error_class, '-' AS error_condition, '-' AS error_state, 'run' AS error_procedure
+       'RejectThresholdExceeded' AS error_class, '-' AS error_condition, '-' AS error_state, 'run' AS error_procedure, 'input' AS error_severity
 FROM c, (VALUES ('{FAILURE_STEM}'), ('*')) v(t)"""
 
 
@@ -533,6 +606,7 @@ def _define_then_load_sql() -> str:
 PIPELINE_QUERIES = {
     "define_then_load": define_then_load,
     "load_failure_audit": load_failure_audit,
+    "load_history": load_history,
     "csv_scan_roundtrip": csv_scan_roundtrip,
     "encoding_repair": encoding_repair,
     "reject_lines": reject_lines,
@@ -567,5 +641,5 @@ SELECT NULLIF(t[1], '') AS c_custkey, NULLIF(t[2], '') AS c_name, NULLIF(t[3], '
 FROM f"""
 
 
-PIPELINE_ORACLE = {"encoding_repair": _encoding_repair_sql, "reject_lines": _reject_lines_sql, "full_reload": _full_reload_sql, "csv_scan_roundtrip": _csv_scan_sql,
+PIPELINE_ORACLE = {"load_history": _load_history_sql, "encoding_repair": _encoding_repair_sql, "reject_lines": _reject_lines_sql, "full_reload": _full_reload_sql, "csv_scan_roundtrip": _csv_scan_sql,
                    "define_then_load": _define_then_load_sql, "load_failure_audit": _load_failure_sql}
