@@ -9,8 +9,8 @@ from tessera.functions.codes import normalize_code, remap_area_code
 from tessera.functions.dates import period_to_date
 from tessera.functions.names import apply_rules, long_name_input, wide_name_input
 from tessera.functions.numeric import parse_numeric_text, parse_plain_decimal, to_int
-from tessera.functions.text import blank_to_null, clean_text, collated, text_columns
-from tessera.specs import CLEAN_YEARS, NOISE_PATTERNS, VALUE_TYPE, TableSpec, year_col
+from tessera.functions.text import blank_to_null, clean_text, collated, exact, text_columns
+from tessera.specs import CLEAN_LENGTH_LIMITS, CLEAN_YEARS, NOISE_PATTERNS, VALUE_TYPE, TableSpec, year_col
 
 
 def clean_wide(raw: DataFrame, spec: TableSpec, noise_patterns=NOISE_PATTERNS) -> DataFrame:
@@ -59,6 +59,17 @@ def clean_long(raw: DataFrame, spec: TableSpec, *, strip_thousands: bool = False
     )
 
 
+def over_long(df: DataFrame, spec: TableSpec):
+    """Reject reason of a clean row: the first text column that is longer than declared (trailing blanks don't
+    count, as they don't in comparisons), NULL if none is. Spark has no VARCHAR(n) with a collation, so the
+    load enforces the lengths where it writes."""
+    reason = F.lit(None).cast("string")
+    for name, limit in reversed(CLEAN_LENGTH_LIMITS[spec.shape].items()):
+        if name in df.columns:
+            reason = F.when(F.length(F.rtrim(exact(name))) > limit, F.lit(f"too_long:{name}")).otherwise(reason)
+    return reason
+
+
 def clean_table(raw: DataFrame, spec: TableSpec, noise_patterns=NOISE_PATTERNS) -> DataFrame:
     """The clean table of a spec; its text columns have the type that compares under the collation."""
     df = clean_long(raw, spec) if spec.shape == "long" else clean_wide(raw, spec, noise_patterns)

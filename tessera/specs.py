@@ -148,6 +148,13 @@ RAW_LENGTH_LIMITS = {
 }
 YEAR_CELL_LIMIT = 50
 
+# Declared text-length limits of the clean columns, by shape.
+CLEAN_LENGTH_LIMITS = {
+    "wide": {"Country": 200, "Indicator_L1": 255, "Indicator_L2": 255, "Indicator_L3": 255,
+             "Indicator_L4": 255, "Units": 100, "Series_method": 100},
+    "long": {"Country": 200, "SeriesDescription": 200, "Nature": 50, "Units": 50},
+}
+
 # ---------------------------------------------------------------------------
 # Schemas
 # ---------------------------------------------------------------------------
