@@ -30,12 +30,12 @@ of a byte or more is not learned; an empty table gives no row.
 from __future__ import annotations
 
 import pickle
-import re
 import uuid
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
+import regex
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,8 +46,10 @@ TRAIN_DOCS = 300
 #: Costs of four-byte strings (strings times languages) and languages of a block.
 CELLS, BLOCK = 1 << 24, 32
 UNIT = 65536
-_LETTER = re.compile(r"[^\W\d_]")
-_CHUNK = 1 << 20
+#: A letter of any script; numerals, marks and signs are none.
+_LETTER = regex.compile(r"\p{L}")
+#: Bytes whose costs are looked up at a time, and texts that are decoded at a time.
+_CHUNK, _SLICE = 1 << 17, 512
 
 
 def held_out(doc_id: Column) -> Column:
@@ -357,42 +359,41 @@ def predict(docs: DataFrame, learned: Learned | None, keep: tuple[str, ...] = ("
         import pyarrow as pa
 
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
-            real = [i for i, t in enumerate(texts) if sent and t and _LETTER.search(t)]
-            data = [texts[i].encode() for i in real]
-            best, score, rate = ["und"] * len(texts), [0.0] * len(texts), [None] * len(texts)
-            size, judged, bits, dear = [0] * len(texts), [0] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
-            if real:
-                least, total, names, part = None, None, None, None
-                skip = [no_evidence(texts[i], letters.value) for i in real] if evidence else None
-                for model in _each_model(name, sent):
+            n, texts = batch.num_rows, batch.column(batch.num_columns - 1)
+            best, least, total = np.full(n, "und", object), np.full(n, -1, np.int64), np.zeros(n)
+            size, judged, part, dear = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n)
+            for model in _each_model(name, sent):
+                for low in range(0, n, _SLICE):
+                    some = texts.slice(low, _SLICE).to_pylist()
+                    real = [i for i, t in enumerate(some) if t and _LETTER.search(t)]
+                    if not real:
+                        continue
+                    data, at = [some[i].encode() for i in real], low + np.array(real)
+                    skip = [no_evidence(some[i], letters.value) for i in real] if evidence else None
                     length, skipped = model.code_lengths(data, skip) if evidence else (model.code_lengths(data), None)
-                    low, at = length.min(axis=1), length.argmin(axis=1)
-                    own_part = (length - skipped).min(axis=1) if evidence else low
+                    own, found = length.min(axis=1), np.array(model.languages, object)[length.argmin(axis=1)]
+                    share = np.exp2(-np.minimum((length - own[:, None]) / UNIT, 1000.0)).sum(axis=1)
+                    first = least[at] < 0
+                    before = np.where(first, own, least[at])
+                    both = np.minimum(before, own)                    # ties: the earlier block, in code point order
+                    total[at] = (np.where(first, 0, total[at]) * np.exp2(-np.minimum((before - both) / UNIT, 1000.0))
+                                 + share * np.exp2(-np.minimum((own - both) / UNIT, 1000.0)))
+                    best[at] = np.where(first | (own < before), found, best[at])
+                    least[at] = both
+                    size[at] = [len(t) for t in data]
                     if evidence:
-                        for j, (i, x) in enumerate(zip(real, skip)):
-                            n = int(len(x) - x.sum())
-                            share = model.dear_words(data[j], x, evidence) if n and own_part[j] >= evidence * UNIT * n else 0.0
-                            dear[i] = share if least is None else min(dear[i], share)
-                    own = np.exp2(-np.minimum((length - low[:, None]) / UNIT, 1000.0)).sum(axis=1)
-                    found = np.array(model.languages, object)[at]
-                    if least is None:
-                        least, total, names, part = low, own, found, own_part
-                        continue
-                    both = np.minimum(least, low)                    # ties: the earlier block, in code point order
-                    names = np.where(low < least, found, names)
-                    part = np.minimum(part, own_part)
-                    total = total * np.exp2(-np.minimum((least - both) / UNIT, 1000.0)) + own * np.exp2(-np.minimum((low - both) / UNIT, 1000.0))
-                    least = both
-                for i, w, s, n, d in zip(real, names.tolist(), (1 / total).tolist(), least.tolist(), data):
-                    best[i], score[i], rate[i] = w, s, n / UNIT / len(d)
-                if evidence:
-                    for i, n, x in zip(real, part.tolist(), skip):
-                        size[i], judged[i], bits[i] = len(x), int(len(x) - x.sum()), n / UNIT
-            more = [pa.array(size, pa.int64()), pa.array(judged, pa.int64()), pa.array(bits, pa.float64()), pa.array(dear, pa.float64())] if evidence else []
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:len(out)], pa.array(best), pa.array(score, pa.float64()), pa.array(rate, pa.float64()), *more],
-                names=[*out, "lang_pred", "score", "bits_per_byte", *added])
+                        kept = (length - skipped).min(axis=1)
+                        judged[at] = [len(x) - int(x.sum()) for x in skip]
+                        words = [model.dear_words(t, x, evidence) if k and c >= evidence * UNIT * k else 0.0
+                                 for t, x, k, c in zip(data, skip, judged[at].tolist(), kept.tolist())]
+                        dear[at] = np.where(first, words, np.minimum(dear[at], words))
+                        part[at] = np.where(first, kept, np.minimum(part[at], kept))
+            known = least >= 0
+            score = np.divide(1, total, out=np.zeros(n), where=known)
+            rate = pa.array(np.divide(least / UNIT, size, out=np.zeros(n), where=known), mask=~known)
+            more = [pa.array(size), pa.array(judged), pa.array(part / UNIT), pa.array(dear)] if evidence else []
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(out)], pa.array(best, pa.string()), pa.array(score), rate, *more],
+                                             names=[*out, "lang_pred", "score", "bits_per_byte", *added])
 
     rows = docs.select(*(c for c in keep if c != "text"), F.col("text").cast("string").alias("text"))
     out = [c for c in rows.columns if c in keep]

@@ -17,7 +17,8 @@ links, not all pairs, and the trees are merged by distributed connected
 components.
 
 Edge cases: null, empty and blank texts have fingerprint zero and link like
-any other; repeated rows are alike; a row with a null ``doc_id`` links, but is
+any other; a long text's hashes are counted 8,192 at a time; repeated rows are
+alike; a row with a null ``doc_id`` links, but is
 nobody's ``component_id`` (null if all its component's ids are null); extra
 columns are ignored; an empty table gives no row.
 """
@@ -64,7 +65,8 @@ def fingerprints(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), shingle:
         import pyarrow as pa
 
         for batch in batches:
-            fps = [fingerprint(t, shingle) for t in batch.column(batch.num_columns - 1).to_pylist()]
+            texts = batch.column(batch.num_columns - 1)
+            fps = [fingerprint(t, shingle) for low in range(0, len(texts), 512) for t in texts.slice(low, 512).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(fps, pa.int64())], names=[*keep, "fp"])
 
     ship_code(docs.sparkSession)
