@@ -6,10 +6,18 @@ fractional parts are rounded by the pivotal method, two documents at a time:
 one gains probability, the other loses it, in proportion to their sizes so
 that the expected words of the pair stay the same, until one of them is 0 or 1;
 the direction is drawn so that each probability is kept in expectation. The
-other goes on against the next document. A source's words therefore miss its
-target by less than one document.
-
-The documents of a source are dealt by hash to groups of about ``FAN_IN``; a
+other goes on against the next document, and the one that is left at the end is
+drawn alone: a source misses its target by less than that document.
+
+So large documents come first. Those of more than a ``FINE``-th of the target and
+a ``COARSE``-th of the source (fewer than ``COARSE``) are paired, in falling size,
+with all that is left of their source as one: the document is drawn, and what it
+gains or loses is spread over the rest by moving their rate. It takes the number
+of copies (the whole part of the rate, or one more) that leaves the rest a rate
+between 0 and ``most``; where both do, its draw decides. A source of few
+documents is settled in this way altogether, to within its smallest one.
+
+The other documents of a source are dealt by hash to groups of about ``FAN_IN``; a
 group is folded in one expression and leaves one undecided document, which
 goes to the next level of the reduction tree; a hot source is just many
 groups. All draws are hashes of ``doc_id`` and ``seed``: reruns agree.
@@ -27,6 +35,8 @@ from pyspark.sql import functions as F
 from tessera.llm.common import WORD_RE, materialise
 
 FAN_IN = 256
+#: Parts of a source's target, and of its size, above which a document is settled first.
+FINE, COARSE = 256, 1024
 WEIGHTS = (5.0, 2.0, 1.0)
 
 
@@ -134,6 +144,41 @@ def numbered(rows: DataFrame) -> DataFrame:
     return rows.withColumn("n", F.row_number().over(Window.partitionBy("key").orderBy("key")))
 
 
+def settle_large(large: DataFrame, most: float = 2.0, seed: int = 7) -> tuple[DataFrame, DataFrame]:
+    """Copies of ``large(source, docs, source_size, target, doc_id, key, n, size)`` and, by source, the rate of what is left.
+
+    A state holds the words still to take and the words still there; the first
+    is kept between 0 and ``most`` times the second wherever a document allows it.
+    """
+    row = F.struct("size", "key", "n", "doc_id", _draw(seed, -1, "key", "n").alias("u"))
+    done_type = "array<struct<doc_id:bigint,key:bigint,n:int,size:bigint,copies:bigint>>"
+
+    def step(state, x):
+        left, there, s = state["left"], state["there"], x["size"].cast("double")
+        rate = left / there
+        low = F.floor(rate).cast("long")
+        rest = there - s
+
+        def beyond(copies):
+            """Words by which the rest can't make up for this number of copies."""
+            after = left - copies * s
+            return F.greatest(-after, after - F.lit(most) * rest, F.lit(0.0))
+
+        up, down = beyond(low + 1), beyond(low)
+        more = F.when(low >= int(most), False).when(up == down, x["u"] < rate - low).otherwise(up < down)
+        copies = low + more.cast("long")
+        after = F.least(F.greatest(left - copies * s, F.lit(0.0)), F.lit(most) * rest)
+        taken = F.struct(x["doc_id"].alias("doc_id"), x["key"].alias("key"), x["n"].alias("n"), x["size"].alias("size"), copies.alias("copies"))
+        return F.struct(after.alias("left"), rest.alias("there"), F.concat(state["done"], F.array(taken)).alias("done"))
+
+    start = F.struct(F.col("target").alias("left"), F.col("source_size").cast("double").alias("there"), F.array().cast(done_type).alias("done"))
+    ends = materialise(
+        large.groupBy("source", "target", "source_size").agg(F.sort_array(F.collect_list(row), asc=False).alias("rows"))
+        .withColumn("end", F.aggregate("rows", start, step)).select("source", "end"), "mixing-large")
+    copies = ends.select("source", F.explode("end.done").alias("x")).select("source", "x.doc_id", "x.key", "x.n", "x.size", "x.copies")
+    return copies, ends.select("source", F.when(F.col("end.there") > 0, F.col("end.left") / F.col("end.there")).otherwise(0.0).alias("rest_rate"))
+
+
 def mix(docs: DataFrame, share: float = 1.5, most: float = 2.0, seed: int = 7,
         weights: tuple = WEIGHTS, fan_in: int = FAN_IN) -> DataFrame:
     """Copies of every document: doc_id, key, n, source, size, source_size, target, copies."""
@@ -141,12 +186,16 @@ def mix(docs: DataFrame, share: float = 1.5, most: float = 2.0, seed: int = 7,
     sized = materialise(numbered(sized.select("doc_id", "source", "key", word_count(F.col("text").cast("string")).alias("size"))), "mixing-sizes")
     targets = materialise(source_targets(sized, share, most, weights), "mixing-targets")
     same = sized["source"].eqNullSafe(targets["source"])
-    each = sized.join(targets, same).select(
-        sized["source"], "doc_id", "key", "n", "size", "docs",
-        F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0).alias("rate"))
+    limit = F.greatest(F.col("target") / FINE, F.col("source_size") / COARSE)
+    each = sized.join(targets, same).select(sized["source"], "doc_id", "key", "n", "size", "docs", "source_size", "target", (F.col("size") > limit).alias("large"))
+    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
+    settled, rates = settle_large(each.where("large and size > 0"), most, seed)
+    small = each.where("not large and size > 0")
+    small = small.join(rates, small["source"].eqNullSafe(rates["source"]), "left").select(
+        small["source"], "docs", "doc_id", "key", "n", "size", F.coalesce("rest_rate", F.col("target") / F.col("source_size")).alias("rate"))
     base = F.floor("rate").cast("long")
-    items = each.where("size > 0").select("source", "docs", "doc_id", "key", "n", "size", base.alias("base"), (F.col("rate") - base).alias("p"))
-    rounded = pivotal_round(items, seed, fan_in).union(
-        each.where("size = 0").select("source", "doc_id", "key", "n", "size", base.alias("copies")))
+    items = small.select("source", "docs", "doc_id", "key", "n", "size", base.alias("base"), (F.col("rate") - base).alias("p"))
+    empty = each.where("size = 0").select("source", "doc_id", "key", "n", "size", whole.alias("copies"))
+    rounded = pivotal_round(items, seed, fan_in).union(settled).union(empty)
     return rounded.join(targets, rounded["source"].eqNullSafe(targets["source"])).select(
         "doc_id", "key", "n", rounded["source"], "size", "source_size", "target", "copies")
