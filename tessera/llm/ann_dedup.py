@@ -43,6 +43,8 @@ from tessera.llm.va_search import usable
 SHARD, PIVOTS, OVERLAP, LARGEST = 1000, 4096, 2, 2000
 DEGREE, NEAREST, ALPHA, BEAM = 24, 64, 1.2, 24
 AUDIT = 64
+#: Vector lengths that get pivots, the most frequent ones.
+LENGTHS = 64
 #: Cosine at twice the angle of 0.95: two vectors linked to a third are at least as near.
 APART = 2 * 0.95 ** 2 - 1
 
@@ -190,11 +192,13 @@ def shards(nodes: DataFrame, shard: int = SHARD, pivots: int = PIVOTS, overlap:
     ship_code(spark)
     copies = F.col("copies") if "copies" in nodes.columns else F.lit(1)
     nodes = nodes.select("vec_id", "v", copies.cast("long").alias("copies"), F.size("v").alias("dim"))
-    sizes = {r["dim"]: r["count"] for r in nodes.groupBy("dim").count().orderBy(F.desc("count")).limit(64).collect()}
-    total = sum(sizes.values())
+    # pivots for the most frequent lengths; a length without one is a shard of its own, dealt to sub-shards like any large one
+    lengths = nodes.groupBy("dim").count()
+    sizes = {r["dim"]: r["count"] for r in lengths.orderBy(F.desc("count"), "dim").limit(LENGTHS).collect()}
+    total = lengths.agg(F.sum("count")).first()[0] or 0
     want = min(pivots, -(-total // shard)) if total else 0
     share = min(1.0, 2 * want / max(total, 1))
-    chosen = nodes.where(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)) < int(share * (1 << 30))).orderBy(F.xxhash64("vec_id")).limit(2 * pivots)
+    chosen = nodes.where(F.col("dim").isin(list(sizes)) & (F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)) < int(share * (1 << 30)))).orderBy(F.xxhash64("vec_id")).limit(2 * pivots)
     rows = chosen.select("dim", "v").collect()
     by = {d: spread(_normed(np.array([r["v"] for r in rows if r["dim"] == d][:max(1, want * sizes[d] // total)]))) for d in {r["dim"] for r in rows}}
     sent = spark.sparkContext.broadcast(by)        # at most PIVOTS vectors
