@@ -177,6 +177,71 @@ def test_pipeline_stages(spark):
         assert stage(spark, empty, "").count() == 0
 
 
+def brute_chain(rows):
+    """What each stage must keep of ``rows`` (dicts): language ID by the operator's predictions, then plain code."""
+    part = slow_components([slow_fingerprint(r["text"]) for r in rows])
+    groups = {}
+    for r, p in zip(rows, part):
+        groups.setdefault(p, []).append(r)
+    unique = [min(g, key=lambda r: r["doc_id"]) for g in groups.values()]
+    sizes = {}
+    for r in unique:
+        sizes[r["source"]] = sizes.get(r["source"], 0) + len(r["text"].split())
+    return unique, slow_targets(sizes)
+
+
+def test_pipeline_run_against_a_brute_force_chain(spark, tmp_dir):
+    """run() over a written table: every stage written and reread; all pieces of the last are put together again."""
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline as pipe
+    from tessera.llm.queries import vocabulary
+
+    rnd = random.Random(12)
+    words = [(EN + FR).split(), FR.split()]
+    rows = []
+    for i in range(140):
+        lang = "en" if i % 2 else "fr"
+        rows.append(doc(i, " ".join(rnd.choice(words[i % 2 == 0]) + str(rnd.randint(0, 99)) for _ in range(rnd.choice([40, 90, 400]))), lang, "abc"[i % 3]))
+    rows += [doc(200 + k, rows[k][1], rows[k][2], "a") for k in (3, 3, 8)]                      # exact copies
+    rows += [doc(210 + k, rows[k][1] + " end", rows[k][2], "b") for k in (5, 20, 47)]          # near copies
+    gone = [doc(300, "12 34 -- ½", None, "a"), doc(301, None, "en", "b"), doc(302, "", "fr", None)]
+    spark.createDataFrame(rows + gone, DOC_SCHEMA).repartition(4).write.parquet(f"{tmp_dir}/documents.parquet")
+    pieces = pipe.run(spark, tmp_dir).collect()
+    unique, target = brute_chain([dict(doc_id=r[0], text=r[1], source=r[3]) for r in rows])
+    assert len(unique) < len(rows)
+    # pieces follow each other in their sequences without a gap; a document's pieces follow each other in the stream
+    ordered = sorted(pieces, key=lambda p: (p["sequence_id"], p["offset"]))
+    filled, documents = {}, []
+    for p in ordered:
+        assert p["offset"] == filled.get(p["sequence_id"], 0)
+        filled[p["sequence_id"]] = p["offset"] + p["length"]
+        ids = np.frombuffer(bytes(p["ids"]), "<u4").tolist()
+        assert len(ids) == p["length"]
+        if p["start"] == 0:
+            documents.append((p["doc_id"], []))
+        assert documents[-1][0] == p["doc_id"] and len(documents[-1][1]) == p["start"]
+        documents[-1][1].extend(ids)
+        if p["start"] + p["length"] == p["doc_tokens"]:
+            assert len(documents[-1][1]) == p["doc_tokens"]
+    assert max(filled.values()) <= 1024 and len(pieces) == len({(p["sequence_id"], p["offset"]) for p in pieces})
+    tok = Tokenizer.from_file(vocabulary("byte_bpe_50k.json"))
+    tok.encode_special_tokens = True
+    by = {r["doc_id"]: r for r in unique}
+    taken = {}
+    for name, ids in documents:
+        assert ids == tok.encode(by[name]["text"], add_special_tokens=False).ids + [0]
+        taken[by[name]["source"]] = taken.get(by[name]["source"], 0) + len(by[name]["text"].split())
+    copies = {}
+    for name, _ in documents:
+        copies[name] = copies.get(name, 0) + 1
+    assert max(copies.values()) <= 2
+    for s, want in target.items():
+        least = min(len(r["text"].split()) for r in unique if r["source"] == s)
+        assert abs(taken.get(s, 0) - want) <= max(least, 0.02 * want)
+
+
 def test_pipeline_language_rejects_on_evidence_only(spark):
     """Short clean texts and labels with few or only held-out rows stay; long random letters go."""
     import corpus_pipeline as pipe
@@ -250,6 +315,25 @@ def test_each_pair_of_overlapping_tasks_is_counted_once(spark):
     assert set(counted) == met and set(counted.values()) == {1}
 
 
+def test_many_vector_lengths(spark):
+    """70 lengths, more than get pivots: links within each are found, none between them."""
+    rnd = np.random.default_rng(8)
+    rows = []
+    for k, dim in enumerate(range(2, 72)):
+        base = rnd.normal(size=dim)
+        rows += [(10 * k + j, (base * (1 + j) + (0 if j < 3 else 50 * rnd.normal(size=dim))).tolist()) for j in range(5)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in ann_dedup.near_duplicates(df).collect()}
+    by = {i: np.array(v) / np.linalg.norm(v) for i, v in rows}
+    label = {i: i for i in by}
+    links = {i: [j for j in by if j != i and len(by[j]) == len(by[i]) and by[i] @ by[j] >= 0.95] for i in by}
+    for _ in range(5):
+        for i, near in links.items():
+            label[i] = min([label[i], *(label[j] for j in near)])
+    assert got == {i: (len(links[i]), label[i]) for i in by}
+    assert sum(len(x) for x in links.values()) >= 70 * 6
+
+
 def test_group_of_near_copies_gives_rows_in_proportion(spark):
     rnd = np.random.default_rng(4)
     base = rnd.normal(size=16)
