@@ -43,26 +43,37 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each SimHash component: that of the smallest doc_id (of rows repeating it, or if all ids are null, the one of least name)."""
+    """Keeps one document of each SimHash component: that of the smallest doc_id (of rows repeating it, or if all ids are null, the one of least name).
+
+    A row's name is the hash of its columns, so rows of one name are the same. Winners are found among names;
+    whole texts move once, to meet them, and only repeats of winners meet each other.
+    """
     from tessera.llm.common import materialise
-    from tessera.llm.mixing import numbered, row_names
     from tessera.llm.simhash import near_duplicates
 
-    named = row_names(docs.select(*COLUMNS).withColumn("doc_id", F.col("doc_id").cast("long")))
+    named = docs.select(*COLUMNS).withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("key", F.xxhash64(*COLUMNS))
     found = materialise(near_duplicates(named, keep=("doc_id", "key"), named=True), "dedup-components")
     first = found.groupBy("component_fp").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("m"))
-    winners = first.select(F.col("m.key").alias("key"), F.lit(1).alias("n"))
-    rows = numbered(named)
-    return rows.join(winners, ["key", "n"]).select(*COLUMNS)
+    repeated = found.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    winners = materialise(first.select(F.col("m.key").alias("key")).join(repeated, "key", "left").select("key", (F.col("rows") > 1).alias("repeats")),
+                          "dedup-winners")
+    kept = named.join(winners.where("repeats is null").select("key"), "key", "left_semi")
+    again = named.join(winners.where("repeats").select("key"), "key", "left_semi").dropDuplicates(["key"])
+    return kept.select(*COLUMNS).union(again.select(*COLUMNS))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it."""
+    """Every document as often as the mix takes it; only repeated rows are numbered."""
+    from tessera.llm.common import materialise
     from tessera.llm.mixing import mix, numbered, row_names
 
     own = docs.select(*COLUMNS)
-    copies = mix(own).where("copies > 0").select("key", "n", "copies")
-    rows = numbered(row_names(own)).join(copies, ["key", "n"])
+    copies = materialise(mix(own).select("key", "n", "copies"), "mixing-copies")
+    repeated = copies.where("n > 1").select("key").distinct()
+    named = row_names(own)
+    once = named.join(copies.where("copies > 0").join(repeated, "key", "left_anti").drop("n"), "key")
+    many = numbered(named.join(repeated, "key", "left_semi")).join(copies.where("copies > 0"), ["key", "n"])
+    rows = once.select(*COLUMNS, "copies").union(many.select(*COLUMNS, "copies"))
     return rows.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*COLUMNS)
 
 
