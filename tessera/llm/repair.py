@@ -2,9 +2,9 @@
 
 Documents are range-partitioned and sorted by ``doc_id`` (nulls first; ties by
 a hash of the text), encoded, and cut into shards of about ``shard_tokens``
-ids. Each shard is compressed by Re-Pair: round by round, frequent adjacent id
-pairs inside a document are replaced by new nonterminals (a pair that overlaps
-a more frequent one waits for the next round). A shard blob holds the rules,
+ids. Each shard is compressed by Re-Pair: round by round, all frequent adjacent id
+pairs inside a document are replaced by new nonterminals, occurrences that overlap
+taken from the left (a run of equal ids halves each round), until no pair is frequent. A shard blob holds the rules,
 their expansion lengths, the documents' places and the symbols, so that one
 document, or one id of it, is decoded without touching the rest.
 
@@ -28,66 +28,86 @@ from tessera.llm.common import partitions, ship_code
 
 MAGIC = b"TRP1"
 SHARD_TOKENS = 4_000_000
-#: Re-Pair: rounds, least count of a pair, most new rules a round.
-ROUNDS, LEAST, RULES_A_ROUND = 8, 8, 16_384
+#: Least count of a pair that gets a rule, and least number of its replacements: a rule costs two symbols and a length.
+LEAST, USEFUL = 8, 4
 _NONE = np.iinfo(np.int32).max
 _ODD, _TABLE = np.uint64(0x9E3779B97F4A7C15), 20
 
 
-def compress(ids: np.ndarray, ends: np.ndarray, rounds: int = ROUNDS, least: int = LEAST,
-             rules_a_round: int = RULES_A_ROUND):
+def chosen_places(at: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """Which of the pairs at ascending places ``at`` are replaced together, so that none overlap: those of smaller
+    ``order`` than the pairs they overlap; of the rest, in each chain of overlapping pairs, every second from the left."""
+    linked = np.zeros(len(at) + 1, bool)
+    linked[1:-1] = at[1:] == at[:-1] + 1
+    take = np.ones(len(at), bool)
+    take[1:] &= ~linked[1:-1] | (order[1:] < order[:-1])
+    take[:-1] &= ~linked[1:-1] | (order[:-1] <= order[1:])
+    free = ~take
+    free[1:] &= ~(linked[1:-1] & take[:-1])
+    free[:-1] &= ~(linked[1:-1] & take[1:])
+    rest = np.flatnonzero(free)
+    if len(rest):
+        first = np.concatenate(([True], (rest[1:] != rest[:-1] + 1) | ~linked[rest[1:]]))
+        place = np.arange(len(rest)) - np.maximum.accumulate(np.where(first, np.arange(len(rest)), 0))
+        take[rest[place % 2 == 0]] = True
+    return take
+
+
+def compress(ids: np.ndarray, ends: np.ndarray, least: int = LEAST):
     """Re-Pair of ``ids`` (uint32); ``ends`` marks each document's last id.
 
+    Every round gives a rule to each pair that stands ``least`` times or more within documents and
+    replaces its occurrences, until no pair does. A pair that was too rare stays too rare, so a
+    round looks only at pairs beside replaced symbols and at those that had to wait.
+
     Returns (symbols, ends, rules, first): rules[i] is the pair that symbol
     ``first + i`` stands for; its parts are ids or earlier nonterminals.
     """
     symbols, ends = ids.astype(np.uint32), ends.astype(bool)
     first = int(symbols.max()) + 1 if len(symbols) else 0
-    rules = np.zeros((0, 2), np.uint32)
-    for _ in range(rounds):
-        if len(symbols) < 2:
-            break
-        inner = ~ends[:-1]
-        pairs = (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:]
+    rules, n_rules = [np.zeros((0, 2), np.uint32)], 0
+    fresh = np.ones(len(symbols), bool)
+    while len(symbols) > 1:
+        at = np.flatnonzero((fresh[:-1] | fresh[1:]) & ~ends[:-1])
+        pairs = (symbols[at].astype(np.uint64) << np.uint64(32)) | symbols[at + 1]
         spot = ((pairs * _ODD) >> np.uint64(64 - _TABLE)).astype(np.int32)      # hash of each pair
         # pairs whose hash is rare are rare; the others are counted exactly
-        often = np.bincount(spot, minlength=1 << _TABLE) >= least
-        ordered = np.sort(pairs[inner & often[spot]])
+        often = (np.bincount(spot, minlength=1 << _TABLE) >= least)[spot]
+        at, pairs, spot = at[often], pairs[often], spot[often]
+        ordered = np.sort(pairs)
         starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1]))) if len(ordered) else np.zeros(0, int)
         counts = np.diff(np.append(starts, len(ordered)))
         frequent = np.flatnonzero(counts >= least)
-        if not len(frequent):
-            break
-        # the most frequent first; of pairs that share a hash, the others wait for a later round
-        frequent = frequent[np.argsort(-counts[frequent], kind="stable")[:rules_a_round]]
+        frequent = frequent[np.argsort(-counts[frequent], kind="stable")]       # the most frequent first
         chosen = ordered[starts[frequent]]
         place = ((chosen * _ODD) >> np.uint64(64 - _TABLE)).astype(np.int64)
         rank = np.full(1 << _TABLE, _NONE, np.int32)
         rank[place[::-1]] = np.arange(len(chosen) - 1, -1, -1, dtype=np.int32)
         order = rank[spot]
-        order[~inner] = _NONE
+        waiting = at[order != _NONE]            # taken, in the way of another, or behind another of their hash
         hit = np.flatnonzero(order != _NONE)
-        order[hit[chosen[order[hit]] != pairs[hit]]] = _NONE
-        # a pair is taken where it beats the overlapping one on either side
-        take = order != _NONE
-        take[1:] &= order[1:] < order[:-1]
-        take[:-1] &= order[:-1] <= order[1:]
-        where = np.flatnonzero(take)
-        useful = np.bincount(order[where], minlength=len(chosen)) >= 4          # a rule costs two symbols and a length
-        where = where[useful[order[where]]]
+        hit = hit[chosen[order[hit]] == pairs[hit]]
+        where, order = at[hit], order[hit]
+        if len(where):
+            take = chosen_places(where, order)
+            where, order = where[take], order[take]
+            useful = np.bincount(order, minlength=len(chosen)) >= USEFUL
+            where, order = where[useful[order]], order[useful[order]]
         if not len(where):
             break
-        name = first + len(rules) + np.cumsum(useful) - 1
+        name = first + n_rules + np.cumsum(useful) - 1
         new = chosen[useful]
-        rules = np.concatenate((rules, np.stack((new >> np.uint64(32), new & np.uint64(0xFFFFFFFF)), 1).astype(np.uint32)))
-        symbols[where] = name[order[where]]
+        rules.append(np.stack((new >> np.uint64(32), new & np.uint64(0xFFFFFFFF)), 1).astype(np.uint32))
+        n_rules += len(new)
+        fresh[:] = False
+        fresh[waiting] = True
+        fresh[where] = True
+        symbols[where] = name[order]
         ends[where] = ends[where + 1]
         keep = np.ones(len(symbols), bool)
         keep[where + 1] = False
-        symbols, ends = symbols[keep], ends[keep]
-        if len(where) < 0.03 * len(symbols):
-            break
-    return symbols, ends, rules, first
+        symbols, ends, fresh = symbols[keep], ends[keep], fresh[keep]
+    return symbols, ends, np.concatenate(rules), first
 
 
 def expansion_lengths(rules: np.ndarray, first: int) -> np.ndarray:

@@ -51,6 +51,37 @@ def test_repair_round_trip_and_random_access():
     assert shard.rule_lengths.tolist() == [len(shard.expand(np.array([shard.first + r], np.uint32))) for r in range(len(shard.rules))]
 
 
+@pytest.mark.parametrize("name,ids,most", [
+    ("run", np.full(100_000, 5), 100), ("period", np.tile(np.arange(50), 2000), 5000), ("falling", np.tile(np.arange(50)[::-1], 2000), 5000),
+    ("two", np.tile([1, 1, 2], 30_000), 200), ("runs", np.concatenate([np.full(2000 + 7 * i, i) for i in range(20)]), 2000)])
+def test_repair_of_repetitive_documents(name, ids, most):
+    ids = ids.astype(np.uint32)
+    half = len(ids) // 2
+    shard = repair.Shard(repair.pack([1, 2], np.array([half, len(ids) - half]), ids))
+    assert len(shard.symbols) < most and len(shard.rules) > 5
+    assert (np.concatenate((shard.document(0), shard.document(1))) == ids).all()
+    assert [shard.token(0, k) for k in range(0, half, 997)] == ids[:half:997].tolist()
+
+
+def test_repair_leaves_no_frequent_pair():
+    rnd = np.random.default_rng(4)
+    ids = rnd.zipf(1.5, 60_000).clip(max=400).astype(np.uint32)
+    ends = np.zeros(len(ids), bool)
+    ends[rnd.integers(0, len(ids), 300)] = ends[-1] = True
+    symbols, left, rules, first = repair.compress(ids, ends)
+    assert left.sum() == ends.sum()
+    seen = {}
+    last = None
+    for i in np.flatnonzero(~left[:-1]).tolist():
+        pair = (int(symbols[i]), int(symbols[i + 1]))
+        if not (last == (i - 1, pair)):                     # occurrences that don't overlap
+            seen[pair] = seen.get(pair, 0) + 1
+            last = (i, pair)
+    assert max(seen.values()) < repair.LEAST + repair.USEFUL
+    places = repair.chosen_places(np.array([3, 4, 5, 9, 10, 11, 12, 20]), np.array([5, 1, 5, 4, 3, 2, 1, 0]))
+    assert places.tolist() == [False, True, False, True, False, False, True, True]
+
+
 def test_token_files(spark, docs, no_docs, tmp_dir):
     repair.write_tokens(docs, f"{tmp_dir}/t", WORD, 1, shard_tokens=3000)
     got = sorted((r["start"], r["doc_id"], r["n_tokens"], bytes(r["ids"])) for r in repair.read_tokens(spark, f"{tmp_dir}/t").collect())
