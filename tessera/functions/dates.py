@@ -20,10 +20,6 @@ def period_to_date(c) -> Column:
     return year_to_date(to_int(c))
 
 
-def year_of(c) -> Column:
-    return F.year(_col(c))
-
-
 def year_from_name(c) -> Column:
     """Column name 'year_1995' -> 1995 (right four characters parsed as a year)."""
     return F.year(F.try_to_date(F.right(_col(c), F.lit(4)), "yyyy"))

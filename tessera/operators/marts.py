@@ -1,4 +1,4 @@
-"""Marts on top of the star: yearly aggregates, year-over-year change, flat star."""
+"""Marts on top of the star: yearly aggregates, year-over-year change, key figures over calendar years."""
 
 from __future__ import annotations
 
@@ -9,19 +9,9 @@ from tessera.operators.dims import Dimension
 from tessera.operators.star import DimLink, broadcast_budget, side_bytes, star_join
 
 
-def yearly_totals(fact: DataFrame, by: list[str], year_key: str = "Year_key",
-                  measure: str = "Value") -> DataFrame:
-    """sum / avg / count of the measure per (by.., year). Partial aggregation
-    runs map-side, so the shuffle carries one row per group per task."""
-    return (fact.groupBy(*by, year_key)
-                .agg(F.sum(measure).alias("total"),
-                     F.avg(measure).alias("mean"),
-                     F.count(measure).alias("n")))
-
-
 def yearly_totals_wide(wide: DataFrame, row_links: list[DimLink], value_cols: list[str], cell_expr,
                        cell_link: DimLink) -> DataFrame:
-    """``yearly_totals`` of a fact that is not built: sum and count of every value
+    """Sum and count of the measure per dimension keys and year, of a fact that is not built: sums of every value
     column per natural key first, then the joins and the unpivot, on one row per
     key, and a last sum per surrogate key (unknown members share the key NULL).
 
@@ -65,9 +55,39 @@ def attach(fact: DataFrame, dim: Dimension, columns: list[str]) -> DataFrame:
     return fact.join(side, dim.key, "left")
 
 
-def flat_star(fact: DataFrame, dims: list[tuple[Dimension, list[str]]]) -> DataFrame:
-    """Denormalised star: the fact with readable dimension attributes."""
-    out = fact
-    for dim, cols in dims:
-        out = attach(out, dim, cols)
-    return out
+def rolled_up(totals: DataFrame, by: list[str], year_col: str = "Year") -> DataFrame:
+    """Totals of every combination of ``by`` and of none, for each year: column ``level`` names the columns that a row is
+    kept apart by (joined by ``+``; ``all`` for none), the others are NULL.
+
+    One aggregate over grouping sets of rows that are sums already (``total``, ``n``).
+    """
+    sets = [[c for i, c in enumerate(by) if not mask >> i & 1] for mask in range(1 << len(by))]
+    out = totals.groupingSets([[F.col(c) for c in (*s, year_col)] for s in sets], *[F.col(c) for c in by], F.col(year_col)).agg(
+        F.sum("total").alias("total"), F.sum("n").alias("n"), *[F.grouping(c).alias(f"_g_{c}") for c in by])
+    names = F.concat_ws("+", *[F.when(F.col(f"_g_{c}") == 0, F.lit(c)) for c in by])
+    return out.select(F.when(names == "", "all").otherwise(names).alias("level"), *by, year_col, "total", "n")
+
+
+def kpis(rolled: DataFrame, by: list[str], base_year: int, span: int = 3, year_col: str = "Year") -> DataFrame:
+    """Key figures of every series (a level and its ``by``) and year of ``rolled_up`` totals.
+
+    * ``moving_mean``: mean of the totals of this calendar year and the ``span - 1`` before it that have one (a RANGE
+      frame: a gap in the years shortens the mean, it doesn't reach further back);
+    * ``share``: part of the level's total of the year;
+    * ``base_index``: 100 times the total over that of ``base_year``, NULL where the series has none or zero there;
+    * ``to_date``: sum of the totals up to this year.
+
+    After aggregation a series holds a row a year and a level's year a row a series; the share is a join with the
+    level's sums, not a window, so that no task gets a whole year.
+    """
+    series = Window.partitionBy("level", *by)
+    near = series.orderBy(year_col).rangeBetween(-(span - 1), 0)
+    years = rolled.groupBy("level", year_col).agg(F.sum("total").alias("_year_total"))
+    base = F.max(F.when(F.col(year_col) == base_year, F.col("total"))).over(series)
+    number = lambda c: c.cast("double")
+    out = rolled.select("*", F.sum("total").over(near).alias("_sum"), F.count("total").over(near).alias("_n"), base.alias("_base"),
+                        F.sum("total").over(series.orderBy(year_col).rangeBetween(Window.unboundedPreceding, 0)).alias("to_date"))
+    return out.join(years, ["level", year_col]).select(
+        "level", *by, year_col, "total", "n", (number(F.col("_sum")) / F.col("_n")).alias("moving_mean"),
+        F.when(F.col("_year_total") != 0, number(F.col("total")) / number(F.col("_year_total"))).alias("share"),
+        F.when(F.col("_base") != 0, 100.0 * number(F.col("total")) / number(F.col("_base"))).alias("base_index"), "to_date")

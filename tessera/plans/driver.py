@@ -22,11 +22,12 @@ from tessera.functions.names import long_name_input, wide_name_input, with_stand
 from tessera.functions.numeric import parse_numeric_text
 from tessera.functions.text import clean_text, collated, matches_any, untrimmed
 from tessera.operators import dims as D
+from tessera.operators import profile as P
 from tessera.operators import quality as Q
 from tessera.operators import skew
 from tessera.operators.bitmap import key_bitmap, with_membership
 from tessera.operators.keys import dense_key
-from tessera.operators.marts import attach, year_over_year, yearly_totals_wide
+from tessera.operators.marts import attach, kpis, rolled_up, year_over_year, yearly_totals_wide
 from tessera.operators.reshape import schema_columns, union_all, union_tagged, unpivot_years, widen
 from tessera.operators.star import DimLink, build_fact, unpivot_fact
 from tessera.session import scratch_path
@@ -551,6 +552,23 @@ def dq_profile(spark, sf_dir):
     return Q.distinct_values(load(spark, sf_dir, "documents"), "lang")
 
 
+def profile_merged(spark, sf_dir):
+    """Profiles of the orders of each year, kept as loads of their own (one of them twice), merged from their sketch states:
+    counts, whether the distinct count keeps its bound, and the rows of the most frequent value where counts are exact."""
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", _respelled(F.col("o_orderkey"), F.col("o_orderpriority")).alias("o_orderpriority"),
+                                                  F.when(F.col("o_orderstatus") != "F", F.col("o_orderstatus")).alias("o_orderstatus"), F.year("o_orderdate").alias("yr"))
+    root = scratch_path(spark, "profiles")
+    years = [r["yr"] for r in orders.select("yr").distinct().orderBy("yr").collect()]
+    for year in [*years, years[0]]:
+        P.keep_profile(P.profile(orders.where(F.col("yr") == year).drop("yr")), root, "orders", str(year))
+    known = orders.agg(*[F.count_distinct(F.upper(F.rtrim(F.col(c).cast("string")))).alias(c) for c in orders.columns if c != "yr"])
+    exact_counts = known.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("known")) for c in known.columns])))
+    found = P.merged(P.kept_profiles(spark, root))
+    return found.join(exact_counts, "column_name").select(
+        "column_name", "rows", "nulls", (F.abs(F.col("distinct") - F.col("known")) <= F.ceil(P.ERROR * F.col("known"))).alias("distinct_in_bound"),
+        F.when(F.col("known") < P.FOUND // 8, F.get("top", F.lit(0))["rows"]).alias("top_rows"))
+
+
 def dq_charset(spark, sf_dir):
     cols = [("customer", "c_name"), ("supplier", "s_name"), ("part", "p_name"),
             ("documents", "source"), ("nation", "n_name")]
@@ -717,6 +735,15 @@ def mart_flat(spark, sf_dir):
                         ["Country_name", "Indicator_name", "Year", "Measure_Units"])
 
 
+def mart_kpi(spark, sf_dir):
+    """Key figures of order values by customer and priority, at every level, against 1995; most customers skip years."""
+    orders = load(spark, sf_dir, "orders")
+    totals = orders.groupBy(F.col("o_custkey").alias("Country"), F.col("o_orderpriority").alias("Indicator"), F.year("o_orderdate").alias("Year")).agg(
+        F.sum(F.col("o_totalprice").cast(DEC)).cast(SUM_DEC).alias("total"), F.count("o_totalprice").alias("n"))
+    out = kpis(rolled_up(totals, ["Country", "Indicator"]), ["Country", "Indicator"], base_year=1995)
+    return out.withColumns({"total": F.col("total").cast(SUM_DEC), "to_date": F.col("to_date").cast(SUM_DEC)})
+
+
 QUERIES = {
     "numeric_text_parse": numeric_text_parse,
     "text_null_clean": text_null_clean,
@@ -755,6 +782,7 @@ QUERIES = {
     "dq_dim_unique": dq_dim_unique,
     "dq_duplicates_collated": dq_duplicates_collated,
     "dq_profile_collated": dq_profile_collated,
+    "profile_merged": profile_merged,
     "dq_id_conflict_codes": dq_id_conflict_codes,
     "dq_fk_all_keys": dq_fk_all_keys,
     "dq_blanks_texts": dq_blanks_texts,
@@ -763,4 +791,5 @@ QUERIES = {
     "mart_year_agg": mart_year_agg,
     "mart_yoy": mart_yoy,
     "mart_flat": mart_flat,
+    "mart_kpi": mart_kpi,
 }

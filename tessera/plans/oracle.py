@@ -678,6 +678,41 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_partkey IN (SELECT p_partkey FROM
        l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 5 <> 0) AS known_order FROM lineitem"""
 
 
+def mart_kpi() -> str:
+    return """
+WITH t AS (SELECT o_custkey AS Country, o_orderpriority AS Indicator, CAST(year(o_orderdate) AS INTEGER) AS Year,
+                  CAST(o_totalprice AS DECIMAL(18,2)) AS v FROM orders),
+r AS (SELECT CASE WHEN grouping(Country) = 0 AND grouping(Indicator) = 0 THEN 'Country+Indicator' WHEN grouping(Country) = 0 THEN 'Country'
+                  WHEN grouping(Indicator) = 0 THEN 'Indicator' ELSE 'all' END AS level,
+             Country, Indicator, Year, CAST(sum(v) AS DECIMAL(38,2)) AS total, count(v) AS n
+      FROM t GROUP BY GROUPING SETS ((Country, Indicator, Year), (Country, Year), (Indicator, Year), (Year))),
+f AS (SELECT a.*, (SELECT sum(total) FROM r b WHERE b.level = a.level AND b.Year = a.Year) AS year_total,
+             sum(b.total) AS near_sum, count(b.total) AS near_n
+      FROM r a JOIN r b ON a.level = b.level AND a.Country IS NOT DISTINCT FROM b.Country AND a.Indicator IS NOT DISTINCT FROM b.Indicator
+                       AND b.Year BETWEEN a.Year - 2 AND a.Year
+      GROUP BY a.level, a.Country, a.Indicator, a.Year, a.total, a.n),
+g AS (SELECT f.*, base.total AS base_total, (SELECT sum(p.total) FROM r p WHERE p.level = f.level AND p.Country IS NOT DISTINCT FROM f.Country
+                                             AND p.Indicator IS NOT DISTINCT FROM f.Indicator AND p.Year <= f.Year) AS to_date
+      FROM f LEFT JOIN r base ON base.Year = 1995 AND base.level = f.level AND base.Country IS NOT DISTINCT FROM f.Country
+                             AND base.Indicator IS NOT DISTINCT FROM f.Indicator)
+SELECT level, Country, Indicator, Year, total, n, CAST(near_sum AS DOUBLE) / near_n AS moving_mean,
+       CASE WHEN year_total <> 0 THEN CAST(total AS DOUBLE) / CAST(year_total AS DOUBLE) END AS share,
+       CASE WHEN base_total <> 0 THEN 100.0::DOUBLE * CAST(total AS DOUBLE) / CAST(base_total AS DOUBLE) END AS base_index,
+       CAST(to_date AS DECIMAL(38,2)) AS to_date
+FROM g"""
+
+
+def profile_merged() -> str:
+    """Plain counts; a top count only where a column has few values."""
+    def column(c: str, x: str) -> str:
+        return (f"SELECT '{c}' AS column_name, count(*) AS rows, count(*) - count({x}) AS nulls, true AS distinct_in_bound, "
+                f"CASE WHEN count(DISTINCT {x}) < 96 THEN (SELECT max(n) FROM (SELECT count(*) AS n FROM orders WHERE {x} IS NOT NULL GROUP BY {x})) END AS top_rows FROM orders")
+    return " UNION ALL ".join([column("o_orderkey", "o_orderkey"), column("o_custkey", "o_custkey"), column("o_orderpriority", "o_orderpriority"),
+                               column("o_orderstatus", "nullif(o_orderstatus, 'F')")])
+
+
+ORACLE["profile_merged"] = profile_merged
+ORACLE["mart_kpi"] = mart_kpi
 ORACLE["skewed_star"] = skewed_star
 ORACLE["heavy_keys"] = heavy_keys
 ORACLE["key_membership"] = key_membership

@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 
 from tessera.plans.derive import derive_raw_files, lineitem_cube, long_extract, orders_by_year, wide_extract, write_extract
 from tessera.operators import skew
+from tessera.operators.profile import keep_profile, kept_profiles, merged, profile
 from tessera.plans.gold import ALIAS_TABLES, FACT_NAMES, MEASURED, GoldOptions, Star, build_star, fact_cells, unresolved_keys
 from tessera.functions.text import as_exact, exact, noise_patterns
 from tessera.operators.reshape import year_columns
@@ -279,6 +280,12 @@ class Warehouse:
                 parts.append(df.select(F.lit(t.stem).alias("table_name"), REJECT_COL, F.to_json(F.struct(*[c for c in df.columns if c != REJECT_COL])).alias("row")))
         return union_all(parts) if parts else self.spark.createDataFrame([], f"table_name string, {REJECT_COL} string, row string")
 
+    def profile(self) -> DataFrame:
+        """Profile the clean tables of this run, keep the sketch states under its id, and give the profiles of all runs merged."""
+        for stem, df in self.silver().items():
+            keep_profile(profile(df.drop("dwh_create_date")), self.root, stem, self.run_id)
+        return merged(kept_profiles(self.spark, self.root))
+
     def silver(self) -> dict[str, DataFrame]:
         return {t.stem: self.spark.table(self.name("silver", t.stem)) for t in self._present("silver")}
 
