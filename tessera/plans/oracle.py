@@ -871,5 +871,6 @@ oagg AS (SELECT o_custkey AS k, SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS v FR
 
 ORACLE["fact_grain"] = fact_grain
 ORACLE["warehouse_facts"] = warehouse_facts
+ORACLE["virtual_star"] = warehouse_facts
 ORACLE["load_audit"] = load_audit
 ORACLE["star_aliases"] = star_aliases
