@@ -40,6 +40,7 @@ from tessera.session import run_concurrently, scratch_path
 from tessera.functions.encoding import PAGES, misread, to_bytes
 from tessera.sources.delimited import REJECT_COL, good_rows, read_delimited, spec_length_limits
 from tessera.sources.survey import FILE_COL, LINE_COL, file_encodings, numbered_lines, read_surveyed, survey
+from tessera.sources.catalog import publish_catalog
 from tessera.sources.history import new_run_id, read_history, write_layer
 from tessera.sources.sinks import (
     create_namespaces, define_table, drop_old_versions, move_pointers, new_version, point_table, publish, stamp,
@@ -425,6 +426,34 @@ def star_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
                          exact("alias").alias("alias"), exact("kept_name").alias("kept_name"))])
 
 
+def catalog_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The year dimension asked of the catalog in SQL: years named by columns of two published wide tables (orders by
+    year and status) and years of dates; with them, how many columns of each type the two tables have."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    years = [r[0] for r in orders.select(F.year("o_orderdate")).distinct().collect()]
+    price = F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("decimal(38,2)")
+    wide = orders.select("o_orderstatus", "o_totalprice", F.year("o_orderdate").alias("yr")).groupBy("o_orderstatus").pivot("yr", sorted(years)).agg(price)
+    wide = wide.select("o_orderstatus", *[F.col(str(y)).alias(f"year_{y}") for y in sorted(years)])
+    root = scratch_path(spark, "catalog")
+    create_namespaces(spark, ["catalog_silver", "catalog_gold"])
+    publish(spark, wide, "catalog_silver.orders_by_year", root)
+    publish(spark, spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.year("l_shipdate").alias("ship_year"), "l_returnflag"), "catalog_silver.shipments", root)
+    publish_catalog(spark, ["catalog_silver"], "catalog_gold.columns", root)
+    return spark.sql("""
+WITH y AS (SELECT CAST(right(column_name, 4) AS INT) AS Year FROM catalog_gold.columns WHERE table_name = 'orders_by_year' AND column_name LIKE 'year\\_%'
+           UNION SELECT ship_year FROM catalog_silver.shipments)
+SELECT 'year' AS kind, CAST(row_number() OVER (ORDER BY Year) AS BIGINT) AS place, CAST(Year AS STRING) AS value FROM y WHERE Year IS NOT NULL
+UNION ALL SELECT concat('columns of ', table_name), count(*), data_type FROM catalog_gold.columns GROUP BY table_name, data_type""")
+
+
+def _catalog_years_sql() -> str:
+    return """
+WITH y AS (SELECT DISTINCT year(o_orderdate) AS Year FROM orders UNION SELECT DISTINCT year(l_shipdate) FROM lineitem)
+SELECT 'year' AS kind, row_number() OVER (ORDER BY Year) AS place, CAST(Year AS VARCHAR) AS value FROM y WHERE Year IS NOT NULL
+UNION ALL SELECT 'columns of orders_by_year', count(DISTINCT year(o_orderdate)), 'decimal(38,2)' FROM orders
+UNION ALL SELECT * FROM (VALUES ('columns of orders_by_year', 1, 'string'), ('columns of shipments', 1, 'int'), ('columns of shipments', 1, 'string'))"""
+
+
 def virtual_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All five facts from views over the clean tables, whose load stops there: no star table is written."""
     from tessera.operators.reshape import union_all
@@ -688,6 +717,7 @@ PIPELINE_QUERIES = {
     "load_audit": load_audit,
     "star_aliases": star_aliases,
     "virtual_star": virtual_star,
+    "catalog_years": catalog_years,
     "warehouse_facts": warehouse_facts,
 }
 
@@ -715,5 +745,5 @@ SELECT NULLIF(t[1], '') AS c_custkey, NULLIF(t[2], '') AS c_name, NULLIF(t[3], '
 FROM f"""
 
 
-PIPELINE_ORACLE = {"clean_lengths": _clean_lengths_sql, "load_history": _load_history_sql, "encoding_repair": _encoding_repair_sql, "reject_lines": _reject_lines_sql, "full_reload": _full_reload_sql, "csv_scan_roundtrip": _csv_scan_sql,
+PIPELINE_ORACLE = {"catalog_years": _catalog_years_sql, "clean_lengths": _clean_lengths_sql, "load_history": _load_history_sql, "encoding_repair": _encoding_repair_sql, "reject_lines": _reject_lines_sql, "full_reload": _full_reload_sql, "csv_scan_roundtrip": _csv_scan_sql,
                    "define_then_load": _define_then_load_sql, "load_failure_audit": _load_failure_sql}

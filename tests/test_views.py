@@ -57,3 +57,20 @@ def test_keys_stay_and_new_ones_follow(spark, loaded, tmp_path):
     assert rows(spark.table("view_star.fact_outbound_tourism")) == facts
     assert ("AFGHANISTAN", max(r[0] for r in before["key_country"]) + 1) in {(r["Country_name"], r["Country_key"]) for r in spark.table("view_star.dim_country").collect()}
     assert os.path.isdir(wh.root)
+
+
+def test_columns_of_the_catalog(spark, loaded):
+    from tessera.operators.dims import year_dim
+    from tessera.sources.catalog import catalog_columns, publish_catalog
+
+    wh, _ = loaded
+    found = catalog_columns(spark, ["view_silver", "view_star"])
+    for table in ("view_silver.inbound_arrivals", "view_star.fact_sdg"):
+        namespace, name = table.split(".")
+        got = [(r["column_name"], r["data_type"], r["position"]) for r in found.where(f"namespace = '{namespace}' AND table_name = '{name}'").orderBy("position").collect()]
+        assert got == [(f.name, f.dataType.simpleString(), i) for i, f in enumerate(spark.table(table).schema.fields, 1)]
+    publish_catalog(spark, ["view_silver"], "view_gold.catalog_columns", wh.root)
+    years = spark.sql("SELECT DISTINCT CAST(right(column_name, 4) AS INT) AS Year FROM view_gold.catalog_columns WHERE column_name LIKE 'year\\_%'")
+    sdg = [spark.table(f"view_silver.{s}").selectExpr("year(Time_Period) AS Year") for s in ("sdg_891", "sdg_892", "sdg_12b1")]
+    assert rows(year_dim([years, *sdg]).df) == rows(spark.table("view_gold.dim_year"))
+    assert catalog_columns(spark, []).count() == 0
