@@ -21,14 +21,11 @@ from pyspark.sql import functions as F
 
 from tessera.plans.driver import NAME_VOCABULARY, load
 from tessera.session import run_concurrently
-from tessera.specs import RAW_YEARS, TABLES, TableSpec, raw_slot, year_col
-
-SERIES_TEXT = {
-    "sdg_891": "Tourism direct GDP as a proportion of total GDP (%)",
-    "sdg_892": "Employed persons in the tourism industries (number)",
-    "sdg_12b1": "Implementation of standard accounting tools to monitor the economic and "
-                "environmental aspects of tourism (number of tables)",
-}
+from tessera.specs import RAW_YEARS, SERIES_RULES, TABLES, TableSpec, raw_slot, year_col
+
+#: Series description of each long table, in the order of the series rules (a prefix is completed).
+SERIES_TEXT = {t.stem: text if kind == "eq" else f"{text}number of tables)"
+               for t, (kind, text, _) in zip((t for t in TABLES if t.shape == "long"), SERIES_RULES)}
 
 
 def _vocab(key: Column) -> Column:

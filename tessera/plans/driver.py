@@ -36,36 +36,25 @@ DEC = "decimal(18,2)"
 SUM_DEC = "decimal(38,2)"
 MEASURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
-# Test vocabulary for the name rules: raw spellings as they arrive in the
-# sources (inputs of the equality rules, examples for the LIKE rules) plus
-# names that no rule touches. Fixed values, in rule order.
+def _spelling(pattern: str) -> str:
+    """A name that a rule's text or pattern means: any of its wildcards stands for one character."""
+    for wild, name in (("PEOPLE%S", "PEOPLE'S"), ("T%RKIYE", "TÜRKIYE"), ("C%TE", "CÔTE"), ("R%UNION", "RÉUNION"), ("CURA%AO", "CURAÇAO")):
+        pattern = pattern.replace(wild, name)
+    return pattern
+
+
+#: Raw spellings for the name rules, in rule order: as the wide sources write them, then as the long ones do (small
+#: letters), then names and cells that no rule touches.
 NAME_VOCABULARY = (
-    "COTE D┬┤IVOIRE", "BOLIVIA, PLURINATIONAL STATE OF", "CURA├çAO", "HONG KONG, CHINA",
-    "KOREA, DEMOCRATIC PEOPLE'S REPUBLIC OF", "KOREA, REPUBLIC OF",
-    "LAO PEOPLE'S DEMOCRATIC REPUBLIC", "MACAO, CHINA", "MICRONESIA, FEDERATED STATES OF",
-    "MOLDOVA, REPUBLIC OF", "SINT MAARTEN (DUTCH PART)", "TANZANIA, UNITED REPUBLIC OF",
-    "TIMOR-LESTE", "VENEZUELA, BOLIVARIAN REPUBLIC OF", "TÜRKIYE", "CZECH REPUBLIC (CZECHIA)",
-    "CONGO, DEMOCRATIC REPUBLIC OF THE", "IRAN, ISLAMIC REPUBLIC OF", "SYRIAN ARAB REPUBLIC",
-    "TAIWAN PROVINCE OF CHINA", "COTE D´IVOIRE", "CURAÇAO",
-    "Côte d'Ivoire", "China, Hong Kong Special Administrative Region",
-    "China, Macao Special Administrative Region", "Micronesia (Federated States of)",
-    "Netherlands (Kingdom of the)", "Réunion", "Türkiye",
-    "United Kingdom of Great Britain and Northern Ireland", "Republic of Korea",
-    "Democratic Republic of the Congo", "Bolivia (Plurinational State of)",
-    "Bonaire, Sint Eustatius and Saba", "Curaçao", "Iran (Islamic Republic of)",
-    "Lao People's Democratic Republic", "Sint Maarten (Dutch part)", "Timor-Leste",
-    "Syrian Arab Republic", "Republic of Moldova", "Ethiopia",
+    *(_spelling(p) for _, p, _ in specs.WIDE_NAME_RULES + specs.WIDE_NAME_RULES_INTACT),
+    *(_spelling(p).capitalize() for _, p, _ in specs.LONG_NAME_RULES_12B1),
     "ITALY", " France ", "..", "Source: World Tourism Organization",
     '"The information in this table is provisional"', "",
 )
 
-# Series descriptions keyed by event type (the SDG-style label inputs).
-SERIES_BY_EVENT = (
-    ("purchase", "Tourism direct GDP as a proportion of total GDP (%)"),
-    ("signup", "Employed persons in the tourism industries (number)"),
-    ("click", "Implementation of standard accounting tools to monitor the economic "
-              "and environmental aspects of tourism (tables)"),
-)
+#: Series descriptions, by event type in the order of the series rules (a prefix is completed).
+SERIES_BY_EVENT = tuple((event, text if kind == "eq" else f"{text}tables)")
+                        for event, (kind, text, _) in zip(("purchase", "signup", "click"), specs.SERIES_RULES))
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -115,19 +104,20 @@ def text_null_clean(spark, sf_dir):
 
 
 def _raw_code() -> Column:
-    """Size as an indicator-code cell: plain, padded with a trailing digit,
-    with a decimal comma, or blank."""
+    """Size as an indicator-code cell: plain, padded with a trailing digit, or with a decimal comma."""
     s = F.col("p_size").cast("string")
     return _pick(F.col("p_partkey"), [
         (0, s),
         (1, F.concat(F.lit(" "), s, F.lit("9 "))),
         (2, F.concat(F.substr(s, F.lit(1), F.lit(1)), F.lit(","), F.substr(s, F.lit(2)))),
-    ], F.when(F.col("p_size") > 45, F.lit(" ")).otherwise(s), 4)
+    ], s, 4)
 
 
 def code_normalize(spark, sf_dir):
+    """Every size as a code cell; some parts add a blank one."""
     part = load(spark, sf_dir, "part")
-    df = part.select("p_partkey", _raw_code().alias("raw_code"))
+    blank = (F.col("p_partkey") % 4 == 3) & (F.col("p_size") > 45)
+    df = part.select("p_partkey", F.explode(F.when(blank, F.array(_raw_code(), F.lit(" "))).otherwise(F.array(_raw_code()))).alias("raw_code"))
     return df.select(
         "p_partkey", "raw_code",
         normalize_code("raw_code").alias("code_general"),
@@ -175,24 +165,23 @@ def name_standardize(spark, sf_dir):
     })
 
 
-def _raw_area(orders: DataFrame) -> Column:
-    code = (F.col("o_custkey") % 400 + 200).cast("string")
-    return F.when(F.col("o_orderkey") % 50 == 0, F.lit("x")).otherwise(code)
-
-
 def code_remap(spark, sf_dir):
+    """Every customer's area code; some orders add a cell that is no code."""
     orders = load(spark, sf_dir, "orders")
-    df = orders.select("o_orderkey", _raw_area(orders).alias("raw_area"))
+    code = (F.col("o_custkey") % 400 + 200).cast("string")
+    cells = F.when(F.col("o_orderkey") % 50 == 0, F.array(code, F.lit("x"))).otherwise(F.array(code))
+    df = orders.select("o_orderkey", F.explode(cells).alias("raw_area"))
     return df.select("o_orderkey", "raw_area",
                      remap_area_code("raw_area", specs.AREA_CODE_REMAP).alias("code_891"),
                      remap_area_code("raw_area", specs.AREA_CODE_REMAP_12B1).alias("code_12b1"))
 
 
 def period_to_date_q(spark, sf_dir):
+    """Every order's year as a period cell; some orders add one that is no year, or out of range."""
     orders = load(spark, sf_dir, "orders")
-    text = _pick(F.col("o_orderkey"), [(0, F.lit("x")), (1, F.lit("0")), (2, F.lit("10000"))],
-                 F.year("o_orderdate").cast("string"), 20)
-    df = orders.select("o_orderkey", text.alias("period_text"))
+    year = F.year("o_orderdate").cast("string")
+    cells = _pick(F.col("o_orderkey"), [(i, F.array(year, F.lit(bad))) for i, bad in enumerate(("x", "0", "10000"))], F.array(year), 20)
+    df = orders.select("o_orderkey", F.explode(cells).alias("period_text"))
     d = period_to_date("period_text")
     return df.select("o_orderkey", "period_text", d.alias("Time_Period"),
                      F.year(d).alias("Year"))
@@ -541,9 +530,13 @@ def dq_blanks(spark, sf_dir):
 
 
 def dq_blanks_texts(spark, sf_dir):
-    """Documents and pages with blanks around a text cell."""
-    docs = Q.untrimmed_rows(load(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
-    pages = Q.untrimmed_rows(load(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    """Documents and pages with blanks around a text cell: their own, and those of cells padded on the way in."""
+    def padded(key, c, modulus, before, after):
+        return F.when(F.col(key) % modulus == 0, F.concat(F.lit(before), c, F.lit(after))).otherwise(F.col(c)).alias(c)
+
+    docs = Q.untrimmed_rows(load(spark, sf_dir, "documents").select("doc_id", padded("doc_id", "text", 11, "", " "), padded("doc_id", "lang", 5, " ", ""),
+                                                                    padded("doc_id", "source", 7, "", "  ")))
+    pages = Q.untrimmed_rows(load(spark, sf_dir, "pages").select("page_id", padded("page_id", "url", 6, " ", " "), padded("page_id", "html", 13, "\t ", "")))
     return union_all([docs.select(F.lit("documents").alias("table_name"), F.col("doc_id").alias("id"), "untrimmed_columns"),
                       pages.select(F.lit("pages").alias("table_name"), F.col("page_id").alias("id"), "untrimmed_columns")])
 

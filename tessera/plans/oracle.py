@@ -1,9 +1,9 @@
-"""ANSI SQL (DuckDB dialect) for each registered query, written independently
-of the DataFrame code, over the same parquet tables.
+"""ANSI SQL (DuckDB dialect) for each registered query over the same parquet tables.
 
-Rule lists are rendered from the same fixed values in ``tessera.specs`` so
-both sides apply the same rule text; the SQL spells out each operator
-(CASE ladders, UNION ALL unpivots, ROW_NUMBER keys, left joins).
+The operators are written anew here (CASE ladders, UNION ALL unpivots, ROW_NUMBER
+keys, left joins). The texts of the rule lists are not: they are rendered from
+``tessera.specs``, so a wrong text would pass on both sides. tests/test_rules.py
+holds every rule against an outcome typed by hand.
 """
 
 from __future__ import annotations
@@ -127,12 +127,13 @@ RAW_CODE = """CASE p_partkey % 4
     WHEN 0 THEN CAST(p_size AS VARCHAR)
     WHEN 1 THEN ' ' || CAST(p_size AS VARCHAR) || '9 '
     WHEN 2 THEN substr(CAST(p_size AS VARCHAR), 1, 1) || ',' || substr(CAST(p_size AS VARCHAR), 2)
-    ELSE CASE WHEN p_size > 45 THEN ' ' ELSE CAST(p_size AS VARCHAR) END END"""
+    ELSE CAST(p_size AS VARCHAR) END"""
 
 
 def code_normalize() -> str:
     return f"""
-WITH r AS (SELECT p_partkey, {RAW_CODE} AS raw_code FROM part)
+WITH r AS (SELECT p_partkey, {RAW_CODE} AS raw_code FROM part
+           UNION ALL SELECT p_partkey, ' ' FROM part WHERE p_partkey % 4 = 3 AND p_size > 45)
 SELECT p_partkey, raw_code,
        {code_sql('raw_code')} AS code_general,
        {code_sql('raw_code', specs.CODE_FIX_DOMESTIC_ACCOMMODATION)} AS code_domestic,
@@ -170,9 +171,8 @@ FROM r"""
 
 def code_remap() -> str:
     return f"""
-WITH r AS (SELECT o_orderkey,
-             CASE WHEN o_orderkey % 50 = 0 THEN 'x' ELSE CAST(o_custkey % 400 + 200 AS VARCHAR) END AS raw_area
-           FROM orders),
+WITH r AS (SELECT o_orderkey, CAST(o_custkey % 400 + 200 AS VARCHAR) AS raw_area FROM orders
+           UNION ALL SELECT o_orderkey, 'x' FROM orders WHERE o_orderkey % 50 = 0),
 c AS (SELECT *, TRY_CAST(TRIM(raw_area) AS INTEGER) AS code FROM r)
 SELECT o_orderkey, raw_area,
        {remap_sql('code', specs.AREA_CODE_REMAP)} AS code_891,
@@ -182,10 +182,9 @@ FROM c"""
 
 def period_to_date() -> str:
     return """
-WITH r AS (SELECT o_orderkey,
-             CASE o_orderkey % 20 WHEN 0 THEN 'x' WHEN 1 THEN '0' WHEN 2 THEN '10000'
-                  ELSE CAST(year(o_orderdate) AS VARCHAR) END AS period_text
-           FROM orders),
+WITH r AS (SELECT o_orderkey, CAST(year(o_orderdate) AS VARCHAR) AS period_text FROM orders
+           UNION ALL SELECT o_orderkey, CASE o_orderkey % 20 WHEN 0 THEN 'x' WHEN 1 THEN '0' ELSE '10000' END
+           FROM orders WHERE o_orderkey % 20 IN (0, 1, 2)),
 y AS (SELECT *, TRY_CAST(TRIM(period_text) AS INTEGER) AS y FROM r),
 d AS (SELECT *, CASE WHEN y BETWEEN 1 AND 9999 THEN make_date(y, 1, 1) END AS Time_Period FROM y)
 SELECT o_orderkey, period_text, Time_Period, CAST(year(Time_Period) AS INTEGER) AS Year FROM d"""
@@ -419,9 +418,13 @@ def dq_blanks_texts() -> str:
         bad = {c: f"COALESCE({c} <> TRIM({c}), false)" for c in cols}
         names = ", ".join(f"CASE WHEN {b} THEN '{c}' END" for c, b in bad.items())
         return (f"SELECT '{table}' AS table_name, {key} AS id, concat_ws(',', {names}) AS untrimmed_columns "
-                f"FROM {table} WHERE {' OR '.join(bad.values())}")
-    return (part("documents", "doc_id", ("text", "lang", "source")) + "\nUNION ALL\n"
-            + part("pages", "page_id", ("url", "html")))
+                f"FROM {table}_in WHERE {' OR '.join(bad.values())}")
+    return """
+WITH documents_in AS (SELECT doc_id, CASE WHEN doc_id % 11 = 0 THEN text || ' ' ELSE text END AS text, CASE WHEN doc_id % 5 = 0 THEN ' ' || lang ELSE lang END AS lang,
+                             CASE WHEN doc_id % 7 = 0 THEN source || '  ' ELSE source END AS source FROM documents),
+pages_in AS (SELECT page_id, CASE WHEN page_id % 6 = 0 THEN ' ' || url || ' ' ELSE url END AS url,
+                    CASE WHEN page_id % 13 = 0 THEN chr(9) || ' ' || html ELSE html END AS html FROM pages)
+""" + part("documents", "doc_id", ("text", "lang", "source")) + "\nUNION ALL\n" + part("pages", "page_id", ("url", "html"))
 
 
 def dq_blanks() -> str:

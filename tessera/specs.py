@@ -155,6 +155,24 @@ CLEAN_LENGTH_LIMITS = {
     "long": {"Country": 200, "SeriesDescription": 200, "Nature": 50, "Units": 50},
 }
 
+# Columns of the raw layouts, by position: descriptors of the wide tables (the
+# year columns follow, then one unused column), and the long tables.
+RAW_WIDE_COLUMNS = ("C", "S", "C_and_S", "Basic_data", "Unnamed_5", "Unnamed_6",
+                    "Unnamed_7", "Unnamed_8", "Units", "Notes")
+RAW_SERIES_COLUMN = "Series"
+RAW_LAST_COLUMN, RAW_LAST_COLUMN_WITH_SERIES = "Unnamed_38", "Unnamed_39"
+RAW_LONG_COLUMNS = ("Idex", "SDG_Indicator", "SeriesCode", "SeriesDescription",
+                    "GeoAreaCode", "GeoAreaName", "TimePeriod", "Value", "Source",
+                    "FootNote", "Nature", "Units")
+
+# Columns of the clean layouts around their year columns.
+CLEAN_WIDE_COLUMNS = ("Country_code", "Indicator_code", "Country", "Indicator_L1", "Indicator_L2",
+                      "Indicator_L3", "Indicator_L4", "Units")
+CLEAN_SERIES_COLUMN = "Series_method"
+CLEAN_LONG_COLUMNS = ("Country_code", "Country", "Time_Period", "Value", "SeriesDescription",
+                      "Nature", "Units")
+STAMP_COLUMN = "dwh_create_date"
+
 # ---------------------------------------------------------------------------
 # Schemas
 # ---------------------------------------------------------------------------
@@ -179,20 +197,11 @@ def raw_slot(year):
 
 
 def raw_wide_schema(with_series: bool) -> T.StructType:
-    names = ["C", "S", "C_and_S", "Basic_data", "Unnamed_5", "Unnamed_6",
-             "Unnamed_7", "Unnamed_8", "Units", "Notes"]
-    if with_series:
-        names.append("Series")
-    names += [year_col(y) for y in RAW_YEARS]
-    names.append("Unnamed_39" if with_series else "Unnamed_38")
+    names = [*RAW_WIDE_COLUMNS, *[RAW_SERIES_COLUMN] * with_series, *map(year_col, RAW_YEARS),
+             RAW_LAST_COLUMN_WITH_SERIES if with_series else RAW_LAST_COLUMN]
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
 
-RAW_LONG_COLUMNS = ("Idex", "SDG_Indicator", "SeriesCode", "SeriesDescription",
-                    "GeoAreaCode", "GeoAreaName", "TimePeriod", "Value", "Source",
-                    "FootNote", "Nature", "Units")
-
-
 def raw_long_schema() -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType(), True) for n in RAW_LONG_COLUMNS])
 
@@ -206,35 +215,19 @@ COLLATION = "UTF8_LCASE_RTRIM"
 TEXT_TYPE = T.StringType(COLLATION)
 
 
+_CLEAN_TYPES = {"Country_code": T.IntegerType(), "Time_Period": T.DateType(), "Value": VALUE_TYPE, STAMP_COLUMN: T.TimestampType()}
+
+
+def _clean_schema(names) -> T.StructType:
+    return T.StructType([T.StructField(n, VALUE_TYPE if n.startswith("year_") else _CLEAN_TYPES.get(n, TEXT_TYPE)) for n in names])
+
+
 def clean_wide_schema(with_series: bool) -> T.StructType:
-    fields = [
-        T.StructField("Country_code", T.IntegerType()),
-        T.StructField("Indicator_code", TEXT_TYPE),
-        T.StructField("Country", TEXT_TYPE),
-        T.StructField("Indicator_L1", TEXT_TYPE),
-        T.StructField("Indicator_L2", TEXT_TYPE),
-        T.StructField("Indicator_L3", TEXT_TYPE),
-        T.StructField("Indicator_L4", TEXT_TYPE),
-        T.StructField("Units", TEXT_TYPE),
-    ]
-    if with_series:
-        fields.append(T.StructField("Series_method", TEXT_TYPE))
-    fields += [T.StructField(year_col(y), VALUE_TYPE) for y in CLEAN_YEARS]
-    fields.append(T.StructField("dwh_create_date", T.TimestampType()))
-    return T.StructType(fields)
+    return _clean_schema([*CLEAN_WIDE_COLUMNS, *[CLEAN_SERIES_COLUMN] * with_series, *map(year_col, CLEAN_YEARS), STAMP_COLUMN])
 
 
 def clean_long_schema() -> T.StructType:
-    return T.StructType([
-        T.StructField("Country_code", T.IntegerType()),
-        T.StructField("Country", TEXT_TYPE),
-        T.StructField("Time_Period", T.DateType()),
-        T.StructField("Value", VALUE_TYPE),
-        T.StructField("SeriesDescription", TEXT_TYPE),
-        T.StructField("Nature", TEXT_TYPE),
-        T.StructField("Units", TEXT_TYPE),
-        T.StructField("dwh_create_date", T.TimestampType()),
-    ])
+    return _clean_schema([*CLEAN_LONG_COLUMNS, STAMP_COLUMN])
 
 
 # ---------------------------------------------------------------------------
