@@ -31,7 +31,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import connected_components, materialise, partitions, ship_code
+from tessera.llm.common import connected_components, materialise, partitions, ship_code, spread_join
 
 SHINGLE, BITS, GROUPS, CELL = 3, 3, 6, 1000
 SEED = 42
@@ -172,7 +172,7 @@ def links(distinct: DataFrame, bits: int = BITS, groups: int = GROUPS, cell: int
 
 
 def components(rows: DataFrame, bits: int = BITS, groups: int = GROUPS, cell: int = CELL) -> DataFrame:
-    """``rows(doc_id, fp, ...)`` with ``component_id``, the smallest doc_id reachable by links, and ``component_fp``,
+    """``rows(doc_id, fp, ...)``, a written table, with ``component_id``, the smallest doc_id reachable by links, and ``component_fp``,
     the smallest fp, which names the component also where no doc_id does."""
     distinct = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
     label = materialise(connected_components(links(distinct, bits, groups, cell)), "simhash-labels")
@@ -180,7 +180,7 @@ def components(rows: DataFrame, bits: int = BITS, groups: int = GROUPS, cell: in
     merged = member.join(member.groupBy("label").agg(F.min("least").alias("merged")), "label").select("fp", "label", "merged")
     final = distinct.join(merged, "fp", "left").select("fp", F.coalesce("merged", "least").alias("component_id"),
                                                        F.coalesce("label", "fp").alias("component_fp"))
-    return rows.join(final, "fp")
+    return spread_join(rows, materialise(final, "simhash-components"), "fp")
 
 
 def near_duplicates(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), shingle: int = SHINGLE, bits: int = BITS, named: bool = False) -> DataFrame:
