@@ -55,10 +55,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = materialise(near_duplicates(named, keep=("doc_id", "key"), named=True), "dedup-components")
     first = found.groupBy("component_fp").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("m"))
     repeated = found.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    winners = materialise(first.select(F.col("m.key").alias("key")).join(repeated, "key", "left").select("key", (F.col("rows") > 1).alias("repeats")),
-                          "dedup-winners")
-    kept = named.join(winners.where("repeats is null").select("key"), "key", "left_semi")
-    again = named.join(winners.where("repeats").select("key"), "key", "left_semi").dropDuplicates(["key"])
+    winners = first.select(F.col("m.key").alias("key"))
+    # tables of their own: Spark knows their sizes, and sends the few repeated names to the texts
+    once = materialise(winners.join(repeated, "key", "left_anti"), "dedup-once")
+    several = materialise(winners.join(repeated, "key", "left_semi"), "dedup-several")
+    kept = named.join(once, "key", "left_semi")
+    again = named.join(several, "key", "left_semi").dropDuplicates(["key"])
     return kept.select(*COLUMNS).union(again.select(*COLUMNS))
 
 
