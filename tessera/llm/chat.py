@@ -23,7 +23,7 @@ columns are ignored; an empty table gives none.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TURN, TEXT, END = "<|turn|>", "<|text|>", "</s>"
@@ -78,34 +78,30 @@ def format_conversations(messages: DataFrame) -> DataFrame:
 
     Columns: conv_id, n_turns, formatted, loss_spans array<struct<from, to>>,
     attachments array<struct<index, turn, type, ref, tokens>>, expanded_tokens.
+
+    Running sums over a conversation's turns give each message the number of attachments and characters before
+    it; messages are visited one by one and joined once, so time grows with the turns, not with their square.
     """
-    row = F.struct(F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
-                   F.coalesce(F.col("parts").cast(f"array<{PART}>"), F.array().cast(f"array<{PART}>")).alias("parts"))
-    start = F.struct(
-        F.lit("").alias("formatted"), F.lit(0).cast("long").alias("n"),
-        F.array().cast("array<struct<from:bigint,to:bigint>>").alias("loss_spans"),
-        F.array().cast("array<struct<index:bigint,turn:bigint,type:string,ref:string,tokens:bigint>>").alias("attachments"))
-
-    def add(state, message):
-        # each part of the next state is built from one visit of the message
-        seen = F.transform(F.array(_visit(message["parts"], F.size(state["attachments"]).cast("long"))), lambda v: F.struct(
-            F.concat(F.lit(TURN), escape(message["role"]), F.lit(TEXT)).alias("head"), v["content"].alias("content"), v["found"].alias("found")))
-        return F.element_at(F.transform(seen, lambda v: F.struct(
-            F.concat(state["formatted"], v["head"], v["content"], F.lit(END)).alias("formatted"),
-            (state["n"] + F.length(v["head"]) + F.length(v["content"]) + len(END)).cast("long").alias("n"),
-            F.when(message["role"] == "assistant", F.concat(state["loss_spans"], F.array(F.struct(
-                (state["n"] + F.length(v["head"])).cast("long").alias("from"),
-                (state["n"] + F.length(v["head"]) + F.length(v["content"])).cast("long").alias("to")))))
-            .otherwise(state["loss_spans"]).alias("loss_spans"),
-            F.concat(state["attachments"], F.transform(v["found"], lambda a: F.struct(
-                a["index"].alias("index"), message["turn"].alias("turn"), a["type"].alias("type"), a["ref"].alias("ref"),
-                a["tokens"].alias("tokens")))).alias("attachments"))), 1)
-
-    return (messages.select(F.col("conv_id").cast("long").alias("conv_id"), row.alias("m"))
-            .groupBy("conv_id").agg(F.sort_array(F.collect_list("m")).alias("ms"))
-            .select("conv_id", F.size("ms").cast("long").alias("n_turns"), F.aggregate("ms", start, add).alias("x"))
-            .select("conv_id", "n_turns", "x.formatted", "x.loss_spans", "x.attachments",
-                    F.aggregate("x.attachments", F.lit(0).cast("long"), lambda s, a: s + a["tokens"]).alias("expanded_tokens")))
+    ordered = Window.partitionBy("conv_id").orderBy("turn", "role", "parts")
+    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    parts = F.coalesce(F.col("parts").cast(f"array<{PART}>"), F.array().cast(f"array<{PART}>"))
+    rows = messages.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
+                           F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), parts.alias("parts"))
+    other = F.size(F.filter("parts", lambda p: F.coalesce(p["type"], F.lit("unknown")) != "text")).cast("long")
+    seen = rows.select("*", F.row_number().over(ordered).alias("place"), F.coalesce(F.sum(other).over(before), F.lit(0)).alias("attached"))
+    seen = seen.withColumn("v", _visit(F.col("parts"), F.col("attached"))).withColumn("head", F.concat(F.lit(TURN), escape(F.col("role")), F.lit(TEXT)))
+    size = (F.length("head") + F.length("v.content") + len(END)).cast("long")
+    seen = seen.withColumn("at", F.coalesce(F.sum(size).over(before), F.lit(0)) + F.length("head"))
+    message = F.struct(
+        "place", F.concat("head", "v.content", F.lit(END)).alias("text"),
+        F.when(F.col("role") == "assistant", F.struct(F.col("at").cast("long").alias("from"), (F.col("at") + F.length("v.content")).cast("long").alias("to"))).alias("span"),
+        F.transform("v.found", lambda a: F.struct(a["index"].alias("index"), F.col("turn").alias("turn"), a["type"].alias("type"), a["ref"].alias("ref"),
+                                                  a["tokens"].alias("tokens"))).alias("found"))
+    out = seen.groupBy("conv_id").agg(F.sort_array(F.collect_list(message)).alias("ms"), F.sum(F.aggregate(
+        "v.found", F.lit(0).cast("long"), lambda s, a: s + a["tokens"])).alias("expanded_tokens"))
+    return out.select("conv_id", F.size("ms").cast("long").alias("n_turns"), F.concat_ws("", F.transform("ms", lambda m: m["text"])).alias("formatted"),
+                      F.filter(F.transform("ms", lambda m: m["span"]), lambda s: s.isNotNull()).alias("loss_spans"),
+                      F.flatten(F.transform("ms", lambda m: m["found"])).alias("attachments"), "expanded_tokens")
 
 
 def read_turns(formatted: Column) -> Column:

@@ -350,6 +350,29 @@ def test_chat_typed_parts(spark):
     assert r[1]["expanded_tokens"] == 1541 and r[2]["formatted"] == "<|turn|>user<|text|></s>"
 
 
+def test_long_conversation(spark):
+    """Thousands of turns, with attachments counted through all of them, in time that grows with the turns."""
+    import time
+
+    part = f"array<{chat.PART}>"
+
+    def formatted(n):
+        rows = spark.range(n).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"),
+                                     F.expr(f"array(struct('text' AS type, concat('turn ', id) AS text, null AS ref, 0L AS units), "
+                                            f"struct('image' AS type, null AS text, concat('i', id) AS ref, 784L AS units))").cast(part).alias("parts"))
+        began = time.monotonic()
+        (r,) = chat.format_conversations(rows).collect()
+        return r, time.monotonic() - began
+
+    formatted(10)
+    r, short = formatted(2000)
+    assert r["formatted"] == "".join(f"<|turn|>{'assistant' if i % 2 else 'user'}<|text|>turn {i}<|image:{i}|></s>" for i in range(2000))
+    assert [r["formatted"][s["from"]:s["to"]] for s in r["loss_spans"]] == [f"turn {i}<|image:{i}|>" for i in range(1, 2000, 2)]
+    assert [tuple(a) for a in r["attachments"]] == [(i, i, "image", f"i{i}", 1) for i in range(2000)] and r["expanded_tokens"] == 2000
+    _, long = formatted(20_000)
+    assert long < 20 * max(short, 0.3)
+
+
 def test_chat_query_digests(spark):
     from tessera.llm.queries import op9_chat_format
 
