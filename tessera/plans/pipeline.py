@@ -43,7 +43,7 @@ from tessera.sources.survey import FILE_COL, LINE_COL, file_encodings, numbered_
 from tessera.sources.catalog import publish_catalog
 from tessera.sources.history import new_run_id, read_history, write_layer
 from tessera.sources.sinks import (
-    create_namespaces, define_table, drop_old_versions, move_pointers, new_version, point_table, publish, stamp,
+    create_namespaces, define_table, discard, drop_old_versions, move_pointers, new_version, point_table, publish, stamp,
     table_location, version_path, write_version,
 )
 from tessera.specs import RAW_LENGTH_LIMITS, TABLES, YEAR_CELL_LIMIT
@@ -221,6 +221,7 @@ class Warehouse:
                 path = write_version(counted, self.root, table)
                 m = obs.get
                 if m["rejects"] > self.max_reject_fraction * max(m["rows"], 1):
+                    discard(self.spark, path)
                     raise RejectThresholdExceeded(
                         f"{m['rejects']} of {m['rows']} rows rejected in {spec.stem}")
                 point_table(self.spark, table, path)
@@ -246,6 +247,7 @@ class Warehouse:
                 path = write_version(good, self.root, table)
                 bad, of = all_rows.get["rejects"], all_rows.get["rows"]
                 if bad > self.max_reject_fraction * max(of, 1):
+                    discard(self.spark, path)
                     raise RejectThresholdExceeded(f"{bad} of {of} clean rows rejected in {spec.stem}")
                 if bad:                     # seldom: the only case in which the raw table is read again
                     over = clean.withColumn(REJECT_COL, over_long(clean, spec)).where(F.col(REJECT_COL).isNotNull())
@@ -342,7 +344,12 @@ class Warehouse:
         jobs = {n: dim_job(n, d) for n, d in star.dims.items()}
         jobs.update({n: alias_job(n, a) for n, a in star.aliases.items()})
         jobs.update({n: fact_job(n, f) for n, f in star.facts.items()})
-        run_concurrently(self.spark, jobs, max(1, self.parallelism))
+        try:
+            run_concurrently(self.spark, jobs, max(1, self.parallelism))
+        except Exception:
+            for path in list(paths.values()):       # whole tables of a load that failed
+                discard(self.spark, path)
+            raise
         tables = {n: self.name("gold", n) for n in paths}
         move_pointers(self.spark, {tables[n]: path for n, path in paths.items()},
                       partitioned={tables[n] for n in star.facts} if self.fact_partition_by else ())

@@ -15,7 +15,6 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    "spark.sql.csv.parser.columnPruning.enabled": "false",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
@@ -74,6 +73,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tessera-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def clear_scratch(spark: SparkSession) -> bool:
+    """Delete the staged outputs under the checkpoint folder, of this and earlier applications. Not for use while results
+    that read them are still wanted: intermediate tables and the files of registered queries stay until then."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/tessera-scratch")
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 _PROPAGATED = ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel",
                "spark.scheduler.pool")
 

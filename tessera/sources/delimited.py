@@ -27,7 +27,11 @@ def csv_options(sep: str, quote: str | None) -> dict:
 def _configure(reader, schema: T.StructType, sep: str, header: bool, quote: str | None,
                encoding: str):
     full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COL, T.StringType())])
-    return reader.schema(full).options(header=header, encoding=encoding, **csv_options(sep, quote))
+    # With CSV column pruning the parser only tokenises the columns a query
+    # reads, and a line's field count is then checked against that subset:
+    # the same line can be good for one query and malformed for another.
+    # Reject detection needs the full positional layout, so this scan has it off.
+    return reader.schema(full).options(header=header, encoding=encoding, columnPruning=False, **csv_options(sep, quote))
 
 
 def with_reject_reason(df: DataFrame, schema: T.StructType, length_limits: dict | None = None, keep: tuple = ()) -> DataFrame:
@@ -51,11 +55,6 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType, *, sep:
     treat double quotes as text qualifiers instead. ``stream=True`` returns
     the same columns from a file-source stream over the directory.
     """
-    # With CSV column pruning the parser only tokenises the columns a query
-    # reads, and a line's field count is then checked against that subset:
-    # the same line can be good for one query and malformed for another.
-    # Reject detection needs the full positional layout, so pruning is off.
-    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
     base = spark.readStream if stream else spark.read
     reader = _configure(base, schema, sep, header, quote, encoding)
     for k, v in (options or {}).items():

@@ -109,6 +109,12 @@ def move_pointers(spark: SparkSession, paths: dict[str, str], *, fmt: str = "par
         raise
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a staged version that no table was pointed at."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def drop_old_versions(spark: SparkSession, root: str, table: str, keep: int) -> list[str]:
     """Delete the versions of ``table`` but the one the catalog points at and the
     ``keep - 1`` newest others; returns the names deleted. Not for use while another
