@@ -1,17 +1,23 @@
 """Exact top-k inner product search with vector-approximation (VA) files.
 
-The candidates are dealt to blocks of about ``ROWS`` vectors. A block holds two
-things: the approximation, one cell number of ``CELL_BITS`` bits a component
-(equal-width cells between the block's extremes), and the exact vectors. A
-block of queries scans the approximations first: the cell bounds give every
-candidate a lower and an upper bound of its inner product. Then exact vectors
-are read in the order of their upper bounds, in growing steps, until the k-th
-best exact score of the block is above every bound not read. The blocks' k best
-are merged by query in two levels. Every block meets every query block once
-(a stated query set against all rows); no other pairs are formed.
+The candidates are dealt to blocks of about ``ROWS`` vectors, written as two files.
+The approximation of a block has one cell number of ``CELL_BITS`` bits a component
+(equal-width cells between the block's extremes) and the ends of its cells; the
+other file has the exact vectors. A search goes in two phases:
+
+1. Only approximations are read. Each block of queries scans each block's cells:
+   the cell bounds give every candidate a lower and an upper bound of its inner
+   product. A block's k-th greatest lower bound leaves few candidates of it; the k-th
+   greatest lower bound of all blocks leaves fewer.
+2. The exact vectors of the blocks that still hold candidates are read, and of
+   these the candidates', in the order of their upper bounds and in growing steps, until
+   the k-th best exact score of the block is above every bound not read.
+
+The blocks' k best are merged by query in two levels. Every block's cells meet every
+query block once (a stated query set against all rows); no other pairs are formed.
 
 Components x become floor(scale * x); bounds and scores are whole numbers, exact
-below 2^53 (beyond that a block's scores are computed with Python integers).
+below 2^53 (beyond that bounds get room, and scores are computed with Python integers).
 
 Edge cases: vectors that are null, empty or hold null or non-finite components
 take no part, nor do null ids; only vectors of equal length are compared; of
@@ -23,13 +29,14 @@ are ignored; an empty table gives no row.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import materialise, ship_code
 
 ROWS, QUERY_ROWS, CELL_BITS = 8192, 512, 4
-STEP = 16
+#: Exact vectors read at first for a query in a block, and queries whose bounds are held at a time.
+STEP, SCANNED = 16, 128
 MERGE = 64      # blocks merged at once
 
 
@@ -79,86 +86,159 @@ def approximation(exact: np.ndarray, bits: int = CELL_BITS):
     return number, lower, upper
 
 
-def search_block(queries: np.ndarray, query_ids: np.ndarray, exact: np.ndarray, ids: np.ndarray, k: int):
-    """The k best candidates of a block for each query: (query index, candidate index, score, vectors read)."""
-    number, lower, upper = approximation(exact)
-    dims = np.arange(exact.shape[1])
-    low, high = lower[number, dims], upper[number, dims]
+def cells_of(exact: np.ndarray, bits: int = CELL_BITS) -> tuple[bytes, bytes]:
+    """The stored approximation of a block: cell numbers, two a byte where they fit, and the ends of all cells."""
+    number, lower, upper = approximation(exact, bits)
+    flat = number.ravel()
+    if bits <= 4:
+        flat = np.append(flat, np.uint8(0)) if len(flat) % 2 else flat
+        flat = flat[::2] << 4 | flat[1::2]
+    return flat.tobytes(), np.stack((lower, upper)).astype("<f8").tobytes()
+
+
+def bounds_of(cells: bytes, ends: bytes, n: int, dim: int, bits: int = CELL_BITS) -> tuple[np.ndarray, np.ndarray]:
+    """Lower and upper end of every component of a block's ``n`` vectors."""
+    flat = np.frombuffer(cells, np.uint8)
+    if bits <= 4:
+        flat = np.stack((flat >> 4, flat & 15), 1).ravel()
+    number = flat[:n * dim].reshape(n, dim)
+    lower, upper = np.frombuffer(ends, "<f8").reshape(2, 1 << bits, dim)
+    dims = np.arange(dim)
+    return lower[number, dims], upper[number, dims]
+
+
+def greatest(values: np.ndarray, k: int) -> float:
+    """The k-th greatest value; -inf where there are fewer."""
+    return float(np.partition(values, len(values) - k)[len(values) - k]) if len(values) >= k else -np.inf
+
+
+def scan_block(queries: np.ndarray, query_ids: np.ndarray, low: np.ndarray, high: np.ndarray, ids: np.ndarray, k: int):
+    """What a block's approximation leaves for each query: query index, candidate index, lower and upper bound of
+    the score. A candidate goes if k others are surely above it."""
     plus, minus = np.maximum(queries, 0), np.minimum(queries, 0)
-    most = plus @ high.T + minus @ low.T        # upper bounds, whole numbers
-    same = query_ids[:, None] == ids[None, :]
-    most[same] = -np.inf
-    large = np.abs(queries).max(initial=0) * np.abs(exact).max(initial=0) * exact.shape[1] >= 2 ** 53
-    if large:                                   # inexact bounds: give them room
-        room = np.abs(most) * 1e-9 + 1
-        most = np.where(np.isfinite(most), most + room, most)
-    out, read = [], 0
-    n = len(ids)
-    for q in range(len(queries)):
-        order = np.argpartition(-most[q], min(n - 1, 4 * STEP)) if n > 4 * STEP else np.arange(n)
-        head = order[:4 * STEP]
-        head = head[np.argsort(-most[q][head], kind="stable")]
-        seen, scores, at, step = [], [], 0, max(k, STEP)
-        ranked = head
-        while at < n:
-            if at == len(ranked):               # the first candidates didn't settle it: order the rest
-                rest = np.setdiff1d(order, head)
-                ranked = np.concatenate((head, rest[np.argsort(-most[q][rest], kind="stable")]))
-            some = ranked[at:at + step]
-            at += len(some)
-            some = some[most[q][some] > -np.inf]
-            if not len(some):
-                break
-            if len(scores) >= k and np.partition(np.array(scores), len(scores) - k)[len(scores) - k] > most[q][some[0]]:
-                break                           # bounds fall: nothing that is left can reach the k-th score
-            if large:
-                whole = [int(x) for x in queries[q]]
-                value = [sum(a * int(b) for a, b in zip(whole, row)) for row in exact[some]]
-            else:
-                value = (exact[some] @ queries[q]).tolist()
-            seen += some.tolist()
-            scores += value
-            step *= 2
-        read += len(seen)
-        best = sorted(zip((-int(s) for s in scores), (int(ids[i]) for i in seen)))[:k]
-        out += [(q, i, -s) for s, i in best]
-    return out, read
+    room = 0.0
+    if np.abs(queries).max(initial=0) * max(np.abs(low).max(initial=0), np.abs(high).max(initial=0)) * low.shape[1] >= 2 ** 53:
+        room = 1e-9                                  # inexact sums: bounds get room
+    for a in range(0, len(queries), SCANNED):
+        part = slice(a, a + SCANNED)
+        most, least = plus[part] @ high.T + minus[part] @ low.T, plus[part] @ low.T + minus[part] @ high.T
+        if room:
+            most, least = most + np.abs(most) * room + 1, least - np.abs(least) * room - 1
+        own = query_ids[part, None] == ids[None, :]
+        most[own] = least[own] = -np.inf
+        if least.shape[1] >= k:
+            limit = np.partition(least, least.shape[1] - k, axis=1)[:, least.shape[1] - k, None]
+            q, i = np.nonzero((most >= limit) & (most > -np.inf))
+        else:
+            q, i = np.nonzero(most > -np.inf)
+        yield a + q, i, least[q, i], most[q, i]
+
+
+def settle(query: np.ndarray, exact: np.ndarray, ids: np.ndarray, at: np.ndarray, most: np.ndarray, k: int) -> tuple[list, int]:
+    """The k best ``(score, id)`` of a block's candidates ``at`` for a query, and how many exact vectors were read:
+    in the order of upper bounds ``most``, until nothing that is left can reach the k-th score."""
+    order = np.argsort(-most, kind="stable")
+    large = np.abs(query).max(initial=0) * np.abs(exact).max(initial=0) * exact.shape[1] >= 2 ** 53
+    whole = [int(x) for x in query] if large else None
+    found, low, step = [], 0, max(k, STEP)
+    while low < len(order):
+        some = order[low:low + step]
+        if len(found) >= k and sorted((s for s, _ in found), reverse=True)[k - 1] > most[some[0]]:
+            break
+        rows = exact[at[some]]
+        scores = [sum(a * int(b) for a, b in zip(whole, row)) for row in rows] if large else (rows @ query).astype(np.int64).tolist()
+        found += zip(scores, ids[at[some]].tolist())
+        low, step = low + step, 2 * step
+    return sorted(found, key=lambda x: (-x[0], x[1]))[:k], len(found)
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: float = 256.0, id_col: str = "vec_id", vector_col: str = "embedding",
-          rows: int = ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
-    """query_id, rank, vec_id, score of the k candidates of highest integer inner product for each query."""
-    spark = vectors.sparkSession
-
+          rows: int = ROWS, query_rows: int = QUERY_ROWS, counts: bool = False) -> DataFrame:
+    """query_id, rank, vec_id, score of the k candidates of highest integer inner product for each query; with ``counts``
+    also ``exact_read``, the exact vectors that the query read in all blocks."""
     def whole(df):
         return df.select("vec_id", F.transform("v", lambda x: F.floor(x * F.lit(scale)).cast("double")).alias("v"))
 
-    blocks = packed(whole(clean(vectors, id_col, vector_col)), "block", rows)
+    blocks = materialise(packed(whole(clean(vectors, id_col, vector_col)), "block", rows), "va-exact")
     asked = materialise(packed(whole(clean(queries, id_col, vector_col)), "query_block", query_rows)
                         .withColumnRenamed("ids", "query_ids").withColumnRenamed("data", "query_data"), "va-queries")
-    # each block goes to each query block; a query block is read by key, never broadcast
-    each = asked.select("dim", "query_block")
-    pairs = materialise(blocks, "va-blocks").join(each, "dim").join(asked, ["dim", "query_block"])
 
-    def search(batches):
+    def approximate(batches):
         import pyarrow as pa
 
         for batch in batches:
-            for dim, block, ids, data, qids, qdata in zip(*(batch.column(c).to_pylist() for c in ("dim", "block", "ids", "data", "query_ids", "query_data"))):
-                ids, qids = np.frombuffer(ids, "<i8"), np.frombuffer(qids, "<i8")
-                found, _ = search_block(np.frombuffer(qdata, "<f8").reshape(-1, dim), qids, np.frombuffer(data, "<f8").reshape(-1, dim), ids, k)
-                if found:
-                    q, i, s = zip(*found)
-                    yield pa.RecordBatch.from_arrays([pa.array(qids[list(q)]), pa.array([block // MERGE] * len(q), pa.int32()), pa.array(i, pa.int64()), pa.array(s, pa.int64())],
-                                                     names=["query_id", "part", "vec_id", "score"])
-
-    found = pairs.select("dim", "block", "ids", "data", "query_ids", "query_data").mapInArrow(search, "query_id long, part int, vec_id long, score long")
+            for i in range(batch.num_rows):
+                one = batch.slice(i, 1)
+                dim, data = one.column("dim")[0].as_py(), one.column("data")[0].as_py()
+                cells, ends = cells_of(np.frombuffer(data, "<f8").reshape(-1, dim))
+                yield pa.RecordBatch.from_arrays([one.column("dim"), one.column("block"), one.column("ids"), pa.array([cells], pa.binary()), pa.array([ends], pa.binary())],
+                                                 names=["dim", "block", "ids", "cells", "ends"])
+
+    files = materialise(blocks.mapInArrow(approximate, "dim int, block int, ids binary, cells binary, ends binary"), "va-approximations")
+    # a block's cells go to each query block of its dimension; a query block is read by key
+    pairs = files.join(asked.select("dim", "query_block"), "dim").join(asked, ["dim", "query_block"])
+
+    def scan(batches):
+        import pyarrow as pa
 
-    def best(df, *keys):
-        top = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id"))), 1, k)
+        for batch in batches:
+            for j in range(batch.num_rows):
+                dim, block, query_block, ids, cells, ends, qids, qdata = (batch.column(c)[j].as_py() for c in (
+                    "dim", "block", "query_block", "ids", "cells", "ends", "query_ids", "query_data"))
+                ids, qids = np.frombuffer(ids, "<i8"), np.frombuffer(qids, "<i8")
+                low, high = bounds_of(cells, ends, len(ids), dim)
+                for q, i, least, most in scan_block(np.frombuffer(qdata, "<f8").reshape(-1, dim), qids, low, high, ids, k):
+                    n = len(q)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(n, dim, np.int32)), pa.array(np.full(n, block, np.int32)), pa.array(np.full(n, query_block, np.int32)), pa.array(q.astype(np.int32)),
+                         pa.array(qids[q]), pa.array(i.astype(np.int32)), pa.array(least), pa.array(most)],
+                        names=["dim", "block", "query_block", "q", "query_id", "i", "least", "most"])
+
+    left = materialise(pairs.select("dim", "block", "query_block", "ids", "cells", "ends", "query_ids", "query_data").mapInArrow(
+        scan, "dim int, block int, query_block int, q int, query_id long, i int, least double, most double"), "va-candidates")
+
+    def best(df, score, *keys):
+        top = F.slice(F.sort_array(F.collect_list(F.struct((-F.col(score)).alias("s"), "vec_id"))), 1, k)
         return df.groupBy(*keys).agg(top.alias("top"))
 
+    # the k-th greatest lower bound of all blocks, in two levels: each block gives k at most
+    named = left.withColumnRenamed("i", "vec_id").withColumn("part", F.floor(F.col("block") / MERGE))
+    place = Window.partitionBy("query_id", "block").orderBy(F.col("least").desc(), "vec_id")
+    few = named.withColumn("n", F.row_number().over(place)).where(F.col("n") <= k)
+    some = best(few, "least", "query_id", "part").select("query_id", F.explode("top").alias("x")).select("query_id", (-F.col("x.s")).alias("least"), "x.vec_id")
+    limit = best(some, "least", "query_id").select("query_id", F.when(F.size("top") >= k, -F.element_at("top", k)["s"]).alias("limit"))
+    left = left.join(limit, "query_id").where(F.col("limit").isNull() | (F.col("most") >= F.col("limit")))
+    # candidates of a block and a query block meet the block's exact vectors and the queries
+    wanted = left.groupBy("dim", "block", "query_block").agg(F.collect_list(F.struct("q", "i", "most")).alias("candidates"))
+    exact = wanted.join(blocks, ["dim", "block"]).join(asked, ["dim", "query_block"])
+
+    def read(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for j in range(batch.num_rows):
+                dim, block, ids, data, qids, qdata = (batch.column(c)[j].as_py() for c in ("dim", "block", "ids", "data", "query_ids", "query_data"))
+                held = batch.column("candidates")[j].values
+                q, i, most = (held.field(n).to_numpy(zero_copy_only=False) for n in range(3))
+                ids, qids = np.frombuffer(ids, "<i8"), np.frombuffer(qids, "<i8")
+                vectors, queries = np.frombuffer(data, "<f8").reshape(-1, dim), np.frombuffer(qdata, "<f8").reshape(-1, dim)
+                order = np.argsort(q, kind="stable")
+                starts = np.flatnonzero(np.diff(q[order], prepend=-1))
+                out = []
+                for low, high in zip(starts, [*starts[1:], len(order)]):
+                    own = order[low:high]
+                    name = int(q[own[0]])
+                    found, n = settle(queries[name], vectors, ids, i[own], most[own], k)
+                    out += [(int(qids[name]), x, s, n if place == 0 else 0) for place, (s, x) in enumerate(found)]
+                names, others, scores, reads = zip(*out)
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array([block // MERGE] * len(out), pa.int32()), pa.array(others, pa.int64()),
+                                                  pa.array(scores, pa.int64()), pa.array(reads, pa.int64())], names=["query_id", "part", "vec_id", "score", "n_read"])
+
+    found = exact.select("dim", "block", "ids", "data", "query_ids", "query_data", "candidates").mapInArrow(
+        read, "query_id long, part int, vec_id long, score long, n_read long")
+    found = materialise(found, "va-scores") if counts else found
     # first the k best of each MERGE blocks, then of all: a group holds at most k rows of each part
-    first = best(found, "query_id", "part").select("query_id", F.explode("top").alias("x")).select("query_id", "x.vec_id", (-F.col("x.s")).alias("score"))
-    return best(first, "query_id").select("query_id", F.posexplode("top").alias("i", "x")).select(
+    first = best(found, "score", "query_id", "part").select("query_id", F.explode("top").alias("x")).select("query_id", "x.vec_id", (-F.col("x.s")).alias("score"))
+    out = best(first, "score", "query_id").select("query_id", F.posexplode("top").alias("i", "x")).select(
         "query_id", (F.col("i") + 1).cast("int").alias("rank"), "x.vec_id", (-F.col("x.s")).alias("score"))
+    return out.join(found.groupBy("query_id").agg(F.sum("n_read").alias("exact_read")), "query_id") if counts else out

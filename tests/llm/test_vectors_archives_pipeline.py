@@ -343,3 +343,46 @@ def test_group_of_near_copies_gives_rows_in_proportion(spark):
     assert found.count() < 4 * 300                                    # of 44,850 links
     got = {r["vec_id"]: r for r in ann_dedup.near_duplicates(nodes, vector_col="v").collect()}
     assert all(r["n_links"] == 299 and r["component_id"] == 0 for r in got.values())
+
+
+def test_va_bounds_hold_and_save_reads(spark):
+    """Stored cells bound every component; the exact vectors read are a small part of all."""
+    rnd = np.random.default_rng(9)
+    for bits in (2, 4, 7):
+        exact = np.floor(rnd.normal(size=(301, 5)) * 100)
+        cells, ends = va_search.cells_of(exact, bits)
+        assert len(cells) == (-(-301 * 5 // 2) if bits <= 4 else 301 * 5)
+        low, high = va_search.bounds_of(cells, ends, 301, 5, bits)
+        assert (low <= exact).all() and (exact <= high).all()
+    x = np.floor(rnd.normal(size=(200, 5)) * 50)
+    low, high = va_search.bounds_of(*va_search.cells_of(x), 200, 5)
+    kept = {}
+    for q, i, least, most in va_search.scan_block(x[:7], np.arange(7), low, high, np.arange(200), 3):
+        for a, b, lo, hi in zip(q.tolist(), i.tolist(), least, most):
+            assert a != b and lo <= x[a] @ x[b] <= hi
+            kept.setdefault(a, set()).add(b)
+    for a in range(7):
+        best = sorted((b for b in range(200) if b != a), key=lambda b: -(x[a] @ x[b]))[:3]
+        assert set(best) <= kept[a] and len(kept[a]) < 150
+    centres = rnd.normal(size=(40, 32))
+    rows = [(i, (centres[i % 40] + rnd.normal(size=32) * 0.2).tolist()) for i in range(4000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = va_search.top_k(df, df.where("vec_id % 50 = 0"), rows=500, query_rows=16, counts=True).collect()
+    assert len(got) == 5 * 80
+    read = {r["query_id"]: r["exact_read"] for r in got}
+    assert sum(read.values()) < 0.1 * 4000 * 80
+
+
+def test_va_reads_exact_vectors_only_for_candidates(spark):
+    """The scan's plan reads cells, not exact vectors; these are joined to candidates."""
+    import contextlib
+    import io
+
+    df = spark.createDataFrame([(i, [float(i % 7), float(i % 5), 1.0]) for i in range(300)], "vec_id long, embedding array<double>")
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        va_search.top_k(df, df.where("vec_id % 50 = 0"), rows=50, query_rows=2).explain()
+    plan = out.getvalue()
+    exact = [line for line in plan.splitlines() if "FileScan" in line and "va-exact" in line]
+    assert plan.count("MapInArrow") >= 1 and "Cartesian" not in plan and "NestedLoop" not in plan
+    assert len(exact) == plan.count("va-exact") >= 1 and not any("va-exact" in line and "cells" in line for line in plan.splitlines())
