@@ -17,6 +17,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import ensure_checkpoint_dir
+
 BUCKET = 32768
 _WORD = 32      # bits of a word, kept in a long
 #: Bytes of a bucket's row in a hash table, without and with words.
@@ -42,6 +44,7 @@ def key_bitmap(keys: DataFrame, key: str) -> KeyBitmap:
     words = F.transform(F.sequence(F.lit(0), F.lit(BUCKET // _WORD - 1)),
                         lambda i: F.conv(F.hex(F.substr(F.col("bits"), i * 4 + 1, F.lit(4))), 16, 10).cast("long"))
     full = F.bitmap_count("bits") == BUCKET
+    ensure_checkpoint_dir(keys.sparkSession)
     df = bits.select("bucket", F.when(~full, words).alias("words")).checkpoint(eager=True)
     n, some = df.agg(F.count(F.lit(1)), F.count("words")).first()
     return KeyBitmap(df, n, some)

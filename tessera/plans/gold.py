@@ -24,6 +24,7 @@ from tessera.operators import dims as D
 from tessera.operators.reshape import union_all
 from tessera.operators.skew import united
 from tessera.operators.star import DimLink, build_fact, star_join, unpivot_fact
+from tessera.session import ensure_checkpoint_dir
 from tessera.specs import CLEAN_YEARS, TABLES, TEXT_TYPE, TableSpec, year_col
 
 FACT_NAMES = {
@@ -95,7 +96,9 @@ def members_query(silver: dict[str, DataFrame], tables=TABLES) -> DataFrame:
 
 def natural_members(silver: dict[str, DataFrame], tables=TABLES) -> DataFrame:
     """``members_query``, checkpointed: four dimensions and the aliases read it."""
-    return members_query(silver, tables).checkpoint(eager=True)
+    found = members_query(silver, tables)
+    ensure_checkpoint_dir(found.sparkSession)
+    return found.checkpoint(eager=True)
 
 
 def _wide_specs(tables=TABLES):
