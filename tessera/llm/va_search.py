@@ -7,11 +7,12 @@ other file has the exact vectors. A search goes in two phases:
 
 1. Only approximations are read. Each block of queries scans each block's cells:
    the cell bounds give every candidate a lower and an upper bound of its inner
-   product. A block's k-th greatest lower bound leaves few candidates of it; the k-th
-   greatest lower bound of all blocks leaves fewer.
-2. The exact vectors of the blocks that still hold candidates are read, and of
-   these the candidates', in the order of their upper bounds and in growing steps, until
-   the k-th best exact score of the block is above every bound not read.
+   product. A block answers a query with its k greatest lower bounds and its greatest
+   upper bound; the k-th greatest lower bound of all blocks is the query's limit.
+2. Blocks whose greatest upper bound is below the limits of all queries are done. Of the
+   others the exact vectors of candidates at or above the limit are read, in the order of
+   their upper bounds and in growing steps, until the k-th best exact score of the block
+   is above every bound not read.
 
 The blocks' k best are merged by query in two levels. Every block's cells meet every
 query block once (a stated query set against all rows); no other pairs are formed.
@@ -29,7 +30,7 @@ are ignored; an empty table gives no row.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import materialise, ship_code
@@ -107,31 +108,31 @@ def bounds_of(cells: bytes, ends: bytes, n: int, dim: int, bits: int = CELL_BITS
     return lower[number, dims], upper[number, dims]
 
 
-def greatest(values: np.ndarray, k: int) -> float:
-    """The k-th greatest value; -inf where there are fewer."""
-    return float(np.partition(values, len(values) - k)[len(values) - k]) if len(values) >= k else -np.inf
-
-
-def scan_block(queries: np.ndarray, query_ids: np.ndarray, low: np.ndarray, high: np.ndarray, ids: np.ndarray, k: int):
-    """What a block's approximation leaves for each query: query index, candidate index, lower and upper bound of
-    the score. A candidate goes if k others are surely above it."""
-    plus, minus = np.maximum(queries, 0), np.minimum(queries, 0)
+def bounds(queries: np.ndarray, query_ids: np.ndarray, low: np.ndarray, high: np.ndarray, ids: np.ndarray):
+    """For some queries at a time: their place, and lower and upper bounds of their inner products with a block's
+    vectors (-inf for a query's own vector)."""
     room = 0.0
     if np.abs(queries).max(initial=0) * max(np.abs(low).max(initial=0), np.abs(high).max(initial=0)) * low.shape[1] >= 2 ** 53:
         room = 1e-9                                  # inexact sums: bounds get room
     for a in range(0, len(queries), SCANNED):
         part = slice(a, a + SCANNED)
-        most, least = plus[part] @ high.T + minus[part] @ low.T, plus[part] @ low.T + minus[part] @ high.T
+        plus, minus = np.maximum(queries[part], 0), np.minimum(queries[part], 0)
+        most, least = plus @ high.T + minus @ low.T, plus @ low.T + minus @ high.T
         if room:
             most, least = most + np.abs(most) * room + 1, least - np.abs(least) * room - 1
         own = query_ids[part, None] == ids[None, :]
         most[own] = least[own] = -np.inf
-        if least.shape[1] >= k:
-            limit = np.partition(least, least.shape[1] - k, axis=1)[:, least.shape[1] - k, None]
-            q, i = np.nonzero((most >= limit) & (most > -np.inf))
-        else:
-            q, i = np.nonzero(most > -np.inf)
-        yield a + q, i, least[q, i], most[q, i]
+        yield a, least, most
+
+
+def scan_block(queries: np.ndarray, query_ids: np.ndarray, low: np.ndarray, high: np.ndarray, ids: np.ndarray, k: int):
+    """A block's answer to each query: the greatest lower bounds (rows of at most k) and the greatest upper bound."""
+    lows, tops = [], []
+    for _, least, most in bounds(queries, query_ids, low, high, ids):
+        n = least.shape[1]
+        lows.append(np.partition(least, n - k, axis=1)[:, n - k:] if n > k else least)
+        tops.append(most.max(axis=1))
+    return np.concatenate(lows), np.concatenate(tops)
 
 
 def settle(query: np.ndarray, exact: np.ndarray, ids: np.ndarray, at: np.ndarray, most: np.ndarray, k: int) -> tuple[list, int]:
@@ -187,58 +188,61 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: float = 256
                     "dim", "block", "query_block", "ids", "cells", "ends", "query_ids", "query_data"))
                 ids, qids = np.frombuffer(ids, "<i8"), np.frombuffer(qids, "<i8")
                 low, high = bounds_of(cells, ends, len(ids), dim)
-                for q, i, least, most in scan_block(np.frombuffer(qdata, "<f8").reshape(-1, dim), qids, low, high, ids, k):
-                    n = len(q)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(n, dim, np.int32)), pa.array(np.full(n, block, np.int32)), pa.array(np.full(n, query_block, np.int32)), pa.array(q.astype(np.int32)),
-                         pa.array(qids[q]), pa.array(i.astype(np.int32)), pa.array(least), pa.array(most)],
-                        names=["dim", "block", "query_block", "q", "query_id", "i", "least", "most"])
-
-    left = materialise(pairs.select("dim", "block", "query_block", "ids", "cells", "ends", "query_ids", "query_data").mapInArrow(
-        scan, "dim int, block int, query_block int, q int, query_id long, i int, least double, most double"), "va-candidates")
-
-    def best(df, score, *keys):
-        top = F.slice(F.sort_array(F.collect_list(F.struct((-F.col(score)).alias("s"), "vec_id"))), 1, k)
+                lows, tops = scan_block(np.frombuffer(qdata, "<f8").reshape(-1, dim), qids, low, high, ids, k)
+                n = len(qids)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(n, dim, np.int32)), pa.array(np.full(n, block, np.int32)), pa.array(np.full(n, query_block, np.int32)),
+                     pa.array(np.arange(n, dtype=np.int32)), pa.array(qids), pa.array([x[x > -np.inf] for x in lows], pa.list_(pa.float64())), pa.array(tops)],
+                    names=["dim", "block", "query_block", "q", "query_id", "lows", "top"])
+
+    scanned = materialise(pairs.select("dim", "block", "query_block", "ids", "cells", "ends", "query_ids", "query_data").mapInArrow(
+        scan, "dim int, block int, query_block int, q int, query_id long, lows array<double>, top double"), "va-scanned")
+
+    # a query's limit, the k-th greatest lower bound of all blocks, in two levels: a group holds at most k of each part
+    def greatest(df, *keys):
+        return df.groupBy(*keys).agg(F.slice(F.sort_array(F.flatten(F.collect_list("lows")), asc=False), 1, k).alias("lows"))
+
+    limit = greatest(greatest(scanned.withColumn("part", F.floor(F.col("block") / MERGE)), "query_id", "part"), "query_id").select(
+        "query_id", F.when(F.size("lows") >= k, F.element_at("lows", -1)).otherwise(float("-inf")).alias("limit"))
+    left = scanned.join(limit, "query_id").where((F.col("top") >= F.col("limit")) & (F.col("top") > float("-inf")))
+    # blocks that may hold a result meet their exact vectors and the queries that are still open
+    wanted = left.groupBy("dim", "block", "query_block").agg(F.collect_list(F.struct("q", "limit")).alias("open"))
+    exact = wanted.join(blocks, ["dim", "block"]).join(files.select("dim", "block", "cells", "ends"), ["dim", "block"]).join(asked, ["dim", "query_block"])
+
+    def best(df, *keys):
+        top = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id"))), 1, k)
         return df.groupBy(*keys).agg(top.alias("top"))
 
-    # the k-th greatest lower bound of all blocks, in two levels: each block gives k at most
-    named = left.withColumnRenamed("i", "vec_id").withColumn("part", F.floor(F.col("block") / MERGE))
-    place = Window.partitionBy("query_id", "block").orderBy(F.col("least").desc(), "vec_id")
-    few = named.withColumn("n", F.row_number().over(place)).where(F.col("n") <= k)
-    some = best(few, "least", "query_id", "part").select("query_id", F.explode("top").alias("x")).select("query_id", (-F.col("x.s")).alias("least"), "x.vec_id")
-    limit = best(some, "least", "query_id").select("query_id", F.when(F.size("top") >= k, -F.element_at("top", k)["s"]).alias("limit"))
-    left = left.join(limit, "query_id").where(F.col("limit").isNull() | (F.col("most") >= F.col("limit")))
-    # candidates of a block and a query block meet the block's exact vectors and the queries
-    wanted = left.groupBy("dim", "block", "query_block").agg(F.collect_list(F.struct("q", "i", "most")).alias("candidates"))
-    exact = wanted.join(blocks, ["dim", "block"]).join(asked, ["dim", "query_block"])
-
     def read(batches):
         import pyarrow as pa
 
         for batch in batches:
             for j in range(batch.num_rows):
-                dim, block, ids, data, qids, qdata = (batch.column(c)[j].as_py() for c in ("dim", "block", "ids", "data", "query_ids", "query_data"))
-                held = batch.column("candidates")[j].values
-                q, i, most = (held.field(n).to_numpy(zero_copy_only=False) for n in range(3))
-                ids, qids = np.frombuffer(ids, "<i8"), np.frombuffer(qids, "<i8")
-                vectors, queries = np.frombuffer(data, "<f8").reshape(-1, dim), np.frombuffer(qdata, "<f8").reshape(-1, dim)
-                order = np.argsort(q, kind="stable")
-                starts = np.flatnonzero(np.diff(q[order], prepend=-1))
+                dim, block, ids, data, cells, ends, qids, qdata = (batch.column(c)[j].as_py() for c in (
+                    "dim", "block", "ids", "data", "cells", "ends", "query_ids", "query_data"))
+                held = batch.column("open")[j].values
+                order = np.argsort(held.field(0).to_numpy(zero_copy_only=False))
+                q, limits = (held.field(n).to_numpy(zero_copy_only=False)[order] for n in range(2))
+                ids, names = np.frombuffer(ids, "<i8"), np.frombuffer(qids, "<i8")[q]
+                vectors, asking = np.frombuffer(data, "<f8").reshape(-1, dim), np.frombuffer(qdata, "<f8").reshape(-1, dim)[q]
+                low, high = bounds_of(cells, ends, len(ids), dim)
                 out = []
-                for low, high in zip(starts, [*starts[1:], len(order)]):
-                    own = order[low:high]
-                    name = int(q[own[0]])
-                    found, n = settle(queries[name], vectors, ids, i[own], most[own], k)
-                    out += [(int(qids[name]), x, s, n if place == 0 else 0) for place, (s, x) in enumerate(found)]
-                names, others, scores, reads = zip(*out)
-                yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array([block // MERGE] * len(out), pa.int32()), pa.array(others, pa.int64()),
-                                                  pa.array(scores, pa.int64()), pa.array(reads, pa.int64())], names=["query_id", "part", "vec_id", "score", "n_read"])
-
-    found = exact.select("dim", "block", "ids", "data", "query_ids", "query_data", "candidates").mapInArrow(
+                for a, _, most in bounds(asking, names, low, high, ids):
+                    for b, upper in enumerate(most, a):
+                        at = np.flatnonzero((upper >= limits[b]) & (upper > -np.inf))
+                        if len(at):
+                            found, n = settle(asking[b], vectors, ids, at, upper[at], k)
+                            out += [(int(names[b]), x, s, n if place == 0 else 0) for place, (s, x) in enumerate(found)]
+                if out:
+                    of, others, scores, reads = zip(*out)
+                    yield pa.RecordBatch.from_arrays([pa.array(of, pa.int64()), pa.array([block // MERGE] * len(out), pa.int32()), pa.array(others, pa.int64()),
+                                                      pa.array(scores, pa.int64()), pa.array(reads, pa.int64())], names=["query_id", "part", "vec_id", "score", "n_read"])
+
+    found = exact.select("dim", "block", "ids", "data", "cells", "ends", "query_ids", "query_data", "open").mapInArrow(
         read, "query_id long, part int, vec_id long, score long, n_read long")
     found = materialise(found, "va-scores") if counts else found
     # first the k best of each MERGE blocks, then of all: a group holds at most k rows of each part
-    first = best(found, "score", "query_id", "part").select("query_id", F.explode("top").alias("x")).select("query_id", "x.vec_id", (-F.col("x.s")).alias("score"))
-    out = best(first, "score", "query_id").select("query_id", F.posexplode("top").alias("i", "x")).select(
+    first = best(found, "query_id", "part").select("query_id", F.explode("top").alias("x")).select("query_id", "x.vec_id", (-F.col("x.s")).alias("score"))
+    out = best(first, "query_id").select("query_id", F.posexplode("top").alias("i", "x")).select(
         "query_id", (F.col("i") + 1).cast("int").alias("rank"), "x.vec_id", (-F.col("x.s")).alias("score"))
     return out.join(found.groupBy("query_id").agg(F.sum("n_read").alias("exact_read")), "query_id") if counts else out
