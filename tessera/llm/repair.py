@@ -32,6 +32,8 @@ SHARD_TOKENS = 4_000_000
 LEAST, USEFUL = 8, 4
 _NONE = np.iinfo(np.int32).max
 _ODD, _TABLE = np.uint64(0x9E3779B97F4A7C15), 20
+#: Pairs from which a round is worth a hash table.
+_MANY = 1 << 17
 
 
 def chosen_places(at: np.ndarray, order: np.ndarray) -> np.ndarray:
@@ -53,6 +55,31 @@ def chosen_places(at: np.ndarray, order: np.ndarray) -> np.ndarray:
     return take
 
 
+def _ranked(pairs: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs that stand ``least`` times or more, the most frequent first, and for each place the rank of its pair
+    (``_NONE`` for rare ones; among many, that of another pair where two share a hash)."""
+    if len(pairs) < _MANY:
+        own, of, counts = np.unique(pairs, return_inverse=True, return_counts=True)
+        frequent = np.flatnonzero(counts >= least)
+        frequent = frequent[np.argsort(-counts[frequent], kind="stable")]
+        rank = np.full(len(own) + 1, _NONE, np.int32)
+        rank[frequent] = np.arange(len(frequent), dtype=np.int32)
+        return own[frequent], rank[of]
+    spot = ((pairs * _ODD) >> np.uint64(64 - _TABLE)).astype(np.int32)      # hash of each pair
+    # pairs whose hash is rare are rare; the others are counted exactly
+    often = np.bincount(spot, minlength=1 << _TABLE) >= least
+    ordered = np.sort(pairs[often[spot]])
+    starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1]))) if len(ordered) else np.zeros(0, int)
+    counts = np.diff(np.append(starts, len(ordered)))
+    frequent = np.flatnonzero(counts >= least)
+    frequent = frequent[np.argsort(-counts[frequent], kind="stable")]
+    chosen = ordered[starts[frequent]]
+    place = ((chosen * _ODD) >> np.uint64(64 - _TABLE)).astype(np.int64)
+    rank = np.full(1 << _TABLE, _NONE, np.int32)
+    rank[place[::-1]] = np.arange(len(chosen) - 1, -1, -1, dtype=np.int32)
+    return chosen, rank[spot]
+
+
 def compress(ids: np.ndarray, ends: np.ndarray, least: int = LEAST):
     """Re-Pair of ``ids`` (uint32); ``ends`` marks each document's last id.
 
@@ -70,22 +97,9 @@ def compress(ids: np.ndarray, ends: np.ndarray, least: int = LEAST):
     while len(symbols) > 1:
         at = np.flatnonzero((fresh[:-1] | fresh[1:]) & ~ends[:-1])
         pairs = (symbols[at].astype(np.uint64) << np.uint64(32)) | symbols[at + 1]
-        spot = ((pairs * _ODD) >> np.uint64(64 - _TABLE)).astype(np.int32)      # hash of each pair
-        # pairs whose hash is rare are rare; the others are counted exactly
-        often = (np.bincount(spot, minlength=1 << _TABLE) >= least)[spot]
-        at, pairs, spot = at[often], pairs[often], spot[often]
-        ordered = np.sort(pairs)
-        starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1]))) if len(ordered) else np.zeros(0, int)
-        counts = np.diff(np.append(starts, len(ordered)))
-        frequent = np.flatnonzero(counts >= least)
-        frequent = frequent[np.argsort(-counts[frequent], kind="stable")]       # the most frequent first
-        chosen = ordered[starts[frequent]]
-        place = ((chosen * _ODD) >> np.uint64(64 - _TABLE)).astype(np.int64)
-        rank = np.full(1 << _TABLE, _NONE, np.int32)
-        rank[place[::-1]] = np.arange(len(chosen) - 1, -1, -1, dtype=np.int32)
-        order = rank[spot]
-        waiting = at[order != _NONE]            # taken, in the way of another, or behind another of their hash
+        chosen, order = _ranked(pairs, least)
         hit = np.flatnonzero(order != _NONE)
+        waiting = at[hit]                       # taken, in the way of another, or behind another of their hash
         hit = hit[chosen[order[hit]] == pairs[hit]]
         where, order = at[hit], order[hit]
         if len(where):
@@ -110,12 +124,26 @@ def compress(ids: np.ndarray, ends: np.ndarray, least: int = LEAST):
     return symbols, ends, np.concatenate(rules), first
 
 
+def by_level(rules: np.ndarray, first: int) -> list[np.ndarray]:
+    """Rules in groups, each of which refers to ids and rules of the groups before it only."""
+    parts = rules.astype(np.int64) - first
+    level = np.zeros(len(rules), np.int64)
+    while True:
+        below = np.where(parts >= 0, level[np.maximum(parts, 0)] + 1, 0).max(axis=1, initial=0)
+        if (below == level).all():
+            break
+        level = below
+    order = np.argsort(level, kind="stable")
+    return [g for g in np.split(order, np.flatnonzero(np.diff(level[order])) + 1) if len(g)]
+
+
 def expansion_lengths(rules: np.ndarray, first: int) -> np.ndarray:
-    """Number of ids each rule stands for (rules only refer to earlier ones)."""
-    lengths = np.ones(first + len(rules), np.int64)
-    for i, (a, b) in enumerate(rules.tolist()):
-        lengths[first + i] = lengths[a] + lengths[b]
-    return lengths[first:]
+    """Number of ids each rule stands for."""
+    lengths = np.ones(len(rules), np.int64)
+    parts = rules.astype(np.int64) - first
+    for group in by_level(rules, first):
+        lengths[group] = np.where(parts[group] >= 0, lengths[np.maximum(parts[group], 0)], 1).sum(axis=1)
+    return lengths
 
 
 def pack(doc_ids: list, lengths: np.ndarray, ids: np.ndarray) -> bytes:
@@ -164,17 +192,16 @@ class Shard:
         if self._flat is None:
             places = np.concatenate(([0], np.cumsum(self.rule_lengths)))
             flat = np.empty(places[-1], np.uint32)
-            for i, pair in enumerate(self.rules.tolist()):
-                at = places[i]
-                for x in pair:
-                    n = 1
-                    if x < self.first:
-                        flat[at] = x
-                    else:
-                        a, b = places[x - self.first], places[x - self.first + 1]
-                        n = b - a
-                        flat[at:at + n] = flat[a:b]
-                    at += n
+            for group in by_level(self.rules, self.first):
+                at = places[group]
+                for part in self.rules[group].T:
+                    own = part < self.first
+                    flat[at[own]] = part[own]
+                    rule = part[~own].astype(np.int64) - self.first
+                    n = self.rule_lengths[rule]
+                    step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                    flat[np.repeat(at[~own], n) + step] = flat[np.repeat(places[rule], n) + step]
+                    at = at + self.lengths(part)
             self._flat = flat, places
         return self._flat
 
