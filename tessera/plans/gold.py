@@ -141,11 +141,9 @@ def build_aliases(members: DataFrame) -> dict[str, DataFrame]:
 def unresolved_keys(members: DataFrame, dims: dict, opts: GoldOptions = GoldOptions()) -> dict[str, int]:
     """By dimension, the natural keys that have a name in some clean table and yet don't find exactly one
     row through the join that facts use. Keys are those that ``collation_key`` tells apart, which the join doesn't use."""
-    out = {}
     on_source = ["Indicator_id", "Source_Table"] if opts.indicator_on_source else ["Indicator_id"]
-    for name, kind, keys, named in (("dim_country", "member", ["Country_id"], "Country_name"),
-                                    ("dim_indicator", "indicator", on_source, "Indicator_name"), ("dim_unit_of_measure", "unit", ["Units"], "Units")):
-        dim = dims[name]
+
+    def lost(dim, kind, keys, named):
         rows = members.where((F.col("set") == kind) & F.col(named).isNotNull()).dropna(subset=keys).select(*keys).distinct()
         if kind == "unit":
             rows = rows.select(conform_units("Units").alias("Units"))
@@ -153,8 +151,13 @@ def unresolved_keys(members: DataFrame, dims: dict, opts: GoldOptions = GoldOpti
         plain = [collation_key(F.col(k).cast("string")) for k in keys]
         per = joined.groupBy(*[c.alias(f"_p{i}") for i, c in enumerate(plain)]).agg(
             F.count_distinct(dim.key).alias("found"), F.count(dim.key).alias("hits"), F.count_distinct("_row").alias("rows"))
-        out[name] = per.where("found <> 1 OR hits <> rows").count()
-    return out
+        return per.where("found <> 1 OR hits <> rows").count()
+
+    return D.build_concurrently({
+        "dim_country": lambda: lost(dims["dim_country"], "member", ["Country_id"], "Country_name"),
+        "dim_indicator": lambda: lost(dims["dim_indicator"], "indicator", on_source, "Indicator_name"),
+        "dim_unit_of_measure": lambda: lost(dims["dim_unit_of_measure"], "unit", ["Units"], "Units"),
+    })
 
 
 def _fact_units(units, spec: TableSpec, opts: GoldOptions):

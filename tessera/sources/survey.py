@@ -63,11 +63,14 @@ def survey(spark: SparkSession, path, pages: tuple = PAGES) -> DataFrame:
     text = F.col("_bytes").cast("string")
     counts = [F.count(F.lit(1)).alias("lines"), F.min("_at").alias("first"), F.max("_at").alias("last")]
     if pages:
-        high = F.decode("_bytes", "ISO-8859-1").rlike("[^\\x00-\\x7F]")      # a decoding that maps each byte to a character
         valid = F.is_valid_utf8(text)
-        counts += [F.count_if(high).alias("high"), F.count_if(high & valid).alias("utf8")]
-        counts += [F.count(F.when(high & valid, utf8_of(text, p))).alias(f"back_{i}") for i, p in enumerate(pages)]
-        counts += [F.sum(F.when(high & ~valid, plausible(from_bytes("_bytes", p))).otherwise(0)).alias(f"good_{i}") for i, p in enumerate(pages)]
+        high = ~valid | (F.length(text) != F.octet_length(text))      # holds a byte above 127; a UTF-8 character that isn't ASCII has several
+        # a line is UTF-8 if its runs of high characters are: only these are tried in each page
+        runs = F.regexp_replace(text, "[\\x00-\\x7F]+", " ")
+        lines = lines.select(FILE_COL, "_split", "_at", high.alias("_is_high"), F.when(high & valid, runs).alias("_runs"), F.when(~valid, F.col("_bytes")).alias("_odd"))
+        counts += [F.count_if("_is_high").alias("high"), F.count("_runs").alias("utf8")]
+        counts += [F.count(utf8_of("_runs", p)).alias(f"back_{i}") for i, p in enumerate(pages)]
+        counts += [F.coalesce(F.sum(F.when(F.col("_odd").isNotNull(), plausible(from_bytes("_odd", p)))), F.lit(0)).alias(f"good_{i}") for i, p in enumerate(pages)]
     splits = lines.groupBy(FILE_COL, "_split").agg(*counts)
     if pages:
         n = range(len(pages))
