@@ -248,9 +248,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, spaces
         import pyarrow as pa
         from pyspark import TaskContext
 
-        from tessera.llm.tokens import encoder
+        from tessera.llm.tokens import ROOMY, encoder
 
-        enc, part, end = encoder(tokenizer, spaces), TaskContext.get().partitionId(), struct.pack("<I", end_id)
+        enc, part, end = encoder(tokenizer, spaces, ROOMY), TaskContext.get().partitionId(), struct.pack("<I", end_id)
         names, parts, held, shard, start = [], [], 0, 0, 0
 
         def flush():

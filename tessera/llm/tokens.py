@@ -13,24 +13,35 @@ from __future__ import annotations
 import os
 import re
 from array import array
-from itertools import islice
+from itertools import compress, count, islice
+from operator import not_
 
 _TWO_SPACES = re.compile(r"\s\s")
+#: White space beside blank and line break.
+_OTHER_SPACE = re.compile("[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _LONE_SPACE = re.compile(r"(?<!\s) (?!\s)")
 #: Text that normalisation to composed characters leaves as it is and whose lower case is that of its characters.
 _PLAIN = re.compile("[\t-\r -~\xa0-\u017f]*")
-#: A line break, letters of the plain range, and few stops.
-_SIMPLE = re.compile("(\n?)([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u0148\u014a-\u017f]+)([.,;:!?]{0,3})")
+#: Of chunks joined by NUL, each in turn: a line break, letters of the plain range, and few stops (ASCII punctuation but the
+#: apostrophe, which the pre-tokenizers join to letters); nothing of others.
+_PARTS = re.compile("(\n?)([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u0148\u014a-\u017f]++)([!-&(-/:-@[-`{-~]{0,3})(?:\0|\\Z)|[^\0]*(?:\0|\\Z)")
 _SEPARATORS = re.compile("[\x1c-\x1f]")   # white space to Python, symbols to the tokenizer
 
 
+def _doubled(text: str) -> bool:
+    """Whether white space follows white space."""
+    if "  " in text or "\n\n" in text or " \n" in text or "\n " in text:
+        return True
+    return bool(_OTHER_SPACE.search(text) and _TWO_SPACES.search(text))
+
+
 class ChunkEncoder:
     """``encode(texts)`` gives each text's ids as little-endian unsigned 32-bit bytes.
 
     ``spaces`` says whether a chunk's ids depend on a space before it (byte
     level) or white space is dropped. The dictionary is cut back to its
     ``KEEP`` oldest entries (frequent words come early) whenever it holds more
-    than ``MOST``. A null text is the empty text. Control strings in a text are
+    than ``MOST`` (some 150 bytes each). A null text is the empty text. Control strings in a text are
     ordinary text.
     """
 
@@ -51,26 +62,29 @@ class ChunkEncoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
-    def _simple(self, chunk: str) -> bytes | None:
-        """Ids of a chunk of letters and stops, straight from the model; None for others.
+    def _new(self, chunks: list[str]) -> dict[str, bytes]:
+        """Ids of distinct chunks; those of letters and stops straight from the model, each spelling of letters once.
 
         The pre-tokenizer cuts such a chunk into its letters (with the space
         before them) and its stops, and the normaliser only lowers its case.
         """
-        m = _SIMPLE.fullmatch(chunk)
-        if not m:
-            return None
-        line, letters, stops = m.groups()
-        if not self.spaces:
-            letters = letters.lower()
-        elif not line:
-            letters = " " + letters
-        word = letters if letters.isascii() and not self.spaces else letters.encode().decode("latin-1").translate(_BYTES)
-        ids = array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
-        for x in (line, stops):
-            if x not in self.around:
-                self.around[x] = self._ids([x])[0]
-        return self.around[line] + ids + self.around[stops]
+        safe = [w for w in chunks if "\0" not in w]
+        simple = [(w, *x) for w, x in zip(safe, _PARTS.findall("\0".join(safe))) if x[1]]
+        if self.spaces:
+            words = [letters if line else " " + letters for _, line, letters, _ in simple]
+        else:
+            words = [letters.lower() for _, _, letters, _ in simple]
+        distinct = list(dict.fromkeys(words))
+        spelt = "\n".join(distinct).encode().decode("latin-1").translate(_BYTES).split(_BREAK)
+        tokenize = self.model.tokenize
+        ids = {w: array("I", [t.id for t in tokenize(x)]).tobytes() for w, x in zip(distinct, spelt)}
+        for x in {x for _, line, _, stops in simple for x in (line, stops)} - self.around.keys():
+            self.around[x] = self._ids([x])[0]
+        around, before = self.around, " " if self.spaces else ""
+        out = {w: around[line] + ids[word] + around[stops] for (w, line, _, stops), word in zip(simple, words)}
+        odd = [w for w in chunks if w not in out]
+        out.update(zip(odd, self._ids([w if w[:1] == "\n" else before + w for w in odd])))
+        return out
 
     def _chunks(self, text: str | None) -> tuple[str, list[str]]:
         """What stands at the start of the text, and the chunks that follow."""
@@ -80,7 +94,7 @@ class ChunkEncoder:
             if _PLAIN.fullmatch(text):
                 return "", text.lower().split()      # the normaliser's own first step: fewer distinct chunks
             return (text, []) if _SEPARATORS.search(text) else ("", text.split())
-        parts = _LONE_SPACE.split(text) if _TWO_SPACES.search(text) else text.replace("\n", " \n").split(" ")
+        parts = _LONE_SPACE.split(text) if _doubled(text) else text.replace("\n", " \n").split(" ")
         return parts[0], parts[1:]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
@@ -90,20 +104,18 @@ class ChunkEncoder:
         for text in texts:
             first, chunks = self._chunks(text)
             got = list(map(find, chunks))
-            if None in got:
-                for i, ids in enumerate(got):
-                    if ids is None:
-                        new[chunks[i]] = None
-                        gaps.append((got, i, chunks[i]))
+            places = list(compress(count(), map(not_, got)))     # not known, or without ids
+            if places:
+                words = [chunks[i] for i in places]
+                new.update(dict.fromkeys(words))
+                gaps.append((got, places, words))
             starts.append(first)
             rows.append(got)
         if new:
-            before = " " if self.spaces else ""
-            new = {w: self._simple(w) for w in new}
-            odd = [w for w, ids in new.items() if ids is None]
-            new.update(zip(odd, self._ids([w if w[:1] == "\n" else before + w for w in odd])))
-            for got, i, word in gaps:
-                got[i] = new[word]
+            new.update(self._new(list(new)))
+            for got, places, words in gaps:
+                for i, word in zip(places, words):
+                    got[i] = new[word]
             self.known.update(new)
         return [first + b"".join(got) for first, got in zip(self._ids(starts), rows)]
 
@@ -116,11 +128,18 @@ def _byte_letters() -> dict[int, str]:
 
 
 _BYTES = _byte_letters()
+_BREAK = _BYTES[10]
 _encoders: dict[tuple, ChunkEncoder] = {}
 
 
-def encoder(path: str, spaces: bool) -> ChunkEncoder:
-    """The worker's encoder for a vocabulary file (kept between tasks)."""
+#: Most and kept entries of a dictionary where a worker has the memory: rare words are encoded again less often.
+ROOMY = 1_300_000, 500_000
+
+
+def encoder(path: str, spaces: bool, words: tuple[int, int] = (ChunkEncoder.MOST, ChunkEncoder.KEEP)) -> ChunkEncoder:
+    """The worker's encoder for a vocabulary file (kept between tasks); ``words``: most and kept entries of its dictionary."""
     if (path, spaces) not in _encoders:
         _encoders[path, spaces] = ChunkEncoder(path, spaces)
-    return _encoders[path, spaces]
+    found = _encoders[path, spaces]
+    found.MOST, found.KEEP = words
+    return found

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from tessera.llm import packing, repair
+from tessera.llm import packing, repair, tokens
 from tessera.llm.queries import vocabulary
 from tessera.llm.tokens import ChunkEncoder
 from tests.llm.conftest import hard_rows
@@ -34,6 +34,50 @@ def test_chunks_equal_whole_texts(path, spaces):
     assert got == want
 
 
+@pytest.mark.parametrize("path,spaces,text,spellings", [
+    (BYTE, True, "x Zorbleq Zorbleq, Zorbleq!\nZorbleq Zorbleq?", [" Zorbleq", "Zorbleq"]), (WORD, False, "Zorbleq zorbleq, ZORBLEQ! zorbleq", ["zorbleq"])])
+def test_a_spelling_of_letters_reaches_the_model_once(path, spaces, text, spellings):
+    enc, asked = ChunkEncoder(path, spaces), []
+
+    class Model:
+        model = enc.model
+
+        def tokenize(self, word):
+            asked.append(word.replace("\u0120", " "))
+            return self.model.tokenize(word)
+
+    enc.model = Model()
+    want = np.array(enc.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert enc.encode([text, None, text]) == [want, b"", want]
+    assert sorted(asked) == sorted(spellings)
+
+
+@pytest.mark.parametrize("path,spaces", [(BYTE, True), (WORD, False)])
+def test_punctuation_after_letters_equals_whole_texts_and_shares_their_ids(path, spaces):
+    marks = [chr(c) for c in range(33, 127) if not chr(c).isalnum()]
+    rnd, enc = random.Random(5), ChunkEncoder(path, spaces)
+    texts = [f"x {word}{''.join(rnd.choice(marks) for _ in range(rnd.randint(0, 4)))}{rnd.choice(['', ' y', chr(10) + 'Word' + rnd.choice(marks)])}"
+             for word in ("word", "Été", "ŀa", "I") for _ in range(1500)] + [f"a Ab{m}{n}" for m in marks for n in ["", *marks]]
+    want = [np.array(e.ids, "<u4").tobytes() for e in enc.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert enc.encode(texts) == want
+    odd, ids = [], enc._ids
+    enc._ids = lambda x: odd.extend(x) or ids(x)
+    enc.encode(["x zorb))) Zorb### zorb&"])
+    assert not [x for x in odd if "orb" in x]
+
+
+def test_an_encoder_takes_the_size_of_its_dictionary():
+    assert tokens.encoder(WORD, False, (5, 3)) is tokens.encoder(WORD, False, tokens.ROOMY)
+    enc = tokens.encoder(WORD, False, (5, 3))
+    enc.known.clear()
+    words = "one two three four five six seven"
+    first = enc.encode([words])
+    assert enc.encode([words]) == first and len(enc.known) == 7
+    enc.encode(["eight"])
+    assert list(enc.known)[:3] == ["one", "two", "three"] and len(enc.known) == 4
+    assert tokens.encoder(WORD, False).MOST == ChunkEncoder.MOST
+
+
 def test_repair_round_trip_and_random_access():
     rnd = np.random.default_rng(1)
     lengths = np.array([1, 1, 700, 3000, 2, 900])
