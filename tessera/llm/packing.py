@@ -129,20 +129,20 @@ def sentence_table(path: str):
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, size: int = SIZE,
-                   block: int = BLOCK) -> DataFrame:
+                   block: int = BLOCK, roomy: bool = False) -> DataFrame:
     """Pieces of all ``docs(doc_id, text)`` in sequences of at most ``size`` tokens.
 
     Columns: doc_id, start (of the piece in its document), length, doc_tokens,
     sequence_id, offset (of the piece in its sequence), ids (little-endian
-    unsigned 32-bit).
+    unsigned 32-bit). ``roomy``: workers keep larger dictionaries of words.
     """
     def pieces(batches):
         import pyarrow as pa
         from pyspark import TaskContext
 
-        from tessera.llm.tokens import encoder
+        from tessera.llm.tokens import ROOMY, encoder
 
-        enc, end = encoder(tokenizer, True), struct.pack("<I", end_id)
+        enc, end = encoder(tokenizer, True, ROOMY) if roomy else encoder(tokenizer, True), struct.pack("<I", end_id)
         stop, line, space = sentence_table(tokenizer)
         sequence = TaskContext.get().partitionId() << 40
         names, parts, held = [], [], 0
