@@ -10,8 +10,10 @@ the tokenizer, so the result always equals encoding the whole text at once.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
+import struct
 from array import array
 from itertools import compress, count, islice
 from operator import not_
@@ -55,6 +57,7 @@ class ChunkEncoder:
         self.tokenizer.encode_special_tokens = True
         self.spaces = spaces
         self.model = self.tokenizer.model
+        self.one = [struct.pack("<I", i) for i in range(self.tokenizer.get_vocab_size(True))]      # bytes of each id
         self.around: dict[str, bytes] = {}   # line breaks and stops around words
         self.known: dict[str, bytes] = {}    # by chunk; a space before it is left out, a line break is not
 
@@ -68,20 +71,25 @@ class ChunkEncoder:
         The pre-tokenizer cuts such a chunk into its letters (with the space
         before them) and its stops, and the normaliser only lowers its case.
         """
-        safe = [w for w in chunks if "\0" not in w]
-        simple = [(w, *x) for w, x in zip(safe, _PARTS.findall("\0".join(safe))) if x[1]]
+        plain = [w for w in chunks if w.isalpha() and w.isascii()]      # most: their parts need no search
+        safe = [w for w in chunks if not (w.isalpha() and w.isascii()) and "\0" not in w]
+        found = _PARTS.findall("\0".join(safe))
+        simple = [(w, line, letters, stops) for w, (line, letters, stops) in zip(safe, found) if letters]
         if self.spaces:
+            alone = [" " + w for w in plain]
             words = [letters if line else " " + letters for _, line, letters, _ in simple]
         else:
+            alone = [w.lower() for w in plain]
             words = [letters.lower() for _, _, letters, _ in simple]
-        distinct = list(dict.fromkeys(words))
+        distinct = list(dict.fromkeys(alone + words))
         spelt = "\n".join(distinct).encode().decode("latin-1").translate(_BYTES).split(_BREAK)
-        tokenize = self.model.tokenize
-        ids = {w: array("I", [t.id for t in tokenize(x)]).tobytes() for w, x in zip(distinct, spelt)}
+        tokenize, one = self.model.tokenize, self.one
+        ids = {w: b"".join([one[t.id] for t in tokenize(x)]) for w, x in zip(distinct, spelt)}
         for x in {x for _, line, _, stops in simple for x in (line, stops)} - self.around.keys():
             self.around[x] = self._ids([x])[0]
         around, before = self.around, " " if self.spaces else ""
-        out = {w: around[line] + ids[word] + around[stops] for (w, line, _, stops), word in zip(simple, words)}
+        out = {w: ids[word] for w, word in zip(plain, alone)}
+        out.update((w, around[line] + ids[word] + around[stops]) for (w, line, _, stops), word in zip(simple, words))
         odd = [w for w in chunks if w not in out]
         out.update(zip(odd, self._ids([w if w[:1] == "\n" else before + w for w in odd])))
         return out
@@ -98,6 +106,15 @@ class ChunkEncoder:
         return parts[0], parts[1:]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
+        collects = gc.isenabled()
+        gc.disable()        # millions of small tuples and lists, none in a cycle: looking for cycles is a seventh of the time
+        try:
+            return self._encode(texts)
+        finally:
+            if collects:
+                gc.enable()
+
+    def _encode(self, texts: list[str | None]) -> list[bytes]:
         if len(self.known) > self.MOST:
             self.known = dict(islice(self.known.items(), self.KEEP))
         find, starts, rows, new, gaps = self.known.get, [], [], {}, []

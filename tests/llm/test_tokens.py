@@ -201,3 +201,23 @@ def test_queries_digests(spark):
     for name, ids in zip(names, whole(WORD, [rows[n] for n in names], 1)):
         assert got[name] == (at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         at += len(ids)
+
+
+def test_encoding_does_not_look_for_cycles():
+    import gc
+
+    enc, inside, seen = ChunkEncoder(WORD, False), False, []
+
+    def noted(phase, info):
+        if inside and phase == "start":
+            seen.append(info)
+
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676 % 26)}" for i in range(9000)]
+    gc.callbacks.append(noted)
+    try:
+        inside = True
+        enc.encode([" ".join(words), None, "x"])
+        inside = False
+    finally:
+        gc.callbacks.remove(noted)
+    assert seen == [] and gc.isenabled()
