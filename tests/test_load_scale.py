@@ -1,5 +1,6 @@
 """What keeps the load's time in step with its input: compiled methods, keys by rank, text formatted once."""
 
+import re
 from decimal import Decimal
 
 import pytest
@@ -12,6 +13,9 @@ from tessera.operators.star import DimLink, build_fact
 from tessera.plans.derive import lineitem_cube
 from tessera.plans.gold import unresolved_keys
 from tessera.plans.pipeline import Warehouse
+from tessera.plans.silver import clean_table
+from tessera.session import METHOD_BYTES
+from tessera.specs import TABLES
 from tests.test_plans import plan, tree_ops
 
 
@@ -81,3 +85,28 @@ def test_cells_parse_as_before(spark):
             "1.,.5": None, "1E5": None, "-3.": Decimal("-3.00"), ",": None, "x": None, "...5": Decimal("0.50")}
     df = spark.createDataFrame([(k,) for k in want], "c string")
     assert {r["c"]: r["v"] for r in df.select("c", parse_numeric_text("c").alias("v")).collect()} == want
+
+
+@pytest.mark.parametrize("spec", TABLES, ids=lambda t: t.stem)
+def test_clean_projections_are_compiled(spark, tmp_dir, spec):
+    spark.createDataFrame([], spec.raw_schema()).write.parquet(f"{tmp_dir}/raw")
+    raw = spark.read.schema(spec.raw_schema()).parquet(f"{tmp_dir}/raw")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")      # nothing falls back, so the sizes are shown
+    try:
+        shown = spark._jvm.PythonSQLUtils.explainString(clean_table(raw, spec)._jdf.queryExecution(), "codegen")
+    finally:
+        spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", shown)]
+    assert sizes and max(sizes) < METHOD_BYTES
+
+
+def test_year_cells_keep_their_columns(spark):
+    spec = next(t for t in TABLES if t.stem == "domestic_accommodation")
+    years = [c for c in spec.raw_schema().fieldNames() if c.startswith("year_")]
+    given = {"year_1995": "1,234.5", "year_1997": " 7 ", years[-1]: "1E5", years[-2]: "..", years[-3]: "", years[-4]: "1..5"}
+    raw = spark.createDataFrame([tuple({"C": "8", "S": "2,2", "Basic_data": "ITALY", "Unnamed_5": " a ", "Unnamed_6": " ", "Units": "u", **given}.get(c) for c in spec.raw_schema().fieldNames())],
+                                spec.raw_schema())
+    row = clean_table(raw, spec).first().asDict()
+    assert (row["Country_code"], row["Indicator_code"], row["Country"], row["Indicator_L1"], row["Indicator_L2"], row["Units"]) == (8, "2.20", "ITALY", "a", None, "u")
+    filled = {"year_1995": Decimal("1234.50"), "year_1997": Decimal("7.00"), years[-4]: Decimal("15.00")}
+    assert {c: v for c, v in row.items() if c.startswith("year_") and v is not None} == filled
