@@ -41,6 +41,8 @@ def chosen_places(at: np.ndarray, order: np.ndarray) -> np.ndarray:
     ``order`` than the pairs they overlap; of the rest, in each chain of overlapping pairs, every second from the left."""
     linked = np.zeros(len(at) + 1, bool)
     linked[1:-1] = at[1:] == at[:-1] + 1
+    if not linked.any():
+        return np.ones(len(at), bool)
     take = np.ones(len(at), bool)
     take[1:] &= ~linked[1:-1] | (order[1:] < order[:-1])
     take[:-1] &= ~linked[1:-1] | (order[:-1] <= order[1:])
@@ -57,7 +59,7 @@ def chosen_places(at: np.ndarray, order: np.ndarray) -> np.ndarray:
 
 def _ranked(pairs: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     """The pairs that stand ``least`` times or more, the most frequent first, and for each place the rank of its pair
-    (``_NONE`` for rare ones; among many, that of another pair where two share a hash)."""
+    (``_NONE`` for rare ones; among many, that of a frequent pair of the same hash)."""
     if len(pairs) < _MANY:
         own, of, counts = np.unique(pairs, return_inverse=True, return_counts=True)
         frequent = np.flatnonzero(counts >= least)
@@ -66,10 +68,8 @@ def _ranked(pairs: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
         rank[frequent] = np.arange(len(frequent), dtype=np.int32)
         return own[frequent], rank[of]
     spot = ((pairs * _ODD) >> np.uint64(64 - _TABLE)).astype(np.int32)      # hash of each pair
-    # pairs whose hash is rare are rare; the others are counted exactly
-    often = np.bincount(spot, minlength=1 << _TABLE) >= least
-    ordered = np.sort(pairs[often[spot]])
-    starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1]))) if len(ordered) else np.zeros(0, int)
+    ordered = np.sort(pairs)        # no slower than leaving out first what is rare by its hash
+    starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
     counts = np.diff(np.append(starts, len(ordered)))
     frequent = np.flatnonzero(counts >= least)
     frequent = frequent[np.argsort(-counts[frequent], kind="stable")]
@@ -77,7 +77,7 @@ def _ranked(pairs: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     place = ((chosen * _ODD) >> np.uint64(64 - _TABLE)).astype(np.int64)
     rank = np.full(1 << _TABLE, _NONE, np.int32)
     rank[place[::-1]] = np.arange(len(chosen) - 1, -1, -1, dtype=np.int32)
-    return chosen, rank[spot]
+    return chosen, rank.take(spot)
 
 
 def compress(ids: np.ndarray, ends: np.ndarray, least: int = LEAST):
@@ -95,18 +95,25 @@ def compress(ids: np.ndarray, ends: np.ndarray, least: int = LEAST):
     rules, n_rules = [np.zeros((0, 2), np.uint32)], 0
     fresh = np.ones(len(symbols), bool)
     while len(symbols) > 1:
+        # places are taken by index: numpy picks by a mask several times slower
         at = np.flatnonzero((fresh[:-1] | fresh[1:]) & ~ends[:-1])
-        pairs = (symbols[at].astype(np.uint64) << np.uint64(32)) | symbols[at + 1]
+        pairs = symbols.take(at).astype(np.uint64)
+        pairs <<= np.uint64(32)
+        pairs |= symbols[1:].take(at)
         chosen, order = _ranked(pairs, least)
         hit = np.flatnonzero(order != _NONE)
-        waiting = at[hit]                       # taken, in the way of another, or behind another of their hash
-        hit = hit[chosen[order[hit]] == pairs[hit]]
-        where, order = at[hit], order[hit]
-        if len(where):
-            take = chosen_places(where, order)
-            where, order = where[take], order[take]
+        waiting, order = at.take(hit), order.take(hit)          # taken, in the way of another, or behind another of their hash
+        if len(hit):
+            own = np.flatnonzero(chosen.take(order) == pairs.take(hit))
+            where, order = waiting.take(own), order.take(own)
+            take = np.flatnonzero(chosen_places(where, order))
+            where, order = where.take(take), order.take(take)
             useful = np.bincount(order, minlength=len(chosen)) >= USEFUL
-            where, order = where[useful[order]], order[useful[order]]
+            if not useful.all():
+                take = np.flatnonzero(useful.take(order))
+                where, order = where.take(take), order.take(take)
+        else:
+            where = waiting
         if not len(where):
             break
         name = first + n_rules + np.cumsum(useful) - 1
@@ -116,11 +123,12 @@ def compress(ids: np.ndarray, ends: np.ndarray, least: int = LEAST):
         fresh[:] = False
         fresh[waiting] = True
         fresh[where] = True
-        symbols[where] = name[order]
-        ends[where] = ends[where + 1]
+        symbols[where] = name.take(order)
+        ends[where] = ends[1:].take(where)
         keep = np.ones(len(symbols), bool)
-        keep[where + 1] = False
-        symbols, ends, fresh = symbols[keep], ends[keep], fresh[keep]
+        keep[1:][where] = False
+        keep = np.flatnonzero(keep)
+        symbols, ends, fresh = symbols.take(keep), ends.take(keep), fresh.take(keep)
     return symbols, ends, np.concatenate(rules), first
 
 
@@ -248,7 +256,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, spaces
         import pyarrow as pa
         from pyspark import TaskContext
 
-        from tessera.llm.tokens import ROOMY, encoder
+        from tessera.llm.tokens import ROOMY, encoder, slabs
 
         enc, part, end = encoder(tokenizer, spaces, ROOMY), TaskContext.get().partitionId(), struct.pack("<I", end_id)
         names, parts, held, shard, start = [], [], 0, 0, 0
@@ -260,8 +268,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, spaces
                                               names=["part", "shard", "part_start", "n_ids", "blob"])
 
         for batch in batches:
-            for low in range(0, len(batch), 512):
-                some = batch.slice(low, 512)
+            for some in slabs(batch, 1):
                 for name, ids in zip(some.column(0).to_pylist(), enc.encode(some.column(1).to_pylist())):
                     names.append(name)
                     parts.append(ids + end)

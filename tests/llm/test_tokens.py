@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -66,6 +67,53 @@ def test_punctuation_after_letters_equals_whole_texts_and_shares_their_ids(path,
     assert not [x for x in odd if "orb" in x]
 
 
+def test_distinct_chunks_of_plain_texts_are_looked_up_once():
+    asked = []
+
+    class Known(dict):
+        def get(self, key, *default):
+            asked.append(key)
+            return super().get(key, *default)
+
+    enc = ChunkEncoder(WORD, False)
+    enc.known = Known()
+    texts = ["Zorb é\xa0zorb\x0bÉté ", None, " zorb  ZORB\n", "", "\t\n", "ZORB\x1czorb", "zorb"] * 50
+    want = [np.array(e.ids, "<u4").tobytes() for e in enc.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    assert enc.encode(texts) == want and asked.count("zorb") == 1
+    asked.clear()
+    assert enc.encode(texts) == want and asked.count("zorb") == 1
+
+
+@pytest.mark.parametrize("path,spaces", [(BYTE, True), (WORD, False)])
+def test_stops_after_known_letters_do_not_reach_the_model_again(path, spaces):
+    enc = ChunkEncoder(path, spaces)
+    enc.encode(["x zorbleq été"])
+    spelt, spellings = [], enc._spellings
+    enc._spellings = lambda words: spelt.extend(words) or spellings(words)
+    text = "x zorbleq, Été. été! zorbleq?\nzorbleq."
+    assert enc.encode([text]) == [np.array(enc.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()]
+    assert spelt == ([" Été", "zorbleq"] if spaces else [])
+
+
+def test_slabs_hold_all_rows_in_bounded_slices(monkeypatch):
+    monkeypatch.setattr(tokens, "SLAB", 100)
+    texts = [None, "", *["é" * (i % 90) for i in range(300)], "x" * 1000, None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    got = list(tokens.slabs(batch, 1))
+    assert [r for x in got for r in x.column(0).to_pylist()] == list(range(len(texts)))
+    assert all(sum(len((t or "").encode()) for t in x.column(1).to_pylist()[1:]) <= 200 for x in got if "x" * 1000 not in x.column(1).to_pylist())
+    assert not list(tokens.slabs(batch.slice(0, 0), 1)) and [len(x) for x in tokens.slabs(batch.slice(0, 1), 1)] == [1]
+
+
+def test_many_pairs_are_ranked_as_few_are(monkeypatch):
+    pairs = np.random.default_rng(2).zipf(1.3, 5000).clip(max=900).astype(np.uint64) << np.uint64(32)
+    few, ranks = repair._ranked(pairs, 5)
+    monkeypatch.setattr(repair, "_MANY", 1)
+    many, hashed = repair._ranked(pairs, 5)
+    assert many.tolist() == few.tolist() and (hashed[ranks != repair._NONE] <= ranks[ranks != repair._NONE]).all()
+    assert len(repair._ranked(pairs, 5001)[0]) == 0
+
+
 def test_an_encoder_takes_the_size_of_its_dictionary():
     assert tokens.encoder(WORD, False, (5, 3)) is tokens.encoder(WORD, False, tokens.ROOMY)
     enc = tokens.encoder(WORD, False, (5, 3))
