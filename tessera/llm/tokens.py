@@ -28,9 +28,9 @@ _OTHER_SPACE = re.compile("[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\
 _LONE_SPACE = re.compile(r"(?<!\s) (?!\s)")
 #: Text that normalisation to composed characters leaves as it is and whose lower case is that of its characters.
 _PLAIN = re.compile("[\t-\r -~\xa0-\u017f]*")
-#: Of chunks joined by NUL, each in turn: a line break, letters of the plain range, and few stops (ASCII punctuation but the
+#: Of chunks joined by NUL, each in turn: a line break, letters of the plain range, and up to eight stops (ASCII punctuation but the
 #: apostrophe, which the pre-tokenizers join to letters); nothing of others.
-_PARTS = re.compile("(\n?)([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u0148\u014a-\u017f]++)([!-&(-/:-@[-`{-~]{0,3})(?:\0|\\Z)|[^\0]*(?:\0|\\Z)")
+_PARTS = re.compile("(\n?)([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u0148\u014a-\u017f]++)([!-&(-/:-@[-`{-~]{0,8})(?:\0|\\Z)|[^\0]*(?:\0|\\Z)")
 _SEPARATORS = re.compile("[\x1c-\x1f]")   # white space to Python, symbols to the tokenizer
 #: Bytes between the chunks of plain texts that are joined by NUL.
 _BETWEEN = bytes([0, *range(9, 14), 32])
@@ -99,8 +99,10 @@ class ChunkEncoder:
             known = dict(zip(words, map(self.known.get, words)))
         unknown = [w for w in dict.fromkeys(chain(alone, words)) if not known.get(w)]
         ids = known | dict(zip(unknown, self._spellings(unknown)))
-        for x in {x for _, line, _, stops in parts for x in (line, stops)} - self.around.keys():
-            self.around[x] = self._ids([x])[0]
+        if len(self.around) > 50_000:
+            self.around.clear()
+        sides = list({x for _, line, _, stops in parts for x in (line, stops)} - self.around.keys())
+        self.around.update(zip(sides, self._ids(sides)))
         around, before = self.around, " " if self.spaces else ""
         out = dict(zip(plain, map(ids.__getitem__, alone)))
         out.update((w, around[line] + ids[word] + around[stops]) for (w, line, _, stops), word in zip(parts, words))

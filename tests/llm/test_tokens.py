@@ -95,6 +95,19 @@ def test_stops_after_known_letters_do_not_reach_the_model_again(path, spaces):
     assert spelt == ([" Été", "zorbleq"] if spaces else [])
 
 
+@pytest.mark.parametrize("path,spaces", [(BYTE, True), (WORD, False)])
+def test_long_runs_of_stops_after_letters_share_their_ids(path, spaces):
+    marks, rnd, enc = [chr(c) for c in range(33, 127) if not chr(c).isalnum()], random.Random(6), ChunkEncoder(path, spaces)
+    texts = [f"x {w}{''.join(rnd.choice(marks) for _ in range(rnd.randint(3, 11)))} y" for w in ("word", "Été", "I") for _ in range(500)]
+    enc.around = dict.fromkeys(map(str, range(60_000)), b"")        # more than are kept
+    assert enc.encode(texts) == [np.array(e.ids, "<u4").tobytes() for e in enc.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert len(enc.around) < 5000
+    odd, ids = [], enc._ids
+    enc._ids = lambda x: odd.extend(x) or ids(x)
+    enc.encode(["x zorb.&&& Zorb,,,,####"])
+    assert not [x for x in odd if "orb" in x]
+
+
 def test_slabs_hold_all_rows_in_bounded_slices(monkeypatch):
     monkeypatch.setattr(tokens, "SLAB", 100)
     texts = [None, "", *["é" * (i % 90) for i in range(300)], "x" * 1000, None]
