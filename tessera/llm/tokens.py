@@ -34,6 +34,8 @@ _PARTS = re.compile("(\n?)([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u0148\u01
 _SEPARATORS = re.compile("[\x1c-\x1f]")   # white space to Python, symbols to the tokenizer
 #: Bytes between the chunks of plain texts that are joined by NUL.
 _BETWEEN = bytes([0, *range(9, 14), 32])
+#: ASCII punctuation but the apostrophe: after a letter, it begins a piece of its own.
+_STOPS = np.array([33 <= b < 127 and not chr(b).isalnum() and b != 39 for b in range(256)])
 #: Bytes of text that are encoded at a time.
 SLAB = 8 << 20
 _token_id = attrgetter("id")
@@ -158,10 +160,14 @@ class ChunkEncoder:
             return []
         slab = "\0".join(texts).replace("\xa0", " ").encode().lower()       # of ASCII: the normaliser's own step, for fewer distinct chunks
         letters = np.frombuffer(slab, np.uint8)
-        gaps = np.flatnonzero(letters <= 32)                    # white space and NUL: plain texts hold no other such byte
-        last = np.append(np.flatnonzero(letters.take(gaps) == 0), len(gaps))        # each text's last chunk
+        between = letters <= 32                                 # white space and NUL: plain texts hold no other such byte
+        cut = between.copy()
+        cut[1:] |= (letters[:-1] - np.uint8(97) < 26) & _STOPS.take(letters[1:])    # stops are chunks of their own: fewer distinct ones
+        cut = np.flatnonzero(cut)
+        last = np.append(np.flatnonzero(letters.take(cut) == 0), len(cut))          # each text's last chunk
+        gone = between.take(cut)
         slab = slab.translate(None, _BETWEEN)
-        ends = np.concatenate(([0], gaps - np.arange(len(gaps)), [len(slab)]))
+        ends = np.concatenate(([0], cut - (np.cumsum(gone) - gone), [len(slab)]))
         chunks = pa.Array.from_buffers(pa.large_utf8(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(slab)]).dictionary_encode()
         own = chunks.dictionary.to_numpy(zero_copy_only=False).tolist()
         found = list(map(self.known.get, own))

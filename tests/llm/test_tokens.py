@@ -108,6 +108,14 @@ def test_long_runs_of_stops_after_letters_share_their_ids(path, spaces):
     assert not [x for x in odd if "orb" in x]
 
 
+def test_stops_after_ascii_letters_are_chunks_of_their_own():
+    enc = ChunkEncoder(WORD, False)
+    texts = ["Zorb, zorb. zorb's zorb,'s (zorb) é, a»! 'll ab.cd..ef", "zorb,", ",", "z\x7f,"]
+    want = [np.array(e.ids, "<u4").tobytes() for e in enc.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert enc.encode(texts) == want
+    assert {"zorb", ",", ".", "(zorb", ")", "zorb's", ",'s", "ab", ".cd", "..ef", "é,", "a»!", "'ll"} == enc.known.keys() - {"z\x7f,"}
+
+
 def test_slabs_hold_all_rows_in_bounded_slices(monkeypatch):
     monkeypatch.setattr(tokens, "SLAB", 100)
     texts = [None, "", *["é" * (i % 90) for i in range(300)], "x" * 1000, None]
